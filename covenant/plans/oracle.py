@@ -379,3 +379,22 @@ GROUP BY route""",
 SELECT 'dq_results' AS table_name, CAST({len(C.ORDER_RULES)} AS BIGINT) AS n_rows
 UNION ALL SELECT 'quarantine', count(*) FROM flags WHERE {ANY_FLAG}""",
 }
+
+
+def _bigint_counts(sql: str) -> str:
+    """DuckDB's count_if returns HUGEINT; Spark's returns BIGINT.  Wrap each call in a cast."""
+    out, i, token = [], 0, "count_if("
+    while True:
+        j = sql.find(token, i)
+        if j < 0:
+            out.append(sql[i:])
+            return "".join(out)
+        depth, k = 1, j + len(token)
+        while depth:
+            depth += {"(": 1, ")": -1}.get(sql[k], 0)
+            k += 1
+        out.append(sql[i:j] + "CAST(" + token + _bigint_counts(sql[j + len(token) : k - 1]) + ") AS BIGINT)")
+        i = k
+
+
+ORACLE = {name: _bigint_counts(sql) for name, sql in ORACLE.items()}

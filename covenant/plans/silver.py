@@ -75,7 +75,8 @@ def run_silver(
 
     annotated_path = f"{base}/{silver_name}"
     write_table(silver_frame(bronze, transforms, rules, as_of=as_of, order_by=order_by), annotated_path, fmt=fmt, partition_by=[PASSED])
-    stored = spark.read.format(fmt).load(annotated_path)
+    # Partition values come back as strings; the filter on them still prunes partitions.
+    stored = spark.read.format(fmt).load(annotated_path).withColumn(PASSED, F.col(PASSED).cast("boolean"))
 
     results_path = f"{base}/dq_results"
     if rules:
