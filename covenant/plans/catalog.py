@@ -232,6 +232,24 @@ def dq_critical_gate(spark, sf):
     return critical_failures(r).select("rule_name", "fail_count")
 
 
+LINEITEM_RULES = [
+    Rule("orderkey_not_null", "l_orderkey", "not_null", "critical"),
+    Rule("returnflag_valid", "l_returnflag", "accepted_values", "error", {"values": ["A", "N", "R"]}),
+    Rule("linestatus_valid", "l_linestatus", "accepted_values", "error", {"values": ["O", "F"]}),
+    Rule("quantity_range", "l_quantity", "range", "warning", {"min": 1, "max": 45}),
+    Rule("discount_range", "l_discount", "range", "warning", {"min": 0, "max": 0.08}),
+    Rule("tax_max", "l_tax", "range", "warning", {"max": 0.06}),
+    Rule("shipdate_not_future", "l_shipdate", "not_future_date", "error"),
+    Rule("linenumber_range", "l_linenumber", "range", "error", {"min": 1, "max": 6}),
+]
+
+
+def dq_lineitem_rules(spark, sf):
+    """Eight rules over the whole lineitem table, all counted in one aggregation."""
+    a = check(table(spark, sf, "lineitem"), LINEITEM_RULES, as_of=AS_OF)
+    return _metric_cols(measure(a, LINEITEM_RULES, dataset="lineitem", run_id="r1", run_ts=RUN_TS, samples=False))
+
+
 EVENT_RULES = [
     Rule("user_not_null", "user_id", "not_null", "critical"),
     Rule("event_type_valid", "event_type", "accepted_values", "critical", {"values": ["click", "view", "purchase", "signup"]}),
@@ -730,7 +748,7 @@ ag_conditional ag_having ag_distinct an_null an_duplicate an_enum an_constant an
 an_malformed an_two_sided an_status an_truncate an_fixed_code an_negative an_bad_date an_reuse
 an_framework an_report an_detect src_batch_lookup src_comments src_delimited src_fixed_width
 src_fixed_width_truncated src_contracts bronze_silver_e2e st_ingest st_rerun st_full_refresh
-st_foreach_batch_dq q_rerun_safe
+st_foreach_batch_dq q_rerun_safe dq_lineitem_rules
 """.split()
 
 QUERIES: dict[str, Query] = {name: globals()[name] for name in NAMES}

@@ -187,7 +187,20 @@ SELECT 'events' AS dataset_name, rule_name, severity,
 FROM res GROUP BY rule_name, severity"""
 
 
+LINEITEM_FLAGS = [
+    "l_orderkey IS NULL",
+    "coalesce(l_returnflag NOT IN ('A', 'N', 'R'), false)",
+    "coalesce(l_linestatus NOT IN ('O', 'F'), false)",
+    "coalesce(l_quantity < 1 OR l_quantity > 45, false)",
+    "coalesce(l_discount < 0 OR l_discount > 0.08, false)",
+    "coalesce(l_tax > 0.06, false)",
+    f"coalesce(CAST(l_shipdate AS DATE) > DATE '{C.AS_OF}', false)",
+    "coalesce(l_linenumber < 1 OR l_linenumber > 6, false)",
+]
+
 ORACLE: dict[str, str] = {
+    "dq_lineitem_rules": f"""WITH flags AS (SELECT {", ".join(f"{e} AS f{i}" for i, e in enumerate(LINEITEM_FLAGS))} FROM lineitem)
+{metrics_union(C.LINEITEM_RULES)}""",
     "dq_not_null": f"SELECT o_orderkey FROM ({ORDERS_FEED}) WHERE o_custkey IS NULL",
     "dq_accepted_values": "SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus NOT IN ('F', 'O')",
     "dq_range": "SELECT c_custkey, c_acctbal FROM customer WHERE c_acctbal < 0 OR c_acctbal > 9000",
