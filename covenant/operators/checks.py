@@ -107,7 +107,10 @@ def check(
             flags.append((rule.rule_name, F.col(name)))
         else:
             flags.append((rule.rule_name, fail_condition(rule, as_of, dtypes.get(rule.column))))
-    failed = F.array_compact(F.array(*[F.when(f, F.lit(n)) for n, f in flags]))
+    # concat of one-element/empty arrays stays in whole-stage codegen
+    # (array_compact is a higher-order function and runs interpreted).
+    empty = F.array().cast("array<string>")
+    failed = F.concat(*[F.when(f, F.array(F.lit(n))).otherwise(empty) for n, f in flags])
     out = work.withColumn(FAILED_RULES, failed).withColumn(PASSED, F.size(F.col(FAILED_RULES)) == 0)
     return out.drop(*helpers)
 

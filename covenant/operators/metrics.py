@@ -48,14 +48,16 @@ def fail_pct(fail: Column, total: Column) -> Column:
     return F.when(total > 0, F.round(fail / total * 100, 2)).otherwise(F.lit(0.0))
 
 
-def _rule_literals(i: int, r: Rule) -> list[Column]:
-    return [
-        F.lit(i).alias("rule_idx"),
-        F.lit(r.rule_name).alias("rule_name"),
-        F.lit(r.column).alias("column"),
-        F.lit(r.rule_type).alias("rule_type"),
-        F.lit(r.severity).alias("severity"),
-    ]
+def _sql_str(s: str) -> str:
+    return "'" + str(s).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _rule_struct(i: int, r: Rule, count_col: str) -> Column:
+    """One rule's result row as a struct, built as a single expression (one JVM call)."""
+    return F.expr(
+        f"named_struct('rule_idx', {i}, 'rule_name', {_sql_str(r.rule_name)}, 'column', {_sql_str(r.column)}, "
+        f"'rule_type', {_sql_str(r.rule_type)}, 'severity', {_sql_str(r.severity)}, 'fail_count', `{count_col}`)"
+    )
 
 
 def rule_counts(annotated: DataFrame, rules: Sequence[Rule], group_cols: Sequence[str] = ()) -> DataFrame:
@@ -64,7 +66,7 @@ def rule_counts(annotated: DataFrame, rules: Sequence[Rule], group_cols: Sequenc
         F.count_if(F.array_contains(F.col(FAILED_RULES), r.rule_name)).alias(f"_f{i}") for i, r in enumerate(rules)
     ]
     grouped = annotated.groupBy(*group_cols).agg(*aggs) if group_cols else annotated.agg(*aggs)
-    rows = F.array(*[F.struct(*_rule_literals(i, r), F.col(f"_f{i}").alias("fail_count")) for i, r in enumerate(rules)])
+    rows = F.array(*[_rule_struct(i, r, f"_f{i}") for i, r in enumerate(rules)])
     return grouped.select(*group_cols, F.col("_total").alias("total_count"), F.inline(rows)).select(
         *group_cols,
         "rule_idx",
@@ -88,18 +90,15 @@ def failure_samples(
     runs as a partial ``WindowGroupLimit`` before the shuffle, so each rule's
     final task sees at most ``size`` rows per input partition.
     """
-    hits = F.filter(
-        F.array(
-            *[
-                F.struct(
-                    F.lit(i).alias("rule_idx"),
-                    F.array_contains(F.col(FAILED_RULES), r.rule_name).alias("hit"),
-                    F.coalesce(F.col(r.column).cast("string"), F.lit("None")).alias("value"),
-                )
-                for i, r in enumerate(rules)
-            ]
-        ),
-        lambda s: s["hit"],
+    empty = F.array().cast("array<struct<rule_idx:int,value:string>>")
+    hits = F.concat(
+        *[
+            F.when(
+                F.array_contains(F.col(FAILED_RULES), r.rule_name),
+                F.array(F.struct(F.lit(i).alias("rule_idx"), F.coalesce(F.col(r.column).cast("string"), F.lit("None")).alias("value"))),
+            ).otherwise(empty)
+            for i, r in enumerate(rules)
+        ]
     )
     pairs = (
         annotated.where(~F.col(PASSED))

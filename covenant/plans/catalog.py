@@ -49,8 +49,17 @@ BAD_ISO_DATES = ["2024-02-30", "not a date"]
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+_TABLES: dict[tuple[int, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    """The given table; the lazy scan is reused within a session (the inputs are read-only)."""
+    path = f"{sf}/{name}.parquet"
+    key = (id(spark), path)
+    df = _TABLES.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = _TABLES[key] = spark.read.parquet(path)
+    return df
 
 
 # ---------------------------------------------------------------------------
