@@ -89,3 +89,27 @@ def with_comments(df: DataFrame, comments: Mapping[str, str]) -> DataFrame:
 def column_comments(df: DataFrame) -> list[tuple[str, str]]:
     """(column, comment) pairs from the schema metadata (schema only, no job)."""
     return [(f.name, f.metadata.get("comment", "")) for f in df.schema.fields if f.metadata.get("comment")]
+
+
+def save_table(
+    df: DataFrame,
+    name: str,
+    path: str,
+    comment: str = "",
+    properties: Mapping[str, str] | None = None,
+    fmt: str = "parquet",
+    mode: str = "overwrite",
+) -> str:
+    """Catalog table over ``path`` with a table comment and table properties.
+
+    Column comments travel in the schema metadata (``with_comments``).
+    """
+    df.write.mode(mode).format(fmt).option("path", path).saveAsTable(name)
+    spark = df.sparkSession
+    props = dict(properties or {})
+    if comment:
+        props["comment"] = comment
+    if props:
+        items = ", ".join(f"'{k}' = '{str(v).replace(chr(39), chr(39) * 2)}'" for k, v in props.items())
+        spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ({items})")
+    return name

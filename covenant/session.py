@@ -22,6 +22,18 @@ SCALE_CONF = {
     "spark.sql.session.timeZone": "UTC",
 }
 
+# Suggested settings for a large cluster (100 TB inputs): many initial shuffle
+# partitions that AQE coalesces to ~256 MB each, scan splits of 256 MB, and a
+# broadcast limit that AQE applies to measured (not estimated) sizes.
+CLUSTER_CONF = {
+    **SCALE_CONF,
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+}
+
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "covenant") -> SparkSession:
     builder = (
@@ -46,8 +58,11 @@ def checkpoint_root(spark: SparkSession) -> str:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
         root = tempfile.mkdtemp(prefix="covenant-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
         spark.sparkContext.setCheckpointDir(root)
+        try:
+            spark.conf.set("spark.checkpoint.dir", root)
+        except Exception:  # some deployments reject setting core confs at runtime
+            pass
     elif spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")

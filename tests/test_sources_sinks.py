@@ -96,3 +96,32 @@ def test_contract_lint_finds_problems(spark):
     assert "duplicate rule_name 'a'" in problems
     assert "missing top-level field 'quality'" in problems
     assert "unreadable contract JSON or wrong field types" in problems
+
+
+def test_save_table_comment_and_properties(spark):
+    from covenant.operators.sinks import save_table
+
+    df = with_comments(spark.createDataFrame([(1, "a")], "k int, v string"), {"k": "key column"})
+    save_table(df, "covenant_demo_table", scratch_path(spark, "tbl"), comment="demo table", properties={"quality": "gold"})
+    props = {r.key: r.value for r in spark.sql("SHOW TBLPROPERTIES covenant_demo_table").collect()}
+    assert props.get("quality") == "gold"
+    assert spark.catalog.getTable("covenant_demo_table").description == "demo table"
+    assert column_comments(spark.table("covenant_demo_table")) == [("k", "key column")]
+    spark.sql("DROP TABLE covenant_demo_table")
+
+
+def test_observe_expectations_batch(spark):
+    from pyspark.sql import Observation
+
+    from covenant import Rule
+    from covenant.operators.routing import observe_expectations, quarantine
+    from covenant import check
+
+    df = spark.createDataFrame([("a", 1), (None, 2), ("zz", 3)], "c string, n int")
+    rules = [Rule("c_nn", "c", "not_null", "critical"), Rule("c_len", "c", "regex", "critical", {"pattern": "^.$"}), Rule("n_max", "n", "range", "warning", {"max": 2})]
+    obs = Observation("exp")
+    kept = observe_expectations(df, rules, obs).count()
+    assert kept == 3 and obs.get == {"c_nn": 1, "c_len": 1}
+    a = check(df, rules)
+    assert quarantine(a, rules, severities=["WARNING"]).count() == 1
+    assert quarantine(a).count() == 2
