@@ -182,6 +182,12 @@ def dq_unique(spark, sf):
     return _failing(table(spark, sf, "orders"), [ORDER_RULES[5]], "o_orderkey")
 
 
+def dq_unique_hot(spark, sf):
+    """unique on a key where each value holds about a third of all rows (three return flags)."""
+    rules = [Rule("returnflag_unique", "l_returnflag", "unique", "warning", order_by=("l_orderkey", "l_linenumber"))]
+    return _failing(table(spark, sf, "lineitem"), rules, "l_orderkey", "l_linenumber")
+
+
 def dq_unique_text(spark, sf):
     rules = [Rule("text_unique", "text", "unique", "error", order_by=("doc_id",))]
     return _failing(table(spark, sf, "documents"), rules, "doc_id")
@@ -757,7 +763,7 @@ ag_conditional ag_having ag_distinct an_null an_duplicate an_enum an_constant an
 an_malformed an_two_sided an_status an_truncate an_fixed_code an_negative an_bad_date an_reuse
 an_framework an_report an_detect src_batch_lookup src_comments src_delimited src_fixed_width
 src_fixed_width_truncated src_contracts bronze_silver_e2e st_ingest st_rerun st_full_refresh
-st_foreach_batch_dq q_rerun_safe dq_lineitem_rules
+st_foreach_batch_dq q_rerun_safe dq_lineitem_rules dq_unique_hot
 """.split()
 
 QUERIES: dict[str, Query] = {name: globals()[name] for name in NAMES}

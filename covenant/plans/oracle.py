@@ -213,6 +213,10 @@ FROM lineitem WHERE l_quantity < 5 OR l_discount > 0.08""",
     "dq_exact_length": f"""SELECT c_custkey, CAST(length({TRUNCATED}) AS INTEGER) AS line_length FROM ({CUSTOMER_LINES})
 WHERE length({TRUNCATED}) != 80""",
     "dq_unique": "SELECT o_orderkey FROM (SELECT o_orderkey, o_custkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS rn FROM orders) WHERE o_custkey IS NOT NULL AND rn > 1",
+    "dq_unique_hot": """SELECT l_orderkey, l_linenumber FROM (
+  SELECT l_orderkey, l_linenumber, l_returnflag,
+         row_number() OVER (PARTITION BY l_returnflag ORDER BY l_orderkey, l_linenumber) AS rn FROM lineitem)
+WHERE l_returnflag IS NOT NULL AND rn > 1""",
     "dq_unique_text": "SELECT doc_id FROM (SELECT doc_id, text, row_number() OVER (PARTITION BY text ORDER BY doc_id) AS rn FROM documents) WHERE text IS NOT NULL AND rn > 1",
     "sc_functions": """SELECT o_orderkey,
        concat_ws(',', CASE WHEN o_orderstatus = 'F' THEN 'final' END, CASE WHEN o_totalprice > 200000 THEN 'big' END) AS tags,
