@@ -50,16 +50,22 @@ def clean(annotated: DataFrame) -> DataFrame:
     return annotated.where(F.col(PASSED))
 
 
-def quarantine(annotated: DataFrame, rules=None, severities: Iterable[str] | None = None) -> DataFrame:
-    """Rows that failed.  By default any failing rule quarantines a row; with
-    ``severities`` only failures of rules with those severities count."""
+def quarantine_condition(rules=None, severities: Iterable[str] | None = None) -> Column:
+    """TRUE for rows to quarantine: any failure by default, or failures of rules
+    with the given severities only."""
     if severities is None:
-        return annotated.where(~F.col(PASSED))
+        return ~F.col(PASSED)
     sev = {s.upper() for s in severities}
     names = [r.rule_name for r in as_rules(rules) if r.severity in sev]
     if not names:
-        return annotated.where(F.lit(False))
-    return annotated.where(F.exists(F.col(FAILED_RULES), lambda n: n.isin(names)))
+        return F.lit(False)
+    return F.exists(F.col(FAILED_RULES), lambda n: n.isin(names))
+
+
+def quarantine(annotated: DataFrame, rules=None, severities: Iterable[str] | None = None) -> DataFrame:
+    """Rows that failed.  By default any failing rule quarantines a row; with
+    ``severities`` only failures of rules with those severities count."""
+    return annotated.where(quarantine_condition(rules, severities))
 
 
 def split(annotated: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -40,9 +40,9 @@ def write_results(results: DataFrame, path: str, fmt: str = "parquet") -> str:
     return write_run_partition(results, path, "run_id", fmt)
 
 
-def write_quarantine(annotated: DataFrame, path: str, run_id: str, fmt: str = "parquet") -> bool:
-    """Write failing rows for ``run_id``; skipped (returns False) when there are none."""
-    bad = annotated.where(~F.col(PASSED))
+def write_quarantine(annotated: DataFrame, path: str, run_id: str, fmt: str = "parquet", condition: Column | None = None) -> bool:
+    """Write failing rows (or rows matching ``condition``) for ``run_id``; skipped (returns False) when there are none."""
+    bad = annotated.where(~F.col(PASSED) if condition is None else condition)
     if bad.isEmpty():
         return False
     write_run_partition(bad.withColumn("run_id", F.lit(run_id)), path, "run_id", fmt)

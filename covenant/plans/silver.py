@@ -29,6 +29,7 @@ from ..functions.rules import Rule, as_rules
 from ..functions.transforms import apply_transforms
 from ..operators.checks import PASSED, check
 from ..operators.metrics import RESULTS_SCHEMA, enforce, measure
+from ..operators.routing import quarantine_condition
 from ..operators.sinks import write_quarantine, write_results, write_table
 
 
@@ -65,6 +66,7 @@ def run_silver(
     order_by: Sequence[str] | None = None,
     mode: str = "warn",
     fmt: str = "parquet",
+    quarantine_severities=None,
 ) -> SilverRun:
     run_id = resolve_run_id(run_id)
     run_ts = run_ts or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None).isoformat(sep=" ")
@@ -86,5 +88,9 @@ def run_silver(
     else:
         results = spark.createDataFrame([], RESULTS_SCHEMA)
         messages = []
-    quarantined = write_quarantine(stored, f"{base}/{dataset}_quarantine", run_id, fmt)
-    return SilverRun(run_id, stored.where(F.col(PASSED)), stored, results, quarantined, messages)
+    # Default: any failing rule quarantines (and the clean side is a pruned
+    # partition).  With severities, clean stays the exact complement.
+    cond = quarantine_condition(rules, quarantine_severities)
+    quarantined = write_quarantine(stored, f"{base}/{dataset}_quarantine", run_id, fmt, cond)
+    clean_rows = stored.where(F.col(PASSED)) if quarantine_severities is None else stored.where(~cond)
+    return SilverRun(run_id, clean_rows, stored, results, quarantined, messages)

@@ -76,3 +76,17 @@ def test_no_rules_pass_all(spark):
     a = check(frame(spark), [])
     assert a.where("_dq_passed").count() == 6
     assert a.schema["_dq_failed_rules"].dataType.simpleString() == "array<string>"
+
+
+def _exchanges(df, capsys):
+    df.explain()
+    return capsys.readouterr().out.count("Exchange")
+
+
+def test_metric_plan_does_not_grow_with_rules(spark, capsys):
+    df = spark.range(1000).select(F.col("id").cast("int").alias("x"))
+    few = [Rule(f"r{i}", "x", "range", params={"max": i}) for i in range(2)]
+    many = [Rule(f"r{i}", "x", "range", params={"max": i}) for i in range(40)]
+    a = _exchanges(measure(check(df, few), few, dataset="t", run_id="r", samples=False), capsys)
+    b = _exchanges(measure(check(df, many), many, dataset="t", run_id="r", samples=False), capsys)
+    assert a == b == 1

@@ -65,3 +65,13 @@ def test_empty_run_id_gets_uuid(spark):
 
     a, b = resolve_run_id(""), resolve_run_id(None)
     assert a and b and a != b and resolve_run_id("x") == "x"
+
+
+def test_silver_quarantine_severities_keeps_complement(spark):
+    contract = shipped.load("customer")
+    rows = [("1", "Customer#000000001", "3", "-5", "BUILDING"), ("2", "Customer#000000002", "3", "5", "BOATS")]
+    bronze = spark.createDataFrame(rows, "c_custkey string, c_name string, c_nationkey string, c_acctbal string, c_mktsegment string")
+    base = scratch_path(spark, "lake_sev")
+    out = run_silver(spark, bronze, contract, base, run_id="r", run_ts="2024-01-01 00:00:00", quarantine_severities=["ERROR"])
+    assert [r.c_custkey for r in out.clean.collect()] == [1]  # the WARNING-only failure stays clean
+    assert [r.c_custkey for r in spark.read.parquet(f"{base}/customer_quarantine").collect()] == [2]
