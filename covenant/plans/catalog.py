@@ -20,13 +20,13 @@ from ..functions.transforms import apply_transforms
 from ..operators import anomalies as an
 from ..operators.checks import FAILED_RULES, PASSED, check, failed, pass_all
 from ..operators.metrics import critical_failures, measure, severity_totals
-from ..operators.routing import clean, expectation_counts, quarantine
-from ..operators.sinks import fixed_width_line, with_comments, write_delimited, write_fixed_width, write_table
+from ..operators.routing import clean, expectation_counts, expectations, observe_expectations, quarantine
+from ..operators.sinks import fixed_width_line, with_comments, write_delimited, write_results, write_table
 from ..session import scratch_path
 from ..sources import contracts as ct
 from ..sources import shipped
-from ..sources.files import parse_fixed_width, read_delimited, read_fixed_width
-from ..streaming.ingest import BATCH_ID, run_available_now, run_foreach_batch
+from ..sources.files import read_delimited, read_fixed_width, read_results_history
+from ..streaming.ingest import BATCH_ID, observed, run_available_now, run_foreach_batch
 from . import marts
 from .bronze import run_bronze
 from .silver import run_silver
@@ -692,6 +692,38 @@ def bronze_silver_e2e(spark, sf):
     return out.clean.select("c_custkey", "c_acctbal", "c_mktsegment", "c_name")
 
 
+def bronze_fixed_width_e2e(spark, sf):
+    """Fixed-width contract end to end: coded + truncated lines -> text stream -> bronze -> silver clean rows."""
+    contract = shipped.load("customer_fw")
+    c = an.inject_choice(customer_cents(spark, sf), "c_mktsegment", 0.03, "c_custkey", BAD_SEGMENTS, kind="out_of_range")
+    lines = an.inject_truncate(c.select("c_custkey", fixed_width_line(CUSTOMER_LAYOUT).alias("value")), "value", 0.02, "c_custkey", 30, 70)
+    land, base = scratch_path(spark, "customer_fw_landing"), scratch_path(spark, "lake_fw")
+    lines.select("value").write.mode("overwrite").text(land)
+    run_bronze(spark, contract, f"{base}/bronze", f"{base}/_ckpt_bronze", path=land)
+    bronze = spark.read.parquet(f"{base}/bronze").drop(BATCH_ID)
+    out = run_silver(spark, bronze, contract, base, run_id="fw", run_ts=RUN_TS, as_of=AS_OF)
+    return out.clean.select("cust_key", "cust_name", "segment", "balance_dollars")
+
+
+def dq_report_history(spark, sf):
+    """Results written as run partitions, read back through the history scan, rolled up."""
+    path = scratch_path(spark, "dq_results_history")
+    write_results(events_results_by_day(spark, sf).withColumn("sample_failures", F.array().cast("array<string>")), path)
+    return marts.rule_health(read_results_history(spark, path), ordered=False).select(
+        "dataset_name", "rule_name", "severity", "latest_run_fail_pct", "total_runs_checked", "runs_with_failures", "max_fail_pct_ever", "status_flag", "severity_rank"
+    )
+
+
+def st_expectations(spark, sf):
+    """Monitor-mode expectations on a stream: counted with observe, no row dropped."""
+    target, ckpt = scratch_path(spark, "st_exp"), scratch_path(spark, "ckpt")
+    q = run_available_now(observe_expectations(st_events_stream(spark, sf), EVENT_RULES, "events_expectations"), target, ckpt)
+    counts = observed(q, "events_expectations")
+    kept = spark.read.parquet(target).count()
+    rows = [(name, int(counts.get(name, 0)), kept) for name in expectations(EVENT_RULES)]
+    return spark.createDataFrame(rows, "rule_name string, failed_records long, rows_kept long")
+
+
 def st_events_stream(spark, sf) -> DataFrame:
     schema = table(spark, sf, "events").schema
     return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
@@ -763,7 +795,8 @@ ag_conditional ag_having ag_distinct an_null an_duplicate an_enum an_constant an
 an_malformed an_two_sided an_status an_truncate an_fixed_code an_negative an_bad_date an_reuse
 an_framework an_report an_detect src_batch_lookup src_comments src_delimited src_fixed_width
 src_fixed_width_truncated src_contracts bronze_silver_e2e st_ingest st_rerun st_full_refresh
-st_foreach_batch_dq q_rerun_safe dq_lineitem_rules dq_unique_hot
+st_foreach_batch_dq q_rerun_safe dq_lineitem_rules dq_unique_hot bronze_fixed_width_e2e dq_report_history
+st_expectations
 """.split()
 
 QUERIES: dict[str, Query] = {name: globals()[name] for name in NAMES}

@@ -386,6 +386,23 @@ UNION ALL SELECT 'date_not_future', count_if(m_date), count_if(d_date), count_if
     "src_fixed_width_truncated": f"SELECT {FW_FIELDS} FROM (SELECT {TRUNCATED} AS l FROM ({CUSTOMER_LINES}))",
     "src_contracts": _contract_checks(),
     "bronze_silver_e2e": "SELECT c_custkey, c_acctbal, c_mktsegment, c_name FROM customer WHERE c_acctbal >= 0",
+    "bronze_fixed_width_e2e": f"""
+WITH c AS (SELECT c_custkey, c_name, c_nationkey, c_acctbal,
+                  CASE WHEN {pick('out_of_range', 'c_custkey', 0.03)} THEN {choose('out_of_range:value', 'c_custkey', C.BAD_SEGMENTS)} ELSE c_mktsegment END AS c_mktsegment
+           FROM customer),
+lines AS (SELECT c_custkey, {CUSTOMER_LINE} AS line FROM c),
+t AS (SELECT {TRUNCATED} AS l FROM lines),
+p AS (SELECT substring(l, 1, 12) AS cust_id, trim(substring(l, 13, 30)) AS cust_name, TRY_CAST(substring(l, 47, 12) AS BIGINT) AS balance_cents,
+             trim(substring(l, 59, 18)) AS segment, substring(l, 77, 4) AS record_type, length(l) AS line_length FROM t)
+SELECT TRY_CAST(cust_id AS BIGINT) AS cust_key, cust_name, segment, CAST(balance_cents / 100.0 AS DOUBLE) AS balance_dollars
+FROM p
+WHERE regexp_matches(cust_id, '^\\d{{12}}$') AND line_length = 80
+  AND segment IN ('AUTOMOBILE', 'BUILDING', 'FURNITURE', 'HOUSEHOLD', 'MACHINERY')
+  AND coalesce(balance_cents >= 0, true) AND record_type = 'CUST'""",
+    "dq_report_history": _report_sql(),
+    "st_expectations": f"""SELECT 'user_not_null' AS rule_name, count_if({EVENT_FLAGS[0]}) AS failed_records, (SELECT count(*) FROM events) AS rows_kept FROM events
+UNION ALL SELECT 'event_type_valid', count_if({EVENT_FLAGS[1]}), (SELECT count(*) FROM events) FROM events
+UNION ALL SELECT 'props_format', count_if({EVENT_FLAGS[2]}), (SELECT count(*) FROM events) FROM events""",
     "st_ingest": "SELECT event_id, user_id, event_type FROM events",
     "st_rerun": "SELECT count(*) AS n_rows, count(DISTINCT event_id) AS n_distinct FROM events",
     "st_full_refresh": "SELECT count(*) AS n_rows, count(DISTINCT event_id) AS n_distinct FROM events",
