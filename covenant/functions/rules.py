@@ -92,6 +92,36 @@ def _as_date(c: Column, dtype: str | None) -> Column:
     return F.to_date(c)
 
 
+_NUMERIC = ("tinyint", "smallint", "int", "bigint", "float", "double")
+
+
+def _is_numeric(dtype: str | None) -> bool:
+    return dtype is not None and (dtype in _NUMERIC or dtype.startswith("decimal"))
+
+
+def _as_number(v: Any) -> float | None:
+    if isinstance(v, bool):
+        return None
+    if isinstance(v, (int, float)):
+        return v
+    try:
+        return float(str(v))
+    except ValueError:
+        return None
+
+
+def _accepted(c: Column, values: list, dtype: str | None) -> Column:
+    """Membership that never raises: contract values are strings, columns may be numbers."""
+    if _is_numeric(dtype):
+        nums = [_as_number(v) for v in values]
+        if all(n is not None for n in nums):
+            return c.isin([int(n) if float(n).is_integer() and "." not in str(v) else n for n, v in zip(nums, values)])
+        return c.cast("string").isin([str(v) for v in values])
+    if dtype in (None, "string"):
+        return c.isin([v if isinstance(v, str) else str(v) for v in values])
+    return c.cast("string").isin([str(v) for v in values])
+
+
 def fail_condition(rule: Rule, as_of=None, dtype: str | None = None) -> Column:
     """Column that is TRUE exactly when ``rule`` fails on the row (never NULL)."""
     c = F.col(rule.column)
@@ -101,9 +131,12 @@ def fail_condition(rule: Rule, as_of=None, dtype: str | None = None) -> Column:
     elif kind == "accepted_values":
         values = list(rule.param("values", []))
         # An empty list accepts nothing: every non-null value fails.
-        cond = c.isNotNull() if not values else ~c.isin(values)
+        cond = c.isNotNull() if not values else ~_accepted(c, values, dtype)
     elif kind == "range":
         lo, hi = rule.param("min"), rule.param("max")
+        # A string column is compared as a number; a malformed value is NULL
+        # (and passes, like any NULL) instead of failing the whole job.
+        c = c.try_cast("double") if dtype == "string" else c
         cond = F.lit(False)
         if lo is not None:
             cond = cond | (c < F.lit(lo))

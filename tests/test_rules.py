@@ -104,3 +104,17 @@ def test_failed_rules_keep_rule_order(spark):
     rules = [Rule("b_rule", "v", "range", params={"max": 10}), Rule("a_rule", "k", "not_null")]
     row = check(df, rules).collect()[0]
     assert row[FAILED_RULES] == ["b_rule", "a_rule"] and row[PASSED] is False
+
+
+def test_accepted_values_strings_on_numeric_column(spark):
+    r = Rule("r", "n", "accepted_values", params={"values": ["1", "2"]})
+    assert flags(spark, [(1,), (5,), (None,)], "n int", r) == [False, True, False]
+    mixed = Rule("r", "n", "accepted_values", params={"values": ["1", "x"]})
+    assert flags(spark, [(1,), (5,)], "n int", mixed) == [False, True]
+    dec = Rule("r", "x", "accepted_values", params={"values": ["1", "1.5"]})
+    assert flags(spark, [(1.0,), (1.5,), (2.0,)], "x double", dec) == [False, False, True]
+
+
+def test_range_on_string_column_never_raises(spark):
+    r = Rule("r", "s", "range", params={"min": 0, "max": 3})
+    assert flags(spark, [("1",), ("x",), ("7",), (None,)], "s string", r) == [False, False, True, False]
