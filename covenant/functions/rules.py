@@ -150,7 +150,8 @@ def fail_condition(rule: Rule, as_of=None, dtype: str | None = None) -> Column:
         s = c if dtype in (None, "string") else c.cast("string")
         cond = F.try_to_date(s, rule.param("format", "yyyy-MM-dd")).isNull() & c.isNotNull()
     elif kind == "exact_length":
-        cond = c != F.lit(int(rule.param("length", 0)))
+        n = c.try_cast("bigint") if dtype == "string" else c
+        cond = n != F.lit(int(rule.param("length", 0)))
     else:
         # Unknown kinds never fail a row; the contract lint reports them.
         cond = F.lit(False)

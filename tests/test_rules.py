@@ -118,3 +118,8 @@ def test_accepted_values_strings_on_numeric_column(spark):
 def test_range_on_string_column_never_raises(spark):
     r = Rule("r", "s", "range", params={"min": 0, "max": 3})
     assert flags(spark, [("1",), ("x",), ("7",), (None,)], "s string", r) == [False, False, True, False]
+
+
+def test_exact_length_on_string_column_never_raises(spark):
+    r = Rule("r", "s", "exact_length", params={"length": 80})
+    assert flags(spark, [("80",), ("79",), ("abc",), (None,)], "s string", r) == [False, True, False, False]
