@@ -75,3 +75,20 @@ def test_silver_quarantine_severities_keeps_complement(spark):
     out = run_silver(spark, bronze, contract, base, run_id="r", run_ts="2024-01-01 00:00:00", quarantine_severities=["ERROR"])
     assert [r.c_custkey for r in out.clean.collect()] == [1]  # the WARNING-only failure stays clean
     assert [r.c_custkey for r in spark.read.parquet(f"{base}/customer_quarantine").collect()] == [2]
+
+
+def test_silver_job_count_does_not_grow_with_rules(spark):
+    from covenant import Rule
+
+    o = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
+    contract = {"dataset": {"name": "orders"}, "silver": {"table_name": "silver_orders", "transforms": []}}
+    sc = spark.sparkContext
+    counts = []
+    for n in (2, 20):
+        rules = [Rule(f"r{i}", "o_totalprice", "range", "warning", {"max": 1000 * (i + 1)}) for i in range(n)]
+        group = f"silver-jobs-{n}"
+        sc.setJobGroup(group, group)
+        run_silver(spark, o, contract, scratch_path(spark, "jobs"), rules=rules, run_id="r", run_ts="2024-01-01 00:00:00")
+        counts.append(len(sc.statusTracker().getJobIdsForGroup(group)))
+    sc.setJobGroup("", "")
+    assert counts[0] == counts[1]
