@@ -40,10 +40,21 @@ def write_results(results: DataFrame, path: str, fmt: str = "parquet") -> str:
     return write_run_partition(results, path, "run_id", fmt)
 
 
-def write_quarantine(annotated: DataFrame, path: str, run_id: str, fmt: str = "parquet", condition: Column | None = None) -> bool:
-    """Write failing rows (or rows matching ``condition``) for ``run_id``; skipped (returns False) when there are none."""
+def write_quarantine(
+    annotated: DataFrame,
+    path: str,
+    run_id: str,
+    fmt: str = "parquet",
+    condition: Column | None = None,
+    known_nonempty: bool | None = None,
+) -> bool:
+    """Write failing rows (or rows matching ``condition``) for ``run_id``; skipped (returns False) when there are none.
+
+    ``known_nonempty`` skips the emptiness probe when the caller already knows
+    the answer (e.g. from the per-rule fail counts).
+    """
     bad = annotated.where(~F.col(PASSED) if condition is None else condition)
-    if bad.isEmpty():
+    if known_nonempty is False or (known_nonempty is None and bad.isEmpty()):
         return False
     write_run_partition(bad.withColumn("run_id", F.lit(run_id)), path, "run_id", fmt)
     return True

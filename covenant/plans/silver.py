@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from ..functions.rules import Rule, as_rules
 from ..functions.transforms import apply_transforms
 from ..operators.checks import PASSED, check
-from ..operators.metrics import RESULTS_SCHEMA, enforce, measure
+from ..operators.metrics import GATE_COLUMNS, RESULTS_SCHEMA, gate_messages, measure
 from ..operators.routing import quarantine_condition
 from ..operators.sinks import write_quarantine, write_results, write_table
 
@@ -84,13 +84,18 @@ def run_silver(
     if rules:
         write_results(measure(stored, rules, dataset=dataset, run_id=run_id, run_ts=run_ts).drop("rule_idx"), results_path, fmt)
         results = spark.read.format(fmt).load(results_path).where(F.col("run_id") == run_id)
-        messages = enforce(results, mode)
+        # One small read of the run's results (one row per rule) answers both
+        # the gate and whether anything needs quarantining.
+        summary = results.select(*GATE_COLUMNS).collect()
+        messages = gate_messages(summary, mode)
+        sev = None if quarantine_severities is None else {x.upper() for x in quarantine_severities}
+        any_bad = any(r.fail_count > 0 and (sev is None or r.severity in sev) for r in summary)
     else:
         results = spark.createDataFrame([], RESULTS_SCHEMA)
-        messages = []
+        messages, any_bad = [], False
     # Default: any failing rule quarantines (and the clean side is a pruned
     # partition).  With severities, clean stays the exact complement.
     cond = quarantine_condition(rules, quarantine_severities)
-    quarantined = write_quarantine(stored, f"{base}/{dataset}_quarantine", run_id, fmt, cond)
+    quarantined = write_quarantine(stored, f"{base}/{dataset}_quarantine", run_id, fmt, cond, known_nonempty=any_bad)
     clean_rows = stored.where(F.col(PASSED)) if quarantine_severities is None else stored.where(~cond)
     return SilverRun(run_id, clean_rows, stored, results, quarantined, messages)
