@@ -202,7 +202,7 @@ def sc_functions(spark, sf):
         ).alias("tags"),
         F.element_at(F.array(F.lit("a"), F.lit("b"), F.lit("c")), (F.pmod(F.col("o_orderkey"), F.lit(3)) + 1).cast("int")).alias("pick_word"),
         F.floor(F.col("o_totalprice") / 1000).cast("long").alias("price_floor"),
-        F.date_add(F.to_date("o_orderdate"), 30).alias("due_date"),
+        F.date_format(F.date_add(F.to_date("o_orderdate"), 30), "yyyy-MM-dd").alias("due_date"),
         F.round(F.col("o_totalprice") / 7, 2).alias("price_round"),
         F.upper(F.trim(F.lower("o_orderpriority"))).alias("prio_upper"),
         (F.col("o_orderkey") % 7).alias("key_mod"),
@@ -339,11 +339,13 @@ def tr_cast(spark, sf):
 def tr_date(spark, sf):
     o = table(spark, sf, "orders").select("o_orderkey", F.date_format("o_orderdate", "yyyy-MM-dd").alias("odate"))
     o = an.inject_choice(o, "odate", 0.05, "o_orderkey", BAD_ISO_DATES, kind="format_error")
-    return apply_transforms(o, [{"column": "odate", "type": "date"}])
+    out = apply_transforms(o, [{"column": "odate", "type": "date"}])
+    return out.select("o_orderkey", F.date_format("odate", "yyyy-MM-dd").alias("odate"))
 
 
 def tr_date_fmt(spark, sf):
-    return apply_transforms(date_strings(spark, sf), [{"column": "raw_date", "type": "date", "format": "yyyyMMdd"}])
+    out = apply_transforms(date_strings(spark, sf), [{"column": "raw_date", "type": "date", "format": "yyyyMMdd"}])
+    return out.select("o_orderkey", F.date_format("raw_date", "yyyy-MM-dd").alias("raw_date"))
 
 
 def tr_ts_fmt(spark, sf):
@@ -506,7 +508,7 @@ def ag_distinct(spark, sf):
 
 
 def an_null(spark, sf):
-    return orders_feed(spark, sf).select("o_orderkey", "o_custkey", F.to_date("o_orderdate").alias("o_orderdate"))
+    return orders_feed(spark, sf).select("o_orderkey", "o_custkey", F.date_format("o_orderdate", "yyyy-MM-dd").alias("o_orderdate"))
 
 
 def an_duplicate(spark, sf):
@@ -527,7 +529,7 @@ def an_constant(spark, sf):
 def an_future(spark, sf):
     o = table(spark, sf, "orders").select("o_orderkey", "o_orderdate")
     o = an.inject_future_date(o, "o_orderdate", 0.02, "o_orderkey", AS_OF, 730)
-    return o.select("o_orderkey", F.to_date("o_orderdate").alias("o_orderdate"))
+    return o.select("o_orderkey", F.date_format("o_orderdate", "yyyy-MM-dd").alias("o_orderdate"))
 
 
 def an_choice_int(spark, sf):
@@ -586,7 +588,7 @@ def injected_orders(spark, sf) -> DataFrame:
 
 
 def an_framework(spark, sf):
-    return an.drop_marks(injected_orders(spark, sf)).select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", F.to_date("o_orderdate").alias("o_orderdate"), "o_orderpriority")
+    return an.drop_marks(injected_orders(spark, sf)).select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", F.date_format("o_orderdate", "yyyy-MM-dd").alias("o_orderdate"), "o_orderpriority")
 
 
 def an_report(spark, sf):

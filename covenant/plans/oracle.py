@@ -222,7 +222,7 @@ WHERE l_returnflag IS NOT NULL AND rn > 1""",
        concat_ws(',', CASE WHEN o_orderstatus = 'F' THEN 'final' END, CASE WHEN o_totalprice > 200000 THEN 'big' END) AS tags,
        (['a', 'b', 'c'])[(o_orderkey % 3) + 1] AS pick_word,
        CAST(floor(o_totalprice / 1000) AS BIGINT) AS price_floor,
-       CAST(o_orderdate AS DATE) + 30 AS due_date,
+       strftime(CAST(o_orderdate AS DATE) + 30, '%Y-%m-%d') AS due_date,
        round(o_totalprice / 7, 2) AS price_round,
        upper(trim(lower(o_orderpriority))) AS prio_upper,
        o_orderkey % 7 AS key_mod,
@@ -261,12 +261,12 @@ FROM labels WHERE quality NOT IN (1) OR toxic > 0""",
               ELSE CAST(o_totalprice AS VARCHAR) END AS price,
          CAST(o_custkey AS VARCHAR) AS cust
   FROM orders)""",
-    "tr_date": f"""SELECT o_orderkey, TRY_CAST(odate AS DATE) AS odate FROM (
+    "tr_date": f"""SELECT o_orderkey, strftime(TRY_CAST(odate AS DATE), '%Y-%m-%d') AS odate FROM (
   SELECT o_orderkey,
          CASE WHEN {pick('format_error', 'o_orderkey', 0.05)} THEN {choose('format_error:value', 'o_orderkey', C.BAD_ISO_DATES)}
               ELSE strftime(o_orderdate, '%Y-%m-%d') END AS odate
   FROM orders)""",
-    "tr_date_fmt": f"SELECT o_orderkey, CAST(try_strptime(raw_date, '%Y%m%d') AS DATE) AS raw_date FROM ({DATE_STRINGS})",
+    "tr_date_fmt": f"SELECT o_orderkey, strftime(CAST(try_strptime(raw_date, '%Y%m%d') AS DATE), '%Y-%m-%d') AS raw_date FROM ({DATE_STRINGS})",
     "tr_ts_fmt": f"""SELECT event_id, strftime(try_strptime(ts_raw, '%d/%m/%Y %H:%M:%S'), '%Y-%m-%d %H:%M:%S') AS ts_parsed FROM (
   SELECT event_id,
          CASE WHEN {pick('format_error', 'event_id', 0.03)} THEN {choose('format_error:value', 'event_id', ['31/02/2024 10:00:00', '2024-01-01'])}
@@ -324,7 +324,7 @@ FROM lineitem GROUP BY l_returnflag, l_linestatus""",
     "ag_having": "SELECT l_orderkey, count(*) AS n FROM lineitem WHERE l_orderkey IS NOT NULL GROUP BY l_orderkey HAVING count(*) > 5",
     "ag_distinct": "SELECT DISTINCT l_suppkey, l_returnflag FROM lineitem",
     "an_null": f"""SELECT o_orderkey, CASE WHEN {pick('null', 'o_orderkey', 0.03)} THEN NULL ELSE o_custkey END AS o_custkey,
-       CASE WHEN {pick('null_date', 'o_orderkey', 0.02)} THEN NULL ELSE CAST(o_orderdate AS DATE) END AS o_orderdate FROM orders""",
+       CASE WHEN {pick('null_date', 'o_orderkey', 0.02)} THEN NULL ELSE strftime(o_orderdate, '%Y-%m-%d') END AS o_orderdate FROM orders""",
     "an_duplicate": f"""
 WITH c AS (SELECT c_custkey, c_name AS dup_key, {pick('duplicate', 'c_custkey', 0.02)} AS p FROM customer),
 d AS ({donors('(SELECT dup_key FROM c WHERE NOT p)', 'dup_key', 50)})
@@ -335,9 +335,9 @@ FROM c""",
     "an_enum": f"""SELECT o_orderkey, CASE WHEN {pick('invalid_enum', 'o_orderkey', 0.04)} THEN {choose('invalid_enum:value', 'o_orderkey', C.BAD_STATUS)}
        ELSE o_orderstatus END AS o_orderstatus FROM orders""",
     "an_constant": f"SELECT c_custkey, CASE WHEN {pick('out_of_range', 'c_custkey', 0.03)} THEN -999999.0 ELSE c_acctbal END AS c_acctbal FROM customer",
-    "an_future": f"""SELECT o_orderkey, CASE WHEN {pick('future_date', 'o_orderkey', 0.02)}
+    "an_future": f"""SELECT o_orderkey, strftime(CASE WHEN {pick('future_date', 'o_orderkey', 0.02)}
        THEN DATE '{C.AS_OF}' + CAST({choice('future_date:days', 'o_orderkey', 730)} + 1 AS INTEGER)
-       ELSE CAST(o_orderdate AS DATE) END AS o_orderdate FROM orders""",
+       ELSE CAST(o_orderdate AS DATE) END, '%Y-%m-%d') AS o_orderdate FROM orders""",
     "an_choice_int": f"""SELECT p_partkey, CASE WHEN {pick('format_error', 'p_partkey', 0.02)} THEN {choose('format_error:value', 'p_partkey', C.BAD_SIZES)}
        ELSE p_size END AS p_size FROM part""",
     "an_malformed": f"""SELECT c_custkey, CASE WHEN {pick('format_error', 'c_custkey', 0.05)} THEN {choose('format_error:value', 'c_custkey', C.BAD_NAMES)}
@@ -360,7 +360,7 @@ WITH d AS ({donors('customer', 'c_custkey', 500)})
 SELECT event_id, CASE WHEN {pick('reuse', 'event_id', 0.6)} THEN (SELECT v FROM d WHERE d.i = {choice('reuse:slot', 'e.event_id', 500)} % d.m)
        ELSE user_id END AS user_id
 FROM events e""",
-    "an_framework": f"SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM ({INJECTED_ORDERS})",
+    "an_framework": f"SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate, o_orderpriority FROM ({INJECTED_ORDERS})",
     "an_report": f"""WITH x AS ({INJECTED_ORDERS})
 SELECT 'total' AS anomaly, count(*) AS rows FROM x
 UNION ALL SELECT 'clean', count_if(NOT (m_cust OR m_status OR m_price OR m_date)) FROM x
