@@ -19,7 +19,7 @@ from ..functions.scalars import guarded_ratio, days_since, key_prefix, risk_band
 from ..functions.transforms import apply_transforms
 from ..operators import anomalies as an
 from ..operators.checks import FAILED_RULES, PASSED, check, failed, pass_all
-from ..operators.metrics import critical_failures, measure, severity_totals
+from ..operators.metrics import critical_failures, measure, severity_totals, summary_lines
 from ..operators.routing import clean, expectation_counts, expectations, observe_expectations, quarantine
 from ..operators.sinks import fixed_width_line, with_comments, write_delimited, write_results, write_table
 from ..session import scratch_path
@@ -242,6 +242,11 @@ def dq_severity_totals(spark, sf):
     return severity_totals(r)
 
 
+def dq_summary_lines(spark, sf):
+    r = measure(orders_checked(spark, sf), ORDER_RULES, dataset="orders", run_id="r1", run_ts=RUN_TS, samples=False)
+    return summary_lines(r).select("rule_name", "severity", "fail_count", "status")
+
+
 def dq_critical_gate(spark, sf):
     r = measure(orders_checked(spark, sf), ORDER_RULES, dataset="orders", run_id="r1", run_ts=RUN_TS, samples=False)
     return critical_failures(r).select("rule_name", "fail_count")
@@ -798,7 +803,7 @@ an_malformed an_two_sided an_status an_truncate an_fixed_code an_negative an_bad
 an_framework an_report an_detect src_batch_lookup src_comments src_delimited src_fixed_width
 src_fixed_width_truncated src_contracts bronze_silver_e2e st_ingest st_rerun st_full_refresh
 st_foreach_batch_dq q_rerun_safe dq_lineitem_rules dq_unique_hot bronze_fixed_width_e2e dq_report_history
-st_expectations
+st_expectations dq_summary_lines
 """.split()
 
 QUERIES: dict[str, Query] = {name: globals()[name] for name in NAMES}

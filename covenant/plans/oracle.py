@@ -242,6 +242,9 @@ m AS ({metrics_union(C.ORDER_RULES)})
 SELECT s.severity, CAST(coalesce(sum(m.fail_count) FILTER (WHERE m.fail_count > 0), 0) AS BIGINT) AS fail_total
 FROM (VALUES ('CRITICAL'), ('ERROR'), ('WARNING')) s(severity) LEFT JOIN m ON m.severity = s.severity
 GROUP BY s.severity""",
+    "dq_summary_lines": f"""{ORDERS_WITH},
+m AS ({metrics_union(C.ORDER_RULES)})
+SELECT rule_name, severity, fail_count, CASE WHEN fail_count > 0 THEN 'FAIL' ELSE 'PASS' END AS status FROM m""",
     "dq_critical_gate": f"""{ORDERS_WITH},
 m AS ({metrics_union(C.ORDER_RULES)})
 SELECT rule_name, fail_count FROM m WHERE severity = 'CRITICAL' AND fail_count > 0""",
