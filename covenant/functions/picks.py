@@ -5,7 +5,7 @@ the data is partitioned or on which executor recomputes a lost task, and a
 plain SQL engine can reproduce it:
 
 * pick at rate r  <=>  first 4 hex digits of md5("kind:key") < hex(floor(r * 65536))
-* choice in 0..n-1 <=>  int(next 4 hex digits) mod n
+* choice in 0..n-1 <=>  int(next 8 hex digits) mod n
 """
 
 from __future__ import annotations
@@ -32,8 +32,8 @@ def pick(kind: str, key: Column, rate: float) -> Column:
 
 
 def choice(kind: str, key: Column, n: int) -> Column:
-    """An int in 0..n-1 derived from the key."""
-    return F.pmod(F.conv(F.substring(digest(kind, key), 5, 4), 16, 10).cast("int"), F.lit(n))
+    """An int in 0..n-1 derived from the key (32 bits of the digest, so large n stay uniform)."""
+    return F.pmod(F.conv(F.substring(digest(kind, key), 5, 8), 16, 10).cast("bigint"), F.lit(n)).cast("int")
 
 
 def choose(kind: str, key: Column, values: list) -> Column:

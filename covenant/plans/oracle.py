@@ -20,7 +20,7 @@ def pick(kind: str, key: str, rate: float) -> str:
 
 
 def choice(kind: str, key: str, n: int) -> str:
-    return f"((('0x' || substr(md5('{kind}:' || CAST({key} AS VARCHAR)), 5, 4))::INTEGER) % {n})"
+    return f"CAST((('0x' || substr(md5('{kind}:' || CAST({key} AS VARCHAR)), 5, 8))::BIGINT) % {n} AS INTEGER)"
 
 
 def choose(kind: str, key: str, values: list) -> str:
