@@ -90,3 +90,16 @@ def test_metric_plan_does_not_grow_with_rules(spark, capsys):
     a = _exchanges(measure(check(df, few), few, dataset="t", run_id="r", samples=False), capsys)
     b = _exchanges(measure(check(df, many), many, dataset="t", run_id="r", samples=False), capsys)
     assert a == b == 1
+
+
+def test_results_same_for_1_and_8_partitions(spark):
+    from covenant.plans import catalog
+
+    o = catalog.orders_feed(spark, "/root/testdata/sf0.001")
+
+    def run(n):
+        a = check(o.repartition(n), catalog.ORDER_RULES, as_of=catalog.AS_OF)
+        r = measure(a, catalog.ORDER_RULES, dataset="orders", run_id="r", run_ts="2024-01-01 00:00:00")
+        return sorted((x.rule_name, x.fail_count, tuple(x.sample_failures)) for x in r.collect())
+
+    assert run(1) == run(8)
