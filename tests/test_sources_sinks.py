@@ -4,7 +4,7 @@ import json
 
 from pyspark.sql import functions as F
 
-from covenant.operators.sinks import column_comments, fixed_width_line, with_comments, write_delimited, write_quarantine, write_results
+from covenant.operators.sinks import column_comments, fixed_width_line, with_comments, write_quarantine, write_results
 from covenant.session import scratch_path
 from covenant.sources import contracts as ct
 from covenant.sources import shipped

@@ -1,13 +1,13 @@
 """Streams (each file once, rerun, full refresh), bronze expectations, silver end to end."""
 
-from pyspark.sql import functions as F
+
 
 from covenant.plans.bronze import run_bronze
 from covenant.plans.silver import run_silver
 from covenant.session import scratch_path
 from covenant.sources import shipped
 from covenant.sources.files import read_delimited
-from covenant.streaming.ingest import BATCH_ID, run_available_now
+from covenant.streaming.ingest import run_available_now
 
 COLS = [{"name": "k"}, {"name": "v"}]
 
