@@ -24,20 +24,23 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", fmt: str = "p
     return path
 
 
-def write_run_partition(df: DataFrame, path: str, run_col: str = "run_id", fmt: str = "parquet") -> str:
-    """Replace only the run partitions present in ``df`` (dynamic partition overwrite)."""
+def write_run_partition(df: DataFrame, path: str, run_col: "str | Sequence[str]" = "run_id", fmt: str = "parquet") -> str:
+    """Replace only the partitions present in ``df`` (dynamic partition overwrite)."""
+    cols = [run_col] if isinstance(run_col, str) else list(run_col)
     (
         df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .format(fmt)
-        .partitionBy(run_col)
+        .partitionBy(*cols)
         .save(path)
     )
     return path
 
 
 def write_results(results: DataFrame, path: str, fmt: str = "parquet") -> str:
-    return write_run_partition(results, path, "run_id", fmt)
+    """Results of one run and dataset replace exactly that (run_id, dataset_name) partition,
+    so datasets refined under one run id never overwrite each other."""
+    return write_run_partition(results, path, ["run_id", "dataset_name"], fmt)
 
 
 def write_quarantine(

@@ -29,6 +29,7 @@ from ..sources.files import read_delimited, read_fixed_width, read_results_histo
 from ..streaming.ingest import BATCH_ID, observed, run_available_now, run_foreach_batch
 from . import marts
 from .bronze import run_bronze
+from .refine import refine_all
 from .silver import run_silver
 
 AS_OF = "2000-01-01"
@@ -714,6 +715,18 @@ def bronze_fixed_width_e2e(spark, sf):
     return out.clean.select("cust_key", "cust_name", "segment", "balance_dollars")
 
 
+def refine_contracts_e2e(spark, sf):
+    """A folder of contracts (delimited + fixed-width) refined under one run id; per-rule results."""
+    root, base, cpath = scratch_path(spark, "landing"), scratch_path(spark, "lake_all"), scratch_path(spark, "contracts")
+    land_customer_csv(spark, sf, f"{root}/customer")
+    c = an.inject_choice(customer_cents(spark, sf), "c_mktsegment", 0.03, "c_custkey", BAD_SEGMENTS, kind="out_of_range")
+    lines = an.inject_truncate(c.select("c_custkey", fixed_width_line(CUSTOMER_LAYOUT).alias("value")), "value", 0.02, "c_custkey", 30, 70)
+    lines.select("value").write.mode("overwrite").text(f"{root}/customer_fw")
+    ct.write_contracts(spark, {"customer": shipped.load("customer"), "customer_fw": shipped.load("customer_fw")}, cpath)
+    res = refine_all(spark, cpath, root, base, run_id="all-1", run_ts=RUN_TS, as_of=AS_OF, glob=ct.WRITTEN_GLOB, recursive=True)
+    return res.select("dataset_name", "rule_name", "rule_type", "severity", "fail_count")
+
+
 def dq_report_history(spark, sf):
     """Results written as run partitions, read back through the history scan, rolled up."""
     path = scratch_path(spark, "dq_results_history")
@@ -805,7 +818,7 @@ an_malformed an_two_sided an_status an_truncate an_fixed_code an_negative an_bad
 an_framework an_report an_detect src_batch_lookup src_comments src_delimited src_fixed_width
 src_fixed_width_truncated src_contracts bronze_silver_e2e st_ingest st_rerun st_full_refresh
 st_foreach_batch_dq q_rerun_safe dq_lineitem_rules dq_unique_hot bronze_fixed_width_e2e dq_report_history
-st_expectations dq_summary_lines
+st_expectations dq_summary_lines refine_contracts_e2e
 """.split()
 
 QUERIES: dict[str, Query] = {name: globals()[name] for name in NAMES}

@@ -403,6 +403,30 @@ WHERE regexp_matches(cust_id, '^\\d{{12}}$') AND line_length = 80
   AND segment IN ('AUTOMOBILE', 'BUILDING', 'FURNITURE', 'HOUSEHOLD', 'MACHINERY')
   AND coalesce(balance_cents >= 0, true) AND record_type = 'CUST'""",
     "dq_report_history": _report_sql(),
+    "refine_contracts_e2e": f"""
+WITH c AS (SELECT c_custkey, c_name, c_nationkey, c_acctbal,
+                  CASE WHEN {pick('out_of_range', 'c_custkey', 0.03)} THEN {choose('out_of_range:value', 'c_custkey', C.BAD_SEGMENTS)} ELSE c_mktsegment END AS c_mktsegment
+           FROM customer),
+lines AS (SELECT c_custkey, {CUSTOMER_LINE} AS line FROM c),
+t AS (SELECT {TRUNCATED} AS l FROM lines),
+p AS (SELECT substring(l, 1, 12) AS cust_id, TRY_CAST(substring(l, 47, 12) AS BIGINT) AS balance_cents,
+             trim(substring(l, 59, 18)) AS segment, substring(l, 77, 4) AS record_type, length(l) AS line_length FROM t),
+fw AS (SELECT cust_id IS NULL AS f0, coalesce(NOT regexp_matches(cust_id, '^\\d{{12}}$'), false) AS f1,
+              coalesce(line_length != 80, false) AS f2,
+              coalesce(segment NOT IN ('AUTOMOBILE', 'BUILDING', 'FURNITURE', 'HOUSEHOLD', 'MACHINERY'), false) AS f3,
+              coalesce(balance_cents < 0, false) AS f4, coalesce(record_type NOT IN ('CUST'), false) AS f5 FROM p)
+SELECT 'customer' AS dataset_name, 'custkey_not_null' AS rule_name, 'not_null' AS rule_type, 'CRITICAL' AS severity, count_if(c_custkey IS NULL) AS fail_count FROM customer
+UNION ALL SELECT 'customer', 'custkey_unique', 'unique', 'CRITICAL', count(*) - count(DISTINCT c_custkey) FROM customer
+UNION ALL SELECT 'customer', 'name_format', 'regex', 'CRITICAL', count_if(NOT regexp_matches(trim(c_name), '^Customer#\\d{{9}}$')) FROM customer
+UNION ALL SELECT 'customer', 'segment_valid', 'accepted_values', 'ERROR',
+                 count_if(upper(trim(c_mktsegment)) NOT IN ('AUTOMOBILE', 'BUILDING', 'FURNITURE', 'HOUSEHOLD', 'MACHINERY')) FROM customer
+UNION ALL SELECT 'customer', 'acctbal_min', 'range', 'WARNING', count_if(c_acctbal < 0) FROM customer
+UNION ALL SELECT 'customer_fw', 'cust_id_not_null', 'not_null', 'CRITICAL', count_if(f0) FROM fw
+UNION ALL SELECT 'customer_fw', 'cust_id_format', 'regex', 'CRITICAL', count_if(f1) FROM fw
+UNION ALL SELECT 'customer_fw', 'line_length_exact', 'exact_length', 'CRITICAL', count_if(f2) FROM fw
+UNION ALL SELECT 'customer_fw', 'segment_valid', 'accepted_values', 'ERROR', count_if(f3) FROM fw
+UNION ALL SELECT 'customer_fw', 'balance_min', 'range', 'WARNING', count_if(f4) FROM fw
+UNION ALL SELECT 'customer_fw', 'record_type_valid', 'accepted_values', 'CRITICAL', count_if(f5) FROM fw""",
     "st_expectations": f"""SELECT 'user_not_null' AS rule_name, count_if({EVENT_FLAGS[0]}) AS failed_records, (SELECT count(*) FROM events) AS rows_kept FROM events
 UNION ALL SELECT 'event_type_valid', count_if({EVENT_FLAGS[1]}), (SELECT count(*) FROM events) FROM events
 UNION ALL SELECT 'props_format', count_if({EVENT_FLAGS[2]}), (SELECT count(*) FROM events) FROM events""",

@@ -31,6 +31,7 @@ from ..operators.checks import PASSED, check
 from ..operators.metrics import GATE_COLUMNS, RESULTS_SCHEMA, gate_messages, measure
 from ..operators.routing import quarantine_condition
 from ..operators.sinks import write_quarantine, write_results, write_table
+from ..sources.files import read_results_history
 
 
 @dataclass
@@ -83,7 +84,7 @@ def run_silver(
     results_path = f"{base}/dq_results"
     if rules:
         write_results(measure(stored, rules, dataset=dataset, run_id=run_id, run_ts=run_ts).drop("rule_idx"), results_path, fmt)
-        results = spark.read.format(fmt).load(results_path).where(F.col("run_id") == run_id)
+        results = read_results_history(spark, results_path, fmt).where((F.col("run_id") == run_id) & (F.col("dataset_name") == dataset))
         # One small read of the run's results (one row per rule) answers both
         # the gate and whether anything needs quarantining.
         summary = results.select(*GATE_COLUMNS).collect()

@@ -138,10 +138,15 @@ def nullable(schema: T.StructType) -> T.StructType:
 
 
 def read_results_history(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """The quality-results table, or an empty typed frame when it does not exist yet."""
+    """The quality-results table, or an empty typed frame when it does not exist yet.
+
+    Read with the declared schema, so partition values (run ids such as
+    ``2024-06-30``) stay strings instead of being inferred as dates or numbers.
+    """
+    schema = nullable(RESULTS_SCHEMA)
     try:
-        df = spark.read.format(fmt).load(path)
-        df.schema  # resolves the path now
-        return df
+        df = spark.read.schema(schema).format(fmt).load(path)
+        df.columns  # resolves the path now
+        return df.select(*schema.fieldNames())
     except AnalysisException:
-        return spark.createDataFrame([], nullable(RESULTS_SCHEMA))
+        return spark.createDataFrame([], schema)

@@ -51,7 +51,7 @@ def test_results_history_missing_is_empty(spark):
 
 def test_rerun_same_run_id_replaces_partition(spark):
     path = scratch_path(spark, "results")
-    res = spark.createDataFrame([("r1", "a", 1), ("r1", "b", 2)], "run_id string, rule_name string, fail_count int")
+    res = spark.createDataFrame([("r1", "d", "a", 1), ("r1", "d", "b", 2)], "run_id string, dataset_name string, rule_name string, fail_count int")
     write_results(res, path)
     write_results(res, path)
     write_results(res.withColumn("run_id", F.lit("r2")), path)
