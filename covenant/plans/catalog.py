@@ -191,6 +191,12 @@ def dq_unique_hot(spark, sf):
     return _failing(table(spark, sf, "lineitem"), rules, "l_orderkey", "l_linenumber")
 
 
+def dq_unique_default(spark, sf):
+    """unique without order_by: every column, in schema order, breaks ties (struct path)."""
+    rules = [Rule("segment_unique", "c_mktsegment", "unique", "warning")]
+    return _failing(table(spark, sf, "customer"), rules, "c_custkey")
+
+
 def dq_unique_text(spark, sf):
     rules = [Rule("text_unique", "text", "unique", "error", order_by=("doc_id",))]
     return _failing(table(spark, sf, "documents"), rules, "doc_id")
@@ -818,7 +824,7 @@ an_malformed an_two_sided an_status an_truncate an_fixed_code an_negative an_bad
 an_framework an_report an_detect src_batch_lookup src_comments src_delimited src_fixed_width
 src_fixed_width_truncated src_contracts bronze_silver_e2e st_ingest st_rerun st_full_refresh
 st_foreach_batch_dq q_rerun_safe dq_lineitem_rules dq_unique_hot bronze_fixed_width_e2e dq_report_history
-st_expectations dq_summary_lines refine_contracts_e2e
+st_expectations dq_summary_lines refine_contracts_e2e dq_unique_default
 """.split()
 
 QUERIES: dict[str, Query] = {name: globals()[name] for name in NAMES}

@@ -217,6 +217,11 @@ WHERE length({TRUNCATED}) != 80""",
   SELECT l_orderkey, l_linenumber, l_returnflag,
          row_number() OVER (PARTITION BY l_returnflag ORDER BY l_orderkey, l_linenumber) AS rn FROM lineitem)
 WHERE l_returnflag IS NOT NULL AND rn > 1""",
+    "dq_unique_default": """SELECT c_custkey FROM (
+  SELECT c_custkey, c_mktsegment,
+         row_number() OVER (PARTITION BY c_mktsegment ORDER BY c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment) AS rn
+  FROM customer)
+WHERE c_mktsegment IS NOT NULL AND rn > 1""",
     "dq_unique_text": "SELECT doc_id FROM (SELECT doc_id, text, row_number() OVER (PARTITION BY text ORDER BY doc_id) AS rn FROM documents) WHERE text IS NOT NULL AND rn > 1",
     "sc_functions": """SELECT o_orderkey,
        concat_ws(',', CASE WHEN o_orderstatus = 'F' THEN 'final' END, CASE WHEN o_totalprice > 200000 THEN 'big' END) AS tags,
