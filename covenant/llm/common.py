@@ -5,6 +5,7 @@ from __future__ import annotations
 from hashlib import blake2b
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -75,3 +76,46 @@ def local_labels(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         if (label == before).all():
             break
     return label
+
+
+def grouped(batches, keys: list[str]):
+    """Arrow tables of one key each, from batches sorted by key; a table holds no more than its key's rows."""
+    held, now = [], None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        k = np.zeros(batch.num_rows - 1, bool)
+        for c in keys:
+            x = batch.column(c).to_numpy(zero_copy_only=False)
+            k |= x[1:] != x[:-1]
+        cuts = [0, *(np.flatnonzero(k) + 1), batch.num_rows]
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            key = tuple(batch.column(c)[a].as_py() for c in keys)
+            if held and key != now:
+                yield pa.Table.from_batches(held)
+                held = []
+            now = key
+            held.append(batch.slice(a, b - a))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def whole_groups(batches, key: str):
+    """Arrow tables of many whole keys each, from batches sorted by key; only the last key of a batch is held over."""
+    held = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        x = batch.column(key).to_numpy(zero_copy_only=False)
+        cut = int(np.searchsorted(x, x[-1]))
+        if cut or held and held[-1].column(key)[-1].as_py() != x[0]:
+            yield pa.Table.from_batches([*held, batch.slice(0, cut)])
+            held = []
+        held.append(batch.slice(cut))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def texts_of(column: pa.Array) -> list[bytes]:
+    """A text column's values as UTF-8, null as empty."""
+    return [(x if isinstance(x, bytes) else x.encode()) if x is not None else b"" for x in column.to_pylist()]
