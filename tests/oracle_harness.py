@@ -107,7 +107,7 @@ if __name__ == "__main__":
 
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     names = sys.argv[2:] or None
-    spark = local_session()
+    spark = local_session(int(os.environ.get("CORES", 8)))
     res = compare(spark, sf, names, verbose="types" if os.environ.get("TYPES") else True)
     bad = {k: v for k, v in res.items() if v[0] != "OK"}
     print(f"\n{len(res) - len(bad)}/{len(res)} OK; not OK: {sorted(bad)}")
