@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import embedding_dedup, exact_search, mixing, substring_dedup, url_filters
+from . import embedding_dedup, exact_search, jaccard_join, mixing, substring_dedup, url_filters
 
 QUERIES = {
     "op4_pivot_search": exact_search.op4,
+    "op5_prefix_tree_join": jaccard_join.op5,
     "op6_url_filters": url_filters.op6,
     "op8_recompression_dedup": substring_dedup.op8,
     "op9_embedding_near_dedup": embedding_dedup.op9,
@@ -14,6 +15,7 @@ QUERIES = {
 
 ORACLE = {
     "op4_pivot_search": exact_search.SQL,
+    "op5_prefix_tree_join": jaccard_join.SQL,
     "op6_url_filters": url_filters.SQL,
     "op8_recompression_dedup": substring_dedup.SQL,
     "op9_embedding_near_dedup": embedding_dedup.SQL,
