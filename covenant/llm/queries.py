@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import embedding_dedup, exact_search, jaccard_join, mixing, substring_dedup, url_filters
+from . import embedding_dedup, exact_search, jaccard_join, language_id, mixing, substring_dedup, url_filters
 
 QUERIES = {
+    "op1_language_id": language_id.op1,
     "op4_pivot_search": exact_search.op4,
     "op5_prefix_tree_join": jaccard_join.op5,
     "op6_url_filters": url_filters.op6,
