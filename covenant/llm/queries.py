@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from . import embedding_dedup, exact_search, jaccard_join, language_id, mixing, substring_dedup, url_filters
+from . import embedding_dedup, exact_search, jaccard_join, language_id, mixing, packing, substring_dedup, token_counts, url_filters
 
 QUERIES = {
     "op1_language_id": language_id.op1,
+    "op2_best_fit_packing": packing.op2,
+    "op3_separator_scan": token_counts.op3,
     "op4_pivot_search": exact_search.op4,
     "op5_prefix_tree_join": jaccard_join.op5,
     "op6_url_filters": url_filters.op6,
