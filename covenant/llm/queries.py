@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import embedding_dedup, exact_search, jaccard_join, language_id, mixing, packing, substring_dedup, token_counts, url_filters
+from . import embedding_dedup, exact_search, jaccard_join, language_id, lm_scoring, mixing, packing, substring_dedup, token_counts, url_filters
 
 QUERIES = {
     "op1_language_id": language_id.op1,
@@ -11,6 +11,7 @@ QUERIES = {
     "op4_pivot_search": exact_search.op4,
     "op5_prefix_tree_join": jaccard_join.op5,
     "op6_url_filters": url_filters.op6,
+    "op7_backoff_scores": lm_scoring.op7,
     "op8_recompression_dedup": substring_dedup.op8,
     "op9_embedding_near_dedup": embedding_dedup.op9,
     "op10_source_mixing": mixing.op10,
@@ -20,6 +21,7 @@ ORACLE = {
     "op4_pivot_search": exact_search.SQL,
     "op5_prefix_tree_join": jaccard_join.SQL,
     "op6_url_filters": url_filters.SQL,
+    "op7_backoff_scores": lm_scoring.SQL,
     "op8_recompression_dedup": substring_dedup.SQL,
     "op9_embedding_near_dedup": embedding_dedup.SQL,
     "op10_source_mixing": mixing.SQL,
