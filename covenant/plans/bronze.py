@@ -3,8 +3,8 @@
 The bronze frame is the source read (all-string landing or fixed-width parse)
 with lineage columns, cast to the declared column types (``try_cast``, so a
 bad value becomes NULL) and carrying the column comments as metadata.  The
-CRITICAL rules of the kinds bronze can express are counted with ``observe``;
-no row is dropped.
+CRITICAL rules of the kinds bronze can express are counted per batch; no row is
+dropped.
 """
 
 from __future__ import annotations
@@ -15,9 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.rules import as_rules
-from ..operators.routing import observe_expectations
+from ..operators.routing import expectations
 from ..sources.files import INGESTION_TS, SOURCE_FILE, read_source, table_schema
-from ..streaming.ingest import observed, run_available_now
+from ..streaming.ingest import counted, read_ingested, run_available_now
 
 
 def declared(df: DataFrame, contract: Mapping[str, Any]) -> DataFrame:
@@ -33,14 +33,8 @@ def declared(df: DataFrame, contract: Mapping[str, Any]) -> DataFrame:
     return df.select(*cols, *extra)
 
 
-def expectation_name(contract: Mapping[str, Any]) -> str:
-    return f"{contract['dataset']['name']}_expectations"
-
-
 def bronze_frame(spark: SparkSession, contract: Mapping[str, Any], path: str | None = None, stream: bool = True) -> DataFrame:
-    df = declared(read_source(spark, contract, path, stream=stream), contract)
-    rules = as_rules(contract.get("quality") or [])
-    return observe_expectations(df, rules, expectation_name(contract)) if stream else df
+    return declared(read_source(spark, contract, path, stream=stream), contract)
 
 
 def run_bronze(
@@ -51,6 +45,15 @@ def run_bronze(
     path: str | None = None,
     full_refresh: bool = False,
 ) -> Mapping[str, int]:
-    """Ingest new files of the contract's source into ``target``; returns the expectation counters."""
-    q = run_available_now(bronze_frame(spark, contract, path, stream=True), target, checkpoint, full_refresh=full_refresh)
-    return observed(q, expectation_name(contract))
+    """Ingest new files of the contract's source into ``target``; returns the failures per expectation.
+
+    The counts are of every batch that this checkpoint's stream has written.
+    """
+    counters = expectations(contract.get("quality") or [])
+    run_available_now(bronze_frame(spark, contract, path), target, checkpoint, full_refresh=full_refresh, counters=counters)
+    return counted(spark, target, checkpoint)
+
+
+def read_bronze(spark: SparkSession, contract: Mapping[str, Any], target: str, path: str | None = None) -> DataFrame:
+    """The bronze table of a contract; an empty feed gives an empty frame of the contract's schema."""
+    return read_ingested(spark, target, bronze_frame(spark, contract, path).schema)

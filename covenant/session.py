@@ -24,7 +24,8 @@ SCALE_CONF = {
 
 # Suggested settings for a large cluster (100 TB inputs): many initial shuffle
 # partitions that AQE coalesces to ~256 MB each, scan splits of 256 MB, and a
-# broadcast limit that AQE applies to measured (not estimated) sizes.
+# broadcast limit that AQE applies to measured (not estimated) sizes.  Nothing
+# applies them here; a cluster's session is made by its caller.
 CLUSTER_CONF = {
     **SCALE_CONF,
     "spark.sql.shuffle.partitions": "20000",
@@ -57,6 +58,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         root = tempfile.mkdtemp(prefix="covenant-ckpt-")
         spark.sparkContext.setCheckpointDir(root)
         try:
@@ -68,6 +71,23 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def _hadoop(spark: SparkSession, path: str):
+    """The path and its filesystem, as Spark's writers resolve them."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    p, fs = _hadoop(spark, path)
+    return fs.exists(p)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder on any filesystem Spark writes to; a missing one is no error."""
+    p, fs = _hadoop(spark, path)
+    fs.delete(p, True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder below the shared checkpoint root, unique per call."""
     return f"{checkpoint_root(spark)}/covenant/{name}-{uuid.uuid4().hex[:12]}"

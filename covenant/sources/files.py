@@ -15,9 +15,9 @@ from typing import Any, Iterable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.errors import AnalysisException
 
 from ..operators.metrics import RESULTS_SCHEMA
+from ..session import path_exists
 
 SOURCE_FILE = "_source_file"
 INGESTION_TS = "_ingestion_ts"
@@ -116,6 +116,16 @@ def read_fixed_width(spark: SparkSession, path: str, fields: Sequence[Any], stre
     return parse_fixed_width(raw, fields)
 
 
+# Formats that carry types: read with the contract's types instead of all-string.
+TYPED_FORMATS = ("parquet", "orc", "avro")
+
+
+def read_typed(spark: SparkSession, path: str, columns: Sequence[Any], fmt: str, stream: bool = False) -> DataFrame:
+    """A typed feed with the contract's declared columns and types, and lineage."""
+    reader = spark.readStream if stream else spark.read
+    return with_lineage(reader.format(fmt).schema(table_schema(columns, lineage=False)).load(path))
+
+
 def read_source(spark: SparkSession, contract: Mapping[str, Any], path: str | None = None, stream: bool = False) -> DataFrame:
     """Bronze read of a contract's source: text + fixed-width fields, or a delimited format."""
     source = contract["source"]
@@ -123,6 +133,8 @@ def read_source(spark: SparkSession, contract: Mapping[str, Any], path: str | No
     fields = source.get("fixed_width_columns")
     if source.get("format") == "text" and fields:
         return read_fixed_width(spark, path, fields, stream=stream)
+    if source.get("format") in TYPED_FORMATS:
+        return read_typed(spark, path, contract["dataset"]["columns"], source["format"], stream=stream)
     return read_delimited(spark, path, contract["dataset"]["columns"], source.get("options") or {}, source.get("format") or "csv", stream=stream)
 
 
@@ -144,9 +156,6 @@ def read_results_history(spark: SparkSession, path: str, fmt: str = "parquet") -
     ``2024-06-30``) stay strings instead of being inferred as dates or numbers.
     """
     schema = nullable(RESULTS_SCHEMA)
-    try:
-        df = spark.read.schema(schema).format(fmt).load(path)
-        df.columns  # resolves the path now
-        return df.select(*schema.fieldNames())
-    except AnalysisException:
+    if not path_exists(spark, path):
         return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).format(fmt).load(path).select(*schema.fieldNames())
