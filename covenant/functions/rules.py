@@ -59,7 +59,8 @@ class Rule:
         if hasattr(params, "asDict"):
             params = params.asDict()
         params = {k: v for k, v in dict(params).items() if v is not None}
-        order_by = d.get("order_by") or ()
+        order_by = d.get("order_by") or params.pop("order_by", None) or ()
+        params.pop("order_by", None)
         return Rule(
             rule_name=d["rule_name"],
             column=d["column"],
@@ -117,6 +118,10 @@ def _accepted(c: Column, values: list, dtype: str | None) -> Column:
         if all(n is not None for n in nums):
             return c.isin([int(n) if float(n).is_integer() and "." not in str(v) else n for n, v in zip(nums, values)])
         return c.cast("string").isin([str(v) for v in values])
+    if dtype == "boolean":
+        # Contract values may be JSON booleans or their names; other values accept nothing.
+        named = {"true": True, "false": False}
+        return c.isin([b for b in (v if isinstance(v, bool) else named.get(str(v).strip().lower()) for v in values) if b is not None])
     if dtype in (None, "string"):
         return c.isin([v if isinstance(v, str) else str(v) for v in values])
     return c.cast("string").isin([str(v) for v in values])

@@ -7,18 +7,22 @@ projection, so they stay in whole-stage codegen.
 ``unique`` ("the first row of each key passes, later ones fail") is computed
 without a window over the key, because a window sends every row of a key to
 one task and a single hot key (or all NULL keys) can hold a third of the
-table.  Instead:
-
-1. ``groupBy(key).agg(min(struct(order_by)))``: the partial aggregate runs
-   before the shuffle, so a hot key is collapsed map-side;
-2. the per-key first row is joined back on ``(key, salt)``.  NULL keys never
-   match; their salt spreads them over many shuffle partitions instead of one.
-   A hot non-NULL key is split by AQE's skew-join handling (the right side has
-   exactly one row per key, so replicating it is cheap).  The join strategy is
-   left to AQE, which broadcasts the per-key side only after measuring it.
-
-``order_by`` must identify a row within a key (a primary key, or file + line);
-rows that tie on it all count as "first".
+table.  Instead, per rule:
+
+1. rows shrink to (key, tie-break, 128-bit fingerprint of the row), equal ones
+   are counted and the smallest per key is kept; both aggregates combine before
+   their shuffle, so a hot key is collapsed map-side;
+2. that first row is joined back on ``(key, salt)``.  NULL keys never match;
+   their salt is a hash of the whole row, which spreads them over all shuffle
+   partitions.  A hot non-NULL key is split by AQE's skew-join handling (the
+   right side has exactly one row per key).  The join strategy is left to AQE,
+   which broadcasts the per-key side only after measuring it.
+
+So the rows themselves are shuffled once per rule; text keys travel as their
+fingerprint.  ``order_by`` orders the rows of a key; rows that tie on it go by
+their fingerprint (without ``order_by``: by all columns, in schema order).
+Rows that are equal in every column cannot be told apart: where such rows are
+first of their key they are counted, and one copy passes.
 """
 
 from __future__ import annotations
@@ -33,7 +37,6 @@ from ..functions.rules import Rule, as_rules, fail_condition
 
 PASSED = "_dq_passed"
 FAILED_RULES = "_dq_failed_rules"
-NULL_SALT_BUCKETS = 64
 
 
 def _orderable(field: T.StructField) -> bool:
@@ -56,29 +59,57 @@ def _tie_break_columns(df: DataFrame, rule: Rule, order_by: Sequence[str] | None
     return cols
 
 
-def _unique_flag(df: DataFrame, rule: Rule, idx: int, order_by: Sequence[str] | None) -> tuple[DataFrame, Column, list[str]]:
-    key = F.col(rule.column)
-    tb_cols = _tie_break_columns(df, rule, order_by)
-    # A single tie-break column keeps the partial aggregate hash-based; a
-    # struct buffer forces a sort-based one.
-    tb = F.col(tb_cols[0]) if len(tb_cols) == 1 else F.struct(*[F.col(c) for c in tb_cols])
-    k, first, salt, rsalt = (f"_dq_u{idx}_key", f"_dq_u{idx}_first", f"_dq_u{idx}_salt", f"_dq_u{idx}_rsalt")
+def _hashable(field: T.StructField) -> bool:
+    return "map<" not in field.dataType.simpleString() and "variant" not in field.dataType.simpleString()
+
+
+def _fingerprint(df: DataFrame) -> list[Column]:
+    """128 bits of the row: two hashes of all its columns, started differently."""
+    cols = [F.col(f"`{f.name}`") if _hashable(f) else F.to_json(F.struct(F.col(f"`{f.name}`"))) for f in df.schema.fields]
+    return [F.xxhash64(*cols), F.xxhash64(F.lit("row"), *cols)]
+
+
+def _unique_flag(df: DataFrame, rule: Rule, idx: int, order_by: Sequence[str] | None) -> tuple[DataFrame, Column, Column, list[str]]:
+    """(joined frame, fails, first of its key but with equal copies, helper columns)."""
+    key, kind = F.col(rule.column), dict(df.dtypes)[rule.column]
+    pre = f"_dq_u{idx}_"
+    keys = [F.xxhash64(key), F.xxhash64(F.lit("key"), key)] if kind in ("string", "binary") else [key]
+    names = [f"{pre}k{j}" for j in range(len(keys))]
+    # Not a literal: a constant would be folded into a post-join filter and the
+    # NULL-key salt would no longer be part of the shuffle key.
+    same = F.pmod(F.col(HASHES[0]), F.lit(1)).cast("long")
+    order = [F.col(c) for c in _tie_break_columns(df, rule, order_by)] + [F.col(h) for h in HASHES]
+    row = F.struct(*[c.alias(f"o{j}") for j, c in enumerate(order)])
 
     firsts = (
         df.where(key.isNotNull())
-        .groupBy(key.alias(k))
-        .agg(F.min(tb).alias(first))
-        # Not a literal: a constant would be folded into a post-join filter and
-        # the NULL-key salt would no longer be part of the shuffle key.
-        .withColumn(rsalt, F.pmod(F.xxhash64(F.col(k)), F.lit(1)))
-    )
-    salted = df.withColumn(
-        salt,
-        F.when(key.isNull(), F.pmod(F.xxhash64(*[F.col(c) for c in tb_cols]), F.lit(NULL_SALT_BUCKETS))).otherwise(F.lit(0)),
+        .groupBy(*[k.alias(n) for k, n in zip(keys, names)], same.alias(f"{pre}rsalt"), row.alias("row"))
+        .agg(F.count(F.lit(1)).alias("n"))
+        .groupBy(*names, f"{pre}rsalt")
+        .agg(F.min(F.struct("row", "n")).alias(f"{pre}first"))
     )
-    joined = salted.join(firsts, (key == F.col(k)) & (F.col(salt) == F.col(rsalt)), "left")
-    flag = F.when(F.col(first).isNull(), F.lit(False)).otherwise(~tb.eqNullSafe(F.col(first)))
-    return joined, flag, [k, first, salt, rsalt]
+    salted = df.withColumn(f"{pre}salt", F.when(key.isNull(), F.col(HASHES[0])).otherwise(F.lit(0)))
+    on = F.col(f"{pre}salt") == F.col(f"{pre}rsalt")
+    for k, n in zip(keys, names):
+        on = on & (k == F.col(n))
+    joined = salted.join(firsts, on & key.isNotNull(), "left")
+    is_first = row.eqNullSafe(F.col(f"{pre}first.row"))
+    helpers = [*names, f"{pre}rsalt", f"{pre}salt", f"{pre}first"]
+    return joined, key.isNotNull() & ~is_first, key.isNotNull() & is_first & (F.col(f"{pre}first.n") > 1), helpers
+
+
+def _expand_copies(df: DataFrame, keys: dict[int, Column]) -> DataFrame:
+    """Of rows marked ``_dq_twin``, equal ones become one row again as often as they were; only the first copy passes ``unique``."""
+    rest = [c for c in df.columns if c not in HASHES]
+    once = df.where(TWIN).groupBy(*HASHES).agg(F.count(F.lit(1)).alias("_dq_n"), *[F.first(f"`{c}`").alias(c) for c in rest])
+    copies = once.withColumn("_dq_i", F.explode(F.sequence(F.lit(1), F.col("_dq_n").cast("int"))))
+    for i, key in keys.items():
+        copies = copies.withColumn(f"_dq_u{i}_flag", F.when(F.col("_dq_i") > 1, key.isNotNull()).otherwise(F.col(f"_dq_u{i}_flag")))
+    return df.where(~F.col(TWIN)).unionByName(copies.select(*df.columns))
+
+
+HASHES = ("_dq_h1", "_dq_h2")
+TWIN = "_dq_twin"
 
 
 def check(
@@ -94,25 +125,26 @@ def check(
         return pass_all(df)
     dtypes = dict(df.dtypes)
     work = df
-    flags: list[tuple[str, Column]] = []
-    helpers: list[str] = []
-    unique_flags: dict[int, str] = {}
-    for i, rule in enumerate(rules):
-        if rule.rule_type == "unique":
-            work, flag, cols = _unique_flag(work, rule, i, order_by)
-            name = f"_dq_u{i}_flag"
-            work = work.withColumn(name, flag)
-            helpers += cols + [name]
-            unique_flags[i] = name
-            flags.append((rule.rule_name, F.col(name)))
-        else:
-            flags.append((rule.rule_name, fail_condition(rule, as_of, dtypes.get(rule.column))))
+    unique = [i for i, r in enumerate(rules) if r.rule_type == "unique"]
+    if unique:
+        for name, h in zip(HASHES, _fingerprint(df)):
+            work = work.withColumn(name, h)
+        twin = F.lit(False)
+        for i in unique:
+            work, fails, twins, helpers = _unique_flag(work, rules[i], i, order_by)
+            work = work.withColumn(f"_dq_u{i}_flag", fails).withColumn(f"_dq_u{i}_twin", twins).drop(*helpers)
+            twin = twin | F.col(f"_dq_u{i}_twin")
+        work = work.withColumn(TWIN, twin).drop(*[f"_dq_u{i}_twin" for i in unique])
+        work = _expand_copies(work, {i: F.col(rules[i].column) for i in unique})
+    flags = [
+        (r.rule_name, F.col(f"_dq_u{i}_flag") if i in unique else fail_condition(r, as_of, dtypes.get(r.column))) for i, r in enumerate(rules)
+    ]
     # concat of one-element/empty arrays stays in whole-stage codegen
     # (array_compact is a higher-order function and runs interpreted).
     empty = F.array().cast("array<string>")
     failed = F.concat(*[F.when(f, F.array(F.lit(n))).otherwise(empty) for n, f in flags])
     out = work.withColumn(FAILED_RULES, failed).withColumn(PASSED, F.size(F.col(FAILED_RULES)) == 0)
-    return out.drop(*helpers)
+    return out.drop(*HASHES, TWIN, *[f"_dq_u{i}_flag" for i in unique])
 
 
 def pass_all(df: DataFrame) -> DataFrame:
