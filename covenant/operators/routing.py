@@ -67,7 +67,3 @@ def quarantine(annotated: DataFrame, rules=None, severities: Iterable[str] | Non
     ``severities`` only failures of rules with those severities count."""
     return annotated.where(quarantine_condition(rules, severities))
 
-
-def split(annotated: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(clean, quarantine); every input row lands in exactly one side."""
-    return clean(annotated), quarantine(annotated)

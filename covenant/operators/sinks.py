@@ -13,11 +13,13 @@ from typing import Any, Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import path_exists, remove_path
 from .checks import PASSED
 
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite", fmt: str = "parquet", partition_by: Sequence[str] = ()) -> str:
-    w = df.write.mode(mode).format(fmt)
+    # static: a refresh replaces the whole table, whatever the session's overwrite mode is
+    w = df.write.mode(mode).format(fmt).option("partitionOverwriteMode", "static")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.save(path)
@@ -43,6 +45,16 @@ def write_results(results: DataFrame, path: str, fmt: str = "parquet") -> str:
     return write_run_partition(results, path, ["run_id", "dataset_name"], fmt)
 
 
+def drop_run_partition(spark, path: str, run_id: str, fmt: str = "parquet") -> None:
+    """Remove what an earlier attempt of ``run_id`` left in ``path``; Spark itself says which folders that is."""
+    if not path_exists(spark, path):
+        return
+    files = spark.read.schema("run_id string").format(fmt).load(path).where(F.col("run_id") == run_id)
+    folder = F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", "")
+    for r in files.select(folder.alias("folder")).distinct().collect():  # one folder per run
+        remove_path(spark, spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(r.folder)).toString())
+
+
 def write_quarantine(
     annotated: DataFrame,
     path: str,
@@ -51,13 +63,15 @@ def write_quarantine(
     condition: Column | None = None,
     known_nonempty: bool | None = None,
 ) -> bool:
-    """Write failing rows (or rows matching ``condition``) for ``run_id``; skipped (returns False) when there are none.
+    """Write failing rows (or rows matching ``condition``) for ``run_id``.
 
-    ``known_nonempty`` skips the emptiness probe when the caller already knows
-    the answer (e.g. from the per-rule fail counts).
+    Without such rows, what an earlier attempt of the run wrote is removed, and
+    False is returned.  ``known_nonempty`` skips the emptiness probe when the
+    caller already knows the answer (e.g. from the per-rule fail counts).
     """
     bad = annotated.where(~F.col(PASSED) if condition is None else condition)
     if known_nonempty is False or (known_nonempty is None and bad.isEmpty()):
+        drop_run_partition(annotated.sparkSession, path, run_id, fmt)
         return False
     write_run_partition(bad.withColumn("run_id", F.lit(run_id)), path, "run_id", fmt)
     return True
@@ -69,29 +83,26 @@ def write_delimited(df: DataFrame, path: str, delimiter: str = ",", header: bool
 
 
 def fixed_width_line(layout: Sequence[Mapping[str, Any]]) -> Column:
-    """Assemble one text line from a layout of fields.
+    """Assemble one text line from a layout of fields; every field has its full length.
 
     Each field: ``{"column", "length", "kind"}`` with kind ``number``
     (zero-filled, sign first: ``%0Nd``), ``text`` (right-padded, cut to
-    length) or ``raw`` (used as is, e.g. an already formatted string).
+    length) or ``raw`` (an already formatted string, padded and cut like
+    text).  NULL is blanks in every kind.  A number too wide for its field is
+    asterisks, which no cast reads back, rather than a shortened number.
     """
     parts = []
     for f in layout:
         c, n, kind = F.col(f["column"]), int(f["length"]), f.get("kind", "text")
         if kind == "number":
-            parts.append(F.format_string(f"%0{n}d", c.cast("long")))
-        elif kind == "raw":
-            parts.append(c.cast("string"))
+            digits = F.format_string(f"%0{n}d", c.cast("long"))
+            shown = F.when(F.length(digits) > n, F.lit("*" * n)).otherwise(digits)
+            parts.append(F.when(c.isNull(), F.lit(" " * n)).otherwise(shown))
         else:
             parts.append(F.rpad(F.coalesce(c.cast("string"), F.lit("")), n, " "))
     return F.concat(*parts)
 
 
-def write_fixed_width(df: DataFrame, layout: Sequence[Mapping[str, Any]], path: str, mode: str = "overwrite") -> str:
-    df.select(fixed_width_line(layout).alias("value")).write.mode(mode).text(path)
-    return path
-
-
 def with_comments(df: DataFrame, comments: Mapping[str, str]) -> DataFrame:
     """Attach column comments as field metadata (kept through a parquet round trip)."""
     for name, text in comments.items():
@@ -105,6 +116,10 @@ def column_comments(df: DataFrame) -> list[tuple[str, str]]:
     return [(f.name, f.metadata.get("comment", "")) for f in df.schema.fields if f.metadata.get("comment")]
 
 
+def _quoted(text: str) -> str:
+    return "'" + str(text).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def save_table(
     df: DataFrame,
     name: str,
@@ -118,12 +133,18 @@ def save_table(
 
     Column comments travel in the schema metadata (``with_comments``).
     """
-    df.write.mode(mode).format(fmt).option("path", path).saveAsTable(name)
+    df.write.mode(mode).format(fmt).option("path", path).option("partitionOverwriteMode", "static").saveAsTable(name)
     spark = df.sparkSession
-    props = dict(properties or {})
     if comment:
-        props["comment"] = comment
-    if props:
-        items = ", ".join(f"'{k}' = '{str(v).replace(chr(39), chr(39) * 2)}'" for k, v in props.items())
+        spark.sql(f"COMMENT ON TABLE {name} IS {_quoted(comment)}")
+    if properties:
+        items = ", ".join(f"{_quoted(k)} = {_quoted(v)}" for k, v in properties.items())
         spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ({items})")
     return name
+
+
+def table_facts(spark, name: str) -> DataFrame:
+    """(property, value) of a catalog table, its comment included."""
+    rows = spark.sql(f"SHOW TBLPROPERTIES {name}").select(F.col("key").alias("property"), "value")
+    said = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Comment'")
+    return rows.where("key NOT LIKE 'transient%'").unionByName(said.select(F.lit("comment").alias("property"), F.col("data_type").alias("value")))

@@ -11,10 +11,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.contracts import CONTRACT_GLOB, contract_doc, read_contracts
+from ..sources.contracts import CONTRACT_GLOB, contract_doc, read_contracts, require_valid
 from ..sources.files import read_results_history
-from ..streaming.ingest import BATCH_ID
-from .bronze import run_bronze
+from .bronze import read_bronze, run_bronze
 from .silver import resolve_run_id, run_silver
 
 
@@ -33,11 +32,14 @@ def refine_all(
 ) -> DataFrame:
     """Bronze + silver for each contract (sorted by dataset name); returns this run's results.
 
+    Nothing runs while any contract of the folder has a problem (``ContractError``).
+
     A contract's ``source.path`` is resolved below ``source_root``.  Contracts
     without a ``silver`` section only get a bronze table.
     """
     run_id = resolve_run_id(run_id)
     docs = read_contracts(spark, contracts_path, glob, recursive)
+    require_valid(docs)
     names = sorted(r[0] for r in docs.select(F.col("dataset.name")).where(F.col("dataset.name").isNotNull()).collect())
     for name in names:
         contract = contract_doc(docs, name)
@@ -45,6 +47,5 @@ def refine_all(
         bronze_path = f"{base}/bronze_{name}"
         run_bronze(spark, contract, bronze_path, f"{base}/_checkpoints/bronze_{name}", path=src)
         if contract.get("silver"):
-            bronze = spark.read.parquet(bronze_path).drop(BATCH_ID)
-            run_silver(spark, bronze, contract, base, run_id=run_id, run_ts=run_ts, as_of=as_of, mode=mode)
+            run_silver(spark, read_bronze(spark, contract, bronze_path, src), contract, base, run_id=run_id, run_ts=run_ts, as_of=as_of, mode=mode)
     return read_results_history(spark, f"{base}/dq_results").where(F.col("run_id") == run_id)

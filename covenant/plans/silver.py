@@ -2,17 +2,19 @@
 
 A constant number of jobs whatever the rule count:
 
-1. write the annotated rows once, partitioned by ``_dq_passed`` (this is the
-   only pass over the source; one extra shuffle per ``unique`` rule);
+1. write the annotated rows once to a staging folder, partitioned by
+   ``_dq_passed`` (this is the only pass over the source; one shuffle of the
+   rows per ``unique`` rule);
 2. metrics + samples for every rule from the stored rows, written to the
    results table (one run partition, rerun-safe);
-3. the CRITICAL gate reads the few result rows;
-4. the failing partition is copied to the quarantine table (run partition,
-   rerun-safe; skipped when empty).
-
-The clean table is the ``_dq_passed=true`` partition (partition pruning).
-Stored intermediates cut the lineage, so a lost executor only recomputes
-the step it was running.
+3. the failing rows go to the quarantine table (run partition, rerun-safe;
+   when there are none, an earlier attempt's rows are removed);
+4. the CRITICAL gate reads the few result rows;
+5. only behind the gate the clean rows replace the silver table.
+
+So a run that the gate stops leaves its results and its quarantine, and the
+silver table as it was.  Stored intermediates cut the lineage, so a lost
+executor only recomputes the step it was running.
 """
 
 from __future__ import annotations
@@ -27,7 +29,7 @@ from pyspark.sql import functions as F
 
 from ..functions.rules import Rule, as_rules
 from ..functions.transforms import apply_transforms
-from ..operators.checks import PASSED, check
+from ..operators.checks import FAILED_RULES, PASSED, check
 from ..operators.metrics import GATE_COLUMNS, RESULTS_SCHEMA, gate_messages, measure
 from ..operators.routing import quarantine_condition
 from ..operators.sinks import write_quarantine, write_results, write_table
@@ -76,10 +78,11 @@ def run_silver(
     transforms = (contract.get("silver") or {}).get("transforms") or []
     rules = as_rules(rules if rules is not None else contract.get("quality") or [])
 
-    annotated_path = f"{base}/{silver_name}"
-    write_table(silver_frame(bronze, transforms, rules, as_of=as_of, order_by=order_by), annotated_path, fmt=fmt, partition_by=[PASSED])
-    # Partition values come back as strings; the filter on them still prunes partitions.
-    stored = spark.read.format(fmt).load(annotated_path).withColumn(PASSED, F.col(PASSED).cast("boolean"))
+    staging = f"{base}/_staging_{silver_name}"
+    frame = silver_frame(bronze, transforms, rules, as_of=as_of, order_by=order_by)
+    write_table(frame, staging, fmt=fmt, partition_by=[PASSED])
+    # With its schema an empty feed reads back too; the filter on the partition column prunes.
+    stored = spark.read.schema(frame.schema).format(fmt).load(staging)
 
     results_path = f"{base}/dq_results"
     if rules:
@@ -88,15 +91,17 @@ def run_silver(
         # One small read of the run's results (one row per rule) answers both
         # the gate and whether anything needs quarantining.
         summary = results.select(*GATE_COLUMNS).collect()
-        messages = gate_messages(summary, mode)
         sev = None if quarantine_severities is None else {x.upper() for x in quarantine_severities}
         any_bad = any(r.fail_count > 0 and (sev is None or r.severity in sev) for r in summary)
     else:
-        results = spark.createDataFrame([], RESULTS_SCHEMA)
-        messages, any_bad = [], False
+        results, summary, any_bad = spark.createDataFrame([], RESULTS_SCHEMA), [], False
     # Default: any failing rule quarantines (and the clean side is a pruned
     # partition).  With severities, clean stays the exact complement.
     cond = quarantine_condition(rules, quarantine_severities)
     quarantined = write_quarantine(stored, f"{base}/{dataset}_quarantine", run_id, fmt, cond, known_nonempty=any_bad)
-    clean_rows = stored.where(F.col(PASSED)) if quarantine_severities is None else stored.where(~cond)
-    return SilverRun(run_id, clean_rows, stored, results, quarantined, messages)
+    messages = gate_messages(summary, mode)
+
+    clean_rows = stored.where(F.col(PASSED) if quarantine_severities is None else ~cond).drop(PASSED, FAILED_RULES)
+    silver_path = write_table(clean_rows, f"{base}/{silver_name}", fmt=fmt)
+    published = spark.read.schema(clean_rows.schema).format(fmt).load(silver_path)
+    return SilverRun(run_id, published, stored, results, quarantined, messages)

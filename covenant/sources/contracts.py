@@ -12,7 +12,7 @@ from __future__ import annotations
 import json
 from typing import Any, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -198,63 +198,93 @@ def fixed_width_table(contracts: DataFrame) -> DataFrame:
     )
 
 
-def lint(contracts: DataFrame) -> DataFrame:
+# Parameters a rule of each kind cannot do without.
+NEEDED_PARAMS = {"accepted_values": ("values",), "regex": ("pattern",), "exact_length": ("length",)}
+REQUIRED = ("apiVersion", "kind", "dataset", "quality")
+REQUIRED_OF_RULE = ("rule_name", "column", "rule_type", "severity")
+
+
+class ContractError(ValueError):
+    """Contracts that must not be run; the message lists every problem."""
+
+
+def _problems(df: DataFrame, *found) -> DataFrame:
+    """One row per problem; each of ``found`` is a text or NULL."""
+    return df.select("contract_file", F.col("rule_index").cast("int").alias("rule_index"), F.explode(F.array_compact(F.array(*found))).alias("problem"))
+
+
+def _said(condition, *parts) -> "F.Column":
+    return F.when(condition, F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts]))
+
+
+def known_columns(contracts: DataFrame) -> DataFrame:
+    """(dataset_name, column) of what a contract's rules may refer to: declared, parsed and derived columns."""
+    from .files import LINE_LENGTH
+
+    parts = [F.col("dataset.columns.name"), F.col("source.fixed_width_columns.name"), F.col("silver.transforms.column")]
+    names = F.concat(F.array(F.lit(LINE_LENGTH)), *[F.coalesce(p, F.array().cast("array<string>")) for p in parts])
+    return contracts.select(F.col("dataset.name").alias("dataset_name"), F.explode(names).alias("column")).distinct()
+
+
+def lint(contracts: DataFrame, columns: DataFrame | None = None) -> DataFrame:
     """Contract problems as rows (contract_file, rule_index, problem); empty when all are valid.
 
-    Checks: unreadable JSON, missing top-level keys, wrong kind, quality not a
-    list, rule missing a required field, unsupported rule type, duplicate rule name.
+    A document must be readable with the contract's field types (a value of
+    another type is a problem, not a NULL), hold the required parts, be the only
+    one of its dataset, and its rules must be of known kinds, complete, with
+    parameters that make sense, named once, and about known columns: those of
+    ``columns`` (dataset_name, column), by default the contract's own.
     """
-    top = contracts.select(
-        F.col("_contract_file").alias("contract_file"),
-        F.lit(None).cast("int").alias("rule_index"),
-        F.array_compact(
-            F.array(
-                F.when(F.col("_corrupt_record").isNotNull(), F.lit("unreadable contract JSON or wrong field types")),
-                *[
-                    F.when(F.col("_corrupt_record").isNull() & F.col(k).isNull(), F.lit(f"missing top-level field '{k}'"))
-                    for k in ("apiVersion", "kind", "dataset", "quality")
-                ],
-                F.when(
-                    F.col("kind").isNotNull() & (F.col("kind") != "DataContract"),
-                    F.concat(F.lit("kind must be 'DataContract', got '"), F.col("kind"), F.lit("'")),
-                ),
-            )
-        ).alias("problems"),
-    ).select("contract_file", "rule_index", F.explode("problems").alias("problem"))
+    whole = F.to_json(F.struct(*[F.col(f.name) for f in CONTRACT_SCHEMA.fields]))  # every part is read, so every part is checked
+    docs = contracts.withColumn("_whole", whole).withColumn("rule_index", F.lit(None).cast("int")).withColumnRenamed("_contract_file", "contract_file")
+    readable = F.col("_corrupt_record").isNull() & F.col("_whole").isNotNull()
+    top = _problems(
+        docs,
+        _said(~readable, "not readable as a contract (bad JSON or a value of the wrong type)"),
+        *[_said(readable & F.col(k).isNull(), f"required part '{k}' is absent") for k in REQUIRED],
+        _said(readable & F.col("dataset").isNotNull() & F.col("dataset.name").isNull(), "dataset has no name"),
+        _said(F.col("kind") != "DataContract", "this is a '", F.col("kind"), "', not a DataContract"),
+    )
+
+    per = Window.partitionBy("dataset_name")
+    named = docs.where("dataset.name IS NOT NULL").select("contract_file", "rule_index", F.col("dataset.name").alias("dataset_name"))
+    twice = _problems(
+        named.withColumn("n", F.count(F.lit(1)).over(per)), _said(F.col("n") > 1, "dataset '", F.col("dataset_name"), "' has ", F.col("n"), " contracts")
+    )
 
     rules = rules_table(contracts)
-    per_rule = rules.select(
-        "contract_file",
-        F.col("rule_index").cast("int").alias("rule_index"),
-        F.array_compact(
-            F.array(
-                *[
-                    F.when(F.col(k).isNull(), F.lit(f"rule missing required field '{k}'"))
-                    for k in ("rule_name", "column", "rule_type", "severity")
-                ],
-                F.when(
-                    F.col("rule_type").isNotNull() & ~F.col("rule_type").isin(*RULE_TYPES),
-                    F.concat(F.lit("unsupported rule_type '"), F.col("rule_type"), F.lit("'")),
-                ),
-            )
-        ).alias("problems"),
-    ).select("contract_file", "rule_index", F.explode("problems").alias("problem"))
-
-    dups = (
-        rules.where(F.col("rule_name").isNotNull())
-        .groupBy("contract_file", "rule_name")
-        .agg(F.min("rule_index").cast("int").alias("rule_index"), F.count(F.lit(1)).alias("n"))
-        .where(F.col("n") > 1)
-        .select("contract_file", "rule_index", F.concat(F.lit("duplicate rule_name '"), F.col("rule_name"), F.lit("'")).alias("problem"))
+    low, high = F.col("params.min"), F.col("params.max")
+    per_rule = _problems(
+        rules,
+        *[_said(F.col(k).isNull(), f"rule lacks its '{k}'") for k in REQUIRED_OF_RULE],
+        _said(~F.col("rule_type").isin(*RULE_TYPES), "rule kind '", F.col("rule_type"), "' is not supported"),
+        *[_said((F.col("rule_type") == kind) & F.col(f"params.{p}").isNull(), f"a rule of kind {kind} lacks its parameter '{p}'") for kind, ps in NEEDED_PARAMS.items() for p in ps],
+        _said((F.col("rule_type") == "range") & low.isNull() & high.isNull(), "a rule of kind range has no bound"),
+        _said(low > high, "lower bound ", low, " is above upper bound ", high),
+    )
+    dups = _problems(
+        rules.where("rule_name IS NOT NULL").groupBy("contract_file", "rule_name").agg(F.min("rule_index").alias("rule_index"), F.count(F.lit(1)).alias("n")),
+        _said(F.col("n") > 1, "duplicate rule_name '", F.col("rule_name"), "'"),
     )
-    return top.unionByName(per_rule).unionByName(dups)
+    there = (columns if columns is not None else known_columns(contracts)).select(F.col("dataset_name").alias("_d"), F.col("column").alias("_c"))
+    absent = rules.where("column IS NOT NULL AND dataset_name IS NOT NULL").join(there, (F.col("dataset_name") == F.col("_d")) & (F.col("column") == F.col("_c")), "left_anti")
+    unknown = _problems(absent, _said(F.lit(True), "rule '", F.col("rule_name"), "' is about unknown column '", F.col("column"), "'"))
+    return top.unionByName(twice).unionByName(per_rule).unionByName(dups).unionByName(unknown)
+
+
+def require_valid(contracts: DataFrame, columns: DataFrame | None = None) -> None:
+    """Raise ``ContractError`` if ``lint`` finds anything (a few rows, from a few small documents)."""
+    found = lint(contracts, columns).orderBy("contract_file", "rule_index", "problem").collect()
+    if found:
+        at = lambda r: r.contract_file.rsplit("/", 1)[-1] + ("" if r.rule_index is None else f", rule {r.rule_index}")
+        raise ContractError("contracts with problems:\n" + "\n".join(f"{at(r)}: {r.problem}" for r in found))
 
 
 def collect_rules(rules: DataFrame, dataset_name: str | None = None) -> list[Rule]:
     """Bring the (small) rules table of one dataset to the driver as ``Rule`` objects, in rule order."""
     if dataset_name is not None:
         rules = rules.where(F.col("dataset_name") == dataset_name)
-    out = []
+    out = []  # rules of one dataset
     for r in rules.orderBy("dataset_name", "rule_index").collect():
         p = r["params"].asDict() if r["params"] is not None else {}
         order_by = p.pop("order_by", None) or ()
@@ -266,7 +296,10 @@ def collect_rules(rules: DataFrame, dataset_name: str | None = None) -> list[Rul
 
 def contract_doc(contracts: DataFrame, dataset_name: str) -> dict:
     """One contract (small, a few KB) as a plain dict, for building the bronze/silver plans."""
-    row = contracts.where(F.col("dataset.name") == dataset_name).drop("_corrupt_record").limit(1).collect()
-    if not row:
+    rows = contracts.where(F.col("dataset.name") == dataset_name).limit(2).collect()
+    if not rows:
         raise KeyError(f"no contract for dataset {dataset_name!r}")
-    return row[0].asDict(recursive=True)
+    doc = rows[0].asDict(recursive=True)
+    if len(rows) > 1 or doc.pop("_corrupt_record", None) is not None:
+        raise ContractError(f"dataset {dataset_name!r} needs one readable contract")
+    return doc

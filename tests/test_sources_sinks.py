@@ -1,5 +1,7 @@
 """Sources and sinks: fixed-width round trip, delimited landing, contracts, rerun-safe partitions."""
 
+import pytest
+
 import json
 
 from pyspark.sql import functions as F
@@ -90,12 +92,82 @@ def test_contract_lint_finds_problems(spark):
     path = scratch_path(spark, "bad_contracts")
     ct.write_contracts(spark, {"bad": bad, "missing": missing, "broken": "{not json"}, path)
     problems = sorted(r.problem for r in ct.lint(ct.read_contracts(spark, path, ct.WRITTEN_GLOB, recursive=True)).collect())
-    assert "kind must be 'DataContract', got 'Other'" in problems
-    assert "unsupported rule_type 'regexx'" in problems
-    assert "rule missing required field 'severity'" in problems
+    assert "this is a 'Other', not a DataContract" in problems
+    assert "rule kind 'regexx' is not supported" in problems
+    assert "rule lacks its 'severity'" in problems
     assert "duplicate rule_name 'a'" in problems
-    assert "missing top-level field 'quality'" in problems
-    assert "unreadable contract JSON or wrong field types" in problems
+    assert "required part 'quality' is absent" in problems
+    assert "not readable as a contract (bad JSON or a value of the wrong type)" in problems
+    assert "rule 'a' is about unknown column 'c'" in problems
+
+
+def contract(name="x", **changes):
+    rule = {"rule_name": "r", "column": "c", "rule_type": "range", "severity": "error", "params": {"min": 1}}
+    doc = {
+        "apiVersion": "v3.0.0", "kind": "DataContract", "dataset": {"name": name, "columns": [{"name": "c", "type": "string"}]},
+        "source": {"path": "x", "format": "csv"}, "silver": {"table_name": f"silver_{name}"}, "quality": [rule],
+    }
+    return doc | changes
+
+
+@pytest.mark.parametrize(
+    "docs,said",
+    [
+        ({"a": contract(), "b": contract()}, "has 2 contracts"),
+        ({"a": contract(), "b": "{not json"}, "not readable"),
+        ({"a": contract(quality=None)}, "'quality' is absent"),
+        ({"a": contract(quality=[{"rule_name": "r", "column": "c", "rule_type": "range", "severity": "error", "params": {"min": "zero"}}])}, "not readable"),
+        ({"a": contract(quality=[{"rule_name": "r", "column": "c", "rule_type": "checksum", "severity": "error"}])}, "'checksum' is not supported"),
+        ({"a": contract(quality=[{"rule_name": "r", "column": "c", "rule_type": "range", "severity": "error"}])}, "no bound"),
+        ({"a": contract(quality=[{"rule_name": "r", "column": "d", "rule_type": "not_null", "severity": "error"}])}, "unknown column 'd'"),
+    ],
+)
+def test_refine_runs_nothing_with_bad_contracts(spark, docs, said):
+    from covenant.plans.refine import refine_all
+    from covenant.session import path_exists
+
+    cpath, base = scratch_path(spark, "contracts"), scratch_path(spark, "lake")
+    ct.write_contracts(spark, docs, cpath)
+    with pytest.raises(ct.ContractError, match=said):
+        refine_all(spark, cpath, scratch_path(spark, "landing"), base, glob=ct.WRITTEN_GLOB, recursive=True)
+    assert not path_exists(spark, base)
+
+
+def test_fixed_width_null_and_too_wide(spark):
+    layout = [{"column": "n", "length": 4, "kind": "number"}, {"column": "t", "length": 3}, {"column": "r", "length": 3, "kind": "raw"}]
+    df = spark.createDataFrame([(7, "ab", "xyz"), (-12, "abcd", "xyzw"), (12345, None, None), (None, "a", "b")], "n long, t string, r string")
+    got = [r[0] for r in df.select(fixed_width_line(layout)).collect()]
+    assert got == ["0007ab xyz", "-012abcxyz", "****      ", "    a  b  "]
+
+
+def test_typed_source_keeps_declared_types(spark):
+    from covenant.plans.bronze import read_bronze, run_bronze
+
+    doc = shipped.load("orders")
+    land, target = scratch_path(spark, "orders_parquet"), scratch_path(spark, "bronze_orders")
+    spark.read.parquet("/root/testdata/sf0.001/orders.parquet").write.parquet(land)
+    run_bronze(spark, doc, target, scratch_path(spark, "ck"), path=land)
+    back = read_bronze(spark, doc, target, land)
+    assert dict(back.dtypes)["o_totalprice"] == "double" and dict(back.dtypes)["o_orderkey"] == "bigint"
+    assert back.count() == 1500 and back.where("o_totalprice IS NULL OR o_orderdate IS NULL").count() == 0
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster(monkeypatch):
+    from covenant import session
+
+    class Context:
+        master = "spark://host:7077"
+
+        @staticmethod
+        def getCheckpointDir():
+            return None
+
+    class Session:
+        sparkContext = Context
+        conf = {}
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.checkpoint_root(Session)
 
 
 def test_save_table_comment_and_properties(spark):

@@ -1,5 +1,7 @@
 """Streams (each file once, rerun, full refresh), bronze expectations, silver end to end."""
 
+import pytest
+
 
 
 from covenant.plans.bronze import run_bronze
@@ -58,6 +60,7 @@ def test_silver_end_to_end_routes_and_is_rerun_safe(spark):
     res = {r.rule_name: r.fail_count for r in spark.read.parquet(f"{base}/dq_results").collect()}
     assert res == {"custkey_not_null": 0, "custkey_unique": 1, "name_format": 0, "segment_valid": 0, "acctbal_min": 1}
     assert out.messages and out.messages[0].startswith("custkey_unique")
+    assert spark.read.parquet(f"{base}/silver_customer").count() == 1  # clean rows and nothing else
 
 
 def test_empty_run_id_gets_uuid(spark):
@@ -92,3 +95,66 @@ def test_silver_job_count_does_not_grow_with_rules(spark):
         counts.append(len(sc.statusTracker().getJobIdsForGroup(group)))
     sc.setJobGroup("", "")
     assert counts[0] == counts[1]
+
+
+ORDER = {"dataset": {"name": "o"}, "silver": {"table_name": "silver_o"}}
+
+
+def test_gate_stops_before_the_silver_table(spark):
+    from covenant import Rule
+    from covenant.operators.metrics import DataQualityException
+    from covenant.session import path_exists
+
+    base = scratch_path(spark, "gate")
+    df = spark.createDataFrame([(1, None), (2, "x")], "k int, v string")
+    with pytest.raises(DataQualityException):
+        run_silver(spark, df, ORDER, base, rules=[Rule("v_nn", "v", "not_null", "critical")], run_id="r", mode="fail")
+    assert not path_exists(spark, f"{base}/silver_o")
+    assert [r.k for r in spark.read.parquet(f"{base}/o_quarantine").collect()] == [1]
+    assert spark.read.parquet(f"{base}/dq_results").count() == 1
+
+
+def test_silver_of_an_empty_feed(spark):
+    from covenant import Rule
+
+    base = scratch_path(spark, "empty")
+    out = run_silver(spark, spark.createDataFrame([], "k int, v string"), ORDER, base, rules=[Rule("v_nn", "v", "not_null", "critical")], run_id="r")
+    assert out.clean.collect() == [] and out.clean.columns[:2] == ["k", "v"] and not out.quarantined
+    assert [(r.total_count, r.fail_count) for r in out.results.collect()] == [(0, 0)]
+
+
+def test_silver_is_replaced_in_a_dynamic_overwrite_session(spark):
+    from covenant import Rule
+
+    base, rules = scratch_path(spark, "dynamic"), [Rule("v_nn", "v", "not_null", "error")]
+    kept = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        for rows in ([(1, None), (2, "x")], [(3, "y")]):
+            out = run_silver(spark, spark.createDataFrame(rows, "k int, v string"), ORDER, base, rules=rules, run_id="run: 1/2")
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", kept)
+    assert [r.total_count for r in out.results.collect()] == [1] and out.annotated.count() == 1
+    assert spark.read.schema("k int, run_id string").parquet(f"{base}/o_quarantine").count() == 0  # nothing stale is left
+
+
+def test_empty_landing_folder_gives_an_empty_bronze_table(spark):
+    from covenant.plans.bronze import read_bronze
+
+    contract, land, target = shipped.load("customer"), scratch_path(spark, "nothing"), scratch_path(spark, "bronze")
+    spark.createDataFrame([], "value string").write.text(land)
+    assert set(run_bronze(spark, contract, target, scratch_path(spark, "ck"), path=land).values()) <= {0}
+    assert read_bronze(spark, contract, target, land).count() == 0
+
+
+def test_unique_across_batches_is_the_same_when_a_batch_is_replayed(spark):
+    from covenant import Rule
+    from covenant.operators.checks import PASSED
+    from covenant.streaming.batches import check_batch
+
+    keys, rule = scratch_path(spark, "keys"), Rule("u", "k", "unique", order_by=("id",))
+    batches = [spark.createDataFrame(rows, "id int, k string") for rows in ([(1, "a"), (2, "b"), (3, None)], [(4, "a"), (5, "c"), (6, "c"), (7, None)], [(8, "c")])]
+    for i in (0, 1, 1, 2, 0):
+        failed = sorted(r.id for r in check_batch(batches[i], [rule], keys, "s", i).where(f"NOT {PASSED}").collect())
+        assert failed == [[], [4, 6], [8]][i]
+    assert check_batch(batches[0], [rule], keys, "other", 5).where(f"NOT {PASSED}").count() == 0
