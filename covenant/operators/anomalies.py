@@ -97,25 +97,27 @@ def inject_negative(df, column, rate, key, lo=1000, hi=999999, kind="out_of_rang
     return _apply(df, column, pick(kind, k, rate), value.cast(dtype), name, track)
 
 
+#: Slots that may be broadcast: at most this many rows of one value.
+MAX_SLOTS = 100_000
+
+
 def _slots(values: DataFrame, col: str, n: int) -> DataFrame:
     """Map slots 0..n-1 onto the (at most n) sorted ``values``: slot s -> value[s mod m]."""
+    if not 0 < n <= MAX_SLOTS:
+        raise ValueError(f"a pool has 1 to {MAX_SLOTS} slots, not {n}")
     ranked = values.select(F.col(col).alias("_v")).distinct().orderBy("_v").limit(n)
     # Windows over at most n rows (after the limit), so one task is fine.
     indexed = ranked.select(
         "_v",
         (F.row_number().over(Window.orderBy("_v")) - 1).alias("_i"),
-        F.count(F.lit(1)).over(Window.partitionBy()).alias("_m"),
-    )
-    return (
-        indexed.select("_v", "_i", "_m", F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("_slot"))
-        .where(F.pmod(F.col("_slot"), F.col("_m")) == F.col("_i"))
-        .select("_slot", "_v")
+        F.count(F.lit(1)).over(Window.partitionBy()).cast("int").alias("_m"),
     )
+    return indexed.select(F.explode(F.sequence(F.col("_i"), F.lit(n - 1), F.col("_m"))).alias("_slot"), "_v")
 
 
 def _take_from(df, column, picked, key, pool: DataFrame, pool_col: str, n: int, kind: str, name, track):
     k = _key(key)
-    slots = F.broadcast(_slots(pool, pool_col, n))  # at most n rows by construction
+    slots = F.broadcast(_slots(pool, pool_col, n))  # n rows, at most MAX_SLOTS
     tagged = df.withColumn("_tk_slot", F.when(picked, choice(f"{kind}:slot", k, n)))
     joined = tagged.join(slots, tagged["_tk_slot"] == slots["_slot"], "left")
     out = joined.withColumn(column, F.when(F.col("_slot").isNotNull(), F.col("_v").cast(dict(df.dtypes)[column])).otherwise(F.col(column)))
@@ -141,6 +143,13 @@ def reuse_keys(df, column, rate, key, source: DataFrame, source_col: str, sample
     return _take_from(df, column, picked, key, pool, source_col, sample, kind, name, track)
 
 
+def reuse_prefixes(df, column, rate, key, source: DataFrame, source_col: str, length: int, sample=500, kind="reuse_prefix", track=False, name=None):
+    """As ``reuse_keys``, with the first ``length`` characters of another table's keys."""
+    picked = pick(kind, _key(key), rate)
+    prefixes = source.where(F.col(source_col).isNotNull()).select(F.substring(F.col(source_col).cast("string"), 1, length).alias("_prefix"))
+    return _take_from(df, column, picked, key, prefixes, "_prefix", sample, kind, name, track)
+
+
 def inject_anomalies(
     df: DataFrame,
     steps: Iterable[tuple[str, Callable[..., DataFrame], Mapping]],

@@ -14,21 +14,22 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.rules import Rule
+from ..functions.rules import Rule, fail_condition
 from ..functions.scalars import guarded_ratio, days_since, key_prefix, risk_band
 from ..functions.transforms import apply_transforms
 from ..operators import anomalies as an
-from ..operators.checks import FAILED_RULES, PASSED, check, failed, pass_all
-from ..operators.metrics import critical_failures, measure, severity_totals, summary_lines
-from ..operators.routing import clean, expectation_counts, expectations, observe_expectations, quarantine
-from ..operators.sinks import fixed_width_line, with_comments, write_delimited, write_results, write_table
+from ..operators.checks import FAILED_RULES, PASSED, check, pass_all
+from ..operators.metrics import critical_failures, measure, measure_rules, severity_totals, summary_lines
+from ..operators.routing import clean, expectation_counts, expectations, quarantine
+from ..operators.sinks import fixed_width_line, save_table, table_facts, with_comments, write_delimited, write_results, write_table
 from ..session import scratch_path
 from ..sources import contracts as ct
 from ..sources import shipped
 from ..sources.files import read_delimited, read_fixed_width, read_results_history
-from ..streaming.ingest import BATCH_ID, observed, run_available_now, run_foreach_batch
+from ..streaming.batches import check_batch
+from ..streaming.ingest import counted, run_available_now, run_foreach_batch, stream_id, write_batch
 from . import marts
-from .bronze import run_bronze
+from .bronze import read_bronze, run_bronze
 from .refine import refine_all
 from .silver import run_silver
 
@@ -37,13 +38,11 @@ MART_AS_OF = "2002-01-01"
 DETECT_AS_OF = "2001-12-31"  # after the newest order date, so only injected dates are "future"
 RUN_TS = "2024-02-01 00:00:00"
 
-# Fixed values (the corrupt values the reference's generators inject).
-BAD_DATES = ["20251332", "XXXXXXXX", "00000000", "20231301"]
-BAD_PRIORITY = ["CANCELLED", "EXPIRED", "UNKNOWN"]
-BAD_NAMES = ["AB3X", "1Z2Y", "XXXX", "9A8B", "0O0O"]
-BAD_SEGMENTS = ["XX", "ZZ", "99"]
-
-# Own corrupt values, chosen for the domains of the test tables.
+# Corrupt values for the domains of the test tables.
+BAD_DATES = ["19970230", "19971301", "not-date", "99999999"]
+BAD_PRIORITY = ["9-NEVER", "0-NONE", "URGENT"]
+BAD_NAMES = ["Customer 12", "#000000001", "Customer#1", "?"]
+BAD_SEGMENTS = ["AIRCRAFT", "??", "0"]
 BAD_STATUS = ["X", "Y", "Z"]
 BAD_SIZES = [0, 51, 99]
 BAD_NUMBERS = ["n/a", "12,5", ""]
@@ -90,7 +89,11 @@ def orders_checked(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def orders_results(spark: SparkSession, sf: str) -> DataFrame:
-    return measure(orders_checked(spark, sf), ORDER_RULES, dataset="orders", run_id="r1", run_ts=RUN_TS)
+    return measure_rules(orders_feed(spark, sf), ORDER_RULES, dataset="orders", run_id="r1", run_ts=RUN_TS, as_of=AS_OF)
+
+
+def orders_counts(spark: SparkSession, sf: str) -> DataFrame:
+    return measure_rules(orders_feed(spark, sf), ORDER_RULES, dataset="orders", run_id="r1", run_ts=RUN_TS, as_of=AS_OF, samples=False)
 
 
 def _failing(df: DataFrame, rules, *cols, as_of=AS_OF) -> DataFrame:
@@ -202,6 +205,19 @@ def dq_unique_text(spark, sf):
     return _failing(table(spark, sf, "documents"), rules, "doc_id")
 
 
+def dq_unique_ties(spark, sf):
+    """Every order stands twice, equal in every column: one copy of the first order of a customer passes."""
+    o = table(spark, sf, "orders")
+    return _failing(o.unionAll(o), [Rule("cust_unique", "o_custkey", "unique", "error")], "o_orderkey")
+
+
+def dq_unique_null_tie(spark, sf):
+    """The tie-break is NULL for every row of a key: still one row of a key passes."""
+    o = table(spark, sf, "orders").withColumn("tie", F.lit(None).cast("string"))
+    bad = _failing(o, [Rule("cust_unique", "o_custkey", "unique", "error", order_by=("tie",))], "o_custkey")
+    return bad.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n_failed"))
+
+
 def sc_functions(spark, sf):
     o = table(spark, sf, "orders")
     return o.select(
@@ -231,7 +247,7 @@ def _metric_cols(df):
 
 
 def dq_metrics(spark, sf):
-    return _metric_cols(measure(orders_checked(spark, sf), ORDER_RULES, dataset="orders", run_id="r1", run_ts=RUN_TS, samples=False))
+    return _metric_cols(orders_counts(spark, sf))
 
 
 def dq_samples(spark, sf):
@@ -247,18 +263,15 @@ def dq_quarantine(spark, sf):
 
 
 def dq_severity_totals(spark, sf):
-    r = measure(orders_checked(spark, sf), ORDER_RULES, dataset="orders", run_id="r1", run_ts=RUN_TS, samples=False)
-    return severity_totals(r)
+    return severity_totals(orders_counts(spark, sf))
 
 
 def dq_summary_lines(spark, sf):
-    r = measure(orders_checked(spark, sf), ORDER_RULES, dataset="orders", run_id="r1", run_ts=RUN_TS, samples=False)
-    return summary_lines(r).select("rule_name", "severity", "fail_count", "status")
+    return summary_lines(orders_counts(spark, sf)).select("rule_name", "severity", "fail_count", "status")
 
 
 def dq_critical_gate(spark, sf):
-    r = measure(orders_checked(spark, sf), ORDER_RULES, dataset="orders", run_id="r1", run_ts=RUN_TS, samples=False)
-    return critical_failures(r).select("rule_name", "fail_count")
+    return critical_failures(orders_counts(spark, sf)).select("rule_name", "fail_count")
 
 
 LINEITEM_RULES = [
@@ -275,8 +288,8 @@ LINEITEM_RULES = [
 
 def dq_lineitem_rules(spark, sf):
     """Eight rules over the whole lineitem table, all counted in one aggregation."""
-    a = check(table(spark, sf, "lineitem"), LINEITEM_RULES, as_of=AS_OF)
-    return _metric_cols(measure(a, LINEITEM_RULES, dataset="lineitem", run_id="r1", run_ts=RUN_TS, samples=False))
+    li = table(spark, sf, "lineitem")
+    return _metric_cols(measure_rules(li, LINEITEM_RULES, dataset="lineitem", run_id="r1", run_ts=RUN_TS, as_of=AS_OF, samples=False))
 
 
 EVENT_RULES = [
@@ -459,7 +472,10 @@ def mart_apps(spark, sf) -> DataFrame:
 
 
 def jn_left_fanout(spark, sf):
-    g = marts.advisor_portfolio(mart_clients(spark, sf), mart_apps(spark, sf), approved="PURCHASE")
+    return _advisor_columns(marts.advisor_portfolio(mart_clients(spark, sf), mart_apps(spark, sf), approved="PURCHASE"))
+
+
+def _advisor_columns(g: DataFrame) -> DataFrame:
     return g.select(
         "advisor_id", "account_type", "region", "risk_rating", "total_clients",
         F.col("total_applications").cast("long").alias("total_applications"),
@@ -471,7 +487,7 @@ def jn_left_fanout(spark, sf):
     )
 
 
-def jn_prefix_inner(spark, sf):
+def snapshot_sides(spark, sf) -> tuple[DataFrame, DataFrame]:
     clients = table(spark, sf, "customer").select(
         F.col("c_name").alias("client_id"),
         F.col("c_name").alias("client_name"),
@@ -489,7 +505,14 @@ def jn_prefix_inner(spark, sf):
         F.lit("ORD").alias("product_code"),
         F.lpad(F.col("o_custkey").cast("string"), 9, "0").alias("client_id_prefix"),
     )
-    snap = marts.balance_snapshot(clients, accounts, as_of=MART_AS_OF, active_status="F", prefix_start=10, prefix_len=9)
+    return clients, accounts
+
+
+def jn_prefix_inner(spark, sf):
+    return _snapshot_columns(marts.balance_snapshot(*snapshot_sides(spark, sf), as_of=MART_AS_OF, active_status="F", prefix_start=10, prefix_len=9))
+
+
+def _snapshot_columns(snap: DataFrame) -> DataFrame:
     return snap.select(
         "client_id", "account_number", "balance_dollars", "aum", F.col("days_since_open").cast("long").alias("days_since_open"),
         "balance_aum_ratio", "anomaly_flag", "bank_product_code", "state_code", "account_status", "account_type", "region", "risk_rating",
@@ -589,6 +612,12 @@ def an_reuse(spark, sf):
     return an.reuse_keys(e, "user_id", 0.6, "event_id", table(spark, sf, "customer"), "c_custkey", sample=500)
 
 
+def an_reuse_prefix(spark, sf):
+    """70 % of the orders carry the first nine characters of a customer name."""
+    o = table(spark, sf, "orders").select("o_orderkey", F.col("o_orderpriority").alias("client_prefix"))
+    return an.reuse_prefixes(o, "client_prefix", 0.7, "o_orderkey", table(spark, sf, "customer"), "c_name", 16, sample=500)
+
+
 def injected_orders(spark, sf) -> DataFrame:
     o = table(spark, sf, "orders")
     steps = [
@@ -618,14 +647,49 @@ DETECT_RULES = [
 DETECT_MARKS = ["o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate"]
 
 
-def an_detect(spark, sf):
-    a = check(injected_orders(spark, sf), DETECT_RULES, as_of=DETECT_AS_OF)
-    aggs = []
-    for i, (r, m) in enumerate(zip(DETECT_RULES, DETECT_MARKS)):
-        inj, det = F.col(an.MARK_PREFIX + m), failed(r.rule_name)
+def _detection(df: DataFrame, pairs, as_of=None) -> DataFrame:
+    """(rule_name, injected, detected, both) for (rule, mark) pairs on a tracked frame, in one aggregation."""
+    kinds, aggs = dict(df.dtypes), []
+    for i, (r, m) in enumerate(pairs):
+        inj, det = F.col(an.MARK_PREFIX + m), fail_condition(r, as_of, kinds[r.column])
         aggs += [F.count_if(inj).alias(f"i{i}"), F.count_if(det).alias(f"d{i}"), F.count_if(inj & det).alias(f"b{i}")]
-    rows = F.array(*[F.struct(F.lit(r.rule_name).alias("rule_name"), F.col(f"i{i}").alias("injected"), F.col(f"d{i}").alias("detected"), F.col(f"b{i}").alias("both")) for i, r in enumerate(DETECT_RULES)])
-    return a.agg(*aggs).select(F.inline(rows))
+    rows = F.array(*[F.struct(F.lit(r.rule_name).alias("rule_name"), F.col(f"i{i}").alias("injected"), F.col(f"d{i}").alias("detected"), F.col(f"b{i}").alias("both")) for i, (r, _) in enumerate(pairs)])
+    return df.agg(*aggs).select(F.inline(rows))
+
+
+def an_detect(spark, sf):
+    return _detection(injected_orders(spark, sf), list(zip(DETECT_RULES, DETECT_MARKS)), DETECT_AS_OF)
+
+
+def an_detect_formats(spark, sf):
+    """Bad dates, truncated lines, sizes out of range on both sides, negative amounts and malformed names, each met by its rule."""
+    dates = an.inject_choice(
+        table(spark, sf, "orders").select("o_orderkey", F.date_format("o_orderdate", "yyyyMMdd").alias("raw_date")), "raw_date", 0.02, "o_orderkey", BAD_DATES, kind="format_error", track=True
+    )
+    lines = an.inject_truncate(customer_lines(spark, sf), "value", 0.02, "c_custkey", 30, 70, track=True).withColumn("line_length", F.length("value"))
+    sizes = an.inject_two_sided(table(spark, sf, "part"), "p_size", 0.03, "p_partkey", 0, 999, track=True)
+    cents = customer_cents(spark, sf).withColumn("balance_cents", F.abs("balance_cents"))
+    cents = an.inject_negative(cents, "balance_cents", 0.03, "c_custkey", track=True)
+    names = an.inject_choice(table(spark, sf, "customer"), "c_name", 0.05, "c_custkey", BAD_NAMES, kind="format_error", track=True)
+    found = [
+        _detection(dates, [(Rule("date_format", "raw_date", "date_format", params={"format": "yyyyMMdd"}), "raw_date")]),
+        _detection(lines, [(Rule("exact_length", "line_length", "exact_length", params={"length": 80}), "value")]),
+        _detection(sizes, [(Rule("range_both", "p_size", "range", params={"min": 1, "max": 50}), "p_size")]),
+        _detection(cents, [(Rule("range_negative", "balance_cents", "range", params={"min": 0}), "balance_cents")]),
+        _detection(names, [(Rule("regex", "c_name", "regex", params={"pattern": "^Customer#[0-9]{9}$"}), "c_name")]),
+    ]
+    out = found[0]
+    for f in found[1:]:
+        out = out.unionByName(f)
+    return out
+
+
+def an_detect_duplicates(spark, sf):
+    """Customers that took another's name: as many rows fail ``unique`` as names were taken."""
+    c = table(spark, sf, "customer").select("c_custkey", F.col("c_name").alias("dup_key"))
+    d = an.inject_duplicates(c, "dup_key", 0.02, "c_custkey", donors=50, track=True)
+    a = check(d, [Rule("name_unique", "dup_key", "unique", order_by=("c_custkey",))])
+    return a.agg(F.count_if(F.col(an.MARK_PREFIX + "dup_key")).alias("injected"), F.count_if(~F.col(PASSED)).alias("detected"))
 
 
 # ---------------------------------------------------------------------------
@@ -680,7 +744,7 @@ def src_fixed_width_truncated(spark, sf):
     return src_fixed_width(spark, sf, truncate=True)
 
 
-def _contract_docs(columns=None) -> dict:
+def _contract_docs() -> dict:
     return {"orders": shipped.load("orders"), "events": shipped.load("events")}
 
 
@@ -693,7 +757,7 @@ def src_contracts(spark, sf):
     outs = []
     for name in ("orders", "events"):
         rules = ct.collect_rules(rules_df, name)
-        r = measure(check(table(spark, sf, name), rules, as_of=AS_OF), rules, dataset=name, run_id="c1", run_ts=RUN_TS, samples=False)
+        r = measure_rules(table(spark, sf, name), rules, dataset=name, run_id="c1", run_ts=RUN_TS, as_of=AS_OF, samples=False)
         outs.append(r.select("dataset_name", "rule_name", "rule_type", "severity", "fail_count"))
     return outs[0].unionByName(outs[1])
 
@@ -703,7 +767,7 @@ def bronze_silver_e2e(spark, sf):
     land = land_customer_csv(spark, sf, scratch_path(spark, "customer_landing"))
     base = scratch_path(spark, "lake")
     run_bronze(spark, CUSTOMER_CONTRACT, f"{base}/bronze_customer", f"{base}/_ckpt_bronze", path=land)
-    bronze = spark.read.parquet(f"{base}/bronze_customer").drop(BATCH_ID)
+    bronze = read_bronze(spark, CUSTOMER_CONTRACT, f"{base}/bronze_customer", land)
     out = run_silver(spark, bronze, CUSTOMER_CONTRACT, base, run_id="e2e", run_ts=RUN_TS, as_of=AS_OF)
     return out.clean.select("c_custkey", "c_acctbal", "c_mktsegment", "c_name")
 
@@ -716,7 +780,7 @@ def bronze_fixed_width_e2e(spark, sf):
     land, base = scratch_path(spark, "customer_fw_landing"), scratch_path(spark, "lake_fw")
     lines.select("value").write.mode("overwrite").text(land)
     run_bronze(spark, contract, f"{base}/bronze", f"{base}/_ckpt_bronze", path=land)
-    bronze = spark.read.parquet(f"{base}/bronze").drop(BATCH_ID)
+    bronze = read_bronze(spark, contract, f"{base}/bronze", land)
     out = run_silver(spark, bronze, contract, base, run_id="fw", run_ts=RUN_TS, as_of=AS_OF)
     return out.clean.select("cust_key", "cust_name", "segment", "balance_dollars")
 
@@ -742,14 +806,31 @@ def dq_report_history(spark, sf):
     )
 
 
+def _expectation_rows(spark, target: str, ckpt: str) -> DataFrame:
+    counts, kept = counted(spark, target, ckpt), spark.read.parquet(target).count()
+    rows = [(name, counts.get(name, 0), kept) for name in expectations(EVENT_RULES)]
+    return spark.createDataFrame(rows, "rule_name string, failed_records long, rows_kept long")
+
+
 def st_expectations(spark, sf):
-    """Monitor-mode expectations on a stream: counted with observe, no row dropped."""
+    """Monitor-mode expectations on a stream: counted per batch, no row dropped."""
     target, ckpt = scratch_path(spark, "st_exp"), scratch_path(spark, "ckpt")
-    q = run_available_now(observe_expectations(st_events_stream(spark, sf), EVENT_RULES, "events_expectations"), target, ckpt)
-    counts = observed(q, "events_expectations")
-    kept = spark.read.parquet(target).count()
-    rows = [(name, int(counts.get(name, 0)), kept) for name in expectations(EVENT_RULES)]
-    return spark.createDataFrame(rows, "rule_name string, failed_records long, rows_kept long")
+    run_available_now(st_events_stream(spark, sf), target, ckpt, counters=expectations(EVENT_RULES))
+    return _expectation_rows(spark, target, ckpt)
+
+
+def st_expectations_many_batches(spark, sf):
+    """The same over more batches than a query keeps progress reports for: the counts stay exact."""
+    land, target, ckpt = (scratch_path(spark, n) for n in ("st_many", "st_exp", "ckpt"))
+    events_feed(spark, sf).repartition(12, "event_id").write.parquet(land)
+    kept = spark.conf.get("spark.sql.streaming.numRecentProgressUpdates", "100")
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "3")
+    try:
+        stream = spark.readStream.schema(table(spark, sf, "events").schema).option("maxFilesPerTrigger", 1).parquet(land)
+        run_available_now(stream, target, ckpt, counters=expectations(EVENT_RULES))
+    finally:
+        spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", kept)
+    return _expectation_rows(spark, target, ckpt)
 
 
 def st_events_stream(spark, sf) -> DataFrame:
@@ -781,25 +862,192 @@ def st_full_refresh(spark, sf):
     return _counts(spark.read.parquet(target))
 
 
+def st_full_refresh_same_checkpoint(spark, sf):
+    target, ckpt = scratch_path(spark, "st_events"), scratch_path(spark, "ckpt")
+    for refresh in (False, True):
+        run_available_now(st_events_stream(spark, sf), target, ckpt, full_refresh=refresh)
+    return _counts(spark.read.parquet(target))
+
+
+def st_two_checkpoints(spark, sf):
+    """Two feeds with checkpoints of their own fill one table; neither replaces the other's batches."""
+    target = scratch_path(spark, "st_events")
+    for _ in range(2):
+        run_available_now(st_events_stream(spark, sf), target, scratch_path(spark, "ckpt"))
+    return _counts(spark.read.parquet(target))
+
+
 def st_foreach_batch_dq(spark, sf):
-    good, bad, ckpt = scratch_path(spark, "st_clean"), scratch_path(spark, "st_quarantine"), scratch_path(spark, "ckpt")
-    rules = [r for r in EVENT_RULES if r.rule_type != "unique"]
+    """All rules per micro-batch, ``unique`` against earlier batches too: a second delivery repeats every seventh event."""
+    land, good, bad, keys, ckpt = (scratch_path(spark, n) for n in ("st_land", "st_clean", "st_quarantine", "st_keys", "ckpt"))
+    events = table(spark, sf, "events")
 
     def route(batch: DataFrame, batch_id: int) -> None:
-        a = check(batch, rules).withColumn(BATCH_ID, F.lit(batch_id).cast("long")).persist()
+        stream = stream_id(batch.sparkSession, ckpt)
+        a = check_batch(batch, EVENT_RULES, keys, stream, batch_id).persist()
         try:
             for part, path in ((clean(a), good), (quarantine(a), bad)):
-                if not part.isEmpty():
-                    part.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BATCH_ID).parquet(path)
+                write_batch(part, path, stream, batch_id)
         finally:
             a.unpersist()
 
-    run_foreach_batch(st_events_stream(spark, sf), route, ckpt)
+    for delivery in (events, events.where("event_id % 7 = 0")):
+        delivery.write.mode("append").parquet(land)
+        run_foreach_batch(spark.readStream.schema(events.schema).parquet(land), route, ckpt)
     g = spark.read.parquet(good).select(F.lit("clean").alias("route"), "event_id")
     b = spark.read.parquet(bad).select(F.lit("quarantine").alias("route"), "event_id")
     return g.unionByName(b).groupBy("route").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+def _customer_run(spark, *feeds: DataFrame) -> DataFrame:
+    """Feeds landed as one file each, through the shipped contract: rows that pass and rows that fail ``unique``."""
+    contract, land, base = shipped.load("customer"), scratch_path(spark, "customer_landing"), scratch_path(spark, "lake")
+    for feed in feeds:
+        write_delimited(feed.coalesce(1), land, delimiter="|", mode="append")
+    run_bronze(spark, contract, f"{base}/bronze", f"{base}/_ckpt", path=land)
+    out = run_silver(spark, read_bronze(spark, contract, f"{base}/bronze", land), contract, base, run_id="u", run_ts=RUN_TS, as_of=AS_OF)
+    failed_rows = out.results.where("rule_name = 'custkey_unique'").select("fail_count")
+    return failed_rows.withColumn("clean_keys", F.lit(out.clean.select("c_custkey").distinct().count())).withColumn("clean_rows", F.lit(out.clean.count()))
+
+
+def _customer_strings(spark, sf) -> DataFrame:
+    return table(spark, sf, "customer").select(*[F.col(x["name"]).cast("string").alias(x["name"]) for x in CUSTOMER_CSV_COLUMNS])
+
+
+def dq_unique_repeated_line(spark, sf):
+    """Every fifth customer stands twice in one landed file."""
+    c = _customer_strings(spark, sf)
+    return _customer_run(spark, c.unionAll(c.where("c_custkey % 5 = 0")))
+
+
+def dq_unique_redelivered(spark, sf):
+    """The customer file is delivered twice."""
+    c = _customer_strings(spark, sf)
+    return _customer_run(spark, c, c)
+
+
+def silver_table_clean(spark, sf):
+    """The silver table on disk holds the rows that pass, and nothing else."""
+    base = scratch_path(spark, "lake")
+    contract = {"dataset": {"name": "orders"}, "silver": {"table_name": "silver_orders"}}
+    run_silver(spark, orders_feed(spark, sf), contract, base, rules=ORDER_RULES, run_id="c", run_ts=RUN_TS, as_of=AS_OF)
+    return spark.read.parquet(f"{base}/silver_orders").select("o_orderkey", "o_orderstatus")
+
+
+def q_rerun_repaired(spark, sf):
+    """A run on bad rows, then the same run on repaired ones: nothing of the first attempt is left."""
+    base = scratch_path(spark, "rerun")
+    contract = {"dataset": {"name": "orders"}, "silver": {"table_name": "silver_orders"}}
+    repaired = orders_feed(spark, sf).where("o_custkey IS NOT NULL")
+    for feed in (orders_feed(spark, sf), repaired):
+        run_silver(spark, feed, contract, base, rules=ORDER_RULES[:1], run_id="same-run", run_ts=RUN_TS, as_of=AS_OF)
+    left = spark.read.schema("o_orderkey long, run_id string").parquet(f"{base}/orders_quarantine").where("run_id = 'same-run'")
+    res = read_results_history(spark, f"{base}/dq_results")
+    silver = spark.read.parquet(f"{base}/silver_orders").count()
+    return res.select("rule_name", "total_count", "fail_count", F.lit(left.count()).alias("quarantined"), F.lit(silver).alias("silver_rows"))
+
+
+def src_contract_lint(spark, sf):
+    """Problems of contracts about the given tables, with the tables' own columns; and the rows of each table."""
+    path = scratch_path(spark, "contracts")
+    bad = shipped.load("orders") | {"dataset": {"name": "lineitem", "columns": []}}
+    rule = lambda name, column, kind, **params: {"rule_name": name, "column": column, "rule_type": kind, "severity": "error", "params": params}
+    bad["quality"] = [
+        rule("a", "l_nothing", "not_null"), rule("b", "l_tax", "checksum"), rule("c", "l_tax", "range"), rule("c", "l_tax", "range", min=2, max=1),
+        rule("d", "l_shipmode", "accepted_values"), rule("e", "l_quantity", "range", min=0),
+    ]
+    ct.write_contracts(spark, _contract_docs() | {"lineitem": bad}, path)
+    names = ("orders", "events", "lineitem")
+    columns = spark.createDataFrame([(t, c) for t in names for c in table(spark, sf, t).columns], "dataset_name string, column string")
+    found = ct.lint(ct.read_contracts(spark, path, ct.WRITTEN_GLOB, recursive=True), columns)
+    return found.select("rule_index", "problem", F.lit(table(spark, sf, "lineitem").count()).alias("rows_in_table"))
+
+
+# ---------------------------------------------------------------------------
+# Gold from silver: contract -> landed files -> bronze -> silver -> mart table
+# ---------------------------------------------------------------------------
+
+
+def _contract(name: str, columns, transforms, quality) -> dict:
+    return {
+        "apiVersion": "v3.0.0", "kind": "DataContract", "id": f"urn:datacontract:{name}",
+        "dataset": {"name": name, "columns": [{"name": c, "type": "string", "description": c.replace("_", " ")} for c in columns]},
+        "source": {"path": name, "format": "csv", "options": {"header": "true"}},
+        "silver": {"table_name": f"silver_{name}", "transforms": [{"column": c, "expr": e} for c, e in transforms.items()]},
+        "quality": [dict(zip(("rule_name", "column", "rule_type", "severity", "params"), q)) for q in quality],
+    }
+
+
+def _to_silver(spark, feeds: dict[str, tuple[dict, DataFrame]]) -> str:
+    """Land the feeds, refine their contracts in one run; returns the lake's base path."""
+    root, base, cpath = scratch_path(spark, "landing"), scratch_path(spark, "lake"), scratch_path(spark, "contracts")
+    for name, (contract, feed) in feeds.items():
+        write_delimited(feed.select(*[F.col(c["name"]).cast("string").alias(c["name"]) for c in contract["dataset"]["columns"]]), f"{root}/{name}")
+    ct.write_contracts(spark, {name: contract for name, (contract, _) in feeds.items()}, cpath)
+    refine_all(spark, cpath, root, base, run_id="gold", run_ts=RUN_TS, as_of=MART_AS_OF, glob=ct.WRITTEN_GLOB, recursive=True)
+    return base
+
+
+def _publish(spark, df: DataFrame, name: str, comment: str) -> DataFrame:
+    """Save a mart as a catalog table with comment and properties, and read it back."""
+    path = scratch_path(spark, name)
+    return spark.read.table(save_table(df, f"{name}_{path[-12:]}", path, comment, {"layer": "gold", "quality": "checked"}))
+
+
+MONEY = "CAST({} AS DECIMAL(18, 2))"
+
+
+def _advisor_lake(spark, sf) -> str:
+    clients = _contract(
+        "clients", ("client_id", "advisor_id", "account_type", "region", "risk_rating", "aum"),
+        {"risk_rating": "CAST(risk_rating AS INT)", "aum": MONEY.format("aum")},
+        [("client_known", "client_id", "not_null", "critical", {}), ("aum_range", "aum", "range", "error", {"min": 20000})],
+    )
+    apps = _contract(
+        "apps", ("app_id", "advisor_id", "status", "credit_score"), {"credit_score": MONEY.format("credit_score")},
+        [("status_known", "status", "accepted_values", "error", {"values": ["CLICK", "PURCHASE", "VIEW"]})],
+    )
+    return _to_silver(spark, {"clients": (clients, mart_clients(spark, sf)), "apps": (apps, mart_apps(spark, sf))})
+
+
+def gold_advisors(spark, sf):
+    base = _advisor_lake(spark, sf)
+    mart = marts.advisor_portfolio(spark.read.parquet(f"{base}/silver_clients"), spark.read.parquet(f"{base}/silver_apps"), approved="PURCHASE")
+    return _advisor_columns(_publish(spark, mart, "advisors", "Clients and applications by advisor"))
+
+
+def gold_snapshot(spark, sf):
+    clients, accounts = snapshot_sides(spark, sf)
+    c = _contract(
+        "clients", clients.columns, {"risk_rating": "CAST(risk_rating AS INT)", "aum": "CAST(aum AS DOUBLE)"},
+        [("aum_positive", "aum", "range", "error", {"min": 0})],
+    )
+    a = _contract(
+        "accounts", accounts.columns, {"account_number": "CAST(account_number AS BIGINT)", "balance_dollars": "CAST(balance_dollars AS DOUBLE)", "open_date": "CAST(open_date AS DATE)"},
+        [("state_format", "state_code", "regex", "error", {"pattern": "^[12345]-.*"})],
+    )
+    base = _to_silver(spark, {"clients": (c, clients), "accounts": (a, accounts)})
+    sides = [spark.read.parquet(f"{base}/silver_{n}") for n in ("clients", "accounts")]
+    snap = marts.balance_snapshot(*sides, as_of=MART_AS_OF, active_status="F", prefix_start=10, prefix_len=9)
+    return _snapshot_columns(_publish(spark, snap, "snapshot", "Active accounts of clients"))
+
+
+def gold_health(spark, sf):
+    """The rule-health mart over the results that refining wrote, in report order (shown as a position)."""
+    results = read_results_history(spark, f"{_advisor_lake(spark, sf)}/dq_results")
+    ranked = marts.rule_health(results, ordered=False).withColumn("position", marts.report_position())
+    out = _publish(spark, ranked, "health", "Rule health over all runs")
+    return out.select("position", "dataset_name", "rule_name", "severity", "latest_run_fail_pct", "status_flag")
+
+
+def gold_table_facts(spark, sf):
+    """Comment and properties of a mart's catalog table, and its rows."""
+    path = scratch_path(spark, "regions")
+    per = table(spark, sf, "nation").groupBy("n_regionkey").agg(F.count(F.lit(1)).alias("n"))
+    name = save_table(per, f"regions_{path[-12:]}", path, "Nations by region, it's small", {"layer": "gold"})
+    return table_facts(spark, name).where("property IN ('comment', 'layer')").withColumn("n_rows", F.lit(spark.read.table(name).count()))
+
+
 def q_rerun_safe(spark, sf):
     base = scratch_path(spark, "rerun")
     o = orders_feed(spark, sf)
@@ -824,7 +1072,10 @@ an_malformed an_two_sided an_status an_truncate an_fixed_code an_negative an_bad
 an_framework an_report an_detect src_batch_lookup src_comments src_delimited src_fixed_width
 src_fixed_width_truncated src_contracts bronze_silver_e2e st_ingest st_rerun st_full_refresh
 st_foreach_batch_dq q_rerun_safe dq_lineitem_rules dq_unique_hot bronze_fixed_width_e2e dq_report_history
-st_expectations dq_summary_lines refine_contracts_e2e dq_unique_default
+st_expectations dq_summary_lines refine_contracts_e2e dq_unique_default dq_unique_ties dq_unique_null_tie
+dq_unique_repeated_line dq_unique_redelivered st_two_checkpoints st_full_refresh_same_checkpoint
+st_expectations_many_batches src_contract_lint q_rerun_repaired silver_table_clean gold_advisors
+gold_snapshot gold_health gold_table_facts an_reuse_prefix an_detect_formats an_detect_duplicates
 """.split()
 
 QUERIES: dict[str, Query] = {name: globals()[name] for name in NAMES}

@@ -439,13 +439,70 @@ UNION ALL SELECT 'props_format', count_if({EVENT_FLAGS[2]}), (SELECT count(*) FR
     "st_rerun": "SELECT count(*) AS n_rows, count(DISTINCT event_id) AS n_distinct FROM events",
     "st_full_refresh": "SELECT count(*) AS n_rows, count(DISTINCT event_id) AS n_distinct FROM events",
     "st_foreach_batch_dq": f"""SELECT route, count(*) AS n_rows FROM (
-  SELECT CASE WHEN {' OR '.join(EVENT_FLAGS[:4])} THEN 'quarantine' ELSE 'clean' END AS route FROM events)
+  SELECT CASE WHEN {' OR '.join(EVENT_FLAGS)} THEN 'quarantine' ELSE 'clean' END AS route FROM events
+  UNION ALL SELECT 'quarantine' FROM events WHERE event_id % 7 = 0)
 GROUP BY route""",
+    "st_full_refresh_same_checkpoint": "SELECT count(*) AS n_rows, count(DISTINCT event_id) AS n_distinct FROM events",
+    "st_two_checkpoints": "SELECT 2 * count(*) AS n_rows, count(DISTINCT event_id) AS n_distinct FROM events",
+    "st_expectations_many_batches": "\nUNION ALL\n".join(
+        f"SELECT '{r.rule_name}' AS rule_name, count_if({f}) AS failed_records, count(*) AS rows_kept FROM ({EVENTS_FEED})" for r, f in zip(C.EVENT_RULES[:3], EVENT_FLAGS)
+    ),
+    "dq_unique_ties": """SELECT o_orderkey FROM (
+  SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS rn FROM (SELECT * FROM orders UNION ALL SELECT * FROM orders))
+WHERE o_custkey IS NOT NULL AND rn > 1""",
+    "dq_unique_null_tie": "SELECT o_custkey, count(*) - 1 AS n_failed FROM orders WHERE o_custkey IS NOT NULL GROUP BY o_custkey HAVING count(*) > 1",
+    "dq_unique_repeated_line": """SELECT count_if(c_custkey % 5 = 0) AS fail_count,
+       CAST(count_if(c_acctbal >= 0) AS INTEGER) AS clean_keys, CAST(count_if(c_acctbal >= 0) AS INTEGER) AS clean_rows FROM customer""",
+    "dq_unique_redelivered": """SELECT count(*) AS fail_count,
+       CAST(count_if(c_acctbal >= 0) AS INTEGER) AS clean_keys, CAST(count_if(c_acctbal >= 0) AS INTEGER) AS clean_rows FROM customer""",
+    "silver_table_clean": f"""{ORDERS_WITH}
+SELECT o_orderkey, o_orderstatus FROM flags WHERE NOT ({ANY_FLAG})""",
+    "q_rerun_repaired": f"""SELECT 'cust_not_null' AS rule_name, count(*) AS total_count, CAST(0 AS BIGINT) AS fail_count,
+       CAST(0 AS INTEGER) AS quarantined, CAST(count(*) AS INTEGER) AS silver_rows FROM ({ORDERS_FEED}) WHERE o_custkey IS NOT NULL""",
+    "src_contract_lint": """SELECT * FROM (SELECT CAST(count(*) AS INTEGER) AS rows_in_table FROM lineitem), (VALUES
+  (0, 'rule ''a'' is about unknown column ''l_nothing'''), (1, 'rule kind ''checksum'' is not supported'),
+  (2, 'a rule of kind range has no bound'), (2, 'duplicate rule_name ''c'''), (3, 'lower bound 2.0 is above upper bound 1.0'),
+  (4, 'rule ''d'' is about unknown column ''l_shipmode'''), (4, 'a rule of kind accepted_values lacks its parameter ''values''')) AS v(rule_index, problem)""",
+    "an_reuse_prefix": f"""
+WITH d AS ({donors("(SELECT substring(c_name, 1, 16) AS p FROM customer)", 'p', 500)})
+SELECT o_orderkey, CASE WHEN {pick('reuse_prefix', 'o_orderkey', 0.7)} THEN (SELECT v FROM d WHERE d.i = {choice('reuse_prefix:slot', 'o.o_orderkey', 500)} % d.m)
+       ELSE o_orderpriority END AS client_prefix
+FROM orders o""",
+    "an_detect_formats": "\nUNION ALL\n".join(
+        f"SELECT '{name}' AS rule_name, count_if({p}) AS injected, count_if({p}) AS detected, count_if({p}) AS both FROM {t}"
+        for name, p, t in (
+            ("date_format", pick("format_error", "o_orderkey", 0.02), "orders"), ("exact_length", pick("format_error", "c_custkey", 0.02), "customer"),
+            ("range_both", pick("out_of_range", "p_partkey", 0.03), "part"), ("range_negative", pick("out_of_range", "c_custkey", 0.03), "customer"),
+            ("regex", pick("format_error", "c_custkey", 0.05), "customer"),
+        )
+    ),
+    "an_detect_duplicates": f"SELECT count_if({pick('duplicate', 'c_custkey', 0.02)}) AS injected, count_if({pick('duplicate', 'c_custkey', 0.02)}) AS detected FROM customer",
+    "gold_health": """
+WITH r AS (
+  SELECT 'clients' AS dataset_name, 'client_known' AS rule_name, 'CRITICAL' AS severity, 0.0::DOUBLE AS pct UNION ALL
+  SELECT 'clients', 'aum_range', 'ERROR', round(count_if(CAST(o_totalprice AS DECIMAL(18, 2)) < 20000) / count(*) * 100, 2) FROM orders UNION ALL
+  SELECT 'apps', 'status_known', 'ERROR', round(count_if(upper(event_type) NOT IN ('CLICK', 'PURCHASE', 'VIEW')) / count(*) * 100, 2) FROM events)
+SELECT CAST(row_number() OVER (ORDER BY CASE severity WHEN 'CRITICAL' THEN 1 ELSE 2 END, pct DESC, dataset_name, rule_name) AS INTEGER) AS position,
+       dataset_name, rule_name, severity, pct AS latest_run_fail_pct,
+       CASE WHEN severity = 'ERROR' AND pct > 5 THEN 'INVESTIGATE' ELSE 'HEALTHY' END AS status_flag FROM r""",
+    "gold_table_facts": """SELECT property, value, CAST((SELECT count(DISTINCT n_regionkey) FROM nation) AS INTEGER) AS n_rows
+FROM (VALUES ('comment', 'Nations by region, it''s small'), ('layer', 'gold')) AS v(property, value)""",
     "q_rerun_safe": f"""{ORDERS_WITH}
 SELECT 'dq_results' AS table_name, CAST({len(C.ORDER_RULES)} AS BIGINT) AS n_rows
 UNION ALL SELECT 'quarantine', count(*) FROM flags WHERE {ANY_FLAG}""",
 }
 
+ORACLE["gold_advisors"] = (
+    ORACLE["jn_left_fanout"]
+    .replace("AS aum FROM orders)", "AS aum FROM orders WHERE CAST(o_totalprice AS DECIMAL(18, 2)) >= 20000)")
+    .replace("AS credit_score FROM events)", "AS credit_score FROM events WHERE upper(event_type) IN ('CLICK', 'PURCHASE', 'VIEW'))")
+)
+ORACLE["gold_snapshot"] = (
+    ORACLE["jn_prefix_inner"]
+    .replace("AS aum FROM customer)", "AS aum FROM customer WHERE c_acctbal >= 0)")
+    .replace("WHERE o_orderstatus = 'F')", "WHERE o_orderstatus = 'F' AND regexp_matches(o_orderpriority, '^[12345]-.*'))")
+)
+
 
 def _bigint_counts(sql: str) -> str:
     """DuckDB's count_if returns HUGEINT; Spark's returns BIGINT.  Wrap each call in a cast."""
