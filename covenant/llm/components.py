@@ -11,7 +11,7 @@ from .common import stage
 def _large(edges: DataFrame) -> DataFrame:
     both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-    return both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+    return both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
 def _small(edges: DataFrame) -> DataFrame:
@@ -32,12 +32,10 @@ def connected(links: DataFrame, a: str, b: str) -> DataFrame:
     edges = stage(
         links.where(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct(), "edges"
     )
-    seen = None
-    while True:
-        edges = stage(_small(_large(edges)), "edges")
-        now = tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
-        if now == seen:
-            break
-        seen = now
+    sign = lambda e: tuple(e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+    seen, now = None, sign(edges)
+    while now != seen:
+        edges, seen = stage(_small(_large(edges)), "edges"), now
+        now = sign(edges)
     roots = edges.select(F.col("v").alias("node")).distinct().withColumn("label", F.col("node"))
     return edges.select(F.col("u").alias("node"), F.col("v").alias("label")).union(roots)
