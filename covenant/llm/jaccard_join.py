@@ -30,8 +30,12 @@ from .common import WordIds, grouped, mix, stage, texts_of
 from .components import connected
 
 SHINGLE, PERCENT = 3, 90
+#: Near copies in the pipeline: five words, 0.8.
+STAGE_SHINGLE, STAGE_PERCENT = 5, 80
 #: Sets and elements of a sub-block; a task holds two of them.
 BLOCK_SETS, BLOCK_ITEMS = 1024, 1_000_000
+#: Signatures compared in one bucket; a bucket's task holds them as arrays.
+BUCKET_SIGS = 2_000_000
 
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
@@ -95,6 +99,43 @@ def _sets(batches: Iterator[pa.RecordBatch], shingle: int, percent: int) -> Iter
         yield pa.record_batch([b.column("doc_id"), pa.array(n, pa.int64()), pa.array(fps, pa.binary()), lists], names=["doc_id", "n", "fp", "sigs"])
 
 
+def _parts(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
+    """Packed signatures by bucket, one (its smallest doc_id) of those that agree in a batch; the others as links (a, b)."""
+    for batch in batches:
+        lists = batch.column("sigs")
+        sig = lists.flatten().to_numpy()
+        doc = np.repeat(batch.column("doc_id").to_numpy(), np.diff(lists.offsets.to_numpy()))
+        if not len(sig):
+            continue
+        a, b, first = _agreeing(sig, doc)
+        sig, doc = sig[first], doc[first]
+        bucket = (sig.view(np.uint64) % np.uint64(buckets)).astype(np.int32)
+        order = np.argsort(bucket, kind="stable")
+        cuts = np.flatnonzero(np.diff(bucket[order], prepend=-1, append=buckets))
+        rows = [(int(bucket[order[x]]), sig[order[x:y]].tobytes(), doc[order[x:y]].tobytes(), b"", b"") for x, y in zip(cuts[:-1], cuts[1:])]
+        rows[0] = (*rows[0][:3], a.tobytes(), b.tobytes())
+        types = [pa.int32()] + [pa.binary()] * 4
+        yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=["bucket", "sigs", "docs", "a", "b"])
+
+
+def _agreeing(sig: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(doc, smallest doc with the same signature), each pair once, and the index of that smallest one per signature."""
+    order = np.lexsort((doc, sig))
+    new = np.concatenate([[True], sig[order][1:] != sig[order][:-1]])
+    low = doc[order][new][np.cumsum(new) - 1]
+    pair = np.stack([doc[order], low])[:, doc[order] != low]
+    pair = np.unique(pair, axis=1) if pair.size else pair
+    return pair[0], pair[1], order[new]
+
+
+def _agree(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links (doc_id, low) between documents with a signature in common; rows sorted by bucket."""
+    for t in grouped(batches, ["bucket"]):
+        arrays = lambda c: np.frombuffer(b"".join(t.column(c).to_pylist()), np.int64)
+        a, b, _ = _agreeing(arrays("sigs"), arrays("docs"))
+        yield pa.record_batch([pa.array(np.append(arrays("a"), a)), pa.array(np.append(arrays("b"), b))], names=["doc_id", "low"])
+
+
 def _items(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[pa.RecordBatch]:
     ids = WordIds()
     for b in batches:
@@ -200,14 +241,16 @@ def join_groups(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT,
     sets = stage(sets, "sets")
     known = sets.where("doc_id IS NOT NULL AND n > 0")
 
-    parts = known.select("doc_id", F.explode("sigs").alias("sig"))
-    first = parts.groupBy("sig").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").drop("high")
-    near = parts.join(first, "sig").where("doc_id > low").select("doc_id", "low")
+    signed = known.where(F.size("sigs") > 0).select("doc_id", "sigs")
+    buckets = max(1, -(-(signed.agg(F.sum(F.size("sigs"))).first()[0] or 0) // BUCKET_SIGS))
+    parts = signed.mapInArrow(lambda b: _parts(b, buckets), "bucket int, sigs binary, docs binary, a binary, b binary")
+    near = parts.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_agree, "doc_id long, low long")
     block = stage(connected(near, "doc_id", "low").select(F.col("node").alias("doc_id"), F.col("label").alias("block")), "blocks")
 
     per = known.select("doc_id", "n").join(block, "doc_id").groupBy("block").agg(F.count("*").alias("sets"), F.sum("n").alias("items"))
     per = per.select("block", F.greatest(F.ceil(F.col("sets") / block_sets), F.ceil(F.col("items") / block_items)).cast("int").alias("m"))
-    items = text.join(block, "doc_id").select("block", "doc_id", "text").mapInArrow(lambda b: _items(b, shingle), "block long, doc_id long, items binary")
+    # merge: the same plan at every size, whatever share of the documents has neighbours
+    items = text.join(block.hint("merge"), "doc_id").select("block", "doc_id", "text").mapInArrow(lambda b: _items(b, shingle), "block long, doc_id long, items binary")
     cells = items.join(per, "block").withColumn("own", F.pmod(F.xxhash64("doc_id"), F.col("m")).cast("int"))
     cells = cells.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("m") - 1))).where("m = 1 OR own <> other")
     cells = cells.select("block", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "doc_id", "items")
@@ -227,7 +270,7 @@ def op5(spark, sf_dir: str) -> DataFrame:
 
 def stage_join(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: the document with the smallest doc_id of each group stays, once; rows without a doc_id stay."""
-    kept = join_groups(docs).where("doc_id = component_id").select("doc_id").distinct()
+    kept = join_groups(docs, STAGE_SHINGLE, STAGE_PERCENT).where("doc_id = component_id").select("doc_id").distinct()
     named = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
     return named.unionByName(docs.where("doc_id IS NULL"))
 
