@@ -77,23 +77,26 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int,
     for length in sorted(histogram, reverse=True):
         rank, left = 0, histogram[length]
         while left:
-            r = next((r for r in range(length, capacity + 1) if room.get(r)), None)
-            if r is None:
-                n = -(-left // (capacity // length))
-                room[capacity].append((opened, n))
+            r = next((r for r in range(length, capacity + 1) if room.get(r)), capacity)
+            if not room[r]:
+                n = max(1, left // (capacity // length))
+                room[r].append((opened, n))
                 opened += n
-                continue
             first, n = room[r].pop()
-            take = min(n, left)
+            each = r // length  # a sequence takes all it can before the next one
+            take = min(n, left // each)
+            if not take:
+                take, each = 1, left
             if take < n:
                 room[r].append((first + take, n - take))
-            rest = room[r - length]
+            for i in range(each):
+                runs.append((length, rank, take, first, capacity - r + i * length))
+                rank, left = rank + take, left - take
+            rest = room[r - each * length]
             if rest and rest[-1][0] + rest[-1][1] == first:
                 rest[-1] = (rest[-1][0], rest[-1][1] + take)
             else:
                 rest.append((first, take))
-            runs.append((length, rank, take, first, capacity - r))
-            rank, left = rank + take, left - take
     return runs
 
 
