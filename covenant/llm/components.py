@@ -10,7 +10,7 @@ from .common import stage
 
 def _large(edges: DataFrame) -> DataFrame:
     both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+    low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
     return both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 

@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stage
+from .common import broadcast_checked, stage
 
 SCALE, PIVOTS, PIVOT_SAMPLE = 256.0, 32, 256
 #: Vectors in a block of queries and of candidates; a task holds one of each.
@@ -122,7 +122,7 @@ def search(vectors: DataFrame, is_query: F.Column, k: int = 5, id_col: str = "ve
     table = index(vectors, id_col, vec_col)
     sizes = table.groupBy("dim").agg(F.count("*").alias("n"), F.count_if(is_query).alias("nq"))
     sizes = sizes.select("dim", F.ceil(F.col("n") / BLOCK).cast("int").alias("nc"), F.ceil(F.col("nq") / QUERY_BLOCK).cast("int").alias("nb")).where("nb > 0")
-    rows = table.join(F.broadcast(sizes), "dim")  # a row for each vector length
+    rows = table.join(broadcast_checked(sizes, sizes.count()), "dim")  # a row for each vector length
     spread = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
     each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     cols = ["dim", "qb", "cb", "asks", "id", "x", "norm", "far"]
