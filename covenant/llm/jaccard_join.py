@@ -20,6 +20,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from hashlib import blake2b
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +34,7 @@ SHINGLE, PERCENT = 3, 90
 #: Near copies in the pipeline: five words, 0.8.
 STAGE_SHINGLE, STAGE_PERCENT = 5, 80
 #: Sets and elements of a sub-block; a task holds two of them.
-BLOCK_SETS, BLOCK_ITEMS = 1024, 1_000_000
+BLOCK_SETS, BLOCK_ITEMS = 512, 1_000_000
 #: Signatures compared in one bucket; a bucket's task holds them as arrays.
 BUCKET_SIGS = 2_000_000
 
@@ -159,40 +160,48 @@ class PrefixTree:
         self.nodes = np.concatenate(new) if new else np.zeros(0, np.int64)
         self.sizes = np.array([len(s) for s in sets])
 
-    def links(self, probe: np.ndarray, member: np.ndarray) -> list[int]:
-        """Indexes of the sets that link with ``probe``; ``member`` is its membership by element."""
-        t, p = self.percent, len(probe)
+    def links(self, probes: list[np.ndarray], width: int) -> list[tuple[int, int]]:
+        """(probe, set) index pairs that link; the probes walk the tree side by side, elements are below ``width``."""
+        t, m = self.percent, len(probes)
         low, high = int(self.sizes.min()), int(self.sizes.max())
-        hit = member[self.nodes]
-        run = np.concatenate([[0], np.cumsum(hit)])
-        overlap = np.zeros(high + 1, np.int64)
-        need = -(-t * (p + low) // (100 + t))  # the least overlap any set here needs
+        size = np.array([len(p) for p in probes])
+        member = np.zeros((m, width), np.int32)
+        for row, p in zip(member, probes):
+            row[p] = 1
+        run = np.zeros((m, len(self.nodes) + 1), np.int32)
+        np.cumsum(member[:, self.nodes], axis=1, out=run[:, 1:])
+        after = size[:, None] - np.cumsum(member, axis=1, dtype=np.int32)[:, self.nodes]  # probe elements behind each node
+        overlap = np.zeros((m, high + 1), np.int32)
+        need = -(-t * (size + low) // (100 + t))  # the least overlap any set here needs
         out, dead = [], -1
         for i, k in enumerate(self.shared):
             if 0 <= dead <= k:
                 continue
             dead = -1
-            a, b = self.at[i], self.at[i + 1]
-            n = int(self.sizes[i])
-            path = overlap[k] + run[a + 1 : b + 1] - run[a]
-            overlap[k + 1 : n + 1] = path
-            both = int(overlap[n])
-            if 100 * both >= t * (p + n - both):
-                out.append(i)
-            if b - a > 1 and both < need:
-                # what a set of this subtree can still gain: probe elements after the node, and its own
-                left = np.minimum(p - np.searchsorted(probe, self.nodes[a:b], side="right"), high - np.arange(k + 1, n + 1))
-                lost = np.flatnonzero(path + left < need)
-                if len(lost):
-                    dead = k + 1 + int(lost[0])
+            a, b, n = self.at[i], self.at[i + 1], int(self.sizes[i])
+            path = overlap[:, k : k + 1] + run[:, a + 1 : b + 1] - run[:, a : a + 1]
+            overlap[:, k + 1 : n + 1] = path
+            both = overlap[:, n]
+            hits = np.flatnonzero(100 * both >= t * (size + n - both))
+            out.extend((int(j), i) for j in hits)
+            if b - a > 1 and not len(hits):
+                # what a set of this subtree can still gain: probe elements behind the node, and its own
+                left = np.minimum(after[:, a:b], high - np.arange(k + 1, n + 1))
+                lost = (path + left < need[:, None]).all(0)
+                if lost.any():
+                    dead = k + 1 + int(np.argmax(lost))
         return out
 
 
+#: Cells of the arrays with which probes walk together.
+WALK_CELLS = 8_000_000
+
+
 def tree_links(items: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
     """Links that keep the linked sets of one block connected.
 
-    Each set probes only sets not reached yet; the tree is built anew whenever
-    half of its sets have been reached.
+    Sets that were reached probe those not reached yet, many together; the tree
+    is built anew whenever half of its sets have been reached.
     """
     values, code, count = np.unique(np.concatenate(items), return_inverse=True, return_counts=True)
     order = np.empty(len(values), np.int64)
@@ -200,25 +209,23 @@ def tree_links(items: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
     cuts = np.cumsum([0, *map(len, items)])
     sets = [np.sort(order[code[a:b]]) for a, b in zip(cuts[:-1], cuts[1:])]
     todo = sorted(range(len(sets)), key=lambda i: sets[i].astype(">u4").tobytes())
-    out, queue, member = [], [], np.zeros(len(values), bool)
-    alive, tree, held = set(todo), None, []
+    out, queue, alive, tree, held = [], [], dict.fromkeys(todo), None, []
     while alive:
-        if not queue:
-            queue.append(next(i for i in todo if i in alive))
-            alive.discard(queue[0])
-        if not alive:
-            break
         if tree is None or 2 * len(alive) <= len(held):
-            todo = held = [i for i in todo if i in alive]
+            held = list(alive)
             tree = PrefixTree([sets[i] for i in held], percent)
-        i = queue.pop()
-        member[sets[i]] = True
-        for j in tree.links(sets[i], member):
+        m = max(1, min(64, WALK_CELLS // max(len(values), len(tree.nodes))))
+        seeds = list(islice(alive, max(0, m - len(queue))))  # walk with the sets reached before
+        for i in seeds:
+            del alive[i]
+        probes, queue, fresh = queue[:m] + seeds, queue[m:], set(seeds)
+        for p, j in tree.links([sets[i] for i in probes], len(values)):
             if held[j] in alive:
-                alive.discard(held[j])
+                del alive[held[j]]
                 queue.append(held[j])
-                out.append((i, held[j]))
-        member[sets[i]] = False
+                out.append((probes[p], held[j]))
+            elif held[j] in fresh and held[j] != probes[p]:
+                out.append((probes[p], held[j]))
     return out
 
 
