@@ -7,10 +7,11 @@ Layout:
               anomaly injectors, sinks
   plans/      composed jobs: bronze, silver, marts
   streaming/  incremental file ingestion (availableNow) and per-batch checks
+  llm/        training-data operators; nothing else imports them
 """
 
 from .functions.rules import Rule
 from .operators.checks import check, pass_all
-from .operators.metrics import measure, severity_totals, enforce
+from .operators.metrics import enforce, measure, measure_rules, severity_totals
 
-__all__ = ["Rule", "check", "pass_all", "measure", "severity_totals", "enforce"]
+__all__ = ["Rule", "check", "pass_all", "measure", "measure_rules", "severity_totals", "enforce"]
