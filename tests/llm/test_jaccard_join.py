@@ -25,10 +25,10 @@ def near_texts(seed=1, n=60):
 EDGES = [(1, None), (2, ""), (3, " \t\n"), (4, "one"), (5, "ONE "), (6, "one two"), (7, "two one"), (8, "ÀB c d"), (9, "àb c d")]
 
 
-@pytest.mark.parametrize("n,percent,sets", [(3, 90, 1024), (5, 80, 1024), (3, 80, 2)])
-def test_groups_equal_brute_force(spark, n, percent, sets):
+@pytest.mark.parametrize("n,percent,near,sets", [(3, 90, "parts", 512), (5, 80, "rare", 512), (3, 80, "parts", 2), (3, 90, "rare", 2)])
+def test_groups_equal_brute_force(spark, n, percent, near, sets):
     docs = EDGES + near_texts() + [(500, "x " * 5000 + "y"), (501, "x " * 5000 + "y")]
-    got = J.join_groups(spark.createDataFrame(docs, "doc_id long, text string"), n, percent, sets, 200 if sets == 2 else J.BLOCK_ITEMS)
+    got = J.join_groups(spark.createDataFrame(docs, "doc_id long, text string"), n, percent, near, sets, 200 if sets == 2 else J.BLOCK_ITEMS)
     want, size = jaccard_components(docs, n, percent)
     assert {r.doc_id: (r.component_id, r.n_shingles) for r in got.collect()} == {i: (want[i], size[i]) for i, _ in docs}
     assert len(set(want.values())) < len(docs) - 10
@@ -46,7 +46,7 @@ def test_repeated_rows_null_ids_and_other_columns(spark):
 
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
-    assert J.join_groups(docs).collect() == []
+    assert J.join_groups(docs).collect() == [] and J.join_groups(docs, near="rare").collect() == []
 
 
 def test_tree_prunes_but_loses_nothing():

@@ -89,7 +89,6 @@ def test_token_counts_across_blocks(spark, tmp_path, block):
     docs = DOCS[:20]
     C.write_token_files(spark.createDataFrame(docs, "doc_id long, text string").coalesce(2), f"{tmp_path}/t")
     got = C.scan(spark, f"{tmp_path}/t", block_tokens=block).collect()
-    assert sorted(r.tokens for r in got) == sorted(len([x for x in whole(t or "") if x != 50256]) for i, t in docs if i != 6) + [] or True
     for path in {r.path for r in got}:
         at = 0
         for k, r in enumerate(sorted((r for r in got if r.path == path), key=lambda r: r.doc)):
@@ -123,9 +122,11 @@ def test_language_on_held_out_documents(spark):
 
 
 def test_language_cases(spark):
-    train = [(i, t, lang) for i, (t, lang) in enumerate([("the of and that with this " * 30, "en"), ("der die und nicht ein ist " * 30, "de")] * 40)]
+    r = np.random.default_rng(0)
+    prose = lambda letters: " ".join("".join(r.choice(list(letters), 5)) for _ in range(150))
+    train = [(i, *x) for i in range(40) for x in (("the of and that with this " + prose("abdehinost"), "en"), ("der die und nicht ein ist " + prose("cdeginrstu"), "de"))]
     model = G.fit(spark.createDataFrame(train, "doc_id long, text string, lang string"), clusters=2)
-    rows = [(1, "the and with", "x"), (2, "nicht die", None), (3, None, "en"), (4, " 123 ?!", "en"), (5, "", None), (6, "the and " * 200_000, None), (6, "字" * 400, None)]
+    rows = [(1, "the and with", "x"), (2, "nicht die", None), (3, None, "en"), (4, " 123 ?!", "en"), (5, "", None), (6, "the and " * 200_000, None), (6, "".join(chr(0x4E00 + i) for i in range(400)), None)]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang_pred string")
     got = [(r.doc.doc_id, r.lang_pred, r.rejected) for r in G.classify(df, model).collect()]
     assert got[:6] == [(1, "en", False), (2, "de", False), (3, "und", True), (4, "und", True), (5, "und", True), (6, "en", False)]
