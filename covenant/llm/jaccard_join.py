@@ -1,9 +1,13 @@
 """Groups of documents whose sets of word n-grams have a Jaccard similarity of at least t percent.
 
-Sets that may link are brought together by parts: hash ranges split a set into
-more parts than two linked sets of its size may differ in elements, so linked
-sets agree on a whole part.  Chains of agreeing parts make candidate blocks.  In
-a block the sets, ordered by how common their elements are there, share a
+Sets that may link are brought together by signatures, in one of two ways.  By
+``parts``: hash ranges split a set into more parts than two linked sets of its
+size may differ in elements, so linked sets agree on a whole part; that suits
+high thresholds, whose parts are large.  By ``rare`` elements: in one order of
+all n-grams, by counts of hash slots over all documents and then by hash, linked
+sets have an element in common among the first few of each; that suits lower
+thresholds with longer n-grams.  Chains of signatures in common make candidate
+blocks.  In a block the sets, ordered by how common their elements are there, share a
 prefix tree.  A probe walks the tree once, keeping the overlap of every path, and
 leaves a subtree when even all remaining elements could not reach the threshold.
 Blocks too large for a task are dealt as pairs of sub-blocks.  Links found are
@@ -27,12 +31,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordIds, grouped, mix, stage, texts_of
+from .common import WordIds, broadcast_checked, grouped, mix, stage, texts_of
 from .components import connected
 
 SHINGLE, PERCENT = 3, 90
 #: Near copies in the pipeline: five words, 0.8.
 STAGE_SHINGLE, STAGE_PERCENT = 5, 80
+#: Hash slots in which n-grams are counted for their order (the upper bits of their names), and pieces they are added in.
+SLOTS, SLOT_SHIFT, SLOT_PIECES = 1 << 22, np.uint64(42), 64
 #: Sets and elements of a sub-block; a task holds two of them.
 BLOCK_SETS, BLOCK_ITEMS = 512, 1_000_000
 #: Signatures compared in one bucket; a bucket's task holds them as arrays.
@@ -80,32 +86,86 @@ def signatures(items: np.ndarray, band: int, parts: int) -> np.ndarray:
     return mix(total[cuts[1:]] - total[cuts[:-1]] + mix(part + _A))
 
 
-def _sets(batches: Iterator[pa.RecordBatch], shingle: int, percent: int) -> Iterator[pa.RecordBatch]:
-    """(doc_id, n, fp, sigs) per row; equal sets of a task carry their signatures once."""
+def slot_counts(text: DataFrame, shingle: int) -> np.ndarray:
+    """How many sets hold an n-gram of each of SLOTS hash slots, over all documents.
+
+    Tasks add up an array of their own; pieces of the arrays are added by slot
+    range.  The result has a fixed size and comes to the driver.
+    """
+
+    size = SLOTS // SLOT_PIECES
+    names, schema = ["k", "n"], "k int, n binary"
+
+    def row(k: int, n: np.ndarray) -> pa.RecordBatch:
+        return pa.record_batch([pa.array([k], pa.int32()), pa.array([pa.compress(n.tobytes(), "zstd", asbytes=True)], pa.binary())], names=names)
+
+    def read(n: bytes) -> np.ndarray:
+        return np.frombuffer(pa.decompress(n, size * 4, "zstd", asbytes=True), np.uint32)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, total = WordIds(), np.zeros(SLOTS, np.uint32)
+        for b in batches:
+            for t in texts_of(b.column("text")):
+                np.add.at(total, (shingles(ids.of(words_of(t)), shingle) >> SLOT_SHIFT).astype(np.int64), 1)
+        for k, n in enumerate(total.reshape(SLOT_PIECES, size)):
+            if n.any():
+                yield row(k, n)
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, np.ndarray] = {}
+        for b in batches:
+            for k, n in zip(b.column("k").to_pylist(), b.column("n").to_pylist()):
+                x = held.setdefault(k, np.zeros(size, np.uint32))
+                x += np.minimum(read(n), ~x)  # stays at the largest count that fits
+        for k, n in held.items():
+            yield row(k, n)
+
+    total = np.zeros((SLOT_PIECES, size), np.uint32)
+    for r in text.select("text").mapInArrow(count, schema).repartition("k").mapInArrow(add, schema).collect():  # SLOT_PIECES rows
+        total[r.k] = read(r.n)
+    return total.ravel()
+
+
+def rare_elements(items: np.ndarray, counts: np.ndarray, percent: int) -> np.ndarray:
+    """The first elements, rare ones first, that a set shares with any set it links with: |A| - ceil(percent * |A| / 100) + 1."""
+    n = len(items) + (-percent * len(items)) // 100 + 1
+    return items[np.lexsort((items, counts[(items >> SLOT_SHIFT).astype(np.int64)]))[:n]]
+
+
+def _sets(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[pa.RecordBatch]:
+    """(doc_id, n, fp) per row: the size of its set and a 128-bit name of it, null if empty."""
+    ids = WordIds()
+    for b in batches:
+        sets = [shingles(ids.of(words_of(t)), shingle) for t in texts_of(b.column("text"))]
+        fps = [blake2b(x.tobytes(), digest_size=16).digest() if len(x) else None for x in sets]
+        yield pa.record_batch([b.column("doc_id"), pa.array([len(x) for x in sets], pa.int64()), pa.array(fps, pa.binary())], names=["doc_id", "n", "fp"])
+
+
+def _signed(batches: Iterator[pa.RecordBatch], shingle: int, percent: int, counts: np.ndarray | None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(signatures, their doc_id) of the documents of a batch; equal sets of a task carry theirs once."""
     ids, seen = WordIds(), set()
     tops, parts = size_bands(percent)
     for b in batches:
-        n, fps, sigs = [], [], []
-        for text in texts_of(b.column("text")):
+        sigs, docs = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+        for doc, text in zip(b.column("doc_id").to_pylist(), texts_of(b.column("text"))):
             items = shingles(ids.of(words_of(text)), shingle)
-            fp = blake2b(items.tobytes(), digest_size=16).digest() if len(items) else None
-            n.append(len(items))
-            fps.append(fp)
-            band = int(np.searchsorted(tops, len(items)))
-            keys = [k for k in (band, band + 1) if parts[k] > 1] if fp and fp not in seen else []
+            fp = blake2b(items.tobytes(), digest_size=16).digest()
+            if doc is None or not len(items) or fp in seen:
+                continue
             seen.add(fp)
-            sigs.append(np.concatenate([signatures(items, k, int(parts[k])) for k in keys]).view(np.int64) if keys else np.zeros(0, np.int64))
-        offsets = np.cumsum([0, *map(len, sigs)]).astype(np.int32)
-        lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(sigs) if sigs else np.zeros(0, np.int64)))
-        yield pa.record_batch([b.column("doc_id"), pa.array(n, pa.int64()), pa.array(fps, pa.binary()), lists], names=["doc_id", "n", "fp", "sigs"])
+            if counts is None:
+                band = int(np.searchsorted(tops, len(items)))
+                own = [signatures(items, k, int(parts[k])) for k in (band, band + 1) if parts[k] > 1]
+            else:
+                own = [rare_elements(items, counts, percent)]
+            sigs.extend(own)
+            docs.append(np.full(sum(map(len, own)), doc))
+        yield np.concatenate(sigs).view(np.int64), np.concatenate(docs)
 
 
-def _parts(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
+def _parts(signed: Iterator[tuple[np.ndarray, np.ndarray]], buckets: int) -> Iterator[pa.RecordBatch]:
     """Packed signatures by bucket, one (its smallest doc_id) of those that agree in a batch; the others as links (a, b)."""
-    for batch in batches:
-        lists = batch.column("sigs")
-        sig = lists.flatten().to_numpy()
-        doc = np.repeat(batch.column("doc_id").to_numpy(), np.diff(lists.offsets.to_numpy()))
+    for sig, doc in signed:
         if not len(sig):
             continue
         a, b, first = _agreeing(sig, doc)
@@ -141,7 +201,7 @@ def _items(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[pa.Recor
     ids = WordIds()
     for b in batches:
         items = [shingles(ids.of(words_of(t)), shingle).tobytes() for t in texts_of(b.column("text"))]
-        yield pa.record_batch([b.column("block"), b.column("doc_id"), pa.array(items, pa.binary())], names=["block", "doc_id", "items"])
+        yield pa.record_batch([*(b.column(c) for c in ("block", "doc_id", "m")), pa.array(items, pa.binary())], names=["block", "doc_id", "m", "items"])
 
 
 class PrefixTree:
@@ -241,24 +301,27 @@ def _cells(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Recor
         yield pa.record_batch([pa.array([own[a] for a, _ in found], pa.int64()), pa.array([own[b] for _, b in found], pa.int64())], names=["a", "b"])
 
 
-def join_groups(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, block_sets: int = BLOCK_SETS, block_items: int = BLOCK_ITEMS) -> DataFrame:
-    """(doc_id, n_shingles, component_id), one row for each row of (doc_id, text)."""
+def join_groups(
+    docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, near: str = "parts", block_sets: int = BLOCK_SETS, block_items: int = BLOCK_ITEMS
+) -> DataFrame:
+    """(doc_id, n_shingles, component_id), one row for each row of (doc_id, text); ``near`` is "parts" or "rare"."""
     text = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary"))
-    sets = text.mapInArrow(lambda b: _sets(b, shingle, percent), "doc_id long, n long, fp binary, sigs array<long>")
-    sets = stage(sets, "sets")
+    counts = docs.sparkSession.sparkContext.broadcast({"parts": lambda: None, "rare": lambda: slot_counts(text, shingle)}[near]())  # SLOTS numbers
+    sets = stage(text.mapInArrow(lambda b: _sets(b, shingle), "doc_id long, n long, fp binary"), "sets")
     known = sets.where("doc_id IS NOT NULL AND n > 0")
 
-    signed = known.where(F.size("sigs") > 0).select("doc_id", "sigs")
-    buckets = max(1, -(-(signed.agg(F.sum(F.size("sigs"))).first()[0] or 0) // BUCKET_SIGS))
-    parts = signed.mapInArrow(lambda b: _parts(b, buckets), "bucket int, sigs binary, docs binary, a binary, b binary")
+    share = (100 - percent) / 100 if near == "rare" else 4 * (100 - percent) / (100 + percent)  # signatures per element, about
+    buckets = max(1, int((known.agg(F.sum("n")).first()[0] or 0) * share / BUCKET_SIGS))
+    parts = text.mapInArrow(lambda b: _parts(_signed(b, shingle, percent, counts.value), buckets), "bucket int, sigs binary, docs binary, a binary, b binary")
     near = parts.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_agree, "doc_id long, low long")
     block = stage(connected(near, "doc_id", "low").select(F.col("node").alias("doc_id"), F.col("label").alias("block")), "blocks")
 
     per = known.select("doc_id", "n").join(block, "doc_id").groupBy("block").agg(F.count("*").alias("sets"), F.sum("n").alias("items"))
     per = per.select("block", F.greatest(F.ceil(F.col("sets") / block_sets), F.ceil(F.col("items") / block_items)).cast("int").alias("m"))
     # merge: the same plan at every size, whatever share of the documents has neighbours
-    items = text.join(block.hint("merge"), "doc_id").select("block", "doc_id", "text").mapInArrow(lambda b: _items(b, shingle), "block long, doc_id long, items binary")
-    cells = items.join(per, "block").withColumn("own", F.pmod(F.xxhash64("doc_id"), F.col("m")).cast("int"))
+    items = text.join(block.join(per, "block").hint("merge"), "doc_id").select("block", "doc_id", "m", "text")
+    cells = items.mapInArrow(lambda b: _items(b, shingle), "block long, doc_id long, m int, items binary")
+    cells = cells.withColumn("own", F.pmod(F.xxhash64("doc_id"), F.col("m")).cast("int"))
     cells = cells.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("m") - 1))).where("m = 1 OR own <> other")
     cells = cells.select("block", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "doc_id", "items")
     cells = cells.repartition("block", "i", "j").sortWithinPartitions("block", "i", "j")
@@ -277,9 +340,16 @@ def op5(spark, sf_dir: str) -> DataFrame:
 
 def stage_join(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: the document with the smallest doc_id of each group stays, once; rows without a doc_id stay."""
-    kept = join_groups(docs, STAGE_SHINGLE, STAGE_PERCENT).where("doc_id = component_id").select("doc_id").distinct()
-    named = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.unionByName(docs.where("doc_id IS NULL"))
+    groups = stage(join_groups(docs, STAGE_SHINGLE, STAGE_PERCENT, "rare"), "groups")
+    named = groups.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("component_id").alias("low"), F.count("*").alias("n"))
+    gone = stage(named.where("doc_id <> low").select("doc_id"), "gone")
+    again = stage(named.where("doc_id = low AND n > 1").select("doc_id"), "again")
+    n_gone, n_again = gone.count(), again.count()
+    left = docs.join(broadcast_checked(gone, n_gone), "doc_id", "left_anti")
+    if not n_again:
+        return left
+    repeated = broadcast_checked(again, n_again)  # ids that several rows share: one row stays
+    return left.join(repeated, "doc_id", "left_anti").unionByName(left.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
 
 
 SQL = """
