@@ -32,11 +32,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, mix, stage, texts_of
+from .common import WORD, broadcast_checked, mix, stage, texts_of
 
 WORDS, BACKOFF = 65_535, 0.4
 #: Words of the texts packed together; distinct words a task counts before it hands them on.
-CHUNK_WORDS, HELD_WORDS = 1_000_000, 500_000
+CHUNK_WORDS, HELD_WORDS = 400_000, 300_000
 #: Pairs of a bucket, and pairs of documents that one task joins to a bucket's counts.
 BUCKET_PAIRS, TASK_PAIRS = 2_000_000, 8_000_000
 
@@ -203,6 +203,7 @@ def score(docs: DataFrame, words: int = WORDS, bucket_pairs: int = BUCKET_PAIRS,
     table = pairs.select("bucket", "pairs", "own").mapInArrow(lambda b: _counts(b, "own"), table_schema)
     table = table.repartition("bucket").mapInArrow(lambda b: _counts(b, "n"), table_schema)
     parts = pairs.groupBy("bucket").agg(F.ceil(F.sum(F.octet_length("pairs") / 4) / task_pairs).cast("int").alias("parts"))
+    parts = broadcast_checked(stage(parts, "bucket-parts"), buckets)
     table = table.join(parts, "bucket").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     asked = pairs.join(parts, "bucket").withColumn("part", F.pmod(F.xxhash64("chunk"), F.col("parts")).cast("int"))
     null = F.lit(None)
