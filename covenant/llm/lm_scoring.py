@@ -4,9 +4,9 @@
              = BACKOFF * c(w) / N            else;      S(first word) = c(w) / N
 
 own() counts the scored document's own pairs, so a text is judged by the others.
-Words are lower-cased (A-Z); the WORDS most frequent of the corpus (ties by
-bytes) keep a 16-bit id, all others share id 0 and their counts.  That table has
-a fixed size and goes to every task.  The pair counts have none: pairs are dealt
+Words are lower-cased (A-Z).  Words more frequent than a cutoff, the smallest
+that leaves at most WORDS of them, keep a 16-bit id; all others share id 0 and
+their counts.  That table has a fixed size and goes to every task.  The pair counts have none: pairs are dealt
 by a hash of the pair into buckets, packed as arrays.  In each bucket counts are
 summed over all documents and joined to the pairs of the documents; the gains of
 pairs seen elsewhere are summed by document.
@@ -66,6 +66,18 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("text").cast("binary")).mapInArrow(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def cutoff(vocabulary: DataFrame, words: int) -> int:
+    """The smallest count that at most ``words`` words exceed; each round counts 63 candidates in one small row."""
+    low, high = 0, vocabulary.agg(F.max("n")).first()[0] or 0
+    while low < high:
+        steps = sorted({low + (high - low) * i // 64 for i in range(64)})
+        over = vocabulary.agg(*[F.count_if(F.col("n") > c) for c in steps]).first()
+        fits = [c for c, k in zip(steps, over) if k <= words]
+        high = fits[0] if fits else high
+        low = max([low - 1, *(c for c, k in zip(steps, over) if k > words)]) + 1
+    return low
+
+
 def _pack(batches: Iterator[pa.RecordBatch], vocabulary: dict[bytes, int], counts: np.ndarray, buckets: int) -> Iterator[pa.RecordBatch]:
     """Rows of one bucket (pairs, their documents in the chunk, their counts) and, as bucket -1, the documents themselves."""
     total = max(1, int(counts.sum()))
@@ -188,7 +200,8 @@ def score(docs: DataFrame, words: int = WORDS, bucket_pairs: int = BUCKET_PAIRS,
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text"))
     vocabulary = stage(word_counts(rows), "words")
     total = vocabulary.agg(F.sum("n").alias("n")).first().n or 0
-    top = vocabulary.orderBy(F.desc("n"), "word").limit(min(words, WORDS)).collect()  # at most WORDS rows
+    top = vocabulary.where(F.col("n") > cutoff(vocabulary, min(words, WORDS))).collect()  # at most WORDS rows
+    top.sort(key=lambda r: (-r.n, bytes(r.word)))
     counts = np.array([0, *(r.n for r in top)], np.int64)
     counts[0] = total - counts.sum()
     shared = spark.sparkContext.broadcast(({bytes(r.word): i + 1 for i, r in enumerate(top)}, counts))  # WORDS entries
@@ -231,10 +244,10 @@ WITH d AS (
   FROM documents),
 t AS (SELECT r, unnest(w) AS word, unnest(range(len(w))) AS i FROM d),
 c AS (SELECT word, count(*) AS n FROM t GROUP BY word),
-v AS (SELECT word, n, row_number() OVER (ORDER BY n DESC, word) AS id FROM c),
-k AS (SELECT word, CASE WHEN id <= {WORDS} THEN id ELSE 0 END AS id FROM v),
-u AS (SELECT id, sum(n)::BIGINT AS n FROM v JOIN k USING (word, id) WHERE id > 0 GROUP BY id
-      UNION ALL SELECT 0, coalesce(sum(v.n), 0)::BIGINT FROM v WHERE id > {WORDS}),
+h AS (SELECT n, coalesce(sum(count(*)) OVER (ORDER BY n DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS above FROM c GROUP BY n),
+cut AS (SELECT CASE WHEN (SELECT count(*) FROM c) <= {WORDS} THEN 0 ELSE min(n) END AS cut FROM h WHERE above <= {WORDS}),
+k AS (SELECT word, n, CASE WHEN n > cut THEN row_number() OVER (ORDER BY n DESC, word) ELSE 0 END AS id FROM c, cut),
+u AS (SELECT id, sum(n)::BIGINT AS n FROM k GROUP BY id),
 s AS (SELECT r, i, id, lag(id) OVER (PARTITION BY r ORDER BY i) AS prev FROM t JOIN k USING (word)),
 own AS (SELECT r, prev, id, count(*) AS own FROM s WHERE prev IS NOT NULL GROUP BY ALL),
 a AS (SELECT prev, id, sum(own) AS n FROM own GROUP BY ALL),

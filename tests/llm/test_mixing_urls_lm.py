@@ -100,7 +100,8 @@ def naive_scores(docs, top, backoff=0.4):
 
     seqs = [words(t, lower=True) for _, t in docs]
     n = Counter(w for s in seqs for w in s)
-    kept = {w for w, _ in sorted(n.items(), key=lambda x: (-x[1], x[0].encode()))[:top]}
+    cut = min(c for c in [0, *n.values()] if sum(k > c for k in n.values()) <= top)
+    kept = {w for w, k in n.items() if k > cut}
     seqs = [[w if w in kept else None for w in s] for s in seqs]
     c1, total = Counter(w for s in seqs for w in s), sum(n.values())
     c2 = Counter(p for s in seqs for p in zip(s, s[1:]))
