@@ -32,7 +32,7 @@ from .common import WordIds, mix, stage, text_key, texts_of, whole_groups
 
 WINDOW, ROUNDS, LONGEST = 35, 4, 8
 #: Names with more occurrences are compared window by window in shuffles that split and pre-aggregate.
-HOT = 1_000
+HOT = 20_000
 
 _SEED = np.uint64(0x9E3779B97F4A7C15)
 _FAR = 1 << 40
