@@ -22,9 +22,9 @@ not read.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from hashlib import blake2b
-from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -260,8 +260,11 @@ WALK_CELLS = 8_000_000
 def tree_links(items: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
     """Links that keep the linked sets of one block connected.
 
-    Sets that were reached probe those not reached yet, many together; the tree
-    is built anew whenever half of its sets have been reached.
+    Every set probes all sets that have not probed before it, many together, so
+    each link is seen by the first of its two sets; of the links seen those stay
+    that join two parts.  Sets of the smallest parts probe first, and when all
+    sets left are of one part there is nothing more to join.  The tree is built
+    anew whenever half of its sets have probed.
     """
     values, code, count = np.unique(np.concatenate(items), return_inverse=True, return_counts=True)
     order = np.empty(len(values), np.int64)
@@ -269,23 +272,26 @@ def tree_links(items: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
     cuts = np.cumsum([0, *map(len, items)])
     sets = [np.sort(order[code[a:b]]) for a, b in zip(cuts[:-1], cuts[1:])]
     todo = sorted(range(len(sets)), key=lambda i: sets[i].astype(">u4").tobytes())
-    out, queue, alive, tree, held = [], [], dict.fromkeys(todo), None, []
-    while alive:
-        if tree is None or 2 * len(alive) <= len(held):
-            held = list(alive)
+    out, left, part, tree, held = [], dict.fromkeys(todo), list(range(len(sets))), None, []
+
+    def root(i: int) -> int:
+        while part[i] != i:
+            part[i] = i = part[part[i]]
+        return i
+
+    while len(size := Counter(map(root, left))) > 1:
+        if tree is None or 2 * len(left) <= len(held):
+            held = list(left)
             tree = PrefixTree([sets[i] for i in held], percent)
         m = max(1, min(64, WALK_CELLS // max(len(values), len(tree.nodes))))
-        seeds = list(islice(alive, max(0, m - len(queue))))  # walk with the sets reached before
-        for i in seeds:
-            del alive[i]
-        probes, queue, fresh = queue[:m] + seeds, queue[m:], set(seeds)
+        probes = sorted(left, key=lambda i: size[root(i)])[:m]
         for p, j in tree.links([sets[i] for i in probes], len(values)):
-            if held[j] in alive:
-                del alive[held[j]]
-                queue.append(held[j])
-                out.append((probes[p], held[j]))
-            elif held[j] in fresh and held[j] != probes[p]:
+            a, b = root(probes[p]), root(held[j])
+            if a != b:
+                part[a] = b
                 out.append((probes[p], held[j]))
+        for i in probes:
+            del left[i]
     return out
 
 
