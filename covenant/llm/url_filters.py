@@ -8,9 +8,10 @@ correlation).  A page without a rule is blocked when the lower posterior bound
 of its host's bad rate is above a limit.
 
 Cases: a null url or one without ``://`` has empty host and path and is judged
-by the overall rate; a page label counts if quality or toxic is known; repeated
-labels of a page count each; with no labels the prior alone decides (allow); an
-empty table gives an empty result; other columns are not read.  A host with very
+as one host; a host without a labelled page takes the rate of its domain, else
+of its suffix, else the overall one; a page label counts if quality or toxic is
+known; repeated labels of a page count each; with no labels nothing is known
+(allow); an empty table gives an empty result; other columns are not read.  A host with very
 many pages is one row of the reputation table, joined on the host, and its
 pages are summed before the shuffle.
 """
@@ -22,7 +23,7 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stage
+from .common import broadcast_checked, stage
 
 #: (pattern as host + path, verdict)
 RULES = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow"))
@@ -60,32 +61,46 @@ def levels(host: Column) -> tuple[Column, Column]:
     return F.when(is_two, F.substring_index(name, ".", -3)).otherwise(two), F.when(is_two, two).otherwise(F.substring_index(name, ".", -1))
 
 
-def _shrink(children: DataFrame) -> DataFrame:
-    """Rows (n, bad, parent mean m) with posterior ``mean`` and ``weight``.
+def _strength(children: DataFrame) -> float:
+    """The prior's strength 1/rho - 1 for a level with labelled rows (n, bad, parent mean m).
 
-    The prior's strength 1/rho - 1 is one number for the level: rho, the
-    correlation of outcomes within a row, by the method of moments.
+    rho, the correlation of outcomes within a row, is by the method of moments.
     """
     v = F.col("m") * (1 - F.col("m"))
     gap = F.col("bad") / F.col("n") - F.col("m")
     rho = (F.sum(F.col("n") * gap * gap) - F.sum(v)) / F.nullif(F.sum(v * (F.col("n") - 1)), F.lit(0.0))
-    k = children.agg((1 / F.least(F.greatest(F.coalesce(rho, F.lit(0.001)), F.lit(0.001)), F.lit(0.9)) - 1).alias("k")).first().k
+    return children.agg((1 / F.least(F.greatest(F.coalesce(rho, F.lit(0.001)), F.lit(0.001)), F.lit(0.9)) - 1).alias("k")).first().k
+
+
+def _shrink(children: DataFrame, k: float) -> DataFrame:
+    """Rows (n, bad, parent mean m) with posterior ``mean`` and ``weight``."""
     mean = (F.col("bad") + k * F.col("m")) / (F.col("n") + k)
     return children.withColumn("mean", mean).withColumn("weight", F.col("n") + k)
 
 
-def reputation(outcomes: DataFrame) -> DataFrame:
-    """(host, lower): lower posterior bound of each host's bad rate, from rows (host, bad) of labelled pages."""
+def reputation(hosts: DataFrame, outcomes: DataFrame) -> DataFrame:
+    """(host, lower): lower posterior bound of the bad rate of each of ``hosts``, from rows (host, bad) of labelled pages.
+
+    A host without a labelled page has n = 0 and the prior of its domain, else of
+    its suffix, else the overall rate; without any label the bound is null.
+    """
     domain, suffix = levels(F.col("host"))
-    host = outcomes.groupBy("host").agg(F.count("*").alias("n"), F.sum("bad").alias("bad"))
+    seen = outcomes.groupBy("host").agg(F.count("*").alias("n"), F.sum("bad").alias("bad"))
+    host = hosts.select("host").distinct().join(seen, "host", "left").fillna(0, ["n", "bad"])
     host = stage(host.withColumn("domain", domain).withColumn("suffix", suffix), "hosts")
     up = lambda keys, df: df.groupBy(*keys).agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
-    dom = up(["domain", "suffix"], host)
+    dom = up(["domain", "suffix"], host.where("n > 0"))
     suf = up(["suffix"], dom)
-    m = suf.agg(((F.coalesce(F.sum("bad"), F.lit(0)) + 1) / (F.coalesce(F.sum("n"), F.lit(0)) + 2)).alias("m")).first().m
-    suf = _shrink(suf.withColumn("m", F.lit(m))).select("suffix", F.col("mean").alias("m"))
-    dom = _shrink(dom.join(suf, "suffix")).select("domain", F.col("mean").alias("m"))
-    host = _shrink(host.join(dom, "domain"))
+    m = suf.agg(((F.sum("bad") + 1) / (F.sum("n") + 2)).alias("m")).first().m
+    if m is None:
+        return host.select("host", F.lit(None).cast("double").alias("lower"))
+    suf = suf.withColumn("m", F.lit(m))
+    suf = stage(_shrink(suf, _strength(suf)).select("suffix", F.col("mean").alias("m")), "suffixes")
+    suf = broadcast_checked(suf, suf.count())
+    dom = dom.join(suf, "suffix")
+    dom = _shrink(dom, _strength(dom)).select("domain", F.col("mean").alias("of_domain"))
+    host = host.join(dom, "domain", "left").join(suf, "suffix", "left").withColumn("m", F.coalesce("of_domain", "m", F.lit(m)))
+    host = _shrink(host, _strength(host.where("n > 0")))
     sd = F.sqrt(F.col("mean") * (1 - F.col("mean")) / (F.col("weight") + 1))
     return host.select("host", (F.col("mean") - Z * sd).alias("lower"))
 
@@ -98,7 +113,7 @@ def judge(pages: DataFrame, labels: DataFrame, rules=RULES, limit: float = LIMIT
     known = labels.where("doc_id IS NOT NULL AND (quality IS NOT NULL OR toxic IS NOT NULL)").select(
         F.col("doc_id").alias("page_id"), F.when((F.col("quality") == 0) | (F.col("toxic") == 1), 1).otherwise(0).alias("bad")
     )
-    lower = reputation(rows.join(known, "page_id").select("host", "bad"))
+    lower = reputation(rows, rows.join(known, "page_id").select("host", "bad"))
     pattern, verdict = rule_of(F.col("host"), F.col("path"), rules)
     method = F.when(F.col("lower") > limit, "block").otherwise("allow")
     return rows.join(lower, "host", "left").select("page_id", "host", "path", pattern.alias("rule"), F.coalesce(verdict, method).alias("verdict"))

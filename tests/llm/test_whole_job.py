@@ -4,6 +4,7 @@ import numpy as np
 from helpers import components
 
 from covenant.llm import jaccard_join as J
+from covenant.llm import url_filters as U
 
 
 def test_sets_that_two_seeds_of_a_round_reach_join_them():
@@ -20,3 +21,16 @@ def test_sets_that_two_seeds_of_a_round_reach_join_them():
         found = [(int(order[a]), int(order[b])) for a, b in J.tree_links([sets[i] for i in order], 90)]
         assert components(range(len(sets)), found) == components(range(len(sets)), want)
         assert len(found) == len(want) and {(max(p), min(p)) for p in found} == set(want)
+
+
+def test_hosts_without_labels_take_the_rate_above_them(spark):
+    hosts = [f"h{i % 9}.spam.com" for i in range(300)] + [f"h{i % 9}.good{i % 20}.com" for i in range(300)] + [f"x{i}.bad{i % 5}.biz" for i in range(100)]
+    pages = [(i, f"http://{h}/p") for i, h in enumerate(hosts)]
+    labels = [(i, int(".good" in h), 0) for i, h in enumerate(hosts)]
+    new = ["new.spam.com", "new.good1.com", "new.com", "new.biz", "new.museum", ""]
+    df = spark.createDataFrame(pages + [(1000 + i, f"http://{h}/") for i, h in enumerate(new)], "page_id long, url string")
+    got = {r.page_id: r.verdict for r in U.judge(df, spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).collect()}
+    # the overall rate is 4/7 bad; hosts of com and biz go by their own domain or suffix
+    assert [got[1000 + i] for i in (0, 1, 3)] == ["block", "allow", "block"]
+    assert got[1004] == got[1005]
+    assert got[0] == "block" and got[300] == "allow"
