@@ -11,7 +11,7 @@ letters.  A text with few different n-grams cannot come near a centroid in any
 language, so below FULL n-grams the limit falls in proportion to them.
 
 Training rows: a known lang, and crc32 of the doc_id as text not 2 modulo 4.
-Bounds of the fit: SAMPLE rows a language (chosen by a hash of doc_id), the
+Bounds of the fit: SAMPLE rows a language (chosen by a hash of doc_id and text), the
 LANGUAGES most frequent languages.
 
 Cases: null text, empty text or text without a letter gives ``und`` with score 0
@@ -139,6 +139,12 @@ def training_rows(docs: DataFrame) -> DataFrame:
     return docs.where(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out()).select("doc_id", "text", "lang")
 
 
+def sampled(training: DataFrame, by_lang: DataFrame, sample: int) -> DataFrame:
+    """About ``sample`` training rows of each language (lang, n); a share of u below sample / n, without a product that grows with n."""
+    u = F.pmod(F.xxhash64("doc_id", "text", F.lit(1)), F.lit(1 << 40))
+    return training.join(F.broadcast(by_lang), "lang").where(u <= F.expr(f"{(sample << 40) - 1}L div n"))  # by_lang: at most LANGUAGES rows
+
+
 def fit(training: DataFrame, sample: int = SAMPLE, clusters: int = CLUSTERS, languages: int = LANGUAGES) -> Model:
     """Learn from rows (doc_id, text, lang)."""
 
@@ -157,8 +163,7 @@ def fit(training: DataFrame, sample: int = SAMPLE, clusters: int = CLUSTERS, lan
     idf = (np.log((df[-1] + 1) / (df[:-1] + 1)) + 1).astype(np.float32)
 
     by_lang = training.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(languages)
-    u = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(1 << 40))
-    picked = training.join(F.broadcast(by_lang), "lang").where(u * F.col("n") < F.lit(sample << 40))  # at most ``languages`` rows
+    picked = sampled(training, by_lang, sample)
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

@@ -4,6 +4,7 @@ import numpy as np
 from helpers import components
 
 from covenant.llm import jaccard_join as J
+from covenant.llm import language_id as G
 from covenant.llm import url_filters as U
 
 
@@ -34,3 +35,10 @@ def test_hosts_without_labels_take_the_rate_above_them(spark):
     assert [got[1000 + i] for i in (0, 1, 3)] == ["block", "allow", "block"]
     assert got[1004] == got[1005]
     assert got[0] == "block" and got[300] == "allow"
+
+
+def test_language_sample_of_very_many_rows(spark):
+    rows = spark.range(40_000).selectExpr("id % 4 AS doc_id", "CAST(id AS string) AS text", "IF(id < 20000, 'a', 'b') AS lang")
+    counts = spark.createDataFrame([("a", 1 << 40), ("b", 20_000)], "lang string, n long")
+    got = {r.lang: r["count"] for r in G.sampled(rows, counts, 500).groupBy("lang").count().collect()}
+    assert got.get("a", 0) <= 1 and 400 < got["b"] < 600
