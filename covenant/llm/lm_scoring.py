@@ -4,16 +4,11 @@
              = BACKOFF * c(w) / N            else;      S(first word) = c(w) / N
 
 own() counts the scored document's own pairs, so a text is judged by the others.
-Words are lower-cased (A-Z).  Words more frequent than a cutoff, the smallest
-that leaves at most WORDS of them, keep a 16-bit id; all others share id 0 and
-their counts.  That table has a fixed size and goes to every task.  The pair counts have none: pairs are dealt
-by a hash of the pair into buckets, packed as arrays.  In each bucket counts are
-summed over all documents and joined to the pairs of the documents; the gains of
-pairs seen elsewhere are summed by document.
-
-Every task that packs documents adds up its own pairs first, so a pair that all
-documents share is a few rows of the count table.  Buckets of documents' pairs
-above a size are split, each part with the bucket's counts.
+Words are lower-cased (A-Z).  Words are named by 64-bit hashes and pairs by a hash
+of both; every word has a count of its own.  Documents are packed in chunks.  A
+chunk sends the names of its distinct words and pairs to hash buckets, where they
+are added up over all chunks, and gets the sums back; so a word or pair that all
+documents share is one entry for each chunk.
 
 Cases: null text and text without words score 0 with 0 words; repeated rows are
 other documents to each other; null and repeated doc_ids do not matter, as
@@ -32,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, broadcast_checked, mix, stage, texts_of
+from .common import WORD, WordIds, grouped, mix, stage, texts_of
 
 WORDS, BACKOFF = 65_535, 0.4
 #: Words of the texts packed together; distinct words a task counts before it hands them on.
@@ -41,6 +36,10 @@ CHUNK_WORDS, HELD_WORDS = 400_000, 300_000
 BUCKET_PAIRS, TASK_PAIRS = 2_000_000, 8_000_000
 
 
+CHUNK = ["chunk", "ids", "size", "lens", "n_words", "words", "tokens"]
+_A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
+
+
 def words_of(text: bytes) -> list[bytes]:
     return text.lower().split()
 
@@ -78,41 +77,39 @@ def cutoff(vocabulary: DataFrame, words: int) -> int:
     return low
 
 
-def _pack(batches: Iterator[pa.RecordBatch], vocabulary: dict[bytes, int], counts: np.ndarray, buckets: int) -> Iterator[pa.RecordBatch]:
-    """Rows of one bucket (pairs, their documents in the chunk, their counts) and, as bucket -1, the documents themselves."""
-    total = max(1, int(counts.sum()))
-    word_log = np.log(np.maximum(counts, 1) / total)
+def _squeeze(x: np.ndarray) -> bytes:
+    """Integers, compressed as the byte planes of their differences."""
+    x = np.diff(x.astype(np.uint64), prepend=np.uint64(0))
+    return pa.compress(np.ascontiguousarray(x.view(np.uint8).reshape(-1, 8).T).tobytes(), "zstd", asbytes=True) if len(x) else b""
+
+
+def _spread(raw: bytes, n: int) -> np.ndarray:
+    if not n:
+        return np.zeros(0, np.uint64)
+    planes = np.frombuffer(pa.decompress(raw, n * 8, "zstd", asbytes=True), np.uint8).reshape(8, n)
+    return np.cumsum(np.ascontiguousarray(planes.T).view(np.uint64).ravel(), dtype=np.uint64)
+
+
+def _pack(batches: Iterator[pa.RecordBatch], kept: set[int] | None) -> Iterator[pa.RecordBatch]:
+    """A row for each chunk of documents: doc ids, numbers of words, distinct names of words and the texts as places among these."""
     serial = TaskContext.get().partitionId() << 32
-    names = ["bucket", "chunk", "pairs", "places", "own", "ids", "base", "words"]
-    types = [pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.list_(pa.int64()), pa.binary(), pa.binary()]
+    names = WordIds()
 
     def packed(ids: list, seqs: list[np.ndarray]) -> pa.RecordBatch:
-        n = np.array([len(s) for s in seqs])
-        of = np.repeat(np.arange(len(seqs)), n)
-        flat = np.concatenate(seqs)
-        term = word_log[flat]
-        first = np.concatenate([[True], of[1:] != of[:-1]]) if len(of) else np.zeros(0, bool)
-        term[~first] += np.log(BACKOFF)
-        base = np.bincount(of, term, minlength=len(seqs))
-        joint = ~first[1:]
-        pair = (flat[:-1].astype(np.uint64) << np.uint64(16) | flat[1:].astype(np.uint64))[joint]
-        key, own = np.unique(pair | of[1:][joint].astype(np.uint64) << np.uint64(32), return_counts=True)
-        pair, place = (key & np.uint64(0xFFFFFFFF)).astype(np.uint32), (key >> np.uint64(32)).astype(np.uint32)
-        bucket = (mix(pair.astype(np.uint64)) % np.uint64(buckets)).astype(np.int32)
-        order = np.argsort(bucket, kind="stable")
-        cuts = np.flatnonzero(np.diff(bucket[order], prepend=-1, append=buckets))
-        rows = [(-1, serial, None, None, None, ids, base.tobytes(), n.astype(np.int64).tobytes())]
-        for a, b in zip(cuts[:-1], cuts[1:]):
-            at = order[a:b]
-            rows.append((int(bucket[at[0]]), serial, pair[at].tobytes(), place[at].tobytes(), own[at].astype(np.uint32).tobytes(), None, None, None))
-        return pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
+        n = np.array([len(x) for x in seqs], np.int64)
+        words, tokens = np.unique(np.concatenate(seqs), return_inverse=True)
+        tokens = pa.compress(np.ascontiguousarray(tokens.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes(), "zstd", asbytes=True) if n.sum() else b""
+        row = [[serial], [ids], [int(n.sum())], [n.tobytes()], [len(words)], [_squeeze(words)], [tokens]]
+        types = [pa.int64(), pa.list_(pa.int64()), pa.int64(), pa.binary(), pa.int64(), pa.binary(), pa.binary()]
+        return pa.record_batch([pa.array(x, t) for x, t in zip(row, types)], names=CHUNK)
 
     ids, seqs, size = [], [], 0
     for b in batches:
         for doc_id, text in zip(b.column("doc_id").to_pylist(), texts_of(b.column("text"))):
             words = words_of(text)
+            x = names.of(words)
             ids.append(doc_id)
-            seqs.append(np.fromiter((vocabulary.get(w, 0) for w in words), np.uint16, len(words)))
+            seqs.append(x if kept is None else np.where(np.fromiter((w in kept for w in words), bool, len(words)), x, np.uint64(0)))
             size += len(words)
             if size >= CHUNK_WORDS:
                 yield packed(ids, seqs)
@@ -121,115 +118,112 @@ def _pack(batches: Iterator[pa.RecordBatch], vocabulary: dict[bytes, int], count
         yield packed(ids, seqs)
 
 
-def _summed(pairs: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    key, at = np.unique(np.concatenate(pairs), return_inverse=True)
-    return key, np.bincount(at, np.concatenate(counts), minlength=len(key)).astype(np.int64)
-
-
-def _counts(batches: Iterator[pa.RecordBatch], name: str) -> Iterator[pa.RecordBatch]:
-    """Count table rows (bucket, pairs, n): the pairs of a bucket added up over what the task reads of it.
-
-    What is held per bucket is added up whenever it has grown by a bucket's worth of pairs.
-    """
-    held: dict[int, list] = {}
-
-    def add_up(b: int) -> None:
-        key, n = _summed(*held[b][:2])
-        held[b] = [[key], [n], 0]
-
-    for batch in batches:
-        for b, pairs, n in zip(*(batch.column(c).to_pylist() for c in ("bucket", "pairs", name))):
-            x = held.setdefault(b, [[], [], 0])
-            x[0].append(np.frombuffer(pairs, np.uint32))
-            x[1].append(np.frombuffer(n, np.uint32 if name == "own" else np.int64))
-            x[2] += len(x[0][-1])
-            if x[2] > BUCKET_PAIRS:
-                add_up(b)
-    for b in held:
-        add_up(b)
-        (key,), (n,), _ = held[b]
-        yield pa.record_batch([pa.array([b], pa.int32()), pa.array([key.tobytes()], pa.binary()), pa.array([n.tobytes()], pa.binary())], names=["bucket", "pairs", "n"])
-
-
-def _gains(batches: Iterator[pa.RecordBatch], counts: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """(chunk, gains by document) for each row of pairs; a part's count table comes first among its rows."""
-    total = max(1, int(counts.sum()))
-    word_log = np.log(np.maximum(counts, 1) / total) + np.log(BACKOFF)
-    context_log = np.log(np.maximum(counts, 1))
-    key = n = np.zeros(0, np.int64)
+class Chunk:
+    """A packed chunk with the names of its words and pairs, in the order of (bucket, name)."""
+
+    def __init__(self, row: dict, buckets: int):
+        self.ids, self.n = row["ids"], np.frombuffer(row["lens"], np.int64)
+        size, words = row["size"], _spread(row["words"], row["n_words"])
+        planes = pa.decompress(row["tokens"], size * 4, "zstd", asbytes=True) if size else b""
+        self.tokens = np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(4, size).T).view("<u4").ravel().astype(np.int64)
+        self.of = np.repeat(np.arange(len(self.n)), self.n)
+        joint = self.of[1:] == self.of[:-1]
+        self.pair_of = self.of[1:][joint]
+        both, self.pair, n = np.unique(self.tokens[:-1][joint] << 32 | self.tokens[1:][joint], return_inverse=True, return_counts=True)
+        self.v, self.w, self.words = both >> 32, both & 0xFFFFFFFF, len(words)
+        self.key = np.concatenate([mix(words + _B), mix(mix(words[self.v] + _A) + words[self.w])])
+        self.count = np.concatenate([np.bincount(self.tokens, minlength=len(words)), n])
+        bucket = ((self.key >> np.uint64(20)) % np.uint64(buckets)).astype(np.int64)
+        self.order = np.lexsort((self.key, bucket))
+        self.cuts = np.searchsorted(bucket[self.order], np.arange(buckets + 1))
+
+    def scores(self, count: np.ndarray, total: int) -> np.ndarray:
+        """Scores of the documents from the counts over all documents, in the order of names."""
+        log = np.log(count[: self.words])
+        term = log[self.tokens] - np.log(total)
+        term[1:][self.of[1:] == self.of[:-1]] += np.log(BACKOFF)
+        base = np.bincount(self.of, term, minlength=len(self.n))
+        key, own = np.unique(self.pair_of << 32 | self.pair, return_counts=True)
+        place, pair = key >> 32, key & 0xFFFFFFFF
+        others = count[self.words :][pair] - own
+        seen = others > 0
+        place, pair, own = place[seen], pair[seen], own[seen]
+        gain = own * (np.log(others[seen]) - log[self.v[pair]] - np.log(BACKOFF) - log[self.w[pair]] + np.log(total))
+        return base + np.bincount(place, gain, minlength=len(self.n))
+
+
+def _ask(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
+    """(bucket, chunk, n, names, counts): the names of a chunk's words and pairs, each once, with their counts in the chunk."""
     for b in batches:
-        chunks, gains = [], []
-        for chunk, pairs, places, own, table in zip(*(b.column(c).to_pylist() for c in ("chunk", "pairs", "places", "own", "n"))):
-            pair = np.frombuffer(pairs, np.uint32)
-            if table is not None:
-                key, n = pair, np.frombuffer(table, np.int64)
-                continue
-            own, place = np.frombuffer(own, np.uint32), np.frombuffer(places, np.uint32)
-            others = n[np.searchsorted(key, pair)] - own
-            seen = others > 0
-            pair, own, place = pair[seen], own[seen], place[seen]
-            gain = own * (np.log(others[seen]) - context_log[pair >> 16] - word_log[pair & 0xFFFF])
-            chunks.append(chunk)
-            gains.append(np.bincount(place, gain).tobytes())
-        yield pa.record_batch([pa.array(chunks, pa.int64()), pa.array(gains, pa.binary())], names=["chunk", "gains"])
-
-
-def _scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in b.to_pylist():
+            c = Chunk(row, buckets)
+            rows = []
+            for k in np.flatnonzero(np.diff(c.cuts)):
+                at = c.order[c.cuts[k] : c.cuts[k + 1]]
+                rows.append((int(k), row["chunk"], len(at), _squeeze(c.key[at]), pa.compress(c.count[at].astype("<i8").tobytes(), "zstd", asbytes=True)))
+            if rows:
+                types = [pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
+                yield pa.record_batch([pa.array(x, t) for x, t in zip(zip(*rows), types)], names=["bucket", "chunk", "n", "names", "counts"])
+
+
+def _totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(chunk, bucket, totals): for each row of a bucket the counts of its names over all documents; rows sorted by bucket."""
+    for t in grouped(batches, ["bucket"]):
+        n = t.column("n").to_pylist()
+        names = [_spread(x, k) for x, k in zip(t.column("names").to_pylist(), n)]
+        counts = [np.frombuffer(pa.decompress(x, k * 8, "zstd", asbytes=True), "<i8") for x, k in zip(t.column("counts").to_pylist(), n)]
+        key, at = np.unique(np.concatenate(names), return_inverse=True)
+        total = np.zeros(len(key), np.int64)
+        np.add.at(total, at, np.concatenate(counts))
+        cuts = np.cumsum([0, *n])
+        out = [pa.compress(total[at[a:b]].tobytes(), "zstd", asbytes=True) for a, b in zip(cuts[:-1], cuts[1:])]
+        yield pa.record_batch([pa.array(t.column("chunk").to_pylist(), pa.int64()), pa.array(t.column("bucket").to_pylist(), pa.int32()), pa.array(out, pa.binary())], names=["chunk", "bucket", "totals"])
+
+
+def _scores(batches: Iterator[pa.RecordBatch], buckets: int, total: int) -> Iterator[pa.RecordBatch]:
     """(doc_id, n_words, score) of a chunk's documents, whose own row comes first among its rows."""
-    now, ids, total, words = None, None, None, None
+    now, count = None, None
 
     def done() -> pa.RecordBatch:
-        return pa.record_batch([pa.array(ids, pa.int64()), pa.array(words), pa.array(total)], names=["doc_id", "n_words", "score"])
+        return pa.record_batch([pa.array(now.ids, pa.int64()), pa.array(now.n), pa.array(now.scores(count, max(1, total)))], names=["doc_id", "n_words", "score"])
 
     for b in batches:
-        for chunk, gains, own_ids, base, n in zip(*(b.column(c).to_pylist() for c in ("chunk", "gains", "ids", "base", "words"))):
-            if own_ids is not None:
+        for row in b.to_pylist():
+            if row["totals"] is None:
                 if now is not None:
                     yield done()
-                now, ids, total, words = chunk, own_ids, np.frombuffer(base).copy(), np.frombuffer(n, np.int64)
+                now = Chunk(row, buckets)
+                count = np.zeros(len(now.key), np.int64)
             else:
-                x = np.frombuffer(gains)
-                total[: len(x)] += x
+                x, y = now.cuts[row["bucket"]], now.cuts[row["bucket"] + 1]
+                count[now.order[x:y]] = np.frombuffer(pa.decompress(row["totals"], int(y - x) * 8, "zstd", asbytes=True), np.int64)
     if now is not None:
         yield done()
 
 
-def score(docs: DataFrame, words: int = WORDS, bucket_pairs: int = BUCKET_PAIRS, task_pairs: int = TASK_PAIRS) -> DataFrame:
-    """(doc_id, n_words, score) for every row of (doc_id, text): the natural logarithm of the text's score."""
-    spark = docs.sparkSession
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("text"))
-    vocabulary = stage(word_counts(rows), "words")
-    total = vocabulary.agg(F.sum("n").alias("n")).first().n or 0
-    top = vocabulary.where(F.col("n") > cutoff(vocabulary, min(words, WORDS))).collect()  # at most WORDS rows
-    top.sort(key=lambda r: (-r.n, bytes(r.word)))
-    counts = np.array([0, *(r.n for r in top)], np.int64)
-    counts[0] = total - counts.sum()
-    shared = spark.sparkContext.broadcast(({bytes(r.word): i + 1 for i, r in enumerate(top)}, counts))  # WORDS entries
-    buckets = max(1, -(-total // bucket_pairs))
-
-    schema = "bucket int, chunk long, pairs binary, places binary, own binary, ids array<long>, base binary, words binary"
-    text = rows.select("doc_id", F.col("text").cast("binary"))
-    packed = stage(text.mapInArrow(lambda b: _pack(b, *shared.value, buckets), schema), "pairs")
-    pairs = packed.where("bucket >= 0")
-
-    table_schema = "bucket int, pairs binary, n binary"
-    table = pairs.select("bucket", "pairs", "own").mapInArrow(lambda b: _counts(b, "own"), table_schema)
-    table = table.repartition("bucket").mapInArrow(lambda b: _counts(b, "n"), table_schema)
-    parts = pairs.groupBy("bucket").agg(F.ceil(F.sum(F.octet_length("pairs") / 4) / task_pairs).cast("int").alias("parts"))
-    parts = broadcast_checked(stage(parts, "bucket-parts"), buckets)
-    table = table.join(parts, "bucket").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    asked = pairs.join(parts, "bucket").withColumn("part", F.pmod(F.xxhash64("chunk"), F.col("parts")).cast("int"))
-    null = F.lit(None)
-    both = asked.select("bucket", "part", "chunk", "pairs", "places", "own", null.cast("binary").alias("n")).union(
-        table.select("bucket", "part", null.cast("long"), "pairs", null.cast("binary"), null.cast("binary"), "n")
-    )
-    both = both.repartition("bucket", "part").sortWithinPartitions("bucket", "part", F.col("n").isNull())
-    gains = both.mapInArrow(lambda b: _gains(b, shared.value[1]), "chunk long, gains binary")
-
-    own = packed.where("bucket < 0").select("chunk", null.cast("binary").alias("gains"), "ids", "base", "words")
-    each = own.union(gains.select("chunk", "gains", null.cast("array<long>"), null.cast("binary"), null.cast("binary")))
-    each = each.repartition("chunk").sortWithinPartitions("chunk", F.col("ids").isNull())
-    return each.mapInArrow(_scores, "doc_id long, n_words long, score double")
+def score(docs: DataFrame, words: int | None = None, bucket_pairs: int = BUCKET_PAIRS, task_pairs: int = TASK_PAIRS) -> DataFrame:
+    """(doc_id, n_words, score) for every row of (doc_id, text): the natural logarithm of the text's score.
+
+    With ``words`` only that many of the most frequent words keep names of their own.
+    """
+    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary"))
+    kept = None
+    if words is not None:
+        vocabulary = stage(word_counts(rows), "words")
+        kept = {bytes(r.word) for r in vocabulary.where(F.col("n") > cutoff(vocabulary, min(words, WORDS))).collect()}  # at most WORDS rows
+    shared = docs.sparkSession.sparkContext.broadcast(kept)
+
+    schema = "chunk long, ids array<long>, size long, lens binary, n_words long, words binary, tokens binary"
+    chunks = stage(rows.mapInArrow(lambda b: _pack(b, shared.value), schema), "chunks")
+    total = chunks.agg(F.sum("size")).first()[0] or 0
+    buckets = max(1, -(-total // min(bucket_pairs, task_pairs)))
+
+    asked = chunks.mapInArrow(lambda b: _ask(b, buckets), "bucket int, chunk long, n long, names binary, counts binary")
+    asked = asked.repartition("bucket").sortWithinPartitions("bucket")
+    found = asked.mapInArrow(_totals, "chunk long, bucket int, totals binary")
+    each = chunks.unionByName(found, allowMissingColumns=True)
+    each = each.repartition("chunk").sortWithinPartitions("chunk", F.col("totals").isNotNull())
+    return each.mapInArrow(lambda b: _scores(b, buckets, total), "doc_id long, n_words long, score double")
 
 
 def op7(spark, sf_dir: str) -> DataFrame:

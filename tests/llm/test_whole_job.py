@@ -1,10 +1,14 @@
 """Cases in which an operator once did less than its whole job."""
 
+import math
+from collections import Counter
+
 import numpy as np
-from helpers import components
+from helpers import components, words
 
 from covenant.llm import jaccard_join as J
 from covenant.llm import language_id as G
+from covenant.llm import lm_scoring as L
 from covenant.llm import url_filters as U
 
 
@@ -42,3 +46,19 @@ def test_language_sample_of_very_many_rows(spark):
     counts = spark.createDataFrame([("a", 1 << 40), ("b", 20_000)], "lang string, n long")
     got = {r.lang: r["count"] for r in G.sampled(rows, counts, 500).groupBy("lang").count().collect()}
     assert got.get("a", 0) <= 1 and 400 < got["b"] < 600
+
+
+def test_rare_words_keep_their_own_counts(spark, tmp_path):
+    docs = [(i, " ".join(f"w{i}x{j // 2}" for j in range(900))) for i in range(160)]  # 72,000 words, each twice
+    docs += [(500, "never seen before"), (501, "nor this one here"), (502, "w1x3 w1x3 w2x4")]
+    spark.createDataFrame(docs, "doc_id long, text string").repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: (r.n_words, r.score) for r in L.op7(spark, str(tmp_path)).collect()}
+    seqs = [words(t, lower=True) for _, t in docs]
+    c1, c2 = Counter(w for s in seqs for w in s), Counter(p for s in seqs for p in zip(s, s[1:]))
+    total = sum(c1.values())
+    for (i, _), s in zip(docs, seqs):
+        own, x = Counter(zip(s, s[1:])), math.log(c1[s[0]] / total)
+        for v, w in zip(s, s[1:]):
+            k = c2[v, w] - own[v, w]
+            x += math.log(k / c1[v]) if k else math.log(0.4 * c1[w] / total)
+        assert got[i][0] == len(s) and math.isclose(got[i][1], x, abs_tol=6e-4)
