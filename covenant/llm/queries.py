@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import embedding_dedup, exact_search, jaccard_join, language_id, lm_scoring, mixing, packing, substring_dedup, token_counts, url_filters
+from . import embedding_dedup, exact_search, jaccard_join, language_id, lm_scoring, mixing, packing, periodic_runs, substring_dedup, token_counts, url_filters
 
 QUERIES = {
     "op1_language_id": language_id.op1,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_recompression_dedup": substring_dedup.op8,
     "op9_embedding_near_dedup": embedding_dedup.op9,
     "op10_source_mixing": mixing.op10,
+    "op11_periodic_runs": periodic_runs.op11,
 }
 
 ORACLE = {
@@ -25,4 +26,5 @@ ORACLE = {
     "op8_recompression_dedup": substring_dedup.SQL,
     "op9_embedding_near_dedup": embedding_dedup.SQL,
     "op10_source_mixing": mixing.SQL,
+    "op11_periodic_runs": periodic_runs.SQL,
 }
