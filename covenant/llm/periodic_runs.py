@@ -46,7 +46,7 @@ MIN_WORDS = 24
 COVER, COVER_SET = 31, (1, 5, 11, 24, 25, 27)
 
 #: Words that are worked on together, and grid pairs made at a time.
-CHUNK_WORDS, CHUNK_PAIRS = 200_000, 2_000_000
+CHUNK_WORDS, CHUNK_PAIRS = 100_000, 500_000
 
 RUN = "struct<start:bigint,length:bigint,period:bigint>"
 
