@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import embedding_dedup, exact_search, jaccard_join, language_id, lm_scoring, mixing, packing, periodic_runs, pii_boost, substring_dedup, token_counts, url_filters
+from . import embedding_dedup, exact_search, jaccard_join, language_id, lm_scoring, mixing, packing, periodic_runs, pii_boost, spelling_groups, substring_dedup, token_counts, url_filters
 
 QUERIES = {
     "op1_language_id": language_id.op1,
@@ -17,6 +17,7 @@ QUERIES = {
     "op10_source_mixing": mixing.op10,
     "op11_periodic_runs": periodic_runs.op11,
     "op12_pii_boost": pii_boost.op12,
+    "op13_spelling_groups": spelling_groups.op13,
 }
 
 ORACLE = {
@@ -28,4 +29,5 @@ ORACLE = {
     "op9_embedding_near_dedup": embedding_dedup.SQL,
     "op10_source_mixing": mixing.SQL,
     "op11_periodic_runs": periodic_runs.SQL,
+    "op13_spelling_groups": spelling_groups.SQL,
 }
