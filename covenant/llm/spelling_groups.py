@@ -44,7 +44,7 @@ from .common import stage, whole_groups
 LETTERS, MIN_LETTERS, MIN_COUNT, RATIO = r"A-Za-zÀ-ÿ", 7, 2, 10
 
 #: Words of a cell aimed at, words of a length that shape its tree, candidates in a leaf.
-CELL_WORDS, SAMPLE, LEAF = 4096, 16_384, 16
+CELL_WORDS, SAMPLE, LEAF = 16_384, 16_384, 24
 
 #: Coordinates: a letter each for a-z and U+00C0..U+00FF, eight shared by all others.
 AXES = 26 + 64 + 8
@@ -133,15 +133,16 @@ def _near(q: np.ndarray, c: np.ndarray) -> np.ndarray:
 def meetings(tree: Tree, x: np.ndarray, q: np.ndarray, c: np.ndarray, down: bool) -> tuple[np.ndarray, np.ndarray]:
     """(row of q, row of c) of all near words: q with points x searches the tree of c."""
     out = [np.zeros((2, 0), np.int64)]
+    ends_q, ends_c = (np.ascontiguousarray(w[:, [0, -1]].T) for w in (q, c))
     for leaf, rows in tree.reach(x, np.arange(len(x)), down):
         members = tree.members[leaf]
-        step = max(1, COMPARED // (len(members) * c.shape[1]))
+        (c0, c1), step = ends_c[:, members], max(1, COMPARED // (len(members) * c.shape[1]))
         for k in range(0, len(rows), step):
-            a, b = np.repeat(rows[k : k + step], len(members)), np.tile(members, len(rows[k : k + step]))
-            first = q[a, 0] == c[b, 0]  # one edit leaves the first or the last letter in place
-            hit = np.flatnonzero(first | (q[a, -1] == c[b, -1]))
-            a, b = a[hit], b[hit]
-            hit = _near(q[a], c[b])
+            part = rows[k : k + step]
+            q0, q1 = ends_q[:, part, None]
+            a, b = np.nonzero((q0 == c0) | (q1 == c1))  # one edit leaves the first or the last letter in place
+            a, b = part[a], members[b]
+            hit = np.flatnonzero(_near(q[a], c[b]))
             out.append(np.stack([a[hit], b[hit]]))
     a, b = np.unique(np.concatenate(out, axis=1), axis=1)
     return a, b
