@@ -26,7 +26,7 @@ from ..session import scratch_path
 from ..sources import contracts as ct
 from ..sources import shipped
 from ..sources.files import read_delimited, read_fixed_width, read_results_history
-from ..streaming.batches import check_batch
+from ..streaming.batches import run_checked
 from ..streaming.ingest import counted, run_available_now, run_foreach_batch, stream_id, write_batch
 from . import marts
 from .bronze import read_bronze, run_bronze
@@ -879,21 +879,17 @@ def st_two_checkpoints(spark, sf):
 
 def st_foreach_batch_dq(spark, sf):
     """All rules per micro-batch, ``unique`` against earlier batches too: a second delivery repeats every seventh event."""
-    land, good, bad, keys, ckpt = (scratch_path(spark, n) for n in ("st_land", "st_clean", "st_quarantine", "st_keys", "ckpt"))
+    land, good, bad, ckpt = (scratch_path(spark, n) for n in ("st_land", "st_clean", "st_quarantine", "ckpt"))
     events = table(spark, sf, "events")
 
-    def route(batch: DataFrame, batch_id: int) -> None:
-        stream = stream_id(batch.sparkSession, ckpt)
-        a = check_batch(batch, EVENT_RULES, keys, stream, batch_id).persist()
-        try:
-            for part, path in ((clean(a), good), (quarantine(a), bad)):
-                write_batch(part, path, stream, batch_id)
-        finally:
-            a.unpersist()
+    def route(annotated: DataFrame, batch_id: int) -> None:
+        stream = stream_id(annotated.sparkSession, ckpt)
+        for part, path in ((clean(annotated), good), (quarantine(annotated), bad)):
+            write_batch(part, path, stream, batch_id)
 
     for delivery in (events, events.where("event_id % 7 = 0")):
         delivery.write.mode("append").parquet(land)
-        run_foreach_batch(spark.readStream.schema(events.schema).parquet(land), route, ckpt)
+        run_checked(spark.readStream.schema(events.schema).parquet(land), EVENT_RULES, route, ckpt)
     g = spark.read.parquet(good).select(F.lit("clean").alias("route"), "event_id")
     b = spark.read.parquet(bad).select(F.lit("quarantine").alias("route"), "event_id")
     return g.unionByName(b).groupBy("route").agg(F.count(F.lit(1)).alias("n_rows"))

@@ -1,54 +1,110 @@
 """Quality rules on micro-batches, with ``unique`` across all batches of a stream.
 
-The keys of each batch are kept beside the stream's output as 128-bit
-fingerprints, in the batch's own partition.  A row fails ``unique`` if an
-earlier batch had its key, or an earlier row of its own batch.  A replayed batch
-reads the partitions of earlier batches only and replaces its own, so it gets
-the same answer again.
+Which keys a stream has had lives in the query's own state store (RocksDB, with
+changelog checkpoints), as 128-bit fingerprints: the streaming plan holds the
+rows of a batch beside the keys that ``dropDuplicates`` lets through, so a batch
+brings along the keys that are new with it.  A row fails ``unique`` if its key is
+not among them, or if an earlier row of its own batch has it.
+
+The cost of a batch is that of its own rows: no earlier batch is read again.  A
+batch is staged once, so the stateful part of the plan runs once a batch.  A
+batch that is replayed after a failure starts from the state as it was before it
+and gets the same answer.  The state holds one entry per distinct key.
 """
 
 from __future__ import annotations
 
-from typing import Iterable, Mapping
+from contextlib import contextmanager
+from typing import Callable, Iterable, Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.rules import Rule, as_rules
 from ..operators.checks import FAILED_RULES, PASSED, check
-from .ingest import BATCH_ID, STREAM_ID, write_batch
+from ..session import remove_path, scratch_path
+from .ingest import run_foreach_batch
+
+#: Settings of the state store while a checked stream starts.
+STATE_STORE = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
+ROW, RULE, KEY = "_dq_row", "_dq_rule", ("_dq_k1", "_dq_k2")
+
 
-KEYS_SCHEMA = f"rule string, k1 long, k2 long, {STREAM_ID} string, {BATCH_ID} long"
+@contextmanager
+def _settings(spark: SparkSession, conf: Mapping[str, str]):
+    before = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def _key(column: str):
-    return F.xxhash64(F.col(column)), F.xxhash64(F.lit("key"), F.col(column))
+    return F.xxhash64(F.col(column)).alias(KEY[0]), F.xxhash64(F.lit("key"), F.col(column)).alias(KEY[1])
 
 
-def check_batch(batch: DataFrame, rules: Iterable[Rule | Mapping], keys_path: str, stream: str, batch_id: int, as_of=None) -> DataFrame:
-    """``check`` for one micro-batch; ``unique`` rules also fail keys of earlier batches of the stream."""
-    rules = as_rules(rules)
-    unique = [r for r in rules if r.rule_type == "unique"]
-    out = check(batch, rules, as_of=as_of)
+def with_new_keys(stream: DataFrame, unique: list[Rule]) -> DataFrame:
+    """The stream's rows (rule -1) and, per ``unique`` rule by its number, the keys that no earlier batch had."""
+    none = [F.lit(None).cast("long").alias(k) for k in KEY]
+    rows = stream.select(F.lit(-1).alias(RULE), *none, F.struct(*(F.col(f"`{c}`") for c in stream.columns)).alias(ROW))
     if not unique:
-        return out
-    spark = batch.sparkSession
-    keys = None
-    for r in unique:
-        k1, k2 = _key(r.column)
-        own = batch.where(F.col(r.column).isNotNull()).select(F.lit(r.rule_name).alias("rule"), k1.alias("k1"), k2.alias("k2")).distinct()
-        keys = own if keys is None else keys.unionByName(own)
-    write_batch(keys, keys_path, stream, batch_id)
-
-    earlier = spark.read.schema(KEYS_SCHEMA).parquet(keys_path).where((F.col(STREAM_ID) == stream) & (F.col(BATCH_ID) < batch_id))
-    seen = []
-    for i, r in enumerate(unique):
-        k1, k2 = _key(r.column)
-        prior = earlier.where(F.col("rule") == r.rule_name).select(F.col("k1").alias(f"_k1_{i}"), F.col("k2").alias(f"_k2_{i}")).distinct()
-        out = out.join(prior, F.col(r.column).isNotNull() & (k1 == F.col(f"_k1_{i}")) & (k2 == F.col(f"_k2_{i}")), "left")
-        seen.append((r.rule_name, F.col(f"_k1_{i}").isNotNull()))
-    was = dict(seen)
+        return rows
+    no_keys = F.array().cast(f"array<struct<{RULE}:int,{KEY[0]}:bigint,{KEY[1]}:bigint>>")
+    each = [F.when(F.col(r.column).isNotNull(), F.array(F.struct(F.lit(i).alias(RULE), *_key(r.column)))).otherwise(no_keys) for i, r in enumerate(unique)]
+    keys = stream.select(F.inline(F.concat(*each))).dropDuplicates([RULE, *KEY])
+    return rows.unionByName(keys.withColumn(ROW, F.lit(None).cast(rows.schema[ROW].dataType)))
+
+
+def check_rows(rows: DataFrame, new_keys: DataFrame, rules: Iterable[Rule | Mapping], as_of=None) -> DataFrame:
+    """``check`` for one batch; ``unique`` also fails keys that are not among ``new_keys`` (rule number, key)."""
+    rules = as_rules(rules)
+    out, old = check(rows, rules, as_of=as_of), {}
+    for i, r in enumerate(x for x in rules if x.rule_type == "unique"):
+        names = [f"{k}_{i}" for k in KEY]
+        own = new_keys.where(F.col(RULE) == i).select(*[F.col(k).alias(n) for k, n in zip(KEY, names)])
+        on = F.col(r.column).isNotNull()
+        for k, n in zip(_key(r.column), names):
+            on = on & (k == F.col(n))
+        out = out.join(own, on, "left").withColumn(f"_dq_old_{i}", F.col(r.column).isNotNull() & F.col(names[0]).isNull()).drop(*names)
+        old[r.rule_name] = F.col(f"_dq_old_{i}")
     none = F.array().cast("array<string>")
-    names = [F.when(F.array_contains(FAILED_RULES, r.rule_name) | was.get(r.rule_name, F.lit(False)), F.array(F.lit(r.rule_name))).otherwise(none) for r in rules]
-    out = out.withColumn(FAILED_RULES, F.concat(*names)).withColumn(PASSED, F.size(FAILED_RULES) == 0)
-    return out.drop(*[f"_k{j}_{i}" for i in range(len(unique)) for j in (1, 2)])
+    names = [F.when(F.array_contains(FAILED_RULES, r.rule_name) | old.get(r.rule_name, F.lit(False)), F.array(F.lit(r.rule_name))).otherwise(none) for r in rules]
+    out = out.withColumn(FAILED_RULES, F.concat(none, *names)).withColumn(PASSED, F.size(FAILED_RULES) == 0)
+    return out.drop(*[f"_dq_old_{i}" for i in range(len(old))])
+
+
+def run_checked(
+    stream: DataFrame,
+    rules: Iterable[Rule | Mapping],
+    handler: Callable[[DataFrame, int], None],
+    checkpoint: str,
+    as_of=None,
+) -> StreamingQuery:
+    """Run ``handler(annotated, batch_id)`` per micro-batch until the available input is processed.
+
+    ``annotated`` has ``check``'s columns; ``unique`` holds over all batches that
+    the checkpoint's query has processed.
+    """
+    rules = as_rules(rules)
+    unique = [r for r in rules if r.rule_type == "unique"]
+
+    def work(batch: DataFrame, batch_id: int) -> None:
+        session, path = batch.sparkSession, scratch_path(batch.sparkSession, "batch")
+        try:
+            batch.write.partitionBy(RULE).parquet(path)
+            staged = session.read.schema(batch.schema).parquet(path)
+            rows = staged.where(F.col(RULE) == -1).select(f"{ROW}.*")
+            handler(check_rows(rows, staged.where(F.col(RULE) >= 0), rules, as_of), batch_id)
+        finally:
+            remove_path(session, path)
+
+    with _settings(stream.sparkSession, STATE_STORE):
+        return run_foreach_batch(with_new_keys(stream, unique), work, checkpoint)

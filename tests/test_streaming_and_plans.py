@@ -147,14 +147,64 @@ def test_empty_landing_folder_gives_an_empty_bronze_table(spark):
     assert read_bronze(spark, contract, target, land).count() == 0
 
 
+def _checked(spark, src, ckpt, rules, fail_at=None):
+    """Failing ids of each micro-batch (one file a batch); ``fail_at`` breaks that batch after its work."""
+    from covenant.operators.checks import PASSED
+    from covenant.streaming.batches import run_checked
+
+    seen = {}
+
+    def keep(annotated, batch_id):
+        seen[batch_id] = (annotated.count(), sorted(r.id for r in annotated.where(f"NOT {PASSED}").collect()))
+        if batch_id == fail_at:
+            raise RuntimeError("lost")
+
+    stream = spark.readStream.schema("id int, k string, v int").option("maxFilesPerTrigger", 1).parquet(src)
+    try:
+        query = run_checked(stream, rules, keep, ckpt)
+    except Exception:
+        assert fail_at is not None
+        query = None
+    return seen, query
+
+
 def test_unique_across_batches_is_the_same_when_a_batch_is_replayed(spark):
     from covenant import Rule
-    from covenant.operators.checks import PASSED
-    from covenant.streaming.batches import check_batch
-
-    keys, rule = scratch_path(spark, "keys"), Rule("u", "k", "unique", order_by=("id",))
-    batches = [spark.createDataFrame(rows, "id int, k string") for rows in ([(1, "a"), (2, "b"), (3, None)], [(4, "a"), (5, "c"), (6, "c"), (7, None)], [(8, "c")])]
-    for i in (0, 1, 1, 2, 0):
-        failed = sorted(r.id for r in check_batch(batches[i], [rule], keys, "s", i).where(f"NOT {PASSED}").collect())
-        assert failed == [[], [4, 6], [8]][i]
-    assert check_batch(batches[0], [rule], keys, "other", 5).where(f"NOT {PASSED}").count() == 0
+
+    src, ckpt = scratch_path(spark, "batches"), scratch_path(spark, "ck")
+    rules = [Rule("u", "k", "unique", order_by=("id",)), Rule("u2", "v", "unique"), Rule("nn", "k", "not_null")]
+    feeds = [[(1, "a", 1), (2, "b", None), (3, None, 3)], [(4, "a", 4), (5, "c", 5), (6, "c", 6), (7, None, 7)], [(8, "c", 8), (9, "d", 3), (10, "e", 10)]]
+    for rows in feeds:
+        spark.createDataFrame(rows, "id int, k string, v int").coalesce(1).write.mode("append").parquet(src)
+    first, _ = _checked(spark, src, ckpt, rules, fail_at=1)
+    assert first == {0: (3, [3]), 1: (4, [4, 6, 7])}
+    again, _ = _checked(spark, src, ckpt, rules)  # batch 1 is replayed from the state before it
+    assert again == {1: (4, [4, 6, 7]), 2: (3, [8, 9])}
+    spark.createDataFrame([(11, "e", 11), (12, "f", 12)], "id int, k string, v int").coalesce(1).write.mode("append").parquet(src)
+    later, _ = _checked(spark, src, ckpt, rules)  # a new start knows the keys of all earlier ones
+    assert later == {3: (2, [11])}
+    other, _ = _checked(spark, src, scratch_path(spark, "ck"), rules)  # another stream has keys of its own
+    assert {i for _, ids in other.values() for i in ids} == {3, 4, 6, 7, 8, 9, 11}
+    assert spark.conf.get("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "false") == "false"
+
+
+def test_a_batch_reads_its_own_rows_only(spark):
+    from covenant import Rule
+
+    src, ckpt = scratch_path(spark, "batches"), scratch_path(spark, "ck")
+    for b in range(6):
+        spark.range(200).selectExpr(f"CAST(id + {200 * b} AS int) AS id", f"CAST(id + {150 * b} AS string) AS k", "1 AS v").coalesce(1).write.mode("append").parquet(src)
+    seen, query = _checked(spark, src, ckpt, [Rule("u", "k", "unique", order_by=("id",))])
+    assert [len(ids) for _, ids in seen.values()] == [0, 50, 50, 50, 50, 50]
+    states = [p.stateOperators[0] for p in query.recentProgress if p.numInputRows]
+    assert [s.numRowsUpdated for s in states] == [200, 150, 150, 150, 150, 150] and states[-1].numRowsTotal == 950
+    assert any("rocksdb" in k.lower() for k in states[-1].customMetrics)
+
+
+def test_checked_stream_without_unique_or_rules(spark):
+    from covenant import Rule
+
+    src = scratch_path(spark, "batches")
+    spark.createDataFrame([(1, None, 1), (2, "b", 2)], "id int, k string, v int").coalesce(1).write.parquet(src)
+    assert _checked(spark, src, scratch_path(spark, "ck"), [Rule("nn", "k", "not_null")])[0] == {0: (2, [1])}
+    assert _checked(spark, src, scratch_path(spark, "ck"), [])[0] == {0: (2, [])}
