@@ -1,7 +1,7 @@
 """Row annotation: evaluate every rule and mark each row with the rules it fails.
 
-``check`` is lazy: it only adds columns (and one join per ``unique`` rule) to
-the logical plan.  Expression rules are plain Catalyst predicates inside one
+``check`` is lazy (but for ``staged``): it only adds columns, and joins per
+``unique`` rule, to the logical plan.  Expression rules are plain Catalyst predicates inside one
 projection, so they stay in whole-stage codegen.
 
 ``unique`` ("the first row of each key passes, later ones fail") is computed
@@ -9,20 +9,24 @@ without a window over the key, because a window sends every row of a key to
 one task and a single hot key (or all NULL keys) can hold a third of the
 table.  Instead, per rule:
 
-1. rows shrink to (key, tie-break, 128-bit fingerprint of the row), equal ones
-   are counted and the smallest per key is kept; both aggregates combine before
-   their shuffle, so a hot key is collapsed map-side;
-2. that first row is joined back on ``(key, salt)``.  NULL keys never match;
+1. per key, the rows are counted and the smallest tie-break is kept, combined
+   before the shuffle, so a hot key is collapsed map-side.  Only keys of more
+   than one row go on: of mostly unique keys next to nothing.  A tie-break that
+   is wide (text, or many columns) is looked at for repeated keys only, which a
+   count of the keys alone has found;
+2. keys in which several rows have the smallest tie-break are found by counting
+   these rows, from the key and tie-break columns alone.  There are none where
+   the tie-break identifies a row, and then step 4 falls away at run time;
+3. rows join with the repeated keys on ``(key, salt)``.  NULL keys never match;
    their salt is a hash of the whole row, which spreads them over all shuffle
    partitions.  A hot non-NULL key is split by AQE's skew-join handling (the
-   right side has exactly one row per key).  The join strategy is left to AQE,
-   which broadcasts the per-key side only after measuring it.
-
-So the rows themselves are shuffled once per rule; text keys travel as their
-fingerprint.  ``order_by`` orders the rows of a key; rows that tie on it go by
-their fingerprint (without ``order_by``: by all columns, in schema order).
-Rows that are equal in every column cannot be told apart: where such rows are
-first of their key they are counted, and one copy passes.
+   right side has one row per key);
+4. rows that tie for first go by a 128-bit fingerprint of the whole row.  Rows
+   that are equal in every column cannot be told apart: they are counted, and
+   written back as one passing and n - 1 failing copies.
+
+Text keys travel as 128 bits.  ``order_by`` orders the rows of a key; without it
+all columns do, in schema order.
 """
 
 from __future__ import annotations
@@ -34,6 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.rules import Rule, as_rules, fail_condition
+from ..session import scratch_path
 
 PASSED = "_dq_passed"
 FAILED_RULES = "_dq_failed_rules"
@@ -69,47 +74,98 @@ def _fingerprint(df: DataFrame) -> list[Column]:
     return [F.xxhash64(*cols), F.xxhash64(F.lit("row"), *cols)]
 
 
-def _unique_flag(df: DataFrame, rule: Rule, idx: int, order_by: Sequence[str] | None) -> tuple[DataFrame, Column, Column, list[str]]:
-    """(joined frame, fails, first of its key but with equal copies, helper columns)."""
-    key, kind = F.col(rule.column), dict(df.dtypes)[rule.column]
-    pre = f"_dq_u{idx}_"
-    keys = [F.xxhash64(key), F.xxhash64(F.lit("key"), key)] if kind in ("string", "binary") else [key]
+def _fixed_width(dt: T.DataType) -> bool:
+    return isinstance(dt, (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType, T.BooleanType))
+
+
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _unique_keys(df: DataFrame, rule: Rule) -> list[str]:
+    """The key as it travels, as SQL: a text as 128 bits."""
+    key = _q(rule.column)
+    return [f"xxhash64({key})", f"xxhash64('key', {key})"] if dict(df.dtypes)[rule.column] in ("string", "binary") else [key]
+
+
+def _firsts(df: DataFrame, keys: list[str], names: list[str], order: list[str], row: str) -> DataFrame:
+    """(key, first): the smallest tie-break of each key of more than one row."""
+    types = [df.schema[c].dataType for c in order]
+    named = [f"{k} AS {n}" for k, n in zip(keys, names)]
+    more = F.expr("count(*) AS n")
+    if len(order) == 1 and _fixed_width(types[0]):  # hash aggregates; NULL is smallest
+        value = _q(order[0])
+        per = df.groupBy(*map(F.expr, named)).agg(more, F.expr(f"min({value}) AS m"), F.expr(f"count({value}) AS valued")).where("n > 1")
+        return per.selectExpr(*names, "struct(IF(n = valued, m, NULL) AS o0) AS first")
+    if len(order) <= 3 and all(map(_fixed_width, types)):
+        return df.groupBy(*map(F.expr, named)).agg(more, F.expr(f"min({row}) AS first")).where("n > 1").drop("n")
+    repeated = df.groupBy(*map(F.expr, named)).agg(more).where("n > 1").drop("n")
+    return df.selectExpr(*named, f"{row} AS row").join(repeated, names, "left_semi").groupBy(*names).agg(F.expr("min(row) AS first"))
+
+
+def _staged(df: DataFrame, name: str) -> tuple[DataFrame, int]:
+    """A narrow table written to the shared scratch folder, broadcast only if its counted rows are within the bound; and the rows."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    stored = df.sparkSession.read.schema(df.schema).parquet(path)
+    rows = stored.count()
+    return (F.broadcast(stored) if rows <= BROADCAST_KEYS else stored), rows
+
+
+def _unique_flag(df: DataFrame, rule: Rule, idx: int, order_by: Sequence[str] | None, own: list[str], staged: bool) -> tuple[DataFrame, bool]:
+    """``df`` with two flags of the rule (comes after a first row, ties with others for first), and whether any row may tie."""
+    key, keys, pre = _q(rule.column), _unique_keys(df, rule), f"_dq_u{idx}_"
     names = [f"{pre}k{j}" for j in range(len(keys))]
-    # Not a literal: a constant would be folded into a post-join filter and the
-    # NULL-key salt would no longer be part of the shuffle key.
-    same = F.pmod(F.col(HASHES[0]), F.lit(1)).cast("long")
-    order = [F.col(c) for c in _tie_break_columns(df, rule, order_by)] + [F.col(h) for h in HASHES]
-    row = F.struct(*[c.alias(f"o{j}") for j, c in enumerate(order)])
-
-    firsts = (
-        df.where(key.isNotNull())
-        .groupBy(*[k.alias(n) for k, n in zip(keys, names)], same.alias(f"{pre}rsalt"), row.alias("row"))
-        .agg(F.count(F.lit(1)).alias("n"))
-        .groupBy(*names, f"{pre}rsalt")
-        .agg(F.min(F.struct("row", "n")).alias(f"{pre}first"))
-    )
-    salted = df.withColumn(f"{pre}salt", F.when(key.isNull(), F.col(HASHES[0])).otherwise(F.lit(0)))
-    on = F.col(f"{pre}salt") == F.col(f"{pre}rsalt")
-    for k, n in zip(keys, names):
-        on = on & (k == F.col(n))
-    joined = salted.join(firsts, on & key.isNotNull(), "left")
-    is_first = row.eqNullSafe(F.col(f"{pre}first.row"))
-    helpers = [*names, f"{pre}rsalt", f"{pre}salt", f"{pre}first"]
-    return joined, key.isNotNull() & ~is_first, key.isNotNull() & is_first & (F.col(f"{pre}first.n") > 1), helpers
-
-
-def _expand_copies(df: DataFrame, keys: dict[int, Column]) -> DataFrame:
-    """Of rows marked ``_dq_twin``, equal ones become one row again as often as they were; only the first copy passes ``unique``."""
-    rest = [c for c in df.columns if c not in HASHES]
-    once = df.where(TWIN).groupBy(*HASHES).agg(F.count(F.lit(1)).alias("_dq_n"), *[F.first(f"`{c}`").alias(c) for c in rest])
-    copies = once.withColumn("_dq_i", F.explode(F.sequence(F.lit(1), F.col("_dq_n").cast("int"))))
-    for i, key in keys.items():
-        copies = copies.withColumn(f"_dq_u{i}_flag", F.when(F.col("_dq_i") > 1, key.isNotNull()).otherwise(F.col(f"_dq_u{i}_flag")))
-    return df.where(~F.col(TWIN)).unionByName(copies.select(*df.columns))
+    order = _tie_break_columns(df.select(own), rule, order_by)
+    row = "struct(" + ", ".join(f"{_q(c)} AS o{j}" for j, c in enumerate(order)) + ")"
+
+    some = df.where(f"{key} IS NOT NULL")
+    firsts = _firsts(some, keys, names, order, row)
+    if staged:
+        firsts, _ = _staged(firsts, "firsts")
+    ties = some.selectExpr(*[f"{k} AS {n}" for k, n in zip(keys, names)], f"{row} AS row").join(firsts, names).where("row <=> first")
+    ties = ties.groupBy(*names).agg(F.expr("count(*) AS n")).where("n > 1")
+    n_ties = None
+    if staged:
+        ties, n_ties = _staged(ties, "ties")
+    out = df.withColumn(f"{pre}salt", F.when(F.col(rule.column).isNull(), _fingerprint(df.select(own))[0]).otherwise(F.lit(0)))
+    for side, x, more in ((firsts, "f", [f"first AS {pre}row"]), (ties, "t", []))[: 1 if n_ties == 0 else 2]:
+        # "& 0" is not folded: a constant would become a post-join filter, and
+        # the NULL-key salt would no longer be part of the shuffle key.
+        side = side.selectExpr(*[f"{n} AS {n}{x}" for n in names], f"xxhash64({', '.join(names)}) & 0 AS {pre}{x}", *more)
+        same = " AND ".join(f"{k} = {n}{x}" for k, n in zip(keys, names))
+        out = out.join(side, F.expr(f"{key} IS NOT NULL AND {pre}salt = {pre}{x} AND {same}"), "left")
+    tied = "false" if n_ties == 0 else f"{pre}t IS NOT NULL AND {row} <=> {pre}row"
+    flags = f"{pre}f IS NOT NULL AND NOT ({row} <=> {pre}row) AS {pre}flag", f"{tied} AS {pre}tied"
+    return out.selectExpr(*map(_q, df.columns), *flags), n_ties != 0
+
+
+def _settle_ties(tied: DataFrame, rules: dict[int, Rule], own: list[str]) -> DataFrame:
+    """Rows that tie for first, equal ones written back as often as they were: of a key the first copy of the smallest fingerprint passes."""
+    h1, h2 = HASHES
+    rows = tied.select("*", *[h.alias(n) for h, n in zip(_fingerprint(tied.select(own)), HASHES)]).groupBy(*HASHES)
+    rows = rows.agg(F.expr("count(*) AS _dq_n"), *[F.expr(f"first({_q(c)}) AS {_q(c)}") for c in tied.columns])
+    for i, rule in rules.items():
+        keys = _unique_keys(tied, rule)
+        names = [f"_dq_s{i}_k{j}" for j in range(len(keys))]
+        best = rows.where(f"_dq_u{i}_tied").groupBy(*[F.expr(f"{k} AS {n}") for k, n in zip(keys, names)]).agg(F.expr(f"min(struct({h1}, {h2})) AS _dq_s{i}"))
+        same = " AND ".join(f"{k} = {n}" for k, n in zip(keys, names))
+        rows = rows.join(best, F.expr(f"_dq_u{i}_tied AND {same}"), "left").drop(*names)
+    parts = rows.selectExpr("*", f"explode(sequence(0, CAST((_dq_n - 1) div {COPIES} AS int))) AS _dq_p")
+    parts = parts.repartition(*HASHES, "_dq_p")  # very many copies of one row are written by many tasks
+    copies = parts.selectExpr("*", f"explode(sequence(1, CAST(least(_dq_n - _dq_p * {COPIES}, {COPIES}) AS int))) AS _dq_i")
+    passes = "_dq_p = 0 AND _dq_i = 1 AND struct({0}, {1}) <=> _dq_s{2}".format
+    flags = {f"_dq_u{i}_flag": f"IF(_dq_u{i}_tied, NOT ({passes(h1, h2, i)}), _dq_u{i}_flag) AS _dq_u{i}_flag" for i in rules}
+    return copies.selectExpr(*[flags.get(c, _q(c)) for c in tied.columns])
 
 
 HASHES = ("_dq_h1", "_dq_h2")
-TWIN = "_dq_twin"
+
+#: Equal rows that one task writes back in a row.
+COPIES = 1 << 16
+
+#: Rows (a key, a tie-break, a count) up to which a stored table of repeated keys is broadcast.
+BROADCAST_KEYS = 500_000
 
 
 def check(
@@ -118,8 +174,14 @@ def check(
     *,
     as_of=None,
     order_by: Sequence[str] | None = None,
+    staged: bool = False,
 ) -> DataFrame:
-    """Return ``df`` plus ``_dq_passed`` (boolean) and ``_dq_failed_rules`` (array<string>, rule order)."""
+    """Return ``df`` plus ``_dq_passed`` (boolean) and ``_dq_failed_rules`` (array<string>, rule order).
+
+    With ``staged``, the repeated keys of each ``unique`` rule are found and stored
+    first (two narrow tables): then their size is known, so rows with mostly
+    unique keys are not shuffled at all, and a rule without ties needs no more.
+    """
     rules = as_rules(rules)
     if not rules:
         return pass_all(df)
@@ -127,15 +189,13 @@ def check(
     work = df
     unique = [i for i, r in enumerate(rules) if r.rule_type == "unique"]
     if unique:
-        for name, h in zip(HASHES, _fingerprint(df)):
-            work = work.withColumn(name, h)
-        twin = F.lit(False)
+        may_tie = []
         for i in unique:
-            work, fails, twins, helpers = _unique_flag(work, rules[i], i, order_by)
-            work = work.withColumn(f"_dq_u{i}_flag", fails).withColumn(f"_dq_u{i}_twin", twins).drop(*helpers)
-            twin = twin | F.col(f"_dq_u{i}_twin")
-        work = work.withColumn(TWIN, twin).drop(*[f"_dq_u{i}_twin" for i in unique])
-        work = _expand_copies(work, {i: F.col(rules[i].column) for i in unique})
+            work, ties = _unique_flag(work, rules[i], i, order_by, df.columns, staged)
+            may_tie += [i] * ties
+        if may_tie:
+            tied = " OR ".join(f"_dq_u{i}_tied" for i in may_tie)
+            work = work.where(f"NOT ({tied})").unionByName(_settle_ties(work.where(tied), {i: rules[i] for i in may_tie}, df.columns))
     flags = [
         (r.rule_name, F.col(f"_dq_u{i}_flag") if i in unique else fail_condition(r, as_of, dtypes.get(r.column))) for i, r in enumerate(rules)
     ]
@@ -144,7 +204,7 @@ def check(
     empty = F.array().cast("array<string>")
     failed = F.concat(*[F.when(f, F.array(F.lit(n))).otherwise(empty) for n, f in flags])
     out = work.withColumn(FAILED_RULES, failed).withColumn(PASSED, F.size(F.col(FAILED_RULES)) == 0)
-    return out.drop(*HASHES, TWIN, *[f"_dq_u{i}_flag" for i in unique])
+    return out.drop(*[f"_dq_u{i}_{x}" for i in unique for x in ("flag", "tied")])
 
 
 def pass_all(df: DataFrame) -> DataFrame:

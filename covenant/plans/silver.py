@@ -3,8 +3,9 @@
 A constant number of jobs whatever the rule count:
 
 1. write the annotated rows once to a staging folder, partitioned by
-   ``_dq_passed`` (this is the only pass over the source; one shuffle of the
-   rows per ``unique`` rule);
+   ``_dq_passed`` (the only pass over whole rows; a ``unique`` rule reads its key
+   and tie-break columns before, and shuffles rows only if its repeated keys are
+   too many to broadcast);
 2. metrics + samples for every rule from the stored rows, written to the
    results table (one run partition, rerun-safe);
 3. the failing rows go to the quarantine table (run partition, rerun-safe;
@@ -51,9 +52,9 @@ def resolve_run_id(run_id: str | None) -> str:
     return run_id if run_id else str(uuid.uuid4())
 
 
-def silver_frame(df: DataFrame, transforms, rules: Sequence[Rule], *, as_of=None, order_by=None, stamp: bool = True) -> DataFrame:
-    """Lazy silver plan: ordered transforms, processing timestamp, rule annotation."""
-    return check(apply_transforms(df, transforms, stamp=stamp), rules, as_of=as_of, order_by=order_by)
+def silver_frame(df: DataFrame, transforms, rules: Sequence[Rule], *, as_of=None, order_by=None, stamp: bool = True, staged: bool = False) -> DataFrame:
+    """Silver plan: ordered transforms, processing timestamp, rule annotation; lazy but for ``staged``."""
+    return check(apply_transforms(df, transforms, stamp=stamp), rules, as_of=as_of, order_by=order_by, staged=staged)
 
 
 def run_silver(
@@ -79,7 +80,7 @@ def run_silver(
     rules = as_rules(rules if rules is not None else contract.get("quality") or [])
 
     staging = f"{base}/_staging_{silver_name}"
-    frame = silver_frame(bronze, transforms, rules, as_of=as_of, order_by=order_by)
+    frame = silver_frame(bronze, transforms, rules, as_of=as_of, order_by=order_by, staged=True)
     write_table(frame, staging, fmt=fmt, partition_by=[PASSED])
     # With its schema an empty feed reads back too; the filter on the partition column prunes.
     stored = spark.read.schema(frame.schema).format(fmt).load(staging)
