@@ -13,11 +13,13 @@ from typing import Any, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.rules import as_rules
+from ..operators.publish import register
 from ..operators.routing import expectations
 from ..sources.files import INGESTION_TS, SOURCE_FILE, read_source, table_schema
-from ..streaming.ingest import counted, read_ingested, run_available_now
+from ..streaming.ingest import BATCH_ID, PARTITIONS, STREAM_ID, counted, read_ingested, run_available_now
 
 
 def declared(df: DataFrame, contract: Mapping[str, Any]) -> DataFrame:
@@ -44,13 +46,20 @@ def run_bronze(
     checkpoint: str,
     path: str | None = None,
     full_refresh: bool = False,
+    table: str | None = None,
 ) -> Mapping[str, int]:
     """Ingest new files of the contract's source into ``target``; returns the failures per expectation.
 
     The counts are of every batch that this checkpoint's stream has written.
+    ``table`` names a catalog table over the target, with the dataset's
+    description and its column comments.
     """
     counters = expectations(contract.get("quality") or [])
-    run_available_now(bronze_frame(spark, contract, path), target, checkpoint, full_refresh=full_refresh, counters=counters)
+    frame = bronze_frame(spark, contract, path)
+    run_available_now(frame, target, checkpoint, full_refresh=full_refresh, counters=counters)
+    if table:
+        schema = T.StructType(frame.schema.fields + [T.StructField(STREAM_ID, T.StringType()), T.StructField(BATCH_ID, T.LongType())])
+        register(spark, table, target, schema, partition_by=PARTITIONS, comment=contract["dataset"].get("description") or "", properties={"quality": "bronze"})
     return counted(spark, target, checkpoint)
 
 

@@ -9,8 +9,10 @@ the same names on both sides.
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import Callable
 
+from pyspark.errors import SparkRuntimeException, StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,14 +22,15 @@ from ..functions.transforms import apply_transforms
 from ..operators import anomalies as an
 from ..operators.checks import FAILED_RULES, PASSED, check, pass_all
 from ..operators.metrics import critical_failures, measure, measure_rules, severity_totals, summary_lines
+from ..operators.publish import publish, publish_table, read_published, versions
 from ..operators.routing import clean, expectation_counts, expectations, quarantine
-from ..operators.sinks import fixed_width_line, save_table, table_facts, with_comments, write_delimited, write_results, write_table
+from ..operators.sinks import column_comments, fixed_width_line, save_table, table_facts, with_comments, write_delimited, write_results, write_table
 from ..session import scratch_path
 from ..sources import contracts as ct
 from ..sources import shipped
 from ..sources.files import read_delimited, read_fixed_width, read_results_history
 from ..streaming.batches import run_checked
-from ..streaming.ingest import counted, run_available_now, run_foreach_batch, stream_id, write_batch
+from ..streaming.ingest import counted, read_versioned, run_available_now, run_versioned, stream_id, write_batch
 from . import marts
 from .bronze import read_bronze, run_bronze
 from .refine import refine_all
@@ -896,10 +899,10 @@ def st_foreach_batch_dq(spark, sf):
 
 
 def _customer_run(spark, *feeds: DataFrame) -> DataFrame:
-    """Feeds landed as one file each, through the shipped contract: rows that pass and rows that fail ``unique``."""
+    """Feeds landed one after the other, through the shipped contract: rows that pass and rows that fail ``unique``."""
     contract, land, base = shipped.load("customer"), scratch_path(spark, "customer_landing"), scratch_path(spark, "lake")
     for feed in feeds:
-        write_delimited(feed.coalesce(1), land, delimiter="|", mode="append")
+        write_delimited(feed, land, delimiter="|", mode="append")
     run_bronze(spark, contract, f"{base}/bronze", f"{base}/_ckpt", path=land)
     out = run_silver(spark, read_bronze(spark, contract, f"{base}/bronze", land), contract, base, run_id="u", run_ts=RUN_TS, as_of=AS_OF)
     failed_rows = out.results.where("rule_name = 'custkey_unique'").select("fail_count")
@@ -911,13 +914,13 @@ def _customer_strings(spark, sf) -> DataFrame:
 
 
 def dq_unique_repeated_line(spark, sf):
-    """Every fifth customer stands twice in one landed file."""
+    """Every fifth customer stands twice in one landed feed."""
     c = _customer_strings(spark, sf)
     return _customer_run(spark, c.unionAll(c.where("c_custkey % 5 = 0")))
 
 
 def dq_unique_redelivered(spark, sf):
-    """The customer file is delivered twice."""
+    """The customer feed is delivered twice."""
     c = _customer_strings(spark, sf)
     return _customer_run(spark, c, c)
 
@@ -927,7 +930,7 @@ def silver_table_clean(spark, sf):
     base = scratch_path(spark, "lake")
     contract = {"dataset": {"name": "orders"}, "silver": {"table_name": "silver_orders"}}
     run_silver(spark, orders_feed(spark, sf), contract, base, rules=ORDER_RULES, run_id="c", run_ts=RUN_TS, as_of=AS_OF)
-    return spark.read.parquet(f"{base}/silver_orders").select("o_orderkey", "o_orderstatus")
+    return read_published(spark, f"{base}/silver_orders").select("o_orderkey", "o_orderstatus")
 
 
 def q_rerun_repaired(spark, sf):
@@ -939,7 +942,7 @@ def q_rerun_repaired(spark, sf):
         run_silver(spark, feed, contract, base, rules=ORDER_RULES[:1], run_id="same-run", run_ts=RUN_TS, as_of=AS_OF)
     left = spark.read.schema("o_orderkey long, run_id string").parquet(f"{base}/orders_quarantine").where("run_id = 'same-run'")
     res = read_results_history(spark, f"{base}/dq_results")
-    silver = spark.read.parquet(f"{base}/silver_orders").count()
+    silver = read_published(spark, f"{base}/silver_orders").count()
     return res.select("rule_name", "total_count", "fail_count", F.lit(left.count()).alias("quarantined"), F.lit(silver).alias("silver_rows"))
 
 
@@ -987,7 +990,7 @@ def _to_silver(spark, feeds: dict[str, tuple[dict, DataFrame]]) -> str:
 def _publish(spark, df: DataFrame, name: str, comment: str) -> DataFrame:
     """Save a mart as a catalog table with comment and properties, and read it back."""
     path = scratch_path(spark, name)
-    return spark.read.table(save_table(df, f"{name}_{path[-12:]}", path, comment, {"layer": "gold", "quality": "checked"}))
+    return spark.read.table(publish_table(df, f"{name}_{path[-12:]}", path, comment, {"layer": "gold", "quality": "checked"}))
 
 
 MONEY = "CAST({} AS DECIMAL(18, 2))"
@@ -1008,7 +1011,7 @@ def _advisor_lake(spark, sf) -> str:
 
 def gold_advisors(spark, sf):
     base = _advisor_lake(spark, sf)
-    mart = marts.advisor_portfolio(spark.read.parquet(f"{base}/silver_clients"), spark.read.parquet(f"{base}/silver_apps"), approved="PURCHASE")
+    mart = marts.advisor_portfolio(read_published(spark, f"{base}/silver_clients"), read_published(spark, f"{base}/silver_apps"), approved="PURCHASE")
     return _advisor_columns(_publish(spark, mart, "advisors", "Clients and applications by advisor"))
 
 
@@ -1023,7 +1026,7 @@ def gold_snapshot(spark, sf):
         [("state_format", "state_code", "regex", "error", {"pattern": "^[12345]-.*"})],
     )
     base = _to_silver(spark, {"clients": (c, clients), "accounts": (a, accounts)})
-    sides = [spark.read.parquet(f"{base}/silver_{n}") for n in ("clients", "accounts")]
+    sides = [read_published(spark, f"{base}/silver_{n}") for n in ("clients", "accounts")]
     snap = marts.balance_snapshot(*sides, as_of=MART_AS_OF, active_status="F", prefix_start=10, prefix_len=9)
     return _snapshot_columns(_publish(spark, snap, "snapshot", "Active accounts of clients"))
 
@@ -1044,6 +1047,61 @@ def gold_table_facts(spark, sf):
     return table_facts(spark, name).where("property IN ('comment', 'layer')").withColumn("n_rows", F.lit(spark.read.table(name).count()))
 
 
+def lake_table_facts(spark, sf):
+    """Comment, properties and rows of the catalog tables of bronze, silver and results, and the column comments of bronze."""
+    contract, land, base = shipped.load("customer"), land_customer_csv(spark, sf, scratch_path(spark, "customer_landing")), scratch_path(spark, "lake")
+    names = {layer: f"{layer}_{base[-12:]}" for layer in ("bronze", "silver", "results")}
+    for _ in range(2):  # the second run moves the silver table to its new version
+        run_bronze(spark, contract, f"{base}/bronze", f"{base}/_ckpt", path=land, table=names["bronze"])
+        run_silver(spark, read_bronze(spark, contract, f"{base}/bronze", land), contract, base, run_id="facts", run_ts=RUN_TS, as_of=AS_OF, tables=names)
+    facts = None
+    for layer, name in names.items():
+        said = table_facts(spark, name).where("property IN ('comment', 'quality')")
+        if layer == "bronze":
+            said = said.unionByName(spark.createDataFrame(column_comments(spark.table(name).select("c_custkey", "c_name")), "property string, value string"))
+        said = said.select(F.lit(layer).alias("layer"), "property", "value", F.lit(spark.table(name).count()).alias("n_rows"))
+        facts = said if facts is None else facts.unionByName(said)
+    return facts
+
+
+def pub_old_version_kept(spark, sf):
+    """Orders by status are published; a publish whose last row breaks leaves them; a repaired one replaces them."""
+    path, o = scratch_path(spark, "published"), table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
+    steps = []
+
+    def note(step: str) -> None:
+        steps.append(read_published(spark, path).select(F.lit(step).alias("step"), "o_orderstatus"))
+
+    publish(o.where("o_orderstatus = 'F'"), path)
+    note("first")
+    last = o.agg(F.max("o_orderkey")).first()[0]
+    broken = o.withColumn("o_orderstatus", F.when(F.col("o_orderkey") == last, F.raise_error(F.lit("broken row"))).otherwise(F.col("o_orderstatus")))
+    try:
+        publish(broken, path)
+    except SparkRuntimeException:
+        note("after a failed write")
+    publish(o, path)
+    note("repaired")
+    kept = len(versions(spark, path))  # the current one and the one before
+    return reduce(DataFrame.unionByName, steps).groupBy("step", "o_orderstatus").agg(F.count(F.lit(1)).alias("n_rows")).withColumn("versions", F.lit(kept))
+
+
+def st_refresh_switches(spark, sf):
+    """A full refresh that fails leaves the ingested table; the next one replaces it by the refreshed rows."""
+    path, schema = scratch_path(spark, "st_versions"), table(spark, sf, "events").schema
+    stream = st_events_stream(spark, sf)
+    run_versioned(stream.where("event_id % 2 = 0"), path)
+    run_versioned(stream.where("event_id % 2 = 0"), path)  # nothing new
+    out = [_counts(read_versioned(spark, path, schema)).withColumn("step", F.lit("ingested"))]
+    try:
+        run_versioned(stream.where(F.when(F.col("event_id") > 0, F.raise_error(F.lit("broken file"))).otherwise(F.lit(True))), path, full_refresh=True)
+    except StreamingQueryException:
+        out.append(_counts(read_versioned(spark, path, schema)).withColumn("step", F.lit("after a failed refresh")))
+    run_versioned(stream, path, full_refresh=True)
+    out.append(_counts(read_versioned(spark, path, schema)).withColumn("step", F.lit("refreshed")))
+    return reduce(DataFrame.unionByName, out)
+
+
 def q_rerun_safe(spark, sf):
     base = scratch_path(spark, "rerun")
     o = orders_feed(spark, sf)
@@ -1072,6 +1130,7 @@ st_expectations dq_summary_lines refine_contracts_e2e dq_unique_default dq_uniqu
 dq_unique_repeated_line dq_unique_redelivered st_two_checkpoints st_full_refresh_same_checkpoint
 st_expectations_many_batches src_contract_lint q_rerun_repaired silver_table_clean gold_advisors
 gold_snapshot gold_health gold_table_facts an_reuse_prefix an_detect_formats an_detect_duplicates
+lake_table_facts pub_old_version_kept st_refresh_switches
 """.split()
 
 QUERIES: dict[str, Query] = {name: globals()[name] for name in NAMES}

@@ -487,6 +487,17 @@ SELECT CAST(row_number() OVER (ORDER BY CASE severity WHEN 'CRITICAL' THEN 1 ELS
        CASE WHEN severity = 'ERROR' AND pct > 5 THEN 'INVESTIGATE' ELSE 'HEALTHY' END AS status_flag FROM r""",
     "gold_table_facts": """SELECT property, value, CAST((SELECT count(DISTINCT n_regionkey) FROM nation) AS INTEGER) AS n_rows
 FROM (VALUES ('comment', 'Nations by region, it''s small'), ('layer', 'gold')) AS v(property, value)""",
+    "lake_table_facts": """WITH n AS (SELECT count(*) AS b, count_if(c_acctbal >= 0) AS s FROM customer)
+SELECT layer, property, value, CAST(CASE layer WHEN 'bronze' THEN b WHEN 'silver' THEN s ELSE 5 END AS INTEGER) AS n_rows
+FROM n, (VALUES ('bronze', 'comment', 'Customer master rows from the pipe-delimited feed'), ('bronze', 'quality', 'bronze'), ('bronze', 'c_custkey', 'Customer key (raw string)'), ('bronze', 'c_name', 'Customer name'),
+  ('silver', 'comment', 'Customer master rows from the pipe-delimited feed: rows that pass the quality rules'), ('silver', 'quality', 'silver'),
+  ('results', 'comment', 'Quality results: a row per run, dataset and rule'), ('results', 'quality', 'results')) AS v(layer, property, value)""",
+    "pub_old_version_kept": """WITH f AS (SELECT o_orderstatus, count(*) AS n FROM orders GROUP BY o_orderstatus)
+SELECT step, o_orderstatus, n AS n_rows, 2 AS versions FROM f, (VALUES ('first'), ('after a failed write'), ('repaired')) AS v(step)
+WHERE step = 'repaired' OR o_orderstatus = 'F'""",
+    "st_refresh_switches": """SELECT step, count_if(step = 'refreshed' OR event_id % 2 = 0) AS n_rows,
+  count(DISTINCT CASE WHEN step = 'refreshed' OR event_id % 2 = 0 THEN event_id END) AS n_distinct
+FROM events, (VALUES ('ingested'), ('after a failed refresh'), ('refreshed')) AS v(step) GROUP BY step""",
     "q_rerun_safe": f"""{ORDERS_WITH}
 SELECT 'dq_results' AS table_name, CAST({len(C.ORDER_RULES)} AS BIGINT) AS n_rows
 UNION ALL SELECT 'quarantine', count(*) FROM flags WHERE {ANY_FLAG}""",

@@ -11,7 +11,8 @@ A constant number of jobs whatever the rule count:
 3. the failing rows go to the quarantine table (run partition, rerun-safe;
    when there are none, an earlier attempt's rows are removed);
 4. the CRITICAL gate reads the few result rows;
-5. only behind the gate the clean rows replace the silver table.
+5. only behind the gate the clean rows are published as the silver table's new
+   version; the former one can be read until the switch and beyond.
 
 So a run that the gate stops leaves its results and its quarantine, and the
 silver table as it was.  Stored intermediates cut the lineage, so a lost
@@ -33,6 +34,7 @@ from ..functions.transforms import apply_transforms
 from ..operators.checks import FAILED_RULES, PASSED, check
 from ..operators.metrics import GATE_COLUMNS, RESULTS_SCHEMA, gate_messages, measure
 from ..operators.routing import quarantine_condition
+from ..operators.publish import publish, register
 from ..operators.sinks import write_quarantine, write_results, write_table
 from ..sources.files import read_results_history
 
@@ -71,7 +73,9 @@ def run_silver(
     mode: str = "warn",
     fmt: str = "parquet",
     quarantine_severities=None,
+    tables: Mapping[str, str] | None = None,
 ) -> SilverRun:
+    """One silver run below ``base``; ``tables`` may name catalog tables for ``silver`` and ``results``."""
     run_id = resolve_run_id(run_id)
     run_ts = run_ts or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None).isoformat(sep=" ")
     dataset = contract["dataset"]["name"]
@@ -103,6 +107,12 @@ def run_silver(
     messages = gate_messages(summary, mode)
 
     clean_rows = stored.where(F.col(PASSED) if quarantine_severities is None else ~cond).drop(PASSED, FAILED_RULES)
-    silver_path = write_table(clean_rows, f"{base}/{silver_name}", fmt=fmt)
+    silver_path = publish(clean_rows, f"{base}/{silver_name}", fmt)
     published = spark.read.schema(clean_rows.schema).format(fmt).load(silver_path)
+    tables = tables or {}
+    if "silver" in tables:
+        said = contract["dataset"].get("description") or dataset
+        register(spark, tables["silver"], silver_path, clean_rows.schema, fmt, comment=f"{said}: rows that pass the quality rules", properties={"quality": "silver"})
+    if "results" in tables and rules:
+        register(spark, tables["results"], results_path, RESULTS_SCHEMA, fmt, ("run_id", "dataset_name"), "Quality results: a row per run, dataset and rule", {"quality": "results"})
     return SilverRun(run_id, published, stored, results, quarantined, messages)

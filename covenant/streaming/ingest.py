@@ -10,7 +10,9 @@ other: the stream id is the query id that Spark keeps in the checkpoint.
 
 Counters of a batch are taken while the batch is written and stored beside the
 target, one row per (stream, batch, counter), replaced like the batch itself.
-A full refresh removes the target, its counters and the checkpoint first.
+A full refresh removes the target, its counters and the checkpoint first; with
+``run_versioned`` it fills a new version instead, and the former one is the
+table until that is complete.
 """
 
 from __future__ import annotations
@@ -22,6 +24,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..operators.publish import current_version, new_version, point_to, version_path
 from ..session import path_exists, remove_path
 
 BATCH_ID = "_batch_id"
@@ -88,6 +91,31 @@ def run_available_now(
     return run_foreach_batch(df, write, checkpoint)
 
 
+def run_versioned(
+    df: DataFrame, path: str, fmt: str = "parquet", full_refresh: bool = False, counters: Mapping[str, Column] | None = None
+) -> str:
+    """``run_available_now`` into the current version below ``path``, whose checkpoint lies in the version's folder; returns that folder.
+
+    A full refresh, and the first run, fill a new version and switch to it when
+    it is complete.  If that fails, readers keep the former version, and the next
+    run cleans up.
+    """
+    spark = df.sparkSession
+    version = None if full_refresh else current_version(spark, path)
+    fresh = version or new_version(spark, path)
+    folder = version_path(path, fresh)
+    run_available_now(df, f"{folder}/table", f"{folder}/checkpoint", fmt, counters=counters)
+    if version is None:
+        point_to(spark, path, fresh)
+    return folder
+
+
+def read_versioned(spark: SparkSession, path: str, schema, fmt: str = "parquet") -> DataFrame:
+    """The rows of the current version below ``path`` (empty when nothing was ingested)."""
+    version = current_version(spark, path)
+    return spark.createDataFrame([], schema) if version is None else read_ingested(spark, f"{version_path(path, version)}/table", schema, fmt)
+
+
 def counted(spark: SparkSession, target: str, checkpoint: str, fmt: str = "parquet") -> dict[str, int]:
     """Failures per counter over all batches that the stream of ``checkpoint`` has written into ``target``."""
     path = counters_path(target)

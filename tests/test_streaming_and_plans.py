@@ -4,6 +4,7 @@ import pytest
 
 
 
+from covenant.operators.publish import read_published
 from covenant.plans.bronze import run_bronze
 from covenant.plans.silver import run_silver
 from covenant.session import scratch_path
@@ -60,7 +61,7 @@ def test_silver_end_to_end_routes_and_is_rerun_safe(spark):
     res = {r.rule_name: r.fail_count for r in spark.read.parquet(f"{base}/dq_results").collect()}
     assert res == {"custkey_not_null": 0, "custkey_unique": 1, "name_format": 0, "segment_valid": 0, "acctbal_min": 1}
     assert out.messages and out.messages[0].startswith("custkey_unique")
-    assert spark.read.parquet(f"{base}/silver_customer").count() == 1  # clean rows and nothing else
+    assert read_published(spark, f"{base}/silver_customer").count() == 1  # clean rows and nothing else
 
 
 def test_empty_run_id_gets_uuid(spark):
