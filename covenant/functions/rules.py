@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import datetime as _dt
 from dataclasses import dataclass, field
+from decimal import Decimal, InvalidOperation
+from hashlib import md5
 from typing import Any, Iterable, Mapping
 
 from pyspark.sql import Column
@@ -76,6 +78,11 @@ def as_rules(rules: Iterable["Rule | Mapping[str, Any]"] | None) -> list[Rule]:
     return [Rule.of(r) for r in (rules or [])]
 
 
+def reference_flag(rule: Rule) -> str:
+    """The column that ``join_references`` adds for a rule with a reference table."""
+    return "_dq_ref_" + md5(rule.rule_name.encode()).hexdigest()[:12]
+
+
 def as_of_date(as_of: "str | _dt.date | Column | None") -> Column:
     """The reference date for `not_future_date`; a parameter, never the wall clock by default."""
     if as_of is None:
@@ -111,6 +118,17 @@ def _as_number(v: Any) -> float | None:
         return None
 
 
+def bound(v: Any) -> Any:
+    """A range bound, without loss of digits: contracts give numbers as text."""
+    if not isinstance(v, str):
+        return v
+    try:
+        number = Decimal(v)
+    except InvalidOperation:
+        raise ValueError(f"a range bound must be a number, not {v!r}") from None
+    return int(number) if number == number.to_integral_value() and abs(number) < 2**63 else float(v) if "." in v or "e" in v.lower() else number
+
+
 def _accepted(c: Column, values: list, dtype: str | None) -> Column:
     """Membership that never raises: contract values are strings, columns may be numbers."""
     if _is_numeric(dtype):
@@ -133,12 +151,14 @@ def fail_condition(rule: Rule, as_of=None, dtype: str | None = None) -> Column:
     kind = rule.rule_type
     if kind == "not_null":
         cond = c.isNull()
+    elif kind == "accepted_values" and rule.param("values_from"):
+        cond = F.col(reference_flag(rule))
     elif kind == "accepted_values":
         values = list(rule.param("values", []))
         # An empty list accepts nothing: every non-null value fails.
         cond = c.isNotNull() if not values else ~_accepted(c, values, dtype)
     elif kind == "range":
-        lo, hi = rule.param("min"), rule.param("max")
+        lo, hi = bound(rule.param("min")), bound(rule.param("max"))
         # A string column is compared as a number; a malformed value is NULL
         # (and passes, like any NULL) instead of failing the whole job.
         c = c.try_cast("double") if dtype == "string" else c
@@ -164,11 +184,11 @@ def fail_condition(rule: Rule, as_of=None, dtype: str | None = None) -> Column:
 
 
 def expectation_condition(rule: Rule) -> Column | None:
-    """Pass condition for the bronze monitor (CRITICAL rules of four kinds only).
+    """Pass condition for the bronze monitor (CRITICAL rules of four kinds only, without a reference table).
 
     Built with the Column API (no SQL text), so regex backslashes survive and
     NULL passes for every kind except ``not_null``.
     """
-    if rule.severity != "CRITICAL" or rule.rule_type not in EXPECTATION_TYPES:
+    if rule.severity != "CRITICAL" or rule.rule_type not in EXPECTATION_TYPES or rule.param("values_from"):
         return None
     return ~fail_condition(rule)

@@ -37,8 +37,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.rules import Rule, as_rules, fail_condition
+from ..functions.rules import Rule, as_rules, fail_condition, reference_flag
 from ..session import scratch_path
+from .membership import join_references
 
 PASSED = "_dq_passed"
 FAILED_RULES = "_dq_failed_rules"
@@ -175,18 +176,21 @@ def check(
     as_of=None,
     order_by: Sequence[str] | None = None,
     staged: bool = False,
+    references: Mapping[str, DataFrame] | None = None,
 ) -> DataFrame:
     """Return ``df`` plus ``_dq_passed`` (boolean) and ``_dq_failed_rules`` (array<string>, rule order).
 
     With ``staged``, the repeated keys of each ``unique`` rule are found and stored
     first (two narrow tables): then their size is known, so rows with mostly
     unique keys are not shuffled at all, and a rule without ties needs no more.
+    ``references`` holds the frames that ``accepted_values`` rules name (see
+    ``membership``).
     """
     rules = as_rules(rules)
     if not rules:
         return pass_all(df)
     dtypes = dict(df.dtypes)
-    work = df
+    work = df = join_references(df, rules, references)
     unique = [i for i, r in enumerate(rules) if r.rule_type == "unique"]
     if unique:
         may_tie = []
@@ -204,7 +208,7 @@ def check(
     empty = F.array().cast("array<string>")
     failed = F.concat(*[F.when(f, F.array(F.lit(n))).otherwise(empty) for n, f in flags])
     out = work.withColumn(FAILED_RULES, failed).withColumn(PASSED, F.size(F.col(FAILED_RULES)) == 0)
-    return out.drop(*[f"_dq_u{i}_{x}" for i in unique for x in ("flag", "tied")])
+    return out.drop(*map(reference_flag, rules), *[f"_dq_u{i}_{x}" for i in unique for x in ("flag", "tied")])
 
 
 def pass_all(df: DataFrame) -> DataFrame:

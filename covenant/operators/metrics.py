@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 from ..functions.rules import SEVERITIES, Rule, as_rules, fail_condition
 from ..functions.scalars import pass_fail
 from .checks import FAILED_RULES, PASSED
+from .membership import join_references
 
 # Fixed value: the quality-results schema (12 fields; only the samples may be NULL).
 RESULTS_SCHEMA = T.StructType(
@@ -195,9 +196,11 @@ def measure_rules(
     run_ts: "_dt.datetime | str | Column | None" = None,
     as_of=None,
     samples: bool = True,
+    references: Mapping[str, DataFrame] | None = None,
 ) -> DataFrame:
     """Quality results (``RESULTS_SCHEMA`` columns) of ``rules`` on a frame that need not be annotated."""
     rules = as_rules(rules)
+    df = join_references(df, rules, references)
     if samples:
         per = _counted_with_samples(df, rules, as_of, SAMPLE_SIZE)
         total = F.coalesce(F.max(F.when(F.col("rule_idx") == -1, F.col("fail_count"))), F.lit(0))

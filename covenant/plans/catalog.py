@@ -221,6 +221,23 @@ def dq_unique_null_tie(spark, sf):
     return bad.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n_failed"))
 
 
+def dq_values_from(spark, sf):
+    """accepted_values against a table: lines whose order is not among the finished and open orders."""
+    o, l = table(spark, sf, "orders"), table(spark, sf, "lineitem")
+    rule = Rule("order_known", "l_orderkey", "accepted_values", "error", {"values_from": "orders", "values_column": "o_orderkey"})
+    bad = check(l, [rule], references={"orders": o.where("o_orderstatus IN ('F', 'O')")}).where(~F.col(PASSED))
+    return bad.select("l_orderkey", "l_linenumber")
+
+
+def dq_values_from_text(spark, sf):
+    """The same over whole texts, measured: documents whose text is not that of any labelled document; NULL passes."""
+    d = table(spark, sf, "documents").withColumn("text", F.when(F.col("doc_id") % 50 != 7, F.col("text")))
+    labelled = d.join(table(spark, sf, "labels").select("doc_id"), "doc_id", "left_semi")
+    rule = Rule("text_labelled", "text", "accepted_values", "warning", {"values_from": "labelled"})
+    out = measure_rules(d, [rule], dataset="documents", run_id="v", run_ts=RUN_TS, samples=False, references={"labelled": labelled})
+    return out.select("rule_name", "total_count", "fail_count", "fail_pct")
+
+
 def sc_functions(spark, sf):
     o = table(spark, sf, "orders")
     return o.select(
@@ -962,6 +979,29 @@ def src_contract_lint(spark, sf):
     return found.select("rule_index", "problem", F.lit(table(spark, sf, "lineitem").count()).alias("rows_in_table"))
 
 
+def src_lint_derived(spark, sf):
+    """A contract whose rules are profiled from the returned lines is linted; the rules without problems are measured over all lines."""
+    lines = table(spark, sf, "lineitem")
+    numbers, codes = ("l_quantity", "l_extendedprice", "l_discount", "l_tax"), ("l_returnflag", "l_linestatus")
+    bounds = [f(c).alias(f"{f.__name__}_{c}") for c in (*numbers, *codes) for f in (F.min, F.max)]
+    p = lines.where("l_returnflag = 'R'").agg(*bounds, *[F.sort_array(F.collect_set(c)).alias(f"set_{c}") for c in codes]).first()
+    rule = lambda name, column, kind, **params: {"rule_name": name, "column": column, "rule_type": kind, "severity": "error", "params": params}
+    quality = [rule(f"{c}_range", c, "range", min=p[f"min_{c}"], max=p[f"max_{c}"]) for c in (*numbers, *codes)]
+    quality += [rule(f"{c}_known", c, "accepted_values", values=p[f"set_{c}"]) for c in codes] + [rule("l_colour_known", "l_colour", "not_null")]
+    path = scratch_path(spark, "contracts")
+    ct.write_contracts(spark, {"lineitem": shipped.load("orders") | {"dataset": {"name": "lineitem", "columns": []}, "quality": quality}}, path)
+    docs = ct.read_contracts(spark, path, ct.WRITTEN_GLOB, recursive=True)
+    columns = spark.createDataFrame([("lineitem", c) for c in lines.columns], "dataset_name string, column string")
+    named = ct.rules_table(docs).select("rule_index", "rule_name")
+    problems = ct.lint(docs, columns).where("rule_index IS NOT NULL").join(named, "rule_index").select("rule_name", "problem")
+    sound = [r.rule_name for r in named.join(problems, "rule_name", "left_anti").collect()]  # rules of one contract
+    rules = [r for r in ct.collect_rules(ct.rules_table(docs)) if r.rule_name in sound]
+    results = measure_rules(lines, rules, dataset="lineitem", run_id="lint", run_ts=RUN_TS, samples=False)
+    measured = results.select("rule_name", F.lit("").alias("problem"), "total_count", "fail_count")
+    none = F.lit(None).cast("long")
+    return measured.unionByName(problems.withColumns({"total_count": none, "fail_count": none}))
+
+
 # ---------------------------------------------------------------------------
 # Gold from silver: contract -> landed files -> bronze -> silver -> mart table
 # ---------------------------------------------------------------------------
@@ -1130,7 +1170,7 @@ st_expectations dq_summary_lines refine_contracts_e2e dq_unique_default dq_uniqu
 dq_unique_repeated_line dq_unique_redelivered st_two_checkpoints st_full_refresh_same_checkpoint
 st_expectations_many_batches src_contract_lint q_rerun_repaired silver_table_clean gold_advisors
 gold_snapshot gold_health gold_table_facts an_reuse_prefix an_detect_formats an_detect_duplicates
-lake_table_facts pub_old_version_kept st_refresh_switches
+lake_table_facts pub_old_version_kept st_refresh_switches dq_values_from dq_values_from_text src_lint_derived
 """.split()
 
 QUERIES: dict[str, Query] = {name: globals()[name] for name in NAMES}

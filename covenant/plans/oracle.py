@@ -487,6 +487,21 @@ SELECT CAST(row_number() OVER (ORDER BY CASE severity WHEN 'CRITICAL' THEN 1 ELS
        CASE WHEN severity = 'ERROR' AND pct > 5 THEN 'INVESTIGATE' ELSE 'HEALTHY' END AS status_flag FROM r""",
     "gold_table_facts": """SELECT property, value, CAST((SELECT count(DISTINCT n_regionkey) FROM nation) AS INTEGER) AS n_rows
 FROM (VALUES ('comment', 'Nations by region, it''s small'), ('layer', 'gold')) AS v(property, value)""",
+    "dq_values_from": "SELECT l_orderkey, l_linenumber FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus IN ('F', 'O'))",
+    "dq_values_from_text": """WITH d AS (SELECT doc_id, CASE WHEN doc_id % 50 <> 7 THEN text END AS text FROM documents),
+k AS (SELECT DISTINCT text FROM d WHERE doc_id IN (SELECT doc_id FROM labels) AND text IS NOT NULL),
+n AS (SELECT count(*) AS total_count, count_if(text IS NOT NULL AND text NOT IN (SELECT text FROM k)) AS fail_count FROM d)
+SELECT 'text_labelled' AS rule_name, total_count, fail_count, round(fail_count / total_count * 100, 2) AS fail_pct FROM n""",
+    "src_lint_derived": "WITH r AS (SELECT * FROM lineitem WHERE l_returnflag = 'R'), n AS (SELECT count(*) AS total_count FROM lineitem)\n"
+    + "\nUNION ALL\n".join(
+        [
+            f"SELECT '{c}_range' AS rule_name, '' AS problem, total_count, (SELECT count_if({c} < (SELECT min({c}) FROM r) OR {c} > (SELECT max({c}) FROM r)) FROM lineitem) AS fail_count FROM n"
+            for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
+        ]
+        + [f"SELECT '{c}_known', '', total_count, (SELECT count(*) FROM lineitem WHERE {c} NOT IN (SELECT {c} FROM r)) FROM n" for c in ("l_returnflag", "l_linestatus")]
+        + [f"SELECT '{c}_range', 'bound ' || (SELECT {f}({c}) FROM r) || ' is not a number', NULL, NULL FROM n" for c in ("l_returnflag", "l_linestatus") for f in ("min", "max")]
+        + ["SELECT 'l_colour_known', 'rule ''l_colour_known'' is about unknown column ''l_colour''', NULL, NULL FROM n"]
+    ),
     "lake_table_facts": """WITH n AS (SELECT count(*) AS b, count_if(c_acctbal >= 0) AS s FROM customer)
 SELECT layer, property, value, CAST(CASE layer WHEN 'bronze' THEN b WHEN 'silver' THEN s ELSE 5 END AS INTEGER) AS n_rows
 FROM n, (VALUES ('bronze', 'comment', 'Customer master rows from the pipe-delimited feed'), ('bronze', 'quality', 'bronze'), ('bronze', 'c_custkey', 'Customer key (raw string)'), ('bronze', 'c_name', 'Customer name'),

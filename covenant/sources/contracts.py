@@ -23,8 +23,10 @@ _S = T.StringType()
 PARAMS = T.StructType(
     [
         T.StructField("values", T.ArrayType(_S)),
-        T.StructField("min", T.DoubleType()),
-        T.StructField("max", T.DoubleType()),
+        T.StructField("values_from", _S),
+        T.StructField("values_column", _S),
+        T.StructField("min", _S),  # numbers as text: a double would lose digits of large bounds
+        T.StructField("max", _S),
         T.StructField("pattern", _S),
         T.StructField("format", _S),
         T.StructField("length", T.IntegerType()),
@@ -198,8 +200,8 @@ def fixed_width_table(contracts: DataFrame) -> DataFrame:
     )
 
 
-# Parameters a rule of each kind cannot do without.
-NEEDED_PARAMS = {"accepted_values": ("values",), "regex": ("pattern",), "exact_length": ("length",)}
+# Parameters of which a rule of each kind needs one.
+NEEDED_PARAMS = {"accepted_values": ("values", "values_from"), "regex": ("pattern",), "exact_length": ("length",)}
 REQUIRED = ("apiVersion", "kind", "dataset", "quality")
 REQUIRED_OF_RULE = ("rule_name", "column", "rule_type", "severity")
 
@@ -254,13 +256,18 @@ def lint(contracts: DataFrame, columns: DataFrame | None = None) -> DataFrame:
 
     rules = rules_table(contracts)
     low, high = F.col("params.min"), F.col("params.max")
+    number = lambda c: c.try_cast("decimal(38,9)")
     per_rule = _problems(
         rules,
         *[_said(F.col(k).isNull(), f"rule lacks its '{k}'") for k in REQUIRED_OF_RULE],
         _said(~F.col("rule_type").isin(*RULE_TYPES), "rule kind '", F.col("rule_type"), "' is not supported"),
-        *[_said((F.col("rule_type") == kind) & F.col(f"params.{p}").isNull(), f"a rule of kind {kind} lacks its parameter '{p}'") for kind, ps in NEEDED_PARAMS.items() for p in ps],
+        *[
+            _said((F.col("rule_type") == kind) & F.coalesce(*[F.col(f"params.{p}").cast("string") for p in ps]).isNull(), f"a rule of kind {kind} lacks its parameter '{ps[0]}'")
+            for kind, ps in NEEDED_PARAMS.items()
+        ],
+        *[_said((F.col("rule_type") == "range") & b.isNotNull() & number(b).isNull(), "bound ", b, " is not a number") for b in (low, high)],
         _said((F.col("rule_type") == "range") & low.isNull() & high.isNull(), "a rule of kind range has no bound"),
-        _said(low > high, "lower bound ", low, " is above upper bound ", high),
+        _said(number(low) > number(high), "lower bound ", low.try_cast("double"), " is above upper bound ", high.try_cast("double")),
     )
     dups = _problems(
         rules.where("rule_name IS NOT NULL").groupBy("contract_file", "rule_name").agg(F.min("rule_index").alias("rule_index"), F.count(F.lit(1)).alias("n")),
