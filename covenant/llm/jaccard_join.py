@@ -6,7 +6,9 @@ size may differ in elements, so linked sets agree on a whole part; that suits
 high thresholds, whose parts are large.  By ``rare`` elements: in one order of
 all n-grams, by counts of hash slots over all documents and then by hash, linked
 sets have an element in common among the first few of each; that suits lower
-thresholds with longer n-grams.  Chains of signatures in common make candidate
+thresholds with longer n-grams, and takes only sets that may link at all: those
+of which the threshold's share of elements stands in other sets too, which is
+counted over all documents first.  Chains of signatures in common make candidate
 blocks.  In a block the sets, ordered by how common their elements are there, share a
 prefix tree.  A probe walks the tree once, keeping the overlap of every path, and
 leaves a subtree when even all remaining elements could not reach the threshold.
@@ -31,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordIds, broadcast_checked, grouped, mix, stage, texts_of
+from .common import WordIds, broadcast_checked, grouped, mix, stage, text_key, texts_of
 from .components import connected
 
 SHINGLE, PERCENT = 3, 90
@@ -43,6 +45,8 @@ SLOTS, SLOT_SHIFT, SLOT_PIECES = 1 << 22, np.uint64(42), 64
 BLOCK_SETS, BLOCK_ITEMS = 512, 1_000_000
 #: Signatures compared in one bucket; a bucket's task holds them as arrays.
 BUCKET_SIGS = 2_000_000
+#: Documents of a chunk whose repeated n-grams are counted together (places fit 16 bits).
+CHUNK_DOCS = 4096
 
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
@@ -132,6 +136,73 @@ def rare_elements(items: np.ndarray, counts: np.ndarray, percent: int) -> np.nda
     return items[np.lexsort((items, counts[(items >> SLOT_SHIFT).astype(np.int64)]))[:n]]
 
 
+def _named(batches: Iterator[pa.RecordBatch], shingle: int, buckets: int) -> Iterator[pa.RecordBatch]:
+    """The n-grams of a chunk of documents, dealt to buckets as (32 bits of the name, place of the document in the chunk).
+
+    One more row per chunk holds the ids and set sizes of its documents.
+    """
+    ids, names = WordIds(), ["bucket", "chunk", "names", "at", "docs", "sizes"]
+    types = [pa.int32(), pa.int64()] + [pa.binary()] * 4
+    for whole in batches:
+        for x in range(0, whole.num_rows, CHUNK_DOCS):
+            b = whole.slice(x, CHUNK_DOCS)
+            docs, sets = [], []
+            for doc, text in zip(b.column("doc_id").to_pylist(), texts_of(b.column("text"))):
+                items = shingles(ids.of(words_of(text)), shingle)
+                if doc is not None and len(items):
+                    docs.append(doc)
+                    sets.append(items)
+            if not docs:
+                continue
+            own, sizes, name = np.array(docs, np.int64), np.array(list(map(len, sets)), np.int64), np.concatenate(sets)
+            chunk = int.from_bytes(blake2b(own.tobytes() + name[: 1 << 16].tobytes(), digest_size=8).digest(), "little", signed=True)
+            at, bucket = np.repeat(np.arange(len(docs), dtype=np.uint16), sizes), (name % np.uint64(buckets)).astype(np.int32)
+            order = np.lexsort((name, bucket))
+            high, at, bucket = (name >> np.uint64(32)).astype(np.uint32)[order], at[order], bucket[order]
+            cuts = np.flatnonzero(np.diff(bucket, prepend=-1, append=buckets))
+            rows = [(int(bucket[i]), chunk, high[i:j].tobytes(), at[i:j].tobytes(), b"", b"") for i, j in zip(cuts[:-1], cuts[1:])]
+            rows.append((chunk % buckets, chunk, b"", b"", own.tobytes(), sizes.tobytes()))
+            yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
+
+
+def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each chunk, the places whose n-gram is in the bucket more than once; rows sorted by bucket."""
+    for t in grouped(batches, ["bucket"]):
+        raw = t.column("names").to_pylist()
+        _, name, count = np.unique(np.frombuffer(b"".join(raw), np.uint32), return_inverse=True, return_counts=True)
+        twice, cuts, at = count[name] > 1, np.cumsum([0, *(len(x) // 4 for x in raw)]), t.column("at").to_pylist()
+        kept = [np.frombuffer(x, np.uint16)[twice[i:j]].tobytes() for x, i, j in zip(at, cuts[:-1], cuts[1:])]
+        columns = [t.column(c).combine_chunks() for c in ("chunk", "docs", "sizes")]
+        yield pa.record_batch([columns[0], pa.array(kept, pa.binary()), *columns[1:]], names=["chunk", "at", "docs", "sizes"])
+
+
+def _able(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """Documents of each chunk of whose set the threshold's share is repeated; rows sorted by chunk."""
+    for t in grouped(batches, ["chunk"]):
+        joined = lambda c, kind: np.frombuffer(b"".join(t.column(c).to_pylist()), kind)
+        docs, sizes = joined("docs", np.int64), joined("sizes", np.int64)
+        n = np.bincount(joined("at", np.uint16), minlength=len(docs))
+        yield pa.record_batch([pa.array(docs[100 * n >= percent * sizes])], names=["doc_id"])
+
+
+def may_link(text: DataFrame, known: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """doc_id of the documents that may link with a different set.
+
+    A set that links shares at least ``percent`` of its elements with one other
+    set, so as many of its elements stand in two sets or more.  Equal sets count
+    once (as that of their smallest doc_id).  Two elements are taken as one by 32
+    bits of their name and their bucket, which only lets more documents through.
+    """
+    first = known.groupBy("fp").agg(F.min("doc_id").alias("first"))
+    own = known.join(first, "fp").groupBy("doc_id").agg(F.min(F.col("doc_id") > F.col("first")).alias("copy"))
+    copies = stage(own.where("copy").select("doc_id"), "copies")
+    sets = text.join(broadcast_checked(copies, copies.count()), "doc_id", "left_anti").select("doc_id", "text")
+    buckets = max(1, int((known.agg(F.sum("n")).first()[0] or 0) / BUCKET_SIGS))
+    named = sets.mapInArrow(lambda b: _named(b, shingle, buckets), "bucket int, chunk long, names binary, at binary, docs binary, sizes binary")
+    twice = named.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_repeated, "chunk long, at binary, docs binary, sizes binary")
+    return twice.repartition("chunk").sortWithinPartitions("chunk").mapInArrow(lambda b: _able(b, percent), "doc_id long").distinct()
+
+
 def _sets(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[pa.RecordBatch]:
     """(doc_id, n, fp) per row: the size of its set and a 128-bit name of it, null if empty."""
     ids = WordIds()
@@ -312,9 +383,12 @@ def join_groups(
 ) -> DataFrame:
     """(doc_id, n_shingles, component_id), one row for each row of (doc_id, text); ``near`` is "parts" or "rare"."""
     text = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary"))
-    counts = docs.sparkSession.sparkContext.broadcast({"parts": lambda: None, "rare": lambda: slot_counts(text, shingle)}[near]())  # SLOTS numbers
     sets = stage(text.mapInArrow(lambda b: _sets(b, shingle), "doc_id long, n long, fp binary"), "sets")
     known = sets.where("doc_id IS NOT NULL AND n > 0")
+    if near == "rare":
+        able = stage(may_link(text, known, shingle, percent), "able")
+        text = text.join(broadcast_checked(able, able.count()), "doc_id", "left_semi").select("doc_id", "text")
+    counts = docs.sparkSession.sparkContext.broadcast({"parts": lambda: None, "rare": lambda: slot_counts(text, shingle)}[near]())  # SLOTS numbers
 
     share = (100 - percent) / 100 if near == "rare" else 4 * (100 - percent) / (100 + percent)  # signatures per element, about
     buckets = max(1, int((known.agg(F.sum("n")).first()[0] or 0) * share / BUCKET_SIGS))
@@ -345,17 +419,26 @@ def op5(spark, sf_dir: str) -> DataFrame:
 
 
 def stage_join(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: the document with the smallest doc_id of each group stays, once; rows without a doc_id stay."""
-    groups = stage(join_groups(docs, STAGE_SHINGLE, STAGE_PERCENT, "rare"), "groups")
-    named = groups.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("component_id").alias("low"), F.count("*").alias("n"))
-    gone = stage(named.where("doc_id <> low").select("doc_id"), "gone")
-    again = stage(named.where("doc_id = low AND n > 1").select("doc_id"), "again")
-    n_gone, n_again = gone.count(), again.count()
-    left = docs.join(broadcast_checked(gone, n_gone), "doc_id", "left_anti")
-    if not n_again:
-        return left
-    repeated = broadcast_checked(again, n_again)  # ids that several rows share: one row stays
-    return left.join(repeated, "doc_id", "left_anti").unionByName(left.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
+    """Pipeline stage: of each group of linked texts the row with the smallest doc_id stays.
+
+    Rows that share a doc_id and a text are one (the one with the smallest hash
+    of all columns stays); rows that share a doc_id but not the text are judged
+    each for itself.  Rows without a doc_id stay.
+    """
+    row = docs.select("*", text_key(F.col("text")).alias("_key"))
+    shared = row.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n"), F.min("_key").alias("_first")).where("n > 1").drop("n")
+    shared = stage(shared, "shared")
+    row = row.join(broadcast_checked(shared, shared.count()), "doc_id", "left")
+    # of several texts under one id, one keeps the id and the others get names beyond all ids
+    other = F.xxhash64("doc_id", "_key").bitwiseAND(F.lit((1 << 61) - 1)) + F.lit(1 << 62)
+    row = row.withColumn("_id", F.when(F.col("_first").isNull() | (F.col("_first") == F.col("_key")), F.col("doc_id").cast("long")).otherwise(other))
+    groups = join_groups(row.select(F.col("_id").alias("doc_id"), "text"), STAGE_SHINGLE, STAGE_PERCENT, "rare")
+    gone = stage(groups.where("doc_id <> component_id").select(F.col("doc_id").alias("_id")).distinct(), "gone")
+    left = row.join(broadcast_checked(gone, gone.count()), "_id", "left_anti")
+    own = [F.col(f"`{c}`") for c in docs.columns]
+    single = left.where("_first IS NULL").select(*own)
+    same = left.where("_first IS NOT NULL").groupBy("_id").agg(F.min_by(F.struct(*own), F.xxhash64(*own)).alias("row")).select("row.*")
+    return single.unionByName(same)
 
 
 SQL = """

@@ -61,3 +61,48 @@ def test_tree_prunes_but_loses_nothing():
     found = J.tree_links(sets, 90)
     assert components(range(80), found) == components(range(80), want)
     assert all((max(x), min(x)) in set(want) for x in found)
+
+
+def test_rows_of_one_id_are_judged_each_for_itself(spark):
+    words_ = lambda a, n: " ".join(f"{a}{i}" for i in range(n))
+    rows = [(1, words_("a", 40), 0), (5, words_("a", 40), 1), (5, words_("b", 40), 2), (5, words_("b", 40), 2), (7, words_("b", 39), 3), (9, words_("c", 3), 4), (9, None, 5), (9, "", 6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, k int").repartition(3)
+    kept = sorted((r.doc_id, (r.text or "")[:2]) for r in J.stage_join(spark, docs, "").collect())
+    # 5 loses its copy of 1; its other text stands for itself, and one of it and 7's stays; null and empty are one text
+    assert [x for x in kept if x[1] != "b0"] == [(1, "a0"), (9, ""), (9, "c0")]
+    assert sum(x[1] == "b0" for x in kept) == 1
+
+
+def test_stage_on_thousands_of_documents_with_shared_passages(spark):
+    r = random.Random(8)
+    vocab = [f"w{i}" for i in range(3000)]
+    passages = [[r.choice(vocab) for _ in range(40)] for _ in range(12)]
+    docs, base = [], [[r.choice(vocab) for _ in range(r.randint(60, 160))] for _ in range(500)]
+    for i in range(3000):
+        w = list(r.choice(base)) if r.random() < 0.5 else [r.choice(vocab) for _ in range(r.randint(2, 150))]
+        if r.random() < 0.5:
+            at = r.randrange(len(w))
+            w[at:at] = r.choice(passages)
+        for _ in range(r.choice([0, 0, 1, 1, 2, 4])):
+            w[r.randrange(len(w))] = r.choice(vocab)
+        docs.append((i, " ".join(w)))
+    from helpers import components, shingle_set
+
+    sets = {i: shingle_set(t, 5) for i, t in docs}
+    holders = {}
+    for i, s in sets.items():
+        for x in s:
+            holders.setdefault(x, []).append(i)
+    pairs = {(a, b) for i, s in sets.items() for x in sorted(s, key=lambda x: (len(holders[x]), x))[: len(s) // 5 + 1] for a in holders[x] for b in [i] if a < b}
+    links = [(a, b) for a, b in pairs if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+    want = components(sets, links)
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(7)
+    got = {x.doc_id for x in J.stage_join(spark, df, "").select("doc_id").collect()}
+    assert got == set(want.values()) and len(links) > 300
+    text, known = df.select("doc_id", "text"), spark.createDataFrame([(i, len(s), str(hash(s)).encode()) for i, s in sets.items() if s], "doc_id long, n long, fp binary")
+    able = {x.doc_id for x in J.may_link(text, known, 5, 80).collect()}
+    first = {}
+    for i, s in sets.items():
+        first.setdefault(s, i)
+    assert {first[sets[i]] for p in links if sets[p[0]] != sets[p[1]] for i in p} <= able
+    assert len(able) < 0.8 * len(docs)  # a shared passage alone does not let a document through
