@@ -4,6 +4,8 @@
              = BACKOFF * c(w) / N            else;      S(first word) = c(w) / N
 
 own() counts the scored document's own pairs, so a text is judged by the others.
+The score of a text is the sum of the logarithms; the query gives it as it is, and
+per word, by which texts of any length compare.
 Words are lower-cased (A-Z).  Words are named by 64-bit hashes and pairs by a hash
 of both; every word has a count of its own.  Documents are packed in chunks.  A
 chunk sends the names of its distinct words and pairs to hash buckets, where they
@@ -18,7 +20,6 @@ not read.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,9 +30,9 @@ from pyspark.sql import functions as F
 
 from .common import WORD, WordIds, grouped, mix, stage, texts_of
 
-WORDS, BACKOFF = 65_535, 0.4
-#: Words of the texts packed together; distinct words a task counts before it hands them on.
-CHUNK_WORDS, HELD_WORDS = 400_000, 300_000
+BACKOFF = 0.4
+#: Words of the texts packed together.
+CHUNK_WORDS = 800_000
 #: Pairs of a bucket, and pairs of documents that one task joins to a bucket's counts.
 BUCKET_PAIRS, TASK_PAIRS = 2_000_000, 8_000_000
 
@@ -44,39 +45,6 @@ def words_of(text: bytes) -> list[bytes]:
     return text.lower().split()
 
 
-def word_counts(docs: DataFrame) -> DataFrame:
-    """(word, n) over all documents; each task adds up what it holds."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: Counter = Counter()
-
-        def hand_on() -> pa.RecordBatch:
-            out = pa.record_batch([pa.array(list(held), pa.binary()), pa.array(list(held.values()), pa.int64())], names=["word", "n"])
-            held.clear()
-            return out
-
-        for b in batches:
-            for text in texts_of(b.column("text")):
-                held.update(words_of(text))
-                if len(held) > HELD_WORDS:
-                    yield hand_on()
-        yield hand_on()
-
-    return docs.select(F.col("text").cast("binary")).mapInArrow(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
-
-
-def cutoff(vocabulary: DataFrame, words: int) -> int:
-    """The smallest count that at most ``words`` words exceed; each round counts 63 candidates in one small row."""
-    low, high = 0, vocabulary.agg(F.max("n")).first()[0] or 0
-    while low < high:
-        steps = sorted({low + (high - low) * i // 64 for i in range(64)})
-        over = vocabulary.agg(*[F.count_if(F.col("n") > c) for c in steps]).first()
-        fits = [c for c, k in zip(steps, over) if k <= words]
-        high = fits[0] if fits else high
-        low = max([low - 1, *(c for c, k in zip(steps, over) if k > words)]) + 1
-    return low
-
-
 def _squeeze(x: np.ndarray) -> bytes:
     """Integers, compressed as the byte planes of their differences."""
     x = np.diff(x.astype(np.uint64), prepend=np.uint64(0))
@@ -90,7 +58,7 @@ def _spread(raw: bytes, n: int) -> np.ndarray:
     return np.cumsum(np.ascontiguousarray(planes.T).view(np.uint64).ravel(), dtype=np.uint64)
 
 
-def _pack(batches: Iterator[pa.RecordBatch], kept: set[int] | None) -> Iterator[pa.RecordBatch]:
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row for each chunk of documents: doc ids, numbers of words, distinct names of words and the texts as places among these."""
     serial = TaskContext.get().partitionId() << 32
     names = WordIds()
@@ -106,11 +74,10 @@ def _pack(batches: Iterator[pa.RecordBatch], kept: set[int] | None) -> Iterator[
     ids, seqs, size = [], [], 0
     for b in batches:
         for doc_id, text in zip(b.column("doc_id").to_pylist(), texts_of(b.column("text"))):
-            words = words_of(text)
-            x = names.of(words)
+            x = names.of(words_of(text))
             ids.append(doc_id)
-            seqs.append(x if kept is None else np.where(np.fromiter((w in kept for w in words), bool, len(words)), x, np.uint64(0)))
-            size += len(words)
+            seqs.append(x)
+            size += len(x)
             if size >= CHUNK_WORDS:
                 yield packed(ids, seqs)
                 serial, ids, seqs, size = serial + 1, [], [], 0
@@ -133,9 +100,9 @@ class Chunk:
         self.v, self.w, self.words = both >> 32, both & 0xFFFFFFFF, len(words)
         self.key = np.concatenate([mix(words + _B), mix(mix(words[self.v] + _A) + words[self.w])])
         self.count = np.concatenate([np.bincount(self.tokens, minlength=len(words)), n])
-        bucket = ((self.key >> np.uint64(20)) % np.uint64(buckets)).astype(np.int64)
-        self.order = np.lexsort((self.key, bucket))
-        self.cuts = np.searchsorted(bucket[self.order], np.arange(buckets + 1))
+        self.order = np.argsort(self.key)  # a bucket is a range of names, which makes their differences small
+        bucket = (self.key[self.order] >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
+        self.cuts = np.searchsorted(bucket, np.arange(buckets + 1).astype(np.uint64))
 
     def scores(self, count: np.ndarray, total: int) -> np.ndarray:
         """Scores of the documents from the counts over all documents, in the order of names."""
@@ -201,20 +168,12 @@ def _scores(batches: Iterator[pa.RecordBatch], buckets: int, total: int) -> Iter
         yield done()
 
 
-def score(docs: DataFrame, words: int | None = None, bucket_pairs: int = BUCKET_PAIRS, task_pairs: int = TASK_PAIRS) -> DataFrame:
-    """(doc_id, n_words, score) for every row of (doc_id, text): the natural logarithm of the text's score.
-
-    With ``words`` only that many of the most frequent words keep names of their own.
-    """
+def score(docs: DataFrame, bucket_pairs: int = BUCKET_PAIRS, task_pairs: int = TASK_PAIRS) -> DataFrame:
+    """(doc_id, n_words, score) for every row of (doc_id, text): the natural logarithm of the text's score."""
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary"))
-    kept = None
-    if words is not None:
-        vocabulary = stage(word_counts(rows), "words")
-        kept = {bytes(r.word) for r in vocabulary.where(F.col("n") > cutoff(vocabulary, min(words, WORDS))).collect()}  # at most WORDS rows
-    shared = docs.sparkSession.sparkContext.broadcast(kept)
 
     schema = "chunk long, ids array<long>, size long, lens binary, n_words long, words binary, tokens binary"
-    chunks = stage(rows.mapInArrow(lambda b: _pack(b, shared.value), schema), "chunks")
+    chunks = stage(rows.mapInArrow(_pack, schema), "chunks")
     total = chunks.agg(F.sum("size")).first()[0] or 0
     buckets = max(1, -(-total // min(bucket_pairs, task_pairs)))
 
@@ -228,7 +187,8 @@ def score(docs: DataFrame, words: int | None = None, bucket_pairs: int = BUCKET_
 
 def op7(spark, sf_dir: str) -> DataFrame:
     out = score(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
-    return out.select("doc_id", "n_words", F.round("score", 3).alias("score"))
+    per_word = F.when(F.col("n_words") > 0, F.col("score") / F.col("n_words")).otherwise(0.0)
+    return out.select("doc_id", "n_words", F.round(per_word, 4).alias("score"), F.round("score", 3).alias("log_score"))
 
 
 SQL = f"""
@@ -238,11 +198,8 @@ WITH d AS (
   FROM documents),
 t AS (SELECT r, unnest(w) AS word, unnest(range(len(w))) AS i FROM d),
 c AS (SELECT word, count(*) AS n FROM t GROUP BY word),
-h AS (SELECT n, coalesce(sum(count(*)) OVER (ORDER BY n DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS above FROM c GROUP BY n),
-cut AS (SELECT CASE WHEN (SELECT count(*) FROM c) <= {WORDS} THEN 0 ELSE min(n) END AS cut FROM h WHERE above <= {WORDS}),
-k AS (SELECT word, n, CASE WHEN n > cut THEN row_number() OVER (ORDER BY n DESC, word) ELSE 0 END AS id FROM c, cut),
-u AS (SELECT id, sum(n)::BIGINT AS n FROM k GROUP BY id),
-s AS (SELECT r, i, id, lag(id) OVER (PARTITION BY r ORDER BY i) AS prev FROM t JOIN k USING (word)),
+u AS (SELECT word AS id, n FROM c),
+s AS (SELECT r, i, word AS id, lag(word) OVER (PARTITION BY r ORDER BY i) AS prev FROM t),
 own AS (SELECT r, prev, id, count(*) AS own FROM s WHERE prev IS NOT NULL GROUP BY ALL),
 a AS (SELECT prev, id, sum(own) AS n FROM own GROUP BY ALL),
 x AS (SELECT sum(n) AS total FROM u),
@@ -251,5 +208,7 @@ p AS (
   FROM own JOIN a USING (prev, id) JOIN u up ON up.id = own.prev JOIN u ui ON ui.id = own.id, x
   UNION ALL SELECT r, ln(u.n / total) FROM s JOIN u USING (id), x WHERE prev IS NULL),
 q AS (SELECT r, sum(s) AS s FROM p GROUP BY r)
-SELECT doc_id, len(w)::BIGINT AS n_words, round(coalesce(s, 0), 3) AS score FROM d LEFT JOIN q USING (r)
+SELECT doc_id, len(w)::BIGINT AS n_words, round(CASE WHEN len(w) > 0 THEN s / len(w) ELSE 0 END, 4) AS score,
+       round(coalesce(s, 0), 3) AS log_score
+FROM d LEFT JOIN q USING (r)
 """

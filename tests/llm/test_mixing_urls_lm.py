@@ -95,15 +95,12 @@ def test_urls_without_labels_or_pages(spark):
     assert U.judge(pages.limit(0), labels).collect() == []
 
 
-def naive_scores(docs, top, backoff=0.4):
+def naive_scores(docs, backoff=0.4):
     from collections import Counter
 
     seqs = [words(t, lower=True) for _, t in docs]
-    n = Counter(w for s in seqs for w in s)
-    cut = min(c for c in [0, *n.values()] if sum(k > c for k in n.values()) <= top)
-    kept = {w for w, k in n.items() if k > cut}
-    seqs = [[w if w in kept else None for w in s] for s in seqs]
-    c1, total = Counter(w for s in seqs for w in s), sum(n.values())
+    c1 = Counter(w for s in seqs for w in s)
+    total = sum(c1.values())
     c2 = Counter(p for s in seqs for p in zip(s, s[1:]))
     out = []
     for s in seqs:
@@ -116,13 +113,13 @@ def naive_scores(docs, top, backoff=0.4):
     return out
 
 
-@pytest.mark.parametrize("top,bucket,task", [(65_535, 2_000_000, 8_000_000), (12, 300, 500)])
-def test_scores_equal_brute_force(spark, monkeypatch, top, bucket, task):
+@pytest.mark.parametrize("bucket,task", [(2_000_000, 8_000_000), (300, 500)])
+def test_scores_equal_brute_force(spark, monkeypatch, bucket, task):
     monkeypatch.setattr(L, "CHUNK_WORDS", 900 if bucket == 300 else L.CHUNK_WORDS)
     docs = [(i, t) for i, t, _ in documents()] + [(2000, "HOT pair " * 3000), (2001, "hot pair\u00a0x")]
     df = spark.createDataFrame(docs, "doc_id long, text string").selectExpr("*", "1 AS words").repartition(3)
-    got = sorted(((str(r.doc_id), r.n_words, r.score) for r in L.score(df, top, bucket, task).collect()))
-    want = sorted((str(i), *x) for (i, _), x in zip(docs, naive_scores(docs, top)))
+    got = sorted(((str(r.doc_id), r.n_words, r.score) for r in L.score(df, bucket, task).collect()))
+    want = sorted((str(i), *x) for (i, _), x in zip(docs, naive_scores(docs)))
     assert [g[:2] for g in got] == [w[:2] for w in want]
     assert all(math.isclose(g[2], w[2], rel_tol=1e-9, abs_tol=1e-9) for g, w in zip(got, want))
 

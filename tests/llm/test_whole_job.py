@@ -52,7 +52,7 @@ def test_rare_words_keep_their_own_counts(spark, tmp_path):
     docs = [(i, " ".join(f"w{i}x{j // 2}" for j in range(900))) for i in range(160)]  # 72,000 words, each twice
     docs += [(500, "never seen before"), (501, "nor this one here"), (502, "w1x3 w1x3 w2x4")]
     spark.createDataFrame(docs, "doc_id long, text string").repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
-    got = {r.doc_id: (r.n_words, r.score) for r in L.op7(spark, str(tmp_path)).collect()}
+    got = {r.doc_id: (r.n_words, r.log_score, r.score) for r in L.op7(spark, str(tmp_path)).collect()}
     seqs = [words(t, lower=True) for _, t in docs]
     c1, c2 = Counter(w for s in seqs for w in s), Counter(p for s in seqs for p in zip(s, s[1:]))
     total = sum(c1.values())
@@ -61,4 +61,4 @@ def test_rare_words_keep_their_own_counts(spark, tmp_path):
         for v, w in zip(s, s[1:]):
             k = c2[v, w] - own[v, w]
             x += math.log(k / c1[v]) if k else math.log(0.4 * c1[w] / total)
-        assert got[i][0] == len(s) and math.isclose(got[i][1], x, abs_tol=6e-4)
+        assert got[i][0] == len(s) and math.isclose(got[i][1], x, abs_tol=6e-4) and math.isclose(got[i][2], x / len(s), abs_tol=6e-5)
