@@ -9,8 +9,10 @@ candidates in bound order and stops at the first bound below its k-th score.
 Pivots only steer the work: any choice gives exact results.
 
 Cases: null vectors, null ids and vectors with null or non-finite components
-take no part; a vec_id that repeats counts once, with its smallest vector; only
-vectors of equal length are compared; ties go to the smaller vec_id; scores
+take no part; rows with equal vec_id and vector are one row, rows that share a
+vec_id with different vectors are rows of their own, each a candidate of all
+others (and each with its own ranks, if the id is a query's); only vectors of
+equal length are compared; ties go to the smaller vec_id; scores
 beyond 64 bits are held at the end of the range; a query without candidates has
 no rows; an empty table gives an empty result.
 """
@@ -51,15 +53,15 @@ def choose_pivots(x: np.ndarray, n: int) -> np.ndarray:
 
 
 def index(vectors: DataFrame, id_col: str, vec_col: str, pivots: int = PIVOTS) -> DataFrame:
-    """Staged table (id, dim, x, norm, far): scaled vectors with their distances to the pivots of their length."""
+    """Staged table (id, key, dim, x, norm, far): scaled vectors, a name for each row, and distances to the pivots of their length."""
     spark = vectors.sparkSession
     vec = F.col("v").cast("array<double>")
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).alias("v")).withColumn("v", vec)
-    rows = rows.where(F.col("id").isNotNull() & valid(F.col("v"))).groupBy("id").agg(F.min("v").alias("v"))
-    rows = stage(rows.select("id", F.size("v").alias("dim"), "v"), "vectors")
+    rows = rows.where(F.col("id").isNotNull() & valid(F.col("v"))).distinct()
+    rows = stage(rows.select("id", F.xxhash64("id", "v").alias("key"), F.size("v").alias("dim"), "v"), "vectors")
     chosen = {}
     for dim in (r.dim for r in rows.select("dim").distinct().orderBy("dim").limit(1000).collect()):
-        sample = rows.where(F.col("dim") == dim).orderBy(F.xxhash64("id"), "id").limit(PIVOT_SAMPLE).collect()
+        sample = rows.where(F.col("dim") == dim).orderBy(F.xxhash64("key"), "key").limit(PIVOT_SAMPLE).collect()
         chosen[dim] = choose_pivots(np.floor(SCALE * np.array([r.v for r in sample], float).reshape(len(sample), dim)), pivots)
     shared = spark.sparkContext.broadcast(chosen)  # PIVOTS vectors of each length
 
@@ -70,9 +72,9 @@ def index(vectors: DataFrame, id_col: str, vec_col: str, pivots: int = PIVOTS) -
                 p = shared.value.get(dim, np.zeros((0, dim)))
                 far = [np.sqrt(((x - y) ** 2).sum(1)) for y in p]
                 far = np.array(far).reshape(len(p), len(x)).T
-                yield pd.DataFrame({"id": part.id, "dim": dim, "x": list(x), "norm": (x**2).sum(1), "far": list(far)})
+                yield pd.DataFrame({"id": part.id, "key": part.key, "dim": dim, "x": list(x), "norm": (x**2).sum(1), "far": list(far)})
 
-    return stage(rows.mapInPandas(measure, "id long, dim int, x array<double>, norm double, far array<double>"), "pivots")
+    return stage(rows.mapInPandas(measure, "id long, key long, dim int, x array<double>, norm double, far array<double>"), "pivots")
 
 
 def _exact(q: np.ndarray, x: np.ndarray) -> np.ndarray:
@@ -86,17 +88,17 @@ def best_of_block(qs: pd.DataFrame, cs: pd.DataFrame, k: int) -> pd.DataFrame:
     """The k best candidates of one block for every query of another, by elimination."""
     stack = lambda s, n: np.array(s.tolist(), float).reshape(n, -1)
     q, x, qf, xf = stack(qs.x, len(qs)), stack(cs.x, len(cs)), stack(qs.far, len(qs)), stack(cs.far, len(cs))
-    ids, norm = cs.id.to_numpy(), cs.norm.to_numpy()
+    ids, keys, norm = cs.id.to_numpy(), cs.key.to_numpy(), cs.norm.to_numpy()
     top = lambda a: float(np.abs(a).max(initial=0))
     small = top(q) * top(x) * max(1, x.shape[1]) < 2**53
     out = []
-    for i, qid in enumerate(qs.id):
+    for i, (qid, own) in enumerate(zip(qs.id, qs.key)):
         with np.errstate(all="ignore"):
             low = np.abs(xf - qf[i]).max(1, initial=0)
             low = np.maximum(0, low - SLACK * (low + xf.max(1, initial=0)))
             bound = (qs.norm.iat[i] + norm - low**2) / 2
             bound = np.where(np.isfinite(bound), bound + SLACK * (np.abs(bound) + norm + qs.norm.iat[i]), np.inf)
-        bound[ids == qid] = -np.inf
+        bound[keys == own] = -np.inf
         order, scores, at = np.argsort(-bound, kind="stable"), np.zeros(0, np.int64), np.zeros(0, np.int64)
         for start in range(0, len(order), STEP):
             part = order[start : start + STEP]
@@ -107,8 +109,8 @@ def best_of_block(qs: pd.DataFrame, cs: pd.DataFrame, k: int) -> pd.DataFrame:
             scores, at = np.concatenate([scores, got]), np.concatenate([at, part])
             keep = np.lexsort((ids[at], -scores.astype(float) if small else [-int(s) for s in scores]))[:k]
             scores, at = scores[keep], at[keep]
-        out.append(pd.DataFrame({"query_id": qid, "vec_id": ids[at], "score": scores}))
-    cols = {"query_id": "int64", "vec_id": "int64", "score": "int64"}
+        out.append(pd.DataFrame({"query_id": qid, "key": own, "vec_id": ids[at], "score": scores}))
+    cols = {"query_id": "int64", "key": "int64", "vec_id": "int64", "score": "int64"}
     return pd.concat(out).astype(cols) if out else pd.DataFrame({c: pd.Series(dtype=t) for c, t in cols.items()})
 
 
@@ -125,12 +127,12 @@ def search(vectors: DataFrame, is_query: F.Column, k: int = 5, id_col: str = "ve
     rows = table.join(broadcast_checked(sizes, sizes.count()), "dim")  # a row for each vector length
     spread = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
     each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    cols = ["dim", "qb", "cb", "asks", "id", "x", "norm", "far"]
+    cols = ["dim", "qb", "cb", "asks", "id", "key", "x", "norm", "far"]
     qs = rows.where(is_query).select("*", F.lit(True).alias("asks"), spread("nb").alias("qb"), each("nc").alias("cb"))
     cs = rows.select("*", F.lit(False).alias("asks"), spread("nc").alias("cb"), each("nb").alias("qb"))
     pairs = qs.select(cols).unionByName(cs.select(cols)).groupBy("dim", "qb", "cb")
-    found = pairs.applyInPandas(lambda p: best_of_block(p[p.asks], p[~p.asks], k), "query_id long, vec_id long, score long")
-    best = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+    found = pairs.applyInPandas(lambda p: best_of_block(p[p.asks], p[~p.asks], k), "query_id long, key long, vec_id long, score long")
+    best = F.row_number().over(Window.partitionBy("query_id", "key").orderBy(F.desc("score"), "vec_id"))
     return found.select("query_id", best.cast("int").alias("rank"), "vec_id", "score").where(F.col("rank") <= k)
 
 
@@ -141,11 +143,11 @@ def op4(spark, sf_dir: str) -> DataFrame:
 
 SQL = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS x FROM embeddings
+  SELECT DISTINCT vec_id, embedding, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS x FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 s AS (
-  SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.x, c.x)::BIGINT AS score
-  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.x) = len(c.x) WHERE q.vec_id % 50 = 0),
-r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)
+  SELECT q.vec_id AS query_id, q.embedding AS own, c.vec_id, list_dot_product(q.x, c.x)::BIGINT AS score
+  FROM v q JOIN v c ON (q.vec_id <> c.vec_id OR q.embedding <> c.embedding) AND len(q.x) = len(c.x) WHERE q.vec_id % 50 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id, own ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """

@@ -56,7 +56,13 @@ def test_search_repeated_rows_and_empty_table(spark):
 
     rows = [(0, [1.0, 0.0]), (0, [1.0, 0.0]), (1, [0.5, 0.0]), (1, [0.25, 0.0]), (None, [9.0, 9.0])]
     got = X.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("id") == 0).collect()
-    assert [tuple(r) for r in got] == [(0, 1, 1, 256 * 64)]
+    assert [tuple(r) for r in got] == [(0, 1, 1, 256 * 128), (0, 2, 1, 256 * 64)]
+    rows = [(50, [1.0, 0.0]), (1, [0.9, 0.1]), (1, [0.1, 0.9]), (2, [0.5, 0.5]), (50, [0.5, 0.25])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted(tuple(r) for r in X.search(df, F.col("id") == 50).collect())
+    scores = lambda q: sorted((-int(np.floor(256 * np.array(q)) @ np.floor(256 * np.array(v))), i) for i, v in rows if v != q)
+    assert got == sorted((50, k + 1, i, -s) for q in ([1.0, 0.0], [0.5, 0.25]) for k, (s, i) in enumerate(scores(q)))
+    assert max(r[3] for r in got) == 256 * 230
     assert X.search(spark.createDataFrame([], "vec_id long, embedding array<float>"), F.col("id") == 0).collect() == []
 
 
@@ -67,7 +73,7 @@ def test_elimination_skips_candidates(monkeypatch):
     x = np.floor(256 * np.concatenate([r.normal(size=(2000, 4)) * 0.01 + c for c in np.eye(4)]))
     p = X.choose_pivots(x[::50], 16)
     far = np.sqrt(((x[:, None] - p) ** 2).sum(2))
-    table = pd.DataFrame({"id": range(len(x)), "x": list(x), "norm": (x**2).sum(1), "far": list(far)})
+    table = pd.DataFrame({"id": range(len(x)), "key": range(len(x)), "x": list(x), "norm": (x**2).sum(1), "far": list(far)})
     seen = []
     monkeypatch.setattr(X.np, "lexsort", lambda keys, f=np.lexsort: (seen.append(1), f(keys))[1])
     X.best_of_block(table[:20], table, 5)
