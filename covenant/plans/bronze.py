@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from ..functions.rules import as_rules
 from ..operators.publish import register
 from ..operators.routing import expectations
-from ..sources.files import INGESTION_TS, SOURCE_FILE, read_source, table_schema
+from ..sources.files import INGESTION_TS, RESCUED_FIELDS, RESCUED_KIND, RESCUED_LINE, SOURCE_FILE, read_source, table_schema
 from ..streaming.ingest import BATCH_ID, PARTITIONS, STREAM_ID, counted, read_ingested, run_available_now
 
 
@@ -31,7 +31,7 @@ def declared(df: DataFrame, contract: Mapping[str, Any]) -> DataFrame:
         if dict(df.dtypes).get(f.name) != f.dataType.simpleString():
             c = c.try_cast(f.dataType)
         cols.append(c.alias(f.name, metadata=f.metadata))
-    extra = [c for c in (SOURCE_FILE, INGESTION_TS) if c in df.columns]
+    extra = [c for c in (RESCUED_LINE, RESCUED_KIND, RESCUED_FIELDS, SOURCE_FILE, INGESTION_TS) if c in df.columns]
     return df.select(*cols, *extra)
 
 

@@ -28,7 +28,7 @@ from ..operators.sinks import column_comments, fixed_width_line, save_table, tab
 from ..session import scratch_path
 from ..sources import contracts as ct
 from ..sources import shipped
-from ..sources.files import read_delimited, read_fixed_width, read_results_history
+from ..sources.files import RESCUED_FIELDS, RESCUED_KIND, RESCUED_LINE, read_delimited, read_fixed_width, read_results_history
 from ..streaming.batches import run_checked
 from ..streaming.ingest import counted, read_versioned, run_available_now, run_versioned, stream_id, write_batch
 from . import marts
@@ -764,6 +764,47 @@ def src_fixed_width_truncated(spark, sf):
     return src_fixed_width(spark, sf, truncate=True)
 
 
+def damaged_customer_lines(spark, sf) -> DataFrame:
+    """The customer feed as pipe-delimited lines, some with a missing field, some with two more, some with an open quote."""
+    line = "concat_ws('|', c_custkey, {}, c_nationkey, c_acctbal, {})"
+    k = F.col("c_custkey")
+    hit = F.when(k % 11 == 3, F.expr("concat_ws('|', c_custkey, c_name, c_nationkey, c_acctbal)"))
+    hit = hit.when(k % 11 == 5, F.expr(line.format("c_name", "concat(c_mktsegment, '|x|\"y|z\"')")))
+    hit = hit.when(k % 11 == 7, F.expr(line.format("concat('\"', c_name)", "c_mktsegment"))).otherwise(F.expr(line.format("c_name", "c_mktsegment")))
+    return table(spark, sf, "customer").select(hit.alias("value"))
+
+
+def src_rescued_rows(spark, sf):
+    """A damaged customer feed through bronze: every line is kept, and malformed ones are told apart with their surplus fields."""
+    contract, land, base = shipped.load("customer"), scratch_path(spark, "customer_landing"), scratch_path(spark, "lake")
+    damaged_customer_lines(spark, sf).write.text(land)
+    contract = contract | {"source": contract["source"] | {"rescue": True, "options": {"delimiter": "|", "header": "false"}}}
+    run_bronze(spark, contract, f"{base}/bronze", f"{base}/_ckpt", path=land)
+    rows = read_bronze(spark, contract, f"{base}/bronze", land).withColumn("kind", F.coalesce(RESCUED_KIND, F.lit("sound")))
+    return rows.groupBy("kind").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum(F.col("c_custkey").try_cast("long")).alias("keys"), F.count("c_mktsegment").alias("segments"),
+        F.min(F.array_join(RESCUED_FIELDS, ",")).alias("surplus"), F.count(RESCUED_LINE).alias("lines_kept"),
+    )
+
+
+def src_fixed_width_bytes(spark, sf):
+    """Lines laid out in bytes of ISO-8859-1 and of UTF-8, with accents before the other fields: both parse alike."""
+    c = table(spark, sf, "customer").select("c_custkey", F.translate("c_mktsegment", "AEO", "ÀÉÖ").alias("segment"), F.round(F.col("c_acctbal") * 100).cast("long").alias("cents"))
+    out = None
+    for charset in ("ISO-8859-1", "UTF-8"):
+        encoded = F.encode("segment", charset)
+        padded = F.substring(F.concat(encoded, F.encode(F.lit(" " * 20), charset)), 1, 20)
+        line = F.concat(padded, F.encode(F.format_string("%012d", "c_custkey"), charset), F.encode(F.format_string("%012d", "cents"), charset))
+        land = scratch_path(spark, "bytes_landing")
+        c.select(line.cast("string").alias("value")).write.text(land)
+        fields = [{"name": "segment", "start": 1, "length": 20, "trim": True}, {"name": "c_custkey", "start": 21, "length": 12, "cast": "bigint"}, {"name": "cents", "start": 33, "length": 12, "cast": "bigint"}]
+        got = read_fixed_width(spark, land, fields, lineage=False, charset=charset)
+        got = got.groupBy("segment").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("cents").alias("cents"), F.sum("c_custkey").alias("keys"), F.max("_line_length").alias("line_bytes"))
+        got = got.withColumn("charset", F.lit(charset))
+        out = got if out is None else out.unionByName(got)
+    return out
+
+
 def _contract_docs() -> dict:
     return {"orders": shipped.load("orders"), "events": shipped.load("events")}
 
@@ -1171,6 +1212,7 @@ dq_unique_repeated_line dq_unique_redelivered st_two_checkpoints st_full_refresh
 st_expectations_many_batches src_contract_lint q_rerun_repaired silver_table_clean gold_advisors
 gold_snapshot gold_health gold_table_facts an_reuse_prefix an_detect_formats an_detect_duplicates
 lake_table_facts pub_old_version_kept st_refresh_switches dq_values_from dq_values_from_text src_lint_derived
+src_rescued_rows src_fixed_width_bytes
 """.split()
 
 QUERIES: dict[str, Query] = {name: globals()[name] for name in NAMES}

@@ -502,6 +502,12 @@ SELECT 'text_labelled' AS rule_name, total_count, fail_count, round(fail_count /
         + [f"SELECT '{c}_range', 'bound ' || (SELECT {f}({c}) FROM r) || ' is not a number', NULL, NULL FROM n" for c in ("l_returnflag", "l_linestatus") for f in ("min", "max")]
         + ["SELECT 'l_colour_known', 'rule ''l_colour_known'' is about unknown column ''l_colour''', NULL, NULL FROM n"]
     ),
+    "src_rescued_rows": """WITH c AS (SELECT *, CASE c_custkey % 11 WHEN 3 THEN 'short' WHEN 5 THEN 'long' WHEN 7 THEN 'broken' ELSE 'sound' END AS kind FROM customer)
+SELECT kind, count(*) AS n_rows, sum(c_custkey)::BIGINT AS keys, count_if(kind IN ('long', 'sound')) AS segments,
+  CASE WHEN kind = 'long' THEN 'x,"y|z"' END AS surplus, count_if(kind <> 'sound') AS lines_kept FROM c GROUP BY kind""",
+    "src_fixed_width_bytes": """WITH c AS (SELECT translate(c_mktsegment, 'AEO', 'ÀÉÖ') AS segment, c_custkey, CAST(round(c_acctbal * 100) AS BIGINT) AS cents FROM customer)
+SELECT segment, count(*) AS n_rows, sum(cents)::BIGINT AS cents, sum(c_custkey)::BIGINT AS keys, 44 AS line_bytes, charset
+FROM c, (VALUES ('ISO-8859-1'), ('UTF-8')) AS v(charset) GROUP BY segment, charset""",
     "lake_table_facts": """WITH n AS (SELECT count(*) AS b, count_if(c_acctbal >= 0) AS s FROM customer)
 SELECT layer, property, value, CAST(CASE layer WHEN 'bronze' THEN b WHEN 'silver' THEN s ELSE 5 END AS INTEGER) AS n_rows
 FROM n, (VALUES ('bronze', 'comment', 'Customer master rows from the pipe-delimited feed'), ('bronze', 'quality', 'bronze'), ('bronze', 'c_custkey', 'Customer key (raw string)'), ('bronze', 'c_name', 'Customer name'),

@@ -63,6 +63,7 @@ CONTRACT_SCHEMA = T.StructType(
                     T.StructField("path", _S),
                     T.StructField("format", _S),
                     T.StructField("options", T.MapType(_S, _S)),
+                    T.StructField("rescue", T.BooleanType()),
                     T.StructField(
                         "fixed_width_columns",
                         T.ArrayType(

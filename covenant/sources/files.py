@@ -10,6 +10,7 @@ gives "each file once").
 
 from __future__ import annotations
 
+import re
 from typing import Any, Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,6 +23,7 @@ from ..session import path_exists
 SOURCE_FILE = "_source_file"
 INGESTION_TS = "_ingestion_ts"
 LINE_LENGTH = "_line_length"
+RESCUED_LINE, RESCUED_KIND, RESCUED_FIELDS = "_rescued_line", "_rescued_kind", "_rescued_fields"
 
 # Contract type names accepted for the declared (table) schema;
 # anything else declares a string.
@@ -70,6 +72,26 @@ def with_lineage(df: DataFrame) -> DataFrame:
     return df.withColumn(SOURCE_FILE, F.col("_metadata.file_path")).withColumn(INGESTION_TS, F.current_timestamp())
 
 
+def rescued(df: DataFrame, n_columns: int, options: Mapping[str, str] | None = None) -> DataFrame:
+    """Say of each malformed line what is wrong with it, and keep the fields that have no column.
+
+    ``_rescued_kind`` is ``short`` or ``long`` (too few or too many fields) or
+    ``broken`` (a quote that is never closed swallows fields), NULL for a sound
+    line; ``_rescued_fields`` holds the fields beyond the declared
+    ones.  Fields are told apart outside quotes, on malformed lines only.
+    """
+    options = {k.lower(): v for k, v in (options or {}).items()}
+    sep, quote = (re.escape(options.get(k, options.get(other, default))) for k, other, default in (("sep", "delimiter", ","), ("quote", "quote", '"')))
+    outside = f"{sep}(?=(?:[^{quote}]*{quote}[^{quote}]*{quote})*[^{quote}]*$)" if quote else sep
+    fields = F.split(F.col(RESCUED_LINE), outside, -1)
+    balanced = F.length(F.regexp_replace(RESCUED_LINE, f"[^{quote}]", "")) % 2 == 0 if quote else F.lit(True)
+    n = F.size(fields)
+    kind = F.when(~balanced | (n == n_columns), F.lit("broken")).when(n < n_columns, "short").otherwise("long")
+    extra = F.when(kind == "long", F.slice(fields, n_columns + 1, F.greatest(n - n_columns, F.lit(0))))
+    known = F.col(RESCUED_LINE).isNotNull()
+    return df.withColumns({RESCUED_KIND: F.when(known, kind), RESCUED_FIELDS: F.when(known, extra)})
+
+
 def read_delimited(
     spark: SparkSession,
     path: str,
@@ -78,21 +100,38 @@ def read_delimited(
     fmt: str = "csv",
     stream: bool = False,
     lineage: bool = True,
+    rescue: bool = False,
 ) -> DataFrame:
-    """Delimited feed with an all-string reader schema; reader options pass through."""
+    """Delimited feed with an all-string reader schema; reader options pass through.
+
+    A line that does not fit the columns lands with what fits.  With ``rescue``
+    its text is kept too, in ``_rescued_line``, with what ``rescued`` says of it.
+    """
     reader = spark.readStream if stream else spark.read
     reader = reader.format(fmt).option("inferSchema", "false")
     for k, v in (options or {}).items():
         reader = reader.option(k, v)
-    df = reader.schema(reader_schema(columns)).load(path)
+    schema = reader_schema(columns)
+    if rescue:
+        schema = T.StructType([*schema.fields, T.StructField(RESCUED_LINE, T.StringType())])
+        reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", RESCUED_LINE)
+    df = reader.schema(schema).load(path)
+    df = rescued(df, len(schema.fields) - 1, options) if rescue else df
     return with_lineage(df) if lineage else df
 
 
-def fixed_width_columns(fields: Sequence[Any], value: str = "value") -> list[Column]:
-    """One Column per field: 1-based substring, optional trim, optional try_cast."""
+def fixed_width_columns(fields: Sequence[Any], value: str = "value", charset: str | None = None) -> list[Column]:
+    """One Column per field: 1-based substring, optional trim, optional try_cast.
+
+    With a ``charset`` the line is bytes and positions count bytes, so characters
+    of several bytes shift nothing; each field is decoded on its own, and one
+    whose bytes are no text of that encoding is NULL.
+    """
     out = []
     for f in fields:
         c = F.substring(F.col(value), int(_get(f, "start")), int(_get(f, "length")))
+        if charset:
+            c = F.try_validate_utf8(c.cast("string")) if charset.lower().replace("-", "") == "utf8" else F.decode(c, charset)
         if _get(f, "trim", False):
             c = F.trim(c)
         cast = _get(f, "cast")
@@ -102,18 +141,27 @@ def fixed_width_columns(fields: Sequence[Any], value: str = "value") -> list[Col
     return out
 
 
-def parse_fixed_width(df: DataFrame, fields: Sequence[Any], value: str = "value", keep: Sequence[str] = ()) -> DataFrame:
-    """Parse text lines into fields in declared order, plus ``_line_length``; drops ``value``."""
+def parse_fixed_width(df: DataFrame, fields: Sequence[Any], value: str = "value", keep: Sequence[str] = (), charset: str | None = None) -> DataFrame:
+    """Parse text lines into fields in declared order, plus ``_line_length`` (bytes with a ``charset``); drops ``value``."""
     extra = [c for c in df.columns if c != value]
-    return df.select(*fixed_width_columns(fields, value), F.length(F.col(value)).alias(LINE_LENGTH), *extra)
+    return df.select(*fixed_width_columns(fields, value, charset), F.length(F.col(value)).alias(LINE_LENGTH), *extra)
 
 
-def read_fixed_width(spark: SparkSession, path: str, fields: Sequence[Any], stream: bool = False, lineage: bool = True) -> DataFrame:
+def read_fixed_width(
+    spark: SparkSession, path: str, fields: Sequence[Any], stream: bool = False, lineage: bool = True, charset: str | None = None
+) -> DataFrame:
+    """Fixed-width lines; positions count characters of UTF-8 text, or bytes of the declared ``charset``.
+
+    The text source hands over the bytes of a line as they are (it splits at
+    line feeds), so they are cut before they are decoded.
+    """
     reader = spark.readStream if stream else spark.read
     raw = reader.format("text").load(path)
     if lineage:
         raw = with_lineage(raw)
-    return parse_fixed_width(raw, fields)
+    if charset:
+        raw = raw.withColumn("value", F.col("value").cast("binary"))
+    return parse_fixed_width(raw, fields, charset=charset)
 
 
 # Formats that carry types: read with the contract's types instead of all-string.
@@ -132,10 +180,12 @@ def read_source(spark: SparkSession, contract: Mapping[str, Any], path: str | No
     path = path or source["path"]
     fields = source.get("fixed_width_columns")
     if source.get("format") == "text" and fields:
-        return read_fixed_width(spark, path, fields, stream=stream)
+        return read_fixed_width(spark, path, fields, stream=stream, charset=(source.get("options") or {}).get("charset"))
     if source.get("format") in TYPED_FORMATS:
         return read_typed(spark, path, contract["dataset"]["columns"], source["format"], stream=stream)
-    return read_delimited(spark, path, contract["dataset"]["columns"], source.get("options") or {}, source.get("format") or "csv", stream=stream)
+    return read_delimited(
+        spark, path, contract["dataset"]["columns"], source.get("options") or {}, source.get("format") or "csv", stream=stream, rescue=bool(source.get("rescue"))
+    )
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
