@@ -89,7 +89,7 @@ def publish(df: DataFrame, path: str, fmt: str = "parquet", partition_by: Sequen
     return version_path(path, version)
 
 
-def read_published(spark: SparkSession, path: str, fmt: str = "parquet", schema: T.StructType | None = None) -> DataFrame:
+def read_published(spark: SparkSession, path: str, fmt: str = "parquet", schema: "T.StructType | str | None" = None) -> DataFrame:
     """The current version of the table below ``path``."""
     version = current_version(spark, path)
     if version is None:

@@ -33,6 +33,7 @@ from ..streaming.batches import run_checked
 from ..streaming.ingest import counted, read_versioned, run_available_now, run_versioned, stream_id, write_batch
 from . import marts
 from .bronze import read_bronze, run_bronze
+from .health import health_report, read_health, update_health
 from .refine import refine_all
 from .silver import run_silver
 
@@ -1120,6 +1121,19 @@ def gold_health(spark, sf):
     return out.select("position", "dataset_name", "rule_name", "severity", "latest_run_fail_pct", "status_flag")
 
 
+def gold_health_incremental(spark, sf):
+    """Rule health from a state that takes in the runs batch by batch, the last one twice; no batch reads another's results."""
+    path, stored = scratch_path(spark, "health"), scratch_path(spark, "dq_results")
+    write_results(events_results_by_day(spark, sf).withColumn("sample_failures", F.array().cast("array<string>")), stored)
+    results = read_results_history(spark, stored)
+    first, last = results.agg(F.min("run_timestamp"), F.max("run_timestamp")).first()
+    cuts = [first + (last - first) * k / 3 for k in (1, 2)]
+    t = F.col("run_timestamp")
+    for batch in (t < cuts[0], (t >= cuts[0]) & (t < cuts[1]), t >= cuts[1], t >= cuts[1]):
+        update_health(spark, path, results.where(batch))
+    return health_report(read_health(spark, path))
+
+
 def gold_table_facts(spark, sf):
     """Comment and properties of a mart's catalog table, and its rows."""
     path = scratch_path(spark, "regions")
@@ -1212,7 +1226,7 @@ dq_unique_repeated_line dq_unique_redelivered st_two_checkpoints st_full_refresh
 st_expectations_many_batches src_contract_lint q_rerun_repaired silver_table_clean gold_advisors
 gold_snapshot gold_health gold_table_facts an_reuse_prefix an_detect_formats an_detect_duplicates
 lake_table_facts pub_old_version_kept st_refresh_switches dq_values_from dq_values_from_text src_lint_derived
-src_rescued_rows src_fixed_width_bytes
+src_rescued_rows src_fixed_width_bytes gold_health_incremental
 """.split()
 
 QUERIES: dict[str, Query] = {name: globals()[name] for name in NAMES}

@@ -524,6 +524,8 @@ SELECT 'dq_results' AS table_name, CAST({len(C.ORDER_RULES)} AS BIGINT) AS n_row
 UNION ALL SELECT 'quarantine', count(*) FROM flags WHERE {ANY_FLAG}""",
 }
 
+ORACLE["gold_health_incremental"] = ORACLE["dq_report_history"]
+
 ORACLE["gold_advisors"] = (
     ORACLE["jn_left_fanout"]
     .replace("AS aum FROM orders)", "AS aum FROM orders WHERE CAST(o_totalprice AS DECIMAL(18, 2)) >= 20000)")
