@@ -18,7 +18,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 BROADCAST_ROWS = 100_000
 
 #: Entries of the per-worker word cache; it is emptied when full.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 200_000
 
 _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 

@@ -46,7 +46,7 @@ BLOCK_SETS, BLOCK_ITEMS = 512, 1_000_000
 #: Signatures compared in one bucket; a bucket's task holds them as arrays.
 BUCKET_SIGS = 2_000_000
 #: Documents of a chunk whose repeated n-grams are counted together (places fit 16 bits).
-CHUNK_DOCS = 4096
+CHUNK_DOCS = 1024
 
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
