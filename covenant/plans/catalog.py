@@ -533,6 +533,16 @@ def jn_prefix_inner(spark, sf):
     return _snapshot_columns(marts.balance_snapshot(*snapshot_sides(spark, sf), as_of=MART_AS_OF, active_status="F", prefix_start=10, prefix_len=9))
 
 
+def jn_prefix_heavy(spark, sf):
+    """The balance snapshot with a third of the accounts under one client's prefix, dealt over many tasks."""
+    clients, accounts = snapshot_sides(spark, sf)
+    hot = F.when(F.col("account_number") % 3 == 0, F.lit("000000007")).otherwise(F.col("client_id_prefix"))
+    snap = marts.balance_snapshot(
+        clients, accounts.withColumn("client_id_prefix", hot), as_of=MART_AS_OF, active_status="F", prefix_start=10, prefix_len=9, heavy_rows=500
+    )
+    return _snapshot_columns(snap).groupBy("client_id").agg(F.count(F.lit(1)).alias("n_accounts"), F.sum(F.col("account_number").cast("long")).alias("numbers"))
+
+
 def _snapshot_columns(snap: DataFrame) -> DataFrame:
     return snap.select(
         "client_id", "account_number", "balance_dollars", "aum", F.col("days_since_open").cast("long").alias("days_since_open"),
@@ -1226,7 +1236,7 @@ dq_unique_repeated_line dq_unique_redelivered st_two_checkpoints st_full_refresh
 st_expectations_many_batches src_contract_lint q_rerun_repaired silver_table_clean gold_advisors
 gold_snapshot gold_health gold_table_facts an_reuse_prefix an_detect_formats an_detect_duplicates
 lake_table_facts pub_old_version_kept st_refresh_switches dq_values_from dq_values_from_text src_lint_derived
-src_rescued_rows src_fixed_width_bytes gold_health_incremental
+src_rescued_rows src_fixed_width_bytes gold_health_incremental jn_prefix_heavy
 """.split()
 
 QUERIES: dict[str, Query] = {name: globals()[name] for name in NAMES}

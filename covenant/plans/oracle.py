@@ -325,6 +325,9 @@ SELECT c.client_id, a.account_number, a.balance_dollars, c.aum,
        coalesce(a.balance_dollars > c.aum * 0.5, false) AS anomaly_flag,
        a.product_code AS bank_product_code, a.state_code, a.account_status, c.account_type, c.region, c.risk_rating
 FROM c JOIN a ON substring(c.client_id, 10, 9) = a.client_id_prefix""",
+    "jn_prefix_heavy": """WITH a AS (SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN '000000007' ELSE lpad(CAST(o_custkey AS VARCHAR), 9, '0') END AS p
+  FROM orders WHERE o_orderstatus = 'F')
+SELECT c_name AS client_id, count(*) AS n_accounts, sum(o_orderkey)::BIGINT AS numbers FROM customer JOIN a ON substring(c_name, 10, 9) = p GROUP BY c_name""",
     "ag_conditional": """SELECT l_returnflag, l_linestatus, count(*) AS n, count_if(l_discount > 0.05) AS n_discounted,
        CASE WHEN count(l_tax) > 0 THEN count_if(l_tax > 0.04) / count(l_tax) END AS taxed_share,
        CAST(sum(CAST(l_extendedprice AS DECIMAL(18, 2))) AS DOUBLE) AS sum_price, max(l_quantity) AS max_qty
