@@ -9,6 +9,8 @@ and every recomputed task, and a test can compute it independently.  With
 Injectors that need values from elsewhere (donor keys for duplicates, keys
 of another table for key reuse) take a bounded, sorted top-k (at most
 ``n`` rows) and broadcast it; its size is bounded by ``n`` by construction.
+The smallest keys are one end of the key range; with ``spread`` the pool is a
+hash sample instead (``hash_sample``), which lies all over it.
 """
 
 from __future__ import annotations
@@ -101,11 +103,34 @@ def inject_negative(df, column, rate, key, lo=1000, hi=999999, kind="out_of_rang
 MAX_SLOTS = 100_000
 
 
-def _slots(values: DataFrame, col: str, n: int) -> DataFrame:
+def _place(v: Column) -> Column:
+    """32 bits of a value's digest: its place in the pool's order, as a share of 2^32."""
+    return F.conv(F.substring(F.md5(F.concat(F.lit("pool:"), v.cast("string"))), 1, 8), 16, 10).cast("bigint")
+
+
+def hash_sample(values: DataFrame, col: str, n: int) -> DataFrame:
+    """(_v): the ``n`` distinct values of smallest digest (all, if fewer), the same however the rows lie.
+
+    Samples merge: that of two tables together is that of their two samples.  The
+    number of distinct values is estimated first, and only values whose digest
+    may be among the smallest are made distinct and sorted, about 4 * n of them;
+    if they are too few the limit is raised.
+    """
+    some = values.where(F.col(col).isNotNull()).select(F.col(col).alias("_v"))
+    m = some.agg(F.approx_count_distinct("_v")).first()[0]
+    limit = min(1 << 32, ((4 * n << 32) // max(1, m)) + 1)
+    while True:
+        kept = some.where(_place(F.col("_v")) < limit).distinct()
+        if limit >= 1 << 32 or kept.count() >= n:
+            return kept.orderBy(F.md5(F.concat(F.lit("pool:"), F.col("_v").cast("string"))), "_v").limit(n)
+        limit = min(1 << 32, limit * 8)
+
+
+def _slots(values: DataFrame, col: str, n: int, spread: bool = False) -> DataFrame:
     """Map slots 0..n-1 onto the (at most n) sorted ``values``: slot s -> value[s mod m]."""
     if not 0 < n <= MAX_SLOTS:
         raise ValueError(f"a pool has 1 to {MAX_SLOTS} slots, not {n}")
-    ranked = values.select(F.col(col).alias("_v")).distinct().orderBy("_v").limit(n)
+    ranked = hash_sample(values, col, n) if spread else values.select(F.col(col).alias("_v")).distinct().orderBy("_v").limit(n)
     # Windows over at most n rows (after the limit), so one task is fine.
     indexed = ranked.select(
         "_v",
@@ -115,9 +140,9 @@ def _slots(values: DataFrame, col: str, n: int) -> DataFrame:
     return indexed.select(F.explode(F.sequence(F.col("_i"), F.lit(n - 1), F.col("_m"))).alias("_slot"), "_v")
 
 
-def _take_from(df, column, picked, key, pool: DataFrame, pool_col: str, n: int, kind: str, name, track):
+def _take_from(df, column, picked, key, pool: DataFrame, pool_col: str, n: int, kind: str, name, track, spread: bool = False):
     k = _key(key)
-    slots = F.broadcast(_slots(pool, pool_col, n))  # n rows, at most MAX_SLOTS
+    slots = F.broadcast(_slots(pool, pool_col, n, spread))  # n rows, at most MAX_SLOTS
     tagged = df.withColumn("_tk_slot", F.when(picked, choice(f"{kind}:slot", k, n)))
     joined = tagged.join(slots, tagged["_tk_slot"] == slots["_slot"], "left")
     out = joined.withColumn(column, F.when(F.col("_slot").isNotNull(), F.col("_v").cast(dict(df.dtypes)[column])).otherwise(F.col(column)))
@@ -126,28 +151,30 @@ def _take_from(df, column, picked, key, pool: DataFrame, pool_col: str, n: int,
     return out.drop("_tk_slot", "_slot", "_v")
 
 
-def inject_duplicates(df, column, rate, key, donors=50, kind="duplicate", track=False, name=None):
+def inject_duplicates(df, column, rate, key, donors=50, kind="duplicate", track=False, name=None, spread=False):
     """Overwrite ``column`` on picked rows with one of the ``donors`` smallest
-    keys of unpicked rows, creating duplicates of existing keys."""
+    keys of unpicked rows (with ``spread``: of a hash sample of them), creating
+    duplicates of existing keys."""
     k = _key(key)
     picked = pick(kind, k, rate) & F.col(column).isNotNull()
     pool = df.where(~pick(kind, k, rate) & F.col(column).isNotNull())
-    return _take_from(df, column, picked, key, pool, column, donors, kind, name, track)
+    return _take_from(df, column, picked, key, pool, column, donors, kind, name, track, spread)
 
 
-def reuse_keys(df, column, rate, key, source: DataFrame, source_col: str, sample=500, kind="reuse", track=False, name=None):
+def reuse_keys(df, column, rate, key, source: DataFrame, source_col: str, sample=500, kind="reuse", track=False, name=None, spread=False):
     """A share ``rate`` of rows take a key from another table's ``sample``
-    smallest distinct keys (referential overlap between two feeds)."""
+    smallest distinct keys, or with ``spread`` from a hash sample of its keys
+    (referential overlap between two feeds)."""
     picked = pick(kind, _key(key), rate)
     pool = source.where(F.col(source_col).isNotNull())
-    return _take_from(df, column, picked, key, pool, source_col, sample, kind, name, track)
+    return _take_from(df, column, picked, key, pool, source_col, sample, kind, name, track, spread)
 
 
-def reuse_prefixes(df, column, rate, key, source: DataFrame, source_col: str, length: int, sample=500, kind="reuse_prefix", track=False, name=None):
+def reuse_prefixes(df, column, rate, key, source: DataFrame, source_col: str, length: int, sample=500, kind="reuse_prefix", track=False, name=None, spread=False):
     """As ``reuse_keys``, with the first ``length`` characters of another table's keys."""
     picked = pick(kind, _key(key), rate)
     prefixes = source.where(F.col(source_col).isNotNull()).select(F.substring(F.col(source_col).cast("string"), 1, length).alias("_prefix"))
-    return _take_from(df, column, picked, key, prefixes, "_prefix", sample, kind, name, track)
+    return _take_from(df, column, picked, key, prefixes, "_prefix", sample, kind, name, track, spread)
 
 
 def inject_anomalies(

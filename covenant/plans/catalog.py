@@ -643,6 +643,14 @@ def an_reuse(spark, sf):
     return an.reuse_keys(e, "user_id", 0.6, "event_id", table(spark, sf, "customer"), "c_custkey", sample=500)
 
 
+def an_reuse_spread(spark, sf):
+    """As ``an_reuse``, from a hash sample of the customers' keys; and names from one of their unpicked own."""
+    e, c = table(spark, sf, "events").select("event_id", "user_id"), table(spark, sf, "customer")
+    reused = an.reuse_keys(e, "user_id", 0.6, "event_id", c, "c_custkey", sample=200, spread=True)
+    named = an.inject_duplicates(c.select("c_custkey", F.col("c_name").alias("dup_key")), "dup_key", 0.05, "c_custkey", donors=50, spread=True)
+    return reused.join(named, F.col("user_id") == F.col("c_custkey"), "left").select("event_id", "user_id", "dup_key")
+
+
 def an_reuse_prefix(spark, sf):
     """70 % of the orders carry the first nine characters of a customer name."""
     o = table(spark, sf, "orders").select("o_orderkey", F.col("o_orderpriority").alias("client_prefix"))
@@ -1236,7 +1244,7 @@ dq_unique_repeated_line dq_unique_redelivered st_two_checkpoints st_full_refresh
 st_expectations_many_batches src_contract_lint q_rerun_repaired silver_table_clean gold_advisors
 gold_snapshot gold_health gold_table_facts an_reuse_prefix an_detect_formats an_detect_duplicates
 lake_table_facts pub_old_version_kept st_refresh_switches dq_values_from dq_values_from_text src_lint_derived
-src_rescued_rows src_fixed_width_bytes gold_health_incremental jn_prefix_heavy
+src_rescued_rows src_fixed_width_bytes gold_health_incremental jn_prefix_heavy an_reuse_spread
 """.split()
 
 QUERIES: dict[str, Query] = {name: globals()[name] for name in NAMES}

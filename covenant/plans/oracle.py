@@ -115,6 +115,11 @@ def donors(src: str, col: str, n: int) -> str:
 FROM (SELECT DISTINCT {col} AS v FROM {src} WHERE {col} IS NOT NULL ORDER BY v LIMIT {n})"""
 
 
+def spread_donors(src: str, col: str, n: int) -> str:
+    return f"""SELECT v, row_number() OVER (ORDER BY v) - 1 AS i, count(*) OVER () AS m
+FROM (SELECT DISTINCT {col} AS v, md5('pool:' || {col}) AS h FROM {src} WHERE {col} IS NOT NULL ORDER BY h, v LIMIT {n})"""
+
+
 DETECT_AS_OF = C.DETECT_AS_OF
 INJECTED_ORDERS = f"""
 SELECT o_orderkey,
@@ -371,6 +376,13 @@ WITH d AS ({donors('customer', 'c_custkey', 500)})
 SELECT event_id, CASE WHEN {pick('reuse', 'event_id', 0.6)} THEN (SELECT v FROM d WHERE d.i = {choice('reuse:slot', 'e.event_id', 500)} % d.m)
        ELSE user_id END AS user_id
 FROM events e""",
+    "an_reuse_spread": f"""
+WITH d AS ({spread_donors('customer', 'c_custkey', 200)}),
+r AS (SELECT event_id, CASE WHEN {pick('reuse', 'event_id', 0.6)} THEN (SELECT v FROM d WHERE d.i = {choice('reuse:slot', 'e.event_id', 200)} % d.m) ELSE user_id END AS user_id FROM events e),
+c AS (SELECT c_custkey, c_name AS dup_key, {pick('duplicate', 'c_custkey', 0.05)} AS p FROM customer),
+k AS ({spread_donors('(SELECT dup_key FROM c WHERE NOT p)', 'dup_key', 50)}),
+n AS (SELECT c_custkey, CASE WHEN p THEN (SELECT v FROM k WHERE k.i = {choice('duplicate:slot', 'c.c_custkey', 50)} % k.m) ELSE dup_key END AS dup_key FROM c)
+SELECT event_id, user_id, dup_key FROM r LEFT JOIN n ON user_id = c_custkey""",
     "an_framework": f"SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate, o_orderpriority FROM ({INJECTED_ORDERS})",
     "an_report": f"""WITH x AS ({INJECTED_ORDERS})
 SELECT 'total' AS anomaly, count(*) AS rows FROM x

@@ -40,3 +40,17 @@ def test_truncate_lengths(spark):
     out = an.inject_truncate(lines, "value", 0.5, "id", 30, 70)
     lens = {r[0] for r in out.select(F.length("value")).distinct().collect()}
     assert 80 in lens and all(30 <= n <= 70 for n in lens - {80})
+
+
+def test_hash_sample_is_spread_merges_and_does_not_depend_on_the_layout(spark):
+    from covenant.operators.anomalies import hash_sample
+
+    df = spark.range(20_000).selectExpr("id % 10000 AS k").union(spark.sql("SELECT CAST(NULL AS bigint)"))
+    sample = lambda d, n: sorted(r["_v"] for r in hash_sample(d, "k", n).collect())
+    got = sample(df, 100)
+    assert len(set(got)) == 100 and got == sample(df.repartition(7), 100)
+    assert all(8 <= sum(a <= v < a + 2500 for v in got) <= 45 for a in range(0, 10_000, 2500))  # all over the key range
+    halves = [df.where(f"k % 2 = {i}") for i in (0, 1)]
+    both = spark.createDataFrame([(v,) for h in halves for v in sample(h, 100)], "k long")
+    assert sample(both, 100) == got
+    assert sample(df.where("k < 30"), 100) == list(range(30)) and sample(df.limit(0), 5) == []
