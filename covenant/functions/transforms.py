@@ -54,12 +54,15 @@ def transform_column(t: Mapping[str, Any]) -> Column | None:
     return c.try_cast(spark_type)
 
 
-def apply_transforms(df: DataFrame, transforms: Iterable[Mapping[str, Any]] | None, stamp: bool = False) -> DataFrame:
-    """Fold the transforms over ``df``; Catalyst collapses the projections."""
+def apply_transforms(df: DataFrame, transforms: Iterable[Mapping[str, Any]] | None, stamp: "bool | Column" = False) -> DataFrame:
+    """Fold the transforms over ``df``; Catalyst collapses the projections.
+
+    ``stamp`` adds the processing timestamp: the query's, or the column given.
+    """
     for t in transforms or []:
         col = transform_column(t)
         if col is not None:
             df = df.withColumn(_get(t, "column"), col)
-    if stamp:
-        df = df.withColumn(PROCESSED_TS, F.current_timestamp())
+    if stamp is not False:
+        df = df.withColumn(PROCESSED_TS, F.current_timestamp() if stamp is True else stamp)
     return df

@@ -31,6 +31,7 @@ all columns do, in schema order.
 
 from __future__ import annotations
 
+import re
 from typing import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -41,6 +42,9 @@ from ..functions.rules import Rule, as_rules, fail_condition, reference_flag
 from ..session import scratch_path
 from .membership import join_references
 
+#: Expressions whose value changes from one query to the next.
+_CHANGING = re.compile(r"current_(timestamp|date|time)|localtimestamp|\bnow\(|\brandn?\(|\buuid\(|shuffle\(|monotonically_increasing_id|spark_partition_id", re.I)
+
 PASSED = "_dq_passed"
 FAILED_RULES = "_dq_failed_rules"
 
@@ -183,6 +187,8 @@ def check(
     With ``staged``, the repeated keys of each ``unique`` rule are found and stored
     first (two narrow tables): then their size is known, so rows with mostly
     unique keys are not shuffled at all, and a rule without ties needs no more.
+    A frame that reads the clock or random numbers would have other values in
+    each of these queries; it is checked in one query as without ``staged``.
     ``references`` holds the frames that ``accepted_values`` rules name (see
     ``membership``).
     """
@@ -192,6 +198,7 @@ def check(
     dtypes = dict(df.dtypes)
     work = df = join_references(df, rules, references)
     unique = [i for i, r in enumerate(rules) if r.rule_type == "unique"]
+    staged = staged and bool(unique) and not _CHANGING.search(df._jdf.queryExecution().analyzed().toString())
     if unique:
         may_tie = []
         for i in unique:

@@ -56,6 +56,8 @@ def resolve_run_id(run_id: str | None) -> str:
 
 def silver_frame(df: DataFrame, transforms, rules: Sequence[Rule], *, as_of=None, order_by=None, stamp: bool = True, staged: bool = False) -> DataFrame:
     """Silver plan: ordered transforms, processing timestamp, rule annotation; lazy but for ``staged``."""
+    if stamp and staged:  # one time for all queries of the run
+        stamp = F.lit(_dt.datetime.now(_dt.timezone.utc))
     return check(apply_transforms(df, transforms, stamp=stamp), rules, as_of=as_of, order_by=order_by, staged=staged)
 
 
