@@ -6,7 +6,9 @@ one vector comparison.  A running maximum over a file's blocks (one small row
 each) gives where the document open at a block's start began, and a running sum
 gives its number, so documents that cross blocks get their full counts.
 
-Cases: an empty document counts 0; ids after the last end id are one more
+Cases: a text that holds the end mark itself is encoded as ordinary text, so it
+stays one document; a text of more than 1 GB of ids cannot be read back; an empty
+document counts 0; ids after the last end id are one more
 document, marked not ended; an empty file has no documents; for files written
 from a table, null text is an empty document, and repeated rows and order stay
 as in the table's partitions; other columns are not read.
@@ -28,21 +30,27 @@ from .tokens import VOCABULARY, encoder
 
 #: Bytes of an id, and the id that ends a document.
 WIDTH, END = 2, 50256
-BLOCK_TOKENS, FILE_DOCUMENTS = 1 << 20, 20_000
+BLOCK_TOKENS, FILE_DOCUMENTS, FILE_BYTES = 1 << 20, 20_000, 1 << 30
 
 
 def write_token_files(docs: DataFrame, path: str, end: int = END, width: int = WIDTH, vocabulary: str = VOCABULARY) -> None:
-    """Flat files of little-endian ids: Spark's text writer with the end id's bytes as line separator."""
+    """Flat files of little-endian ids: Spark's text writer with the end id's bytes as line separator.
+
+    A text has no more ids than bytes, so the longest text says how many documents
+    stay below FILE_BYTES in a file.
+    """
+    longest = docs.agg(F.max(F.octet_length("text"))).first()[0] or 0
+    per_file = max(1, min(FILE_DOCUMENTS, FILE_BYTES // (width * (longest + 1))))
 
     def tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(vocabulary).encode
+        encode = encoder(vocabulary).ordinary
         for b in batches:
             ids = [np.frombuffer(encode(t or ""), "<u4").astype(f"<u{width}").tobytes() for t in b.column("text").to_pylist()]
             yield pa.record_batch([pa.array(ids, pa.binary())], names=["ids"])
 
     ids = docs.select("text").mapInArrow(tokenise, "ids binary")
     separator = end.to_bytes(width, "little").decode("latin-1")
-    options = {"lineSep": separator, "encoding": "ISO-8859-1", "maxRecordsPerFile": FILE_DOCUMENTS}
+    options = {"lineSep": separator, "encoding": "ISO-8859-1", "maxRecordsPerFile": per_file}
     ids.select(F.col("ids").cast("string").alias("value")).write.options(**options).text(path)
 
 

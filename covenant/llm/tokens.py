@@ -30,6 +30,8 @@ class Encoder(dict):
 
         super().__init__()
         self.whole = Tokenizer.from_file(json_path)
+        self.literal = Tokenizer.from_file(json_path)
+        self.literal.encode_special_tokens = True
         with open(ranks_path, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.quick = tiktoken.Encoding(ranks_path, pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
@@ -58,6 +60,10 @@ class Encoder(dict):
         except TypeError:  # a None among them
             return self.slow(text)
 
+    def ordinary(self, text: str) -> bytes:
+        """Ids of a text in which a special token's mark is text like any other."""
+        return np.array(self.literal.encode(text, add_special_tokens=False).ids, "<u4").tobytes() if "<|" in text else self.encode(text)
+
 
 def encoder(vocabulary: str = VOCABULARY) -> Encoder:
     """The encoder of this worker process, made at first use from the machine's installed files."""

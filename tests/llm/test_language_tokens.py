@@ -94,12 +94,19 @@ def test_token_counts_across_blocks(spark, tmp_path, block):
         for k, r in enumerate(sorted((r for r in got if r.path == path), key=lambda r: r.doc)):
             assert (r.doc, r.start, r.ended) == (k, at, True)
             at += r.tokens + 1
-    want = []
-    for _, t in docs:
-        n = 0
-        for x in [*whole(t or ""), 50256]:
-            n, want = (0, [*want, n]) if x == 50256 else (n + 1, want)
-    assert sorted(r.tokens for r in got) == sorted(want)
+    literal = encoder().literal
+    want = [literal.encode(t or "", add_special_tokens=False).ids for _, t in docs]  # a mark in a text ends nothing
+    assert not any(50256 in ids for ids in want) and any("<|endoftext|>" in (t or "") for _, t in docs)
+    assert sorted(r.tokens for r in got) == sorted(map(len, want)) and len(got) == len(docs)
+
+
+def test_token_files_are_bounded_by_bytes(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(C, "FILE_BYTES", 4000)
+    docs = spark.createDataFrame([(i, "word " * (i % 5 * 20)) for i in range(60)], "doc_id long, text string").coalesce(1)
+    C.write_token_files(docs, f"{tmp_path}/t")
+    sizes = [f.stat().st_size for f in (tmp_path / "t").glob("part-*")]
+    assert len(sizes) > 5 and max(sizes) <= 4000
+    assert C.scan(spark, f"{tmp_path}/t").count() == 60
 
 
 def test_token_file_without_last_end_and_empty_file(spark, tmp_path):
