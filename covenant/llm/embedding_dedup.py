@@ -10,7 +10,8 @@ returns link counts and enough links to keep its parts connected, not all pairs.
 
 Cases: a null label, a null or empty vector, one of zeros, and one with null or
 non-finite components link with nothing and are their own component; vectors of
-different lengths do not link; rows that repeat a vec_id are one vector for the
+different lengths do not link; each row has the links of its own vector, also
+where rows share a vec_id, and rows that share a vec_id are one for the
 components; an empty table gives an empty result; other columns are not read.
 """
 
@@ -21,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import local_labels, stage
+from .common import broadcast_checked, local_labels, stage
 from .components import connected
 from .exact_search import valid
 
@@ -92,8 +93,17 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, tile: int = TIL
     rows = vectors.select("vec_id", "label", F.col("embedding").cast("array<double>").alias("v"))
     ok = F.col("vec_id").isNotNull() & F.col("label").isNotNull() & valid(F.col("v")) & F.exists("v", lambda x: x != 0)
     rows = rows.withColumn("ok", F.coalesce(ok, F.lit(False)))
-    classes = rows.where("ok").groupBy("label", "v").agg(F.min("vec_id").alias("node"), F.count("*").alias("copies"))
+    classes = rows.where("ok").groupBy("label", "v").agg(F.min("vec_id").alias("least"), F.count("*").alias("copies"))
     classes = stage(classes.withColumn("dim", F.size("v")), "vector-classes")
+    # a class goes by its smallest vec_id, or by a name beyond all ids where another class has the same
+    shared = stage(classes.groupBy("least").agg(F.count("*").alias("n")).where("n > 1").select("least", F.lit(True).alias("_shared")), "shared")
+    classes = classes.join(broadcast_checked(shared, shared.count()), "least", "left")
+    beyond = F.xxhash64("label", "v").bitwiseAND(F.lit((1 << 61) - 1)) + F.lit(1 << 62)
+    classes = classes.withColumn("node", F.when(F.col("_shared"), beyond).otherwise(F.col("least").cast("long"))).drop("_shared")
+    vector = F.xxhash64("label", "v")
+    several = rows.where("ok").groupBy("vec_id").agg(F.min(vector).alias("a"), F.max(vector).alias("b")).where("a <> b").select("vec_id")
+    several = stage(several, "several")
+    same_id = rows.where("ok").join(broadcast_checked(several, several.count()), "vec_id", "left_semi").join(classes, ["label", "v"])
     blocks = classes.groupBy("label", "dim").agg(F.ceil(F.count("*") / tile).cast("int").alias("m"))
     cells = classes.join(blocks, ["label", "dim"]).withColumn("block", F.pmod(F.xxhash64("v"), F.col("m")).cast("int"))
     cells = cells.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("m") - 1)))
@@ -101,10 +111,10 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, tile: int = TIL
     linked = cells.groupBy("label", "dim", "i", "j").applyInPandas(lambda p: link_cell(p, threshold), "node long, links long, low long")
     linked = stage(linked, "vector-links")
     counts = linked.groupBy("node").agg(F.sum("links").alias("links"))
-    labels = connected(linked, "node", "low")
+    labels = connected(linked.select("node", "low").union(same_id.select("node", F.col("vec_id").cast("long"))), "node", "low")
     per = classes.join(counts, "node", "left").join(labels.withColumnRenamed("label", "component_id"), "node", "left")
     per = per.select(
-        "label", "v", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component_id", "node").alias("component_id")
+        "label", "v", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component_id", "least").alias("component_id")
     )
     found = rows.where("ok").join(per, ["label", "v"]).select("vec_id", "n_links", "component_id")
     alone = rows.where("NOT ok").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
@@ -117,16 +127,18 @@ def op9(spark, sf_dir: str) -> DataFrame:
 
 
 SQL = """
-WITH RECURSIVE v AS (
-  SELECT vec_id, label, embedding::DOUBLE[] AS x FROM embeddings
+WITH RECURSIVE all_ AS (SELECT row_number() OVER () AS r, vec_id, label, embedding FROM embeddings),
+v AS (
+  SELECT r, vec_id, label, embedding::DOUBLE[] AS x FROM all_
   WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
     AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
 e AS (
-  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+  SELECT a.r, a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.r <> b.r
   WHERE list_dot_product(a.x, b.x) / (sqrt(list_dot_product(a.x, a.x)) * sqrt(list_dot_product(b.x, b.x))) >= 0.93),
-reach AS (SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT reach.a, e.b FROM reach JOIN e ON reach.b = e.a),
+reach AS (SELECT vec_id AS a, vec_id AS b FROM v UNION SELECT reach.a, e.b FROM reach JOIN e ON reach.b = e.a),
 c AS (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a),
-n AS (SELECT a AS vec_id, count(*) AS n FROM e GROUP BY a)
-SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
-FROM c LEFT JOIN n USING (vec_id)
+n AS (SELECT r, count(*) AS n FROM e GROUP BY r),
+o AS (SELECT all_.vec_id, coalesce(n, 0)::BIGINT AS n_links, CASE WHEN v.r IS NULL THEN all_.vec_id ELSE component_id END AS component_id
+      FROM all_ LEFT JOIN v USING (r) LEFT JOIN n USING (r) LEFT JOIN c ON c.vec_id = v.vec_id)
+SELECT vec_id, n_links, component_id, vec_id = component_id AS kept FROM o
 """

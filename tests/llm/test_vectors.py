@@ -2,7 +2,7 @@ import math
 
 import numpy as np
 import pytest
-from helpers import components
+from helpers import components, rows, sql
 
 from covenant.llm import embedding_dedup as D
 from covenant.llm import exact_search as X
@@ -111,3 +111,20 @@ def test_int8_bound_is_rigorous():
         a, b = (x / np.sqrt((x * x).sum(1, keepdims=True)) for x in (a, b))
         i, j = np.nonzero(a @ b.T >= 0.5)
         assert set(zip(i, j)) <= set(zip(*D.may_link(a, b, 0.5)))
+
+
+def test_rows_of_one_vec_id_have_their_own_links(spark):
+
+    near = [1.0, 0.05]
+    vectors = [(1, [1.0, 0.0], "a"), (2, near, "a"), (3, [1.0, 0.01], "a"), (3, [0.0, 1.0], "a"), (5, [0.0, -1.0], "a"), (3, [0.0, -1.0], "b"), (6, [1.0, 0.0], "a"), (9, None, "a"), (3, [1.0, 0.0], None)]
+    df = spark.createDataFrame(vectors, "vec_id long, embedding array<double>, label string")
+    got = sorted(tuple(r) for r in D.near_duplicates(df).collect())
+    linked = [(1, 3, 1, True), (2, 3, 1, False), (3, 3, 1, False), (6, 3, 1, False)]
+    # of id 3's other rows, two stand alone but belong to its component, and one takes no part
+    assert got == sorted([*linked, (3, 0, 1, False), (3, 0, 1, False), (3, 0, 3, True), (5, 0, 5, True), (9, 0, 9, True)])
+    import pandas as pd
+
+    frame = pd.DataFrame(vectors, columns=["vec_id", "embedding", "label"])
+    assert rows(D.near_duplicates(df)) == sql(D.SQL, embeddings=frame)
+    twins = spark.createDataFrame([(7, [1.0, 0.0], "a"), (7, [0.0, 1.0], "a"), (8, [0.0, 1.0], "a")], "vec_id long, embedding array<double>, label string")
+    assert sorted(tuple(r) for r in D.near_duplicates(twins).collect()) == [(7, 0, 7, True), (7, 1, 7, True), (8, 1, 7, False)]
