@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordIds, broadcast_checked, grouped, mix, stage, text_key, texts_of
+from .common import WordIds, broadcast_checked, grouped, mix, stage, text_key, texts_of, tidied
 from .components import connected
 
 SHINGLE, PERCENT = 3, 90
@@ -125,7 +125,7 @@ def slot_counts(text: DataFrame, shingle: int) -> np.ndarray:
             yield row(k, n)
 
     total = np.zeros((SLOT_PIECES, size), np.uint32)
-    for r in text.select("text").mapInArrow(count, schema).repartition("k").mapInArrow(add, schema).collect():  # SLOT_PIECES rows
+    for r in text.select("text").mapInArrow(tidied(count), schema).repartition("k").mapInArrow(tidied(add), schema).collect():  # SLOT_PIECES rows
         total[r.k] = read(r.n)
     return total.ravel()
 
@@ -198,9 +198,9 @@ def may_link(text: DataFrame, known: DataFrame, shingle: int, percent: int) -> D
     copies = stage(own.where("copy").select("doc_id"), "copies")
     sets = text.join(broadcast_checked(copies, copies.count()), "doc_id", "left_anti").select("doc_id", "text")
     buckets = max(1, int((known.agg(F.sum("n")).first()[0] or 0) / BUCKET_SIGS))
-    named = sets.mapInArrow(lambda b: _named(b, shingle, buckets), "bucket int, chunk long, names binary, at binary, docs binary, sizes binary")
-    twice = named.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_repeated, "chunk long, at binary, docs binary, sizes binary")
-    return twice.repartition("chunk").sortWithinPartitions("chunk").mapInArrow(lambda b: _able(b, percent), "doc_id long").distinct()
+    named = sets.mapInArrow(tidied(_named, shingle, buckets), "bucket int, chunk long, names binary, at binary, docs binary, sizes binary")
+    twice = named.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(tidied(_repeated), "chunk long, at binary, docs binary, sizes binary")
+    return twice.repartition("chunk").sortWithinPartitions("chunk").mapInArrow(tidied(_able, percent), "doc_id long").distinct()
 
 
 def _sets(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[pa.RecordBatch]:
@@ -383,7 +383,7 @@ def join_groups(
 ) -> DataFrame:
     """(doc_id, n_shingles, component_id), one row for each row of (doc_id, text); ``near`` is "parts" or "rare"."""
     text = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary"))
-    sets = stage(text.mapInArrow(lambda b: _sets(b, shingle), "doc_id long, n long, fp binary"), "sets")
+    sets = stage(text.mapInArrow(tidied(_sets, shingle), "doc_id long, n long, fp binary"), "sets")
     known = sets.where("doc_id IS NOT NULL AND n > 0")
     if near == "rare":
         able = stage(may_link(text, known, shingle, percent), "able")
@@ -392,20 +392,20 @@ def join_groups(
 
     share = (100 - percent) / 100 if near == "rare" else 4 * (100 - percent) / (100 + percent)  # signatures per element, about
     buckets = max(1, int((known.agg(F.sum("n")).first()[0] or 0) * share / BUCKET_SIGS))
-    parts = text.mapInArrow(lambda b: _parts(_signed(b, shingle, percent, counts.value), buckets), "bucket int, sigs binary, docs binary, a binary, b binary")
-    near = parts.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_agree, "doc_id long, low long")
+    parts = text.mapInArrow(tidied(lambda b: _parts(_signed(b, shingle, percent, counts.value), buckets)), "bucket int, sigs binary, docs binary, a binary, b binary")
+    near = parts.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(tidied(_agree), "doc_id long, low long")
     block = stage(connected(near, "doc_id", "low").select(F.col("node").alias("doc_id"), F.col("label").alias("block")), "blocks")
 
     per = known.select("doc_id", "n").join(block, "doc_id").groupBy("block").agg(F.count("*").alias("sets"), F.sum("n").alias("items"))
     per = per.select("block", F.greatest(F.ceil(F.col("sets") / block_sets), F.ceil(F.col("items") / block_items)).cast("int").alias("m"))
     # merge: the same plan at every size, whatever share of the documents has neighbours
     items = text.join(block.join(per, "block").hint("merge"), "doc_id").select("block", "doc_id", "m", "text")
-    cells = items.mapInArrow(lambda b: _items(b, shingle), "block long, doc_id long, m int, items binary")
+    cells = items.mapInArrow(tidied(_items, shingle), "block long, doc_id long, m int, items binary")
     cells = cells.withColumn("own", F.pmod(F.xxhash64("doc_id"), F.col("m")).cast("int"))
     cells = cells.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("m") - 1))).where("m = 1 OR own <> other")
     cells = cells.select("block", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "doc_id", "items")
     cells = cells.repartition("block", "i", "j").sortWithinPartitions("block", "i", "j")
-    links = cells.mapInArrow(lambda b: _cells(b, percent), "a long, b long")
+    links = cells.mapInArrow(tidied(_cells, percent), "a long, b long")
 
     same = known.groupBy("fp").agg(F.min("doc_id").alias("b"))
     copies = known.join(same, "fp").where("doc_id > b").select(F.col("doc_id").alias("a"), "b")

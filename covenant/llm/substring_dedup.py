@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordIds, mix, stage, text_key, texts_of, whole_groups
+from .common import WordIds, mix, stage, text_key, texts_of, tidied, whole_groups
 
 WINDOW, ROUNDS, LONGEST = 35, 4, 8
 #: Names with more occurrences are compared window by window in shuffles that split and pre-aggregate.
@@ -269,17 +269,17 @@ def repeats(docs: DataFrame, window: int = WINDOW, hot: int = HOT) -> DataFrame:
     ``key`` names a text; ``ranges`` are the starts lo..hi-1 of its repeated windows.
     """
     rows = docs.select(text_key(F.col("text")).alias("key"), F.col("text")).withColumn("k8", F.xxhash64("key"))
-    names = stage(rows.select("k8", F.col("text").cast("binary")).mapInArrow(lambda b: _names_of(b, window), "name long, k8 long"), "names")
+    names = stage(rows.select("k8", F.col("text").cast("binary")).mapInArrow(tidied(_names_of, window), "name long, k8 long"), "names")
     counts = names.groupBy("name").agg(F.count("*").alias("n")).where("n > 1").select("name", (F.col("n") > hot).alias("hot"))
     shared = names.join(counts, "name").distinct().groupBy("k8").agg(F.collect_list("name").alias("names"), F.collect_list("hot").alias("hot"))
     texts = rows.groupBy("key").agg(F.first("text").alias("text"), F.count("*").alias("copies"))
     texts = texts.join(shared.join(rows.select("k8", "key").distinct(), "k8").drop("k8"), "key")
     found = texts.select("key", F.col("text").cast("binary"), "names", "hot").mapInArrow(
-        lambda b: _candidates(b, window), "name long, hot boolean, key binary, lo int, hashes array<long>"
+        tidied(_candidates, window), "name long, hot boolean, key binary, lo int, hashes array<long>"
     )
     found = stage(found, "windows")
     cold = found.where("NOT hot").select("name", "key", "lo", "hashes").repartition("name").sortWithinPartitions("name")
-    marks = cold.mapInArrow(_repeated, "key binary, lo int, hi int")
+    marks = cold.mapInArrow(tidied(_repeated), "key binary, lo int, hi int")
     each = found.where("hot").select("name", "key", "lo", F.posexplode("hashes").alias("k", "hash"))
     twice = each.groupBy("name", "hash").agg(F.count("*").alias("n")).where("n > 1").drop("n")
     at = F.col("lo") + F.col("k")
@@ -315,7 +315,7 @@ def dedup(docs: DataFrame, window: int = WINDOW, hot: int = HOT) -> DataFrame:
     rows = docs.select(own, text_key(F.col("text")).alias("key")).join(repeats(docs, window, hot), "key", "left").select("doc", "copies", "ranges")
     kind = rows.schema["doc"].dataType.simpleString()
     schema = lambda b: pa.schema([("doc", b.column("doc").type), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept", pa.binary())])
-    out = rows.mapInArrow(lambda b: _keep(b, window, schema), f"doc {kind}, n_words long, n_removed long, kept binary")
+    out = rows.mapInArrow(tidied(_keep, window, schema), f"doc {kind}, n_words long, n_removed long, kept binary")
     return out.withColumn("kept", F.col("kept").cast("string"))
 
 
