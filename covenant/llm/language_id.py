@@ -32,7 +32,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-PLACES, CLUSTERS, SAMPLE, LANGUAGES, REJECT, FULL = 4096, 4, 500, 256, 0.5, 150
+from .common import broadcast_checked, tidied
+
+PLACES, CLUSTERS, SAMPLE, FULL = 4096, 4, 500, 150
+#: A text is rejected below REJECT times this quantile of the cosines of its language's sample.
+QUANTILE, REJECT = 0.01, 0.45
 #: Characters and texts worked on at once; longer texts are counted piece by piece.
 CHUNK_CHARS, CHUNK_TEXTS = 400_000, 256
 
@@ -142,10 +146,10 @@ def training_rows(docs: DataFrame) -> DataFrame:
 def sampled(training: DataFrame, by_lang: DataFrame, sample: int) -> DataFrame:
     """About ``sample`` training rows of each language (lang, n); a share of u below sample / n, without a product that grows with n."""
     u = F.pmod(F.xxhash64("doc_id", "text", F.lit(1)), F.lit(1 << 40))
-    return training.join(F.broadcast(by_lang), "lang").where(u <= F.expr(f"{(sample << 40) - 1}L div n"))  # by_lang: at most LANGUAGES rows
+    return training.join(broadcast_checked(by_lang, by_lang.count()), "lang").where(u <= F.expr(f"{(sample << 40) - 1}L div n"))
 
 
-def fit(training: DataFrame, sample: int = SAMPLE, clusters: int = CLUSTERS, languages: int = LANGUAGES) -> Model:
+def fit(training: DataFrame, sample: int = SAMPLE, clusters: int = CLUSTERS) -> Model:
     """Learn from rows (doc_id, text, lang)."""
 
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -156,13 +160,13 @@ def fit(training: DataFrame, sample: int = SAMPLE, clusters: int = CLUSTERS, lan
                 rows += len(x)
         yield pa.record_batch([pa.array(np.arange(PLACES + 1)), pa.array(np.append(total, rows))], names=["place", "n"])
 
-    counts = training.select("text").mapInArrow(frequencies, "place long, n long").groupBy("place").agg(F.sum("n").alias("n"))
+    counts = training.select("text").mapInArrow(tidied(frequencies), "place long, n long").groupBy("place").agg(F.sum("n").alias("n"))
     df = np.zeros(PLACES + 1)
     for r in counts.collect():  # PLACES + 1 rows
         df[r.place] = r.n
     idf = (np.log((df[-1] + 1) / (df[:-1] + 1)) + 1).astype(np.float32)
 
-    by_lang = training.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(languages)
+    by_lang = training.groupBy("lang").agg(F.count("*").alias("n"))
     picked = sampled(training, by_lang, sample)
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -177,13 +181,13 @@ def fit(training: DataFrame, sample: int = SAMPLE, clusters: int = CLUSTERS, lan
         x = np.frombuffer(b"".join(pdf.v), np.float32).reshape(len(pdf), PLACES)
         c = centroids(x, clusters)
         near = (x @ c.T).max(1)[(x > 0).sum(1) >= FULL]
-        low = REJECT * float(near.min(initial=1)) if len(near) else 0.0
+        low = REJECT * float(np.quantile(near, QUANTILE)) if len(near) else 0.0
         return pd.DataFrame({"lang": pdf.lang.iat[0], "k": range(len(c)), "c": [r.astype(np.float32).tobytes() for r in c], "low": low})
 
     kind = picked.schema["doc_id"].dataType.simpleString()
-    rows = picked.select("lang", "doc_id", "text").mapInArrow(vectors, f"lang string, doc_id {kind}, v binary").where("v IS NOT NULL")
+    rows = picked.select("lang", "doc_id", "text").mapInArrow(tidied(vectors), f"lang string, doc_id {kind}, v binary").where("v IS NOT NULL")
     found = rows.groupBy("lang").applyInPandas(learn, "lang string, k int, c binary, low double")
-    centres = sorted(found.collect(), key=lambda r: (r.lang, r.k))  # languages * clusters rows
+    centres = sorted(found.collect(), key=lambda r: (r.lang, r.k))  # languages * clusters rows of 16 KB
     return Model(
         idf, np.array([np.frombuffer(r.c, np.float32) for r in centres]).reshape(len(centres), PLACES), [r.lang for r in centres], np.array([r.low for r in centres])
     )
@@ -191,7 +195,7 @@ def fit(training: DataFrame, sample: int = SAMPLE, clusters: int = CLUSTERS, lan
 
 def classify(docs: DataFrame, model: Model) -> DataFrame:
     """(doc, lang_pred, score, rejected): ``doc`` holds all columns of the row."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by LANGUAGES * CLUSTERS * PLACES
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # CLUSTERS * PLACES numbers a language
     own = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc"))
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -200,7 +204,7 @@ def classify(docs: DataFrame, model: Model) -> DataFrame:
             yield pa.record_batch([b.column("doc"), pa.array(lang, pa.string()), pa.array(score), pa.array(reject)], names=["doc", "lang_pred", "score", "rejected"])
 
     kind = own.schema["doc"].dataType.simpleString()
-    return own.mapInArrow(predict, f"doc {kind}, lang_pred string, score double, rejected boolean")
+    return own.mapInArrow(tidied(predict), f"doc {kind}, lang_pred string, score double, rejected boolean")
 
 
 def op1(spark, sf_dir: str) -> DataFrame:

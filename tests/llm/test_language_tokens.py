@@ -128,6 +128,36 @@ def test_language_on_held_out_documents(spark):
     assert m.score.between(0, 1).all() and not m.rejected.any()
 
 
+FOREIGN = [
+    "De snelle bruine vos springt over de luie hond en loopt daarna door het bos naar huis waar de kinderen wachten op het avondeten.",
+    "Szybki brązowy lis przeskakuje nad leniwym psem i biegnie dalej przez las do domu gdzie czekają dzieci na kolację.",
+    "Nopea ruskea kettu hyppää laiskan koiran yli ja juoksee sitten metsän läpi kotiin missä lapset odottavat illallista.",
+    "Съешь же ещё этих мягких французских булок да выпей чаю.",
+    "La veloce volpe marrone salta sopra il cane pigro e poi corre attraverso il bosco verso casa dove i bambini aspettano la cena.",
+    "Rychlá hnědá liška skáče přes líného psa a potom běží lesem domů kde děti čekají na večeři.",
+    "asdf qwer zxcv hjkl poiu mnbv lkjh",
+    "xk jq zv wq kx vj",
+]
+
+
+def test_foreign_languages_and_junk_are_rejected_and_known_texts_are_not(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = G.fit(G.training_rows(docs))
+    r = np.random.default_rng(2)
+    noise = [" ".join("".join(r.choice(list("abcdefghijklmnopqrstuvwxyz"), int(r.integers(2, 10)))) for _ in range(120)) for _ in range(12)]
+    _, _, foreign = model.predict([f"{t} " * 4 for t in FOREIGN] + noise)
+    assert foreign.mean() >= 0.95  # measured: all 20
+    held = docs.where(G.held_out()).select("text").toPandas().text.tolist()
+    _, _, known = model.predict(held)
+    assert len(held) > 200 and known.mean() <= 0.005  # measured: none of 249
+
+
+def test_no_language_is_left_out(spark):
+    rows = [(4 * i + k, " ".join([f"{chr(0x4E00 + i)}{chr(0x5E00 + i)}"] * 30), f"l{i:03d}") for i in range(300) for k in range(4)]
+    model = G.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), clusters=1)
+    assert len(set(model.langs)) == 300
+
+
 def test_language_cases(spark):
     r = np.random.default_rng(0)
     prose = lambda letters: " ".join("".join(r.choice(list(letters), 5)) for _ in range(150))
