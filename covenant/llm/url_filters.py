@@ -140,19 +140,22 @@ p AS (
 b AS (
   SELECT host, CASE WHEN quality = 0 OR toxic = 1 THEN 1 ELSE 0 END AS bad
   FROM p JOIN labels ON page_id = doc_id WHERE quality IS NOT NULL OR toxic IS NOT NULL),
-h0 AS (SELECT host, count(*)::DOUBLE AS n, sum(bad)::DOUBLE AS bad, string_split(regexp_replace(regexp_replace(host, '^.*@', ''), ':[0-9]*$', ''), '.') AS parts FROM b GROUP BY host),
+c AS (SELECT host, count(*)::DOUBLE AS n, sum(bad)::DOUBLE AS bad FROM b GROUP BY host),
+h0 AS (SELECT host, coalesce(n, 0) AS n, coalesce(bad, 0) AS bad, string_split(regexp_replace(regexp_replace(host, '^.*@', ''), ':[0-9]*$', ''), '.') AS parts
+       FROM (SELECT DISTINCT host FROM p) LEFT JOIN c USING (host)),
 h1 AS (SELECT *, array_to_string(parts[-2:], '.') AS two FROM h0),
 h AS (
   SELECT host, n, bad, CASE WHEN two IN ({_TWO}) THEN array_to_string(parts[-3:], '.') ELSE two END AS domain,
          CASE WHEN two IN ({_TWO}) THEN two ELSE parts[-1] END AS suffix FROM h1),
-d AS (SELECT domain, suffix, sum(n) AS n, sum(bad) AS bad FROM h GROUP BY ALL),
+d AS (SELECT domain, suffix, sum(n) AS n, sum(bad) AS bad FROM h WHERE n > 0 GROUP BY ALL),
 s AS (SELECT suffix, sum(n) AS n, sum(bad) AS bad FROM d GROUP BY ALL),
 g AS (SELECT (coalesce(sum(bad), 0) + 1) / (coalesce(sum(n), 0) + 2) AS m FROM s),
 s1 AS (SELECT s.*, m FROM s, g), sk AS (SELECT {_K} AS k FROM s1),
 s2 AS (SELECT suffix, (bad + k * m) / (n + k) AS m FROM s1, sk),
 d1 AS (SELECT d.*, m FROM d JOIN s2 USING (suffix)), dk AS (SELECT {_K} AS k FROM d1),
 d2 AS (SELECT domain, (bad + k * m) / (n + k) AS m FROM d1, dk),
-h2 AS (SELECT h.*, m FROM h JOIN d2 USING (domain)), hk AS (SELECT {_K} AS k FROM h2),
+h2 AS (SELECT h.*, coalesce(d2.m, s2.m, g.m) AS m FROM h LEFT JOIN d2 USING (domain) LEFT JOIN s2 USING (suffix), g WHERE EXISTS (FROM s)),
+hk AS (SELECT {_K} AS k FROM h2 WHERE n > 0),
 h3 AS (SELECT host, (bad + k * m) / (n + k) AS mean, n + k AS weight FROM h2, hk),
 r AS (SELECT host, mean - {Z} * sqrt(mean * (1 - mean) / (weight + 1)) AS lower FROM h3)
 SELECT page_id, host, path, {_RULE.format(*(t for t, _ in RULES))} AS rule,

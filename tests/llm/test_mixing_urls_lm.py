@@ -88,10 +88,28 @@ def test_urls_equal_sql_and_rules(spark):
     assert by[101].verdict == "block" and by[100].verdict == "allow"
 
 
+def test_reputation_blocks_and_allows_hosts_without_labels_as_in_sql(spark):
+    r = random.Random(6)
+    hosts = [f"h{i % 40}.{d}" for i in range(900) for d in [r.choice(["spam.com", "good.com", "mixed.org", "bad.co.uk", "fine.co.uk", "alone.de"])]]
+    rate = {"spam.com": 0.95, "good.com": 0.02, "mixed.org": 0.45, "bad.co.uk": 0.9, "fine.co.uk": 0.03, "alone.de": 0.5}
+    pages = [(i, f"https://{h}/p{i}") for i, h in enumerate(hosts)]
+    labels = [(i, int(r.random() > rate[h.split(".", 1)[1]]), 0) for i, h in enumerate(hosts) if r.random() < 0.6]
+    new = ["new.spam.com", "new.good.com", "x.bad.co.uk", "x.fine.co.uk", "other.co.uk", "else.com", "z.museum"]
+    pages += [(2000 + i, f"http://{h}/") for i, h in enumerate(new)]
+    got = U.judge(spark.createDataFrame(pages, "page_id long, url string"), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    frames = dict(pages=pd.DataFrame(pages, columns=["page_id", "url"]), labels=pd.DataFrame(labels, columns=["doc_id", "quality", "toxic"]))
+    assert rows(got) == sql(U.SQL, **frames)
+    by = {x.page_id: x.verdict for x in got.collect()}
+    assert [by[2000 + i] for i in range(4)] == ["block", "allow", "block", "allow"]
+    assert {"block", "allow"} == {by[i] for i in range(900)}
+
+
 def test_urls_without_labels_or_pages(spark):
     pages = spark.createDataFrame([(1, "http://a.b/c")], "page_id long, url string")
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert [r.verdict for r in U.judge(pages, labels).collect()] == ["allow"]
+    none = dict(pages=pd.DataFrame([(1, "http://a.b/c")], columns=["page_id", "url"]), labels=pd.DataFrame([(1, None, None)], columns=["doc_id", "quality", "toxic"]).astype("Int64"))
+    assert rows(U.judge(pages, labels)) == sql(U.SQL, **none)
     assert U.judge(pages.limit(0), labels).collect() == []
 
 
