@@ -514,7 +514,7 @@ SELECT 'text_labelled' AS rule_name, total_count, fail_count, round(fail_count /
             for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
         ]
         + [f"SELECT '{c}_known', '', total_count, (SELECT count(*) FROM lineitem WHERE {c} NOT IN (SELECT {c} FROM r)) FROM n" for c in ("l_returnflag", "l_linestatus")]
-        + [f"SELECT '{c}_range', 'bound ' || (SELECT {f}({c}) FROM r) || ' is not a number', NULL, NULL FROM n" for c in ("l_returnflag", "l_linestatus") for f in ("min", "max")]
+        + [f"SELECT '{c}_range', 'bound ' || (SELECT {f}({c}) FROM r) || ' is not readable as a number', NULL, NULL FROM n" for c in ("l_returnflag", "l_linestatus") for f in ("min", "max")]
         + ["SELECT 'l_colour_known', 'rule ''l_colour_known'' is about unknown column ''l_colour''', NULL, NULL FROM n"]
     ),
     "src_rescued_rows": """WITH c AS (SELECT *, CASE c_custkey % 11 WHEN 3 THEN 'short' WHEN 5 THEN 'long' WHEN 7 THEN 'broken' ELSE 'sound' END AS kind FROM customer)

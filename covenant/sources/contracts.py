@@ -266,7 +266,7 @@ def lint(contracts: DataFrame, columns: DataFrame | None = None) -> DataFrame:
             _said((F.col("rule_type") == kind) & F.coalesce(*[F.col(f"params.{p}").cast("string") for p in ps]).isNull(), f"a rule of kind {kind} lacks its parameter '{ps[0]}'")
             for kind, ps in NEEDED_PARAMS.items()
         ],
-        *[_said((F.col("rule_type") == "range") & b.isNotNull() & number(b).isNull(), "bound ", b, " is not a number") for b in (low, high)],
+        *[_said((F.col("rule_type") == "range") & b.isNotNull() & number(b).isNull(), "bound ", b, " is not readable as a number") for b in (low, high)],
         _said((F.col("rule_type") == "range") & low.isNull() & high.isNull(), "a rule of kind range has no bound"),
         _said(number(low) > number(high), "lower bound ", low.try_cast("double"), " is above upper bound ", high.try_cast("double")),
     )
