@@ -14,14 +14,18 @@
 4. The texts of a held-out half calibrate the scores (isotonic fit) and set a
    threshold per kind: the lowest score whose calibrated probability, and the
    lower confidence bound of the precision from it on, are PRECISION or more.
+   Scores are counted in LEVELS equal steps, and a threshold is the start of one.
    Without enough evidence there is none, and the method adds nothing.
 
 Strict (base) spans always stay; proposed spans over the threshold that touch no
 base span are added, longest first, none touching another.
 
-The model is fitted on a bounded sample: about SAMPLE_DOCS documents by hash, of
-whose examples about SAMPLE_SPANS a kind are kept by hash.  Everything else runs
-over every whole text.  All scans are linear in the text, whatever it holds.
+Models and thresholds come from the examples of every whole text.  Bins of a
+feature are exact quantiles; a level of the trees of all kinds is one aggregation
+of the gradients by node, feature and bin, summed in whole steps of 1 / UNIT, so
+that neither partitions nor reruns change a model.  The driver gets these sums,
+whose number depends on the constants only.  All scans are linear in the text,
+whatever it holds.
 
 Defined results: null and empty texts have no spans.  Repeated rows are worked
 on each for itself.  An empty table gives an empty result.  Other columns,
@@ -35,9 +39,9 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import RDD
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import stage
@@ -45,12 +49,15 @@ from .common import stage
 #: The kinds, in the order in which equal starts are listed.
 KINDS = ("email", "ip", "card", "phone")
 
-#: Documents that propose examples, and examples a kind that a model is fitted on (both in expectation).
-SAMPLE_DOCS, SAMPLE_SPANS = 20_000, 20_000
+#: Examples that a task hands on at once, and that a task of the training holds on average.
+EXAMPLES, TASK_EXAMPLES = 10_000, 16_384
 
 #: Trees of a model, their depth, the step of each, bins a feature, least curvature of the loss in a leaf.
 TREES, DEPTH, RATE, BINS, LEAF = 40, 3, 0.2, 32, 0.25
 
+#: Sums are of whole steps of 1 / UNIT; scores are counted in LEVELS steps (powers of two).
+UNIT, LEVELS = 1 << 24, 1 << 16
+
 #: Held-out precision that a threshold has to reach by its lower bound, at this many standard deviations.
 PRECISION, SIGMAS = 0.95, 1.64
 
@@ -249,48 +256,84 @@ class Boosted:
         return 1 / (1 + np.exp(-out))
 
 
-def _tree(x: np.ndarray, cuts: list[np.ndarray], g: np.ndarray, h: np.ndarray):
-    """One tree of DEPTH levels on gradients and their curvature: the split of a node is the bin of greatest gain."""
-    inner, n_bins = 2**DEPTH - 1, max(len(c) for c in cuts) + 1
-    feature, cut = np.zeros(inner, int), np.full(inner, np.inf)
-    node = np.zeros(len(g), int)
-    for at in range(inner):
-        rows = np.flatnonzero(node == at)
-        best = 1e-6
-        total = g[rows].sum() ** 2 / (h[rows].sum() + 1)
-        for j, c in enumerate(cuts):
-            if not len(c) or not len(rows):
-                continue
-            b = x[rows, j]
-            gl, hl = (np.cumsum(np.bincount(b, w[rows], n_bins))[: len(c)] for w in (g, h))
-            gr, hr = g[rows].sum() - gl, h[rows].sum() - hl
-            gain = np.where((hl >= LEAF) & (hr >= LEAF), gl**2 / (hl + 1) + gr**2 / (hr + 1) - total, 0)
-            if gain.max() > best:
-                best, feature[at], cut[at] = gain.max(), j, c[gain.argmax()]
-                split = int(gain.argmax())
-        node[rows] = 2 * at + 1
-        if best > 1e-6:
-            node[rows] += x[rows, feature[at]] > split
-    leaf = node - inner
-    value = -RATE * np.bincount(leaf, g, inner + 1) / (np.bincount(leaf, h, inner + 1) + 1)
-    return feature, cut, value, leaf
+def _descend(binned: np.ndarray, feature: np.ndarray, split: np.ndarray, levels: int) -> np.ndarray:
+    """Place within its level of the node that each row reaches after so many levels."""
+    node, rows = np.zeros(len(binned), int), np.arange(len(binned))
+    for _ in range(levels):
+        node = 2 * node + 1 + (binned[rows, feature[node]] > split[node])
+    return node - (2**levels - 1)
+
+
+def _scores(binned: np.ndarray, start: float, trees: list) -> np.ndarray:
+    out = np.full(len(binned), start)
+    for feature, split, value in trees:
+        out += value[_descend(binned, feature, split, DEPTH)]
+    return 1 / (1 + np.exp(-out))
+
+
+def _whole(x: np.ndarray) -> np.ndarray:
+    """Values in whole steps of 1 / UNIT: sums of them are the same in any order."""
+    return np.rint(x * UNIT)
+
+
+def _sums(binned: np.ndarray, y: np.ndarray, w: np.ndarray, start: float, trees: list, level: int) -> np.ndarray:
+    """Gradients and their curvature by (node of a level of the last tree, feature, bin), in steps of 1 / UNIT."""
+    d, (feature, split, _) = binned.shape[1], trees[-1]
+    p = _scores(binned, start, trees[:-1])
+    node = _descend(binned, feature, split, level)
+    cell = ((node[:, None] * d + np.arange(d)) * BINS + binned).ravel()
+    return np.stack([np.bincount(cell, np.repeat(_whole(v), d), 2**level * d * BINS).astype(np.int64) for v in (w * (p - y), w * p * (1 - p))])
+
+
+def _split(sums: np.ndarray, tree: tuple, level: int) -> None:
+    """Give each node of a level the split of greatest gain, and below the last level the leaves their values."""
+    feature, split, value = tree
+    for at, (g, h) in enumerate(sums.reshape(2, 2**level, -1, BINS).transpose(1, 0, 2, 3)):
+        (gl, hl), (g, h) = (np.cumsum(v, axis=-1)[:, :-1] / UNIT for v in (g, h)), (v[0].sum() / UNIT for v in (g, h))
+        gain = gl**2 / (hl + 1) + (g - gl) ** 2 / (h - hl + 1) - g**2 / (h + 1)
+        gain = np.where((hl >= LEAF) & (h - hl >= LEAF), gain, 0)
+        j, b = np.unravel_index(gain.argmax(), gain.shape)
+        left = (g, h)
+        if gain[j, b] > 1e-6:
+            feature[2**level - 1 + at], split[2**level - 1 + at], left = j, b, (gl[j, b], hl[j, b])
+        if level == DEPTH - 1:
+            value[2 * at : 2 * at + 2] = [-RATE * a / (c + 1) for a, c in (left, (g - left[0], h - left[1]))]
+
+
+def grow(starts: dict[int, float], sums) -> dict[int, list]:
+    """Trees (features, bins, values) of each kind; ``sums(trees, level)`` gives the ``_sums`` of all training examples by kind."""
+    trees: dict[int, list] = {k: [] for k in starts}
+    for _ in range(TREES if starts else 0):
+        for own in trees.values():  # a node without a split sends all rows to the left
+            own.append((np.zeros(2**DEPTH - 1, int), np.full(2**DEPTH - 1, BINS), np.zeros(2**DEPTH)))
+        for level in range(DEPTH):
+            for k, found in sums(trees, level).items():
+                _split(found, trees[k][-1], level)
+    return trees
+
+
+def _model(start: float, trees: list, cuts: list[np.ndarray], threshold: float = float("inf")) -> Boosted:
+    """Trees over bins as trees over values."""
+    cut = [[float(cuts[j][b]) if b < BINS else float("inf") for j, b in zip(f, split)] for f, split, _ in trees]
+    return Boosted(start, [f.tolist() for f, _, _ in trees], cut, [v.tolist() for _, _, v in trees], threshold)
+
+
+def _bins(x: np.ndarray, cuts: list[np.ndarray]) -> np.ndarray:
+    return np.stack([np.searchsorted(c, col, "left") for c, col in zip(cuts, x.T)], axis=1).astype(np.uint8)
+
+
+def _start(right: float, n: float) -> float:
+    p = np.clip(right / n, 1e-3, 1 - 1e-3)
+    return float(np.log(p / (1 - p)))
 
 
 def boost(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> Boosted:
-    """Trees boosted on the logistic loss, over features cut into at most BINS quantiles."""
-    cuts = [(lambda q: q[:-1] if len(q) > 1 else q[:0])(np.unique(np.quantile(c, np.linspace(0, 1, BINS), method="nearest"))) for c in x.T]
-    binned = np.stack([np.searchsorted(c, col, "left") for c, col in zip(cuts, x.T)], axis=1)
-    p = np.clip((w * y).sum() / w.sum(), 1e-3, 1 - 1e-3)
-    model = Boosted(float(np.log(p / (1 - p))))
-    f = np.full(len(y), model.start)
-    for _ in range(TREES):
-        p = 1 / (1 + np.exp(-f))
-        feature, cut, value, leaf = _tree(binned, cuts, w * (p - y), w * p * (1 - p))
-        f += value[leaf]
-        model.feature.append(feature.tolist())
-        model.cut.append(cut.tolist())
-        model.value.append(value.tolist())
-    return model
+    """Trees boosted on the logistic loss, over features cut into at most BINS quantiles, of examples at hand."""
+    at = np.rint(np.arange(BINS) * (len(x) - 1) / (BINS - 1)).astype(int)
+    cuts = [(lambda q: q[:-1])(np.unique(np.sort(c)[at])) for c in x.T]
+    binned, start = _bins(x, cuts), _start(_whole(w * y).sum(), _whole(w).sum())
+    trees = grow({0: start}, lambda trees, level: {0: _sums(binned, y, w, start, trees[0], level)})
+    return _model(start, trees[0], cuts)
 
 
 def isotonic(score: np.ndarray, y: np.ndarray, w: np.ndarray) -> np.ndarray:
@@ -317,43 +360,95 @@ def calibrate(score: np.ndarray, y: np.ndarray, w: np.ndarray) -> float:
     return float(s[ok[-1]]) if len(ok) else float("inf")
 
 
-def _train(rows: pd.DataFrame) -> pd.DataFrame:
-    """Model of one kind, on one half of the texts, with its threshold from the other half (a text has one half)."""
-    x = np.array(rows.x.tolist(), float)
-    y, w, held = rows.y.to_numpy(), rows.w.to_numpy(), rows.held.to_numpy()
-    model = Boosted()
-    if y[~held].any() and held.any():
-        model = boost(x[~held], y[~held], w[~held])
-        model.threshold = calibrate(model.score(x[held]), y[held], w[held])
-    return pd.DataFrame([{"kind": int(rows.kind.iloc[0]), "n": len(rows), **vars(model)}])
-
-
 def _examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        texts = zip(b.column("text").to_pylist(), b.column("held").to_pylist(), b.column("u").to_pylist())
-        out = [(*r, held, u, i) for t, held, u in texts for i, r in enumerate(examples(t or ""))]
-        kind, y, w, x, held, u, i = zip(*out) if out else [()] * 7
-        yield pa.record_batch(
+    def table(out):
+        kind, y, w, x, held = zip(*out)
+        return pa.record_batch(
             {"kind": pa.array(kind, pa.int32()), "y": pa.array(y, pa.float64()), "w": pa.array(w, pa.float64()),
-             "x": pa.array([[float(v) for v in r] for r in x], pa.list_(pa.float64())), "held": pa.array(held, pa.bool_()),
-             "u": pa.array(u, pa.int64()), "i": pa.array(i, pa.int64())}
+             "x": pa.array([[float(v) for v in r] for r in x], pa.list_(pa.float64())), "held": pa.array(held, pa.bool_())}
         )
 
+    out: list[tuple] = []
+    for b in batches:
+        for t, held in zip(b.column("text").to_pylist(), b.column("held").to_pylist()):
+            for r in examples(t or ""):
+                out.append((*r, held))
+                if len(out) >= EXAMPLES:
+                    yield table(out)
+                    out = []
+    if out:
+        yield table(out)
+
+
+def _cuts(train: DataFrame, sizes: dict[int, int]) -> dict[int, list[np.ndarray]]:
+    """Per kind and feature the bounds of its bins: exact quantiles of the ``sizes`` examples a kind, but the largest."""
+    values = train.selectExpr("kind", "posexplode(x) AS (j, v)").groupBy("kind", "j", "v").count()
+    n = F.coalesce(*(F.when(F.col("kind") == k, F.lit(c)) for k, c in sizes.items()))
+    upto = F.sum("count").over(Window.partitionBy("kind", "j").orderBy("v"))
+    at = f"rint(i * (n - 1) / {BINS - 1})"
+    hit = values.withColumns({"upto": upto, "n": n}).where(f"exists(sequence(0, {BINS - 1}), i -> {at} >= upto - count AND {at} < upto)")
+    out: dict[int, dict] = {k: {} for k in sizes}
+    for r in sorted(hit.select("kind", "j", "v").collect()):
+        out[r.kind].setdefault(r.j, []).append(r.v)
+    return {k: [np.array(v[:-1]) for _, v in sorted(own.items())] for k, own in out.items()}
+
+
+def _blocks(batches: Iterator[pa.RecordBatch], cuts: dict[int, list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
+    """Examples of a batch by kind and half, as bytes: bins (one each), labels and weights (doubles)."""
+    for b in batches:
+        kind, held = b.column("kind").to_numpy(), b.column("held").to_numpy(zero_copy_only=False)
+        for k, h in sorted(set(zip(kind.tolist(), held.tolist()))):
+            own = b.filter(pa.array((kind == k) & (held == h)))
+            bins = _bins(own.column("x").flatten().to_numpy().reshape(own.num_rows, -1), cuts[k])
+            data = {c: [own.column(c).to_numpy().tobytes()] for c in ("y", "w")}
+            yield pa.record_batch({"kind": pa.array([k], pa.int32()), "held": [h], "b": [bins.tobytes()], **data})
+
+
+def _totals(blocks: RDD, work) -> dict[int, np.ndarray]:
+    """Sum of ``work(kind, bins, labels, weights)`` over all blocks, by kind."""
+
+    def of_task(rows):
+        out: dict[int, np.ndarray] = {}
+        for r in rows:
+            y, w = np.frombuffer(r.y), np.frombuffer(r.w)
+            bins = np.frombuffer(r.b, np.uint8).reshape(len(y), -1)
+            out[r.kind] = out.get(r.kind, 0) + work(r.kind, bins, y, w)
+        yield out
+
+    return blocks.mapPartitions(of_task).treeReduce(lambda a, b: {k: a.get(k, 0) + b.get(k, 0) for k in {*a, *b}})
+
+
+def _by_level(score: np.ndarray, y: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """Weights of the true and of all examples by level of their score, in steps of 1 / UNIT."""
+    at = np.floor(score * LEVELS).astype(int)
+    return np.stack([np.bincount(at, _whole(v), LEVELS + 1).astype(np.int64) for v in (w * y, w)])
+
 
 def fit(docs: DataFrame) -> dict[int, Boosted]:
-    """One model per kind number, from a bounded sample of documents; the driver gets TREES small trees a kind."""
-    n = max(1, docs.count())
-    part = lambda seed, *c: F.pmod(F.xxhash64(F.lit(seed), *c), F.lit(1 << 30)) / float(1 << 30)
-    own = [F.col(f"`{c}`") for c in ("doc_id", "text") if c in docs.columns]
-    some = docs.where(part(1, *own) < SAMPLE_DOCS / n)
-    some = some.select("text", (part(2, F.col("text")) < 0.5).alias("held"), F.xxhash64(*own).alias("u"))
-    rows = stage(some.mapInArrow(_examples, "kind int, y double, w double, x array<double>, held boolean, u bigint, i bigint"), "spans")
-    sizes = {r.kind: r["count"] for r in rows.groupBy("kind").count().collect()}
-    share = F.coalesce(*(F.when(F.col("kind") == k, F.lit(SAMPLE_SPANS / c)) for k, c in sizes.items()), F.lit(1.0))
-    kept = rows.where(part(3, F.col("u"), F.col("i")) < share)
-    kind = "kind int, n int, start double, feature array<array<int>>, cut array<array<double>>, value array<array<double>>, threshold double"
-    fitted = kept.groupBy("kind").applyInPandas(_train, kind).collect()
-    return {r.kind: Boosted(r.start, r.feature, r.cut, r["value"], r.threshold) for r in fitted}
+    """One model per kind number, from all examples of all documents; the driver gets sums by bin and by level of score."""
+    part = F.pmod(F.xxhash64(F.lit(2), F.col("text")), F.lit(1 << 30)) / float(1 << 30)
+    texts = docs.select("text", (part < 0.5).alias("held"))
+    rows = stage(texts.mapInArrow(_examples, "kind int, y double, w double, x array<double>, held boolean"), "spans")
+    whole = lambda x: F.sum(F.rint(x * UNIT).cast("long"))
+    sizes = rows.groupBy("kind", "held").agg(F.count("*").alias("n"), whole(F.col("w") * F.col("y")).alias("right"), whole(F.col("w")).alias("all"))
+    sizes = {(r.kind, r.held): r for r in sizes.collect()}
+    kinds = sorted({k for k, _ in sizes})
+    starts = {k: _start(r.right, r["all"]) for k in kinds if (r := sizes.get((k, False))) and r.right and (k, True) in sizes}
+    if not starts:
+        return {k: Boosted() for k in kinds}
+    tasks = -(-sum(r.n for r in sizes.values()) // TASK_EXAMPLES)
+    rows = rows.where(F.col("kind").isin(list(starts)))
+    cuts = _cuts(rows.where("NOT held"), {k: sizes[k, False].n for k in starts})
+    blocks = stage(rows.coalesce(tasks).mapInArrow(lambda b: _blocks(b, cuts), "kind int, held boolean, b binary, y binary, w binary"), "bins")
+    train = blocks.where("NOT held").rdd  # planned once, read again for each level of the trees
+    trees = grow(starts, lambda trees, level: _totals(train, lambda k, *rows: _sums(*rows, starts[k], trees[k], level)))
+    scored = _totals(blocks.where("held").rdd, lambda k, bins, y, w: _by_level(_scores(bins, starts[k], trees[k]), y, w))
+    out = {k: Boosted() for k in kinds}
+    for k, (right, n) in scored.items():
+        at = np.flatnonzero(n)
+        threshold = calibrate(at / LEVELS, right[at] / n[at], n[at] / UNIT)
+        out[k] = _model(starts[k], trees[k], cuts[k], threshold)
+    return out
 
 
 def added_spans(text: str, base: list[tuple[int, int, int]], islands: list[tuple[int, str]], model: dict[int, Boosted]) -> list[tuple[int, int, int, float]]:

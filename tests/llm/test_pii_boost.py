@@ -147,3 +147,20 @@ def test_operator_redacts_keeps_columns_and_takes_empty_tables(spark, model):
     assert got["n"].spans == [] and got["n"].redacted is None and got["c"].redacted is None
     empty = df.limit(0)
     assert P.find_pii(empty, P.fit(empty.select(F.lit(1).alias("doc_id"), "text"))).collect() == []
+
+
+def test_models_and_thresholds_come_from_every_document(spark):
+    """More documents than any bounded sample took: the fit equals one over all examples at hand, whatever the partitions."""
+    r = random.Random(5)
+    texts = [f"{r.choice(['call', 'room', 'of'])} {r.choice([datum(r, 'phone'), f'{r.randint(100, 999)}-{r.randint(1000, 9999)}', datum(r, 'ip')])} {i}" for i in range(24_000)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    split = df.select("text", (F.pmod(F.xxhash64(F.lit(2), "text"), F.lit(1 << 30)) < 1 << 29).alias("held")).collect()
+    rows = [(*e, x.held) for x in split for e in P.examples(x.text)]
+    got = P.fit(df.repartition(5))
+    assert set(got) == {1, 3}
+    for k, m in got.items():
+        x, y, w, held = (np.array([v[i] for v in rows if v[0] == k]) for i in (3, 1, 2, 4))
+        want = P.boost(x[~held].astype(float), y[~held], w[~held])
+        assert (m.start, m.feature, m.cut, m.value) == (want.start, want.feature, want.cut, want.value)
+        score = want.score(x[held].astype(float))
+        assert m.threshold == P.calibrate(np.floor(score * P.LEVELS) / P.LEVELS, y[held], w[held]) < 1
