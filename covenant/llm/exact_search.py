@@ -4,9 +4,12 @@ Vectors are scaled to integers.  A table keeps the distances of every vector to
 P pivots.  For a query q and a candidate x the largest difference of their
 distances to a pivot is a lower bound of their distance, and so
 ``(|q|^2 + |x|^2 - bound^2) / 2`` is an upper bound of their product.  Blocks of
-queries meet blocks of candidates; within a pair of blocks each query takes
-candidates in bound order and stops at the first bound below its k-th score.
-Pivots only steer the work: any choice gives exact results.
+queries meet blocks of candidates; within a pair of blocks the candidates of
+highest bounds give each query a k-th score, and those whose bound is below it
+are out; the products of the others are taken for many queries at once.  (Beyond
+what doubles hold exactly, each query takes candidates in bound order and stops
+at the first bound below its k-th score.)  Pivots only steer the work: any choice
+gives exact results.
 
 Cases: null vectors, null ids and vectors with null or non-finite components
 take no part; rows with equal vec_id and vector are one row, rows that share a
@@ -33,7 +36,8 @@ SCALE, PIVOTS, PIVOT_SAMPLE = 256.0, 32, 256
 QUERY_BLOCK, BLOCK = 1024, 4096
 #: Relative slack for the rounding of distances.
 SLACK = 1e-9
-STEP = 64
+#: Candidates whose products are taken first, and queries of a block that are worked on at once.
+STEP, TOGETHER = 64, 64
 
 
 def valid(vec) -> F.Column:
@@ -84,15 +88,64 @@ def _exact(q: np.ndarray, x: np.ndarray) -> np.ndarray:
     return np.array([min(max(int(s), -(2**63)), 2**63 - 1) for s in got], np.int64)
 
 
+def _bounds(qf: np.ndarray, qnorm: np.ndarray, xf: np.ndarray, norm: np.ndarray) -> np.ndarray:
+    """Upper bounds of the products of queries (rows) and candidates (columns)."""
+    low, diff = np.zeros((len(qf), len(xf))), np.empty((len(qf), len(xf)))
+    for a, b in zip(qf.T, xf.T):
+        np.subtract(a[:, None], b, out=diff)
+        np.maximum(low, np.abs(diff, out=diff), out=low)
+    low = np.maximum(0, low - SLACK * (low + xf.max(1, initial=0)))
+    bound = (qnorm[:, None] + norm - low**2) / 2
+    return bound + SLACK * (np.abs(bound) + norm + qnorm[:, None])
+
+
+def _left(q: np.ndarray, x: np.ndarray, bound: np.ndarray, k: int) -> np.ndarray:
+    """Which candidates may be among the k best of each query; one of bound -inf takes no part."""
+    first = np.argpartition(bound, len(x) - STEP, axis=1)[:, -STEP:] if len(x) > STEP else np.broadcast_to(np.arange(len(x)), bound.shape)
+    known = np.where(np.take_along_axis(bound, first, 1) > -np.inf, np.einsum("qcd,qd->qc", x[first], q), -np.inf)
+    kth = np.partition(known, -k, axis=1)[:, -k] if known.shape[1] >= k else np.full(len(q), -np.inf)
+    return (bound >= kth[:, None]) & (bound > -np.inf)
+
+
+def _best_together(q: np.ndarray, x: np.ndarray, bound: np.ndarray, k: int) -> list[np.ndarray]:
+    """Places of the k best candidates of each query, best first, of equal ones the first."""
+    alive = _left(q, x, bound, k)
+    at = np.flatnonzero(alive.any(0))
+    out = []
+    for score, mine in zip(q @ x[at].T, alive[:, at]):
+        own = np.flatnonzero(mine)
+        score = score[own]
+        if len(own) > k:
+            own = own[top := np.flatnonzero(score >= np.partition(score, -k)[-k])]
+            score = score[top]
+        out.append(at[own[np.argsort(-score, kind="stable")[:k]]])
+    return out
+
+
 def best_of_block(qs: pd.DataFrame, cs: pd.DataFrame, k: int) -> pd.DataFrame:
     """The k best candidates of one block for every query of another, by elimination."""
+    cols = {"query_id": "int64", "key": "int64", "vec_id": "int64", "score": "int64"}
+    if not len(qs) or not len(cs):
+        return pd.DataFrame({c: pd.Series(dtype=t) for c, t in cols.items()})
     stack = lambda s, n: np.array(s.tolist(), float).reshape(n, -1)
     q, x, qf, xf = stack(qs.x, len(qs)), stack(cs.x, len(cs)), stack(qs.far, len(qs)), stack(cs.far, len(cs))
     ids, keys, norm = cs.id.to_numpy(), cs.key.to_numpy(), cs.norm.to_numpy()
     top = lambda a: float(np.abs(a).max(initial=0))
     small = top(q) * top(x) * max(1, x.shape[1]) < 2**53
     out = []
-    for i, (qid, own) in enumerate(zip(qs.id, qs.key)):
+    if small:
+        byid = np.argsort(ids, kind="stable")
+        x, xf, ids, keys, norm = x[byid], xf[byid], ids[byid], keys[byid], norm[byid]
+        own_key, qnorm, places = qs.key.to_numpy(), qs.norm.to_numpy(), []
+        for s in range(0, len(qs), TOGETHER):
+            some = slice(s, s + TOGETHER)
+            bound = _bounds(qf[some], qnorm[some], xf, norm)
+            bound[own_key[some, None] == keys] = -np.inf
+            places += _best_together(q[some], x, bound, k)
+        asks, at = np.repeat(np.arange(len(places)), list(map(len, places))), np.concatenate([np.zeros(0, int), *places])
+        score = np.einsum("rd,rd->r", q[asks], x[at]).astype(np.int64)
+        out.append(pd.DataFrame({"query_id": qs.id.to_numpy()[asks], "key": own_key[asks], "vec_id": ids[at], "score": score}))
+    for i, (qid, own) in enumerate(zip(qs.id, qs.key) if not small else ()):
         with np.errstate(all="ignore"):
             low = np.abs(xf - qf[i]).max(1, initial=0)
             low = np.maximum(0, low - SLACK * (low + xf.max(1, initial=0)))
@@ -105,13 +158,12 @@ def best_of_block(qs: pd.DataFrame, cs: pd.DataFrame, k: int) -> pd.DataFrame:
             part = part[bound[part] > -np.inf]
             if not len(part) or len(scores) >= k and bound[part[0]] < scores[k - 1]:
                 break
-            got = (x[part] @ q[i]).astype(np.int64) if small else _exact(q[i], x[part])
+            got = _exact(q[i], x[part])
             scores, at = np.concatenate([scores, got]), np.concatenate([at, part])
-            keep = np.lexsort((ids[at], -scores.astype(float) if small else [-int(s) for s in scores]))[:k]
+            keep = np.lexsort((ids[at], [-int(s) for s in scores]))[:k]
             scores, at = scores[keep], at[keep]
         out.append(pd.DataFrame({"query_id": qid, "key": own, "vec_id": ids[at], "score": scores}))
-    cols = {"query_id": "int64", "key": "int64", "vec_id": "int64", "score": "int64"}
-    return pd.concat(out).astype(cols) if out else pd.DataFrame({c: pd.Series(dtype=t) for c, t in cols.items()})
+    return pd.concat(out).astype(cols)
 
 
 def search(vectors: DataFrame, is_query: F.Column, k: int = 5, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:

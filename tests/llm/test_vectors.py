@@ -128,3 +128,37 @@ def test_rows_of_one_vec_id_have_their_own_links(spark):
     assert rows(D.near_duplicates(df)) == sql(D.SQL, embeddings=frame)
     twins = spark.createDataFrame([(7, [1.0, 0.0], "a"), (7, [0.0, 1.0], "a"), (8, [0.0, 1.0], "a")], "vec_id long, embedding array<double>, label string")
     assert sorted(tuple(r) for r in D.near_duplicates(twins).collect()) == [(7, 0, 7, True), (7, 1, 7, True), (8, 1, 7, False)]
+
+
+def test_search_takes_products_of_many_queries_at_once(monkeypatch):
+    """Pivots that rule out little: a query costs a share of one product of blocks, not a loop over its candidates."""
+    import pandas as pd
+
+    r = np.random.default_rng(3)
+    x = np.floor(r.normal(size=(1500, 24)) * 256)
+    x[700:720] = x[5]  # ties
+    ids = r.permutation(1500)
+    table = pd.DataFrame({"id": ids, "key": np.arange(1500), "x": list(x), "norm": (x**2).sum(1), "far": list(np.sqrt(((x[:, None] - x[:4]) ** 2).sum(2)))})
+    calls, taken = [], X._best_together
+    monkeypatch.setattr(X, "_best_together", lambda *a: calls.append(len(a[0])) or taken(*a))
+    got = X.best_of_block(table[:130], table, 5)
+    assert calls == [64, 64, 2]
+    for i in range(130):
+        want = sorted((-int(s), v) for s, v, k in zip(x @ x[i], ids, range(1500)) if k != i)[:5]
+        mine = got[got.key == i]
+        assert [(-s, v) for s, v in zip(mine.score, mine.vec_id)] == want
+    assert X.best_of_block(table[:3], table[:3], 5).groupby("key").size().tolist() == [2, 2, 2]
+    assert len(X.best_of_block(table[:3], table[:0], 5)) == len(X.best_of_block(table[:0], table, 5)) == 0
+
+
+def test_elimination_leaves_few_candidates_to_a_block_of_queries():
+    r = np.random.default_rng(1)
+    x = np.floor(256 * np.concatenate([r.normal(size=(1000, 4)) * 0.01 + c for c in np.eye(4)]))
+    p = X.choose_pivots(x[::50], 16)
+    far = np.sqrt(((x[:, None] - p) ** 2).sum(2))
+    bound = X._bounds(far[:20], (x[:20] ** 2).sum(1), far, (x**2).sum(1))
+    scores = x[:20] @ x.T
+    assert (bound >= scores).all()
+    left = X._left(x[:20], x, bound, 5)
+    assert left.any(0).sum() < len(x) / 3
+    assert all(set(np.argsort(-s, kind="stable")[:5]) <= set(np.flatnonzero(m)) for s, m in zip(scores, left))
