@@ -87,6 +87,18 @@ def _q(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def _narrow(types: list[T.DataType]) -> bool:
+    return len(types) <= 3 and all(map(_fixed_width, types))
+
+
+def _bits(types: list[T.DataType], values: list[str]) -> str | None:
+    """A wide tie-break as 128 bits, as SQL; None where equal values may have other bits, or other values the same (a collation, nested NULLs)."""
+    if not all(_fixed_width(t) or t.simpleString() in ("string", "binary") for t in types):
+        return None
+    hashed = ", ".join([*values, *[f"{v} IS NULL" for v in values]])  # a hash passes over NULL
+    return f"struct(xxhash64({hashed}) AS h1, xxhash64('row', {hashed}) AS h2)"
+
+
 def _unique_keys(df: DataFrame, rule: Rule) -> list[str]:
     """The key as it travels, as SQL: a text as 128 bits."""
     key = _q(rule.column)
@@ -102,10 +114,20 @@ def _firsts(df: DataFrame, keys: list[str], names: list[str], order: list[str],
         value = _q(order[0])
         per = df.groupBy(*map(F.expr, named)).agg(more, F.expr(f"min({value}) AS m"), F.expr(f"count({value}) AS valued")).where("n > 1")
         return per.selectExpr(*names, "struct(IF(n = valued, m, NULL) AS o0) AS first")
-    if len(order) <= 3 and all(map(_fixed_width, types)):
+    if _narrow(types):
         return df.groupBy(*map(F.expr, named)).agg(more, F.expr(f"min({row}) AS first")).where("n > 1").drop("n")
-    repeated = df.groupBy(*map(F.expr, named)).agg(more).where("n > 1").drop("n")
-    return df.selectExpr(*named, f"{row} AS row").join(repeated, names, "left_semi").groupBy(*names).agg(F.expr("min(row) AS first"))
+    # An inner join: a semi join would go below a union, and its output would be sorted once more.
+    same = " AND ".join(f"{n} = {n}r" for n in names)
+    right = [f"{n} AS {n}r" for n in names]
+    if _fixed_width(types[0]):  # only rows that have the smallest first column are compared in full
+        value = _q(order[0])
+        per = df.groupBy(*map(F.expr, named)).agg(more, F.expr(f"min({value}) AS m"), F.expr(f"count({value}) AS valued")).where("n > 1")
+        repeated, same = per.selectExpr(*right, "IF(n = valued, m, NULL) AS m"), f"{same} AND row.o0 <=> m"
+    else:
+        repeated = df.groupBy(*map(F.expr, named)).agg(more).where("n > 1").selectExpr(*right)
+    firsts = df.selectExpr(*named, f"{row} AS row").join(repeated, F.expr(same)).groupBy(*names).agg(F.expr("min(row) AS first"))
+    bits = _bits(types, [f"first.o{j}" for j in range(len(order))])
+    return firsts.selectExpr(*names, f"{bits} AS first") if bits else firsts
 
 
 def _staged(df: DataFrame, name: str) -> tuple[DataFrame, int]:
@@ -124,11 +146,16 @@ def _unique_flag(df: DataFrame, rule: Rule, idx: int, order_by: Sequence[str] |
     order = _tie_break_columns(df.select(own), rule, order_by)
     row = "struct(" + ", ".join(f"{_q(c)} AS o{j}" for j, c in enumerate(order)) + ")"
 
+    types = [df.schema[c].dataType for c in order]
+    value = row if _narrow(types) else _bits(types, list(map(_q, order))) or row
+
     some = df.where(f"{key} IS NOT NULL")
     firsts = _firsts(some, keys, names, order, row)
     if staged:
         firsts, _ = _staged(firsts, "firsts")
-    ties = some.selectExpr(*[f"{k} AS {n}" for k, n in zip(keys, names)], f"{row} AS row").join(firsts, names).where("row <=> first")
+    first = firsts.selectExpr(*[f"{n} AS {n}r" for n in names], "first")
+    same = " AND ".join([f"{n} = {n}r" for n in names] + ["row <=> first"])
+    ties = some.selectExpr(*[f"{k} AS {n}" for k, n in zip(keys, names)], f"{value} AS row").join(first, F.expr(same))
     ties = ties.groupBy(*names).agg(F.expr("count(*) AS n")).where("n > 1")
     n_ties = None
     if staged:
@@ -140,8 +167,8 @@ def _unique_flag(df: DataFrame, rule: Rule, idx: int, order_by: Sequence[str] |
         side = side.selectExpr(*[f"{n} AS {n}{x}" for n in names], f"xxhash64({', '.join(names)}) & 0 AS {pre}{x}", *more)
         same = " AND ".join(f"{k} = {n}{x}" for k, n in zip(keys, names))
         out = out.join(side, F.expr(f"{key} IS NOT NULL AND {pre}salt = {pre}{x} AND {same}"), "left")
-    tied = "false" if n_ties == 0 else f"{pre}t IS NOT NULL AND {row} <=> {pre}row"
-    flags = f"{pre}f IS NOT NULL AND NOT ({row} <=> {pre}row) AS {pre}flag", f"{tied} AS {pre}tied"
+    tied = "false" if n_ties == 0 else f"{pre}t IS NOT NULL AND {value} <=> {pre}row"
+    flags = f"{pre}f IS NOT NULL AND NOT ({value} <=> {pre}row) AS {pre}flag", f"{tied} AS {pre}tied"
     return out.selectExpr(*map(_q, df.columns), *flags), n_ties != 0
 
 

@@ -1,5 +1,6 @@
 """unique: first row per key passes; NULL keys ignored; hot keys and partitioning do not matter."""
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 import pytest
@@ -143,3 +144,37 @@ def test_frames_that_change_between_queries_are_not_staged(spark):
     for frame in (df, df.withColumn("r", F.rand())):
         out = check(frame, [Rule("u", "k", "unique")], staged=True)
         assert sorted(r.id for r in out.where(~F.col(PASSED)).collect()) in ([2], [1]) and out.count() == 3
+
+
+def test_a_wide_tie_break_is_sorted_once_and_only_smallest_first_columns_go_on(spark):
+    """Each row twice, under a union: the first row of a key is found with one sort of the rows, and they are joined with narrow first rows."""
+    df = spark.range(2000).selectExpr("id", "id % 100 AS k", "CAST(id % 7 AS string) AS t", "id * 0.5D AS v")
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = check(df.unionAll(df), [Rule("u", "k", "unique")]).where(~F.col(PASSED)).select("id")
+        ids = sorted(r.id for r in out.collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    assert ids == sorted([*range(2000), *range(100, 2000)])
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftSemi" not in plan and "min(id" in plan  # a semi join is pushed below the union, and its output sorted again
+    from covenant.operators import checks
+
+    order = df.columns
+    row = "struct(" + ", ".join(f"{c} AS o{j}" for j, c in enumerate(order)) + ")"
+    assert dict(checks._firsts(df, ["k"], ["_k"], order, row).dtypes)["first"] == "struct<h1:bigint,h2:bigint>"
+
+
+@pytest.mark.parametrize("order_by", [("t", "b", "a"), ("d", "t"), ("c", "s", "a")])
+def test_wide_tie_breaks_are_compared_null_safe(spark, order_by):
+    """NULLs in other places, -0.0 and 0.0, NaN, collations and nested NULLs: one row of a key passes, one of the smallest tie-break."""
+    zeros = [0.0, -0.0, float("nan"), None]
+    rows = [(k, a, b, t, d, c, [a, b]) for k in (1, 2) for a in (None, 1) for b in (None, 1) for t in ("x", None) for d in zeros for c in ("q", "Q")]
+    rows += [(3, 1, None, "x", 0.0, "q", [1, None]), (3, None, 1, "x", 0.0, "Q", [None, 1]), (4, 5, 5, "y", 1.0, "z", [5])]
+    df = spark.createDataFrame(rows, "k int, a int, b int, t string, d double, c string, s array<int>").repartition(3)
+    df = df.withColumn("c", F.expr("c COLLATE UTF8_LCASE"))
+    value = F.struct(*order_by)
+    got = check(df, [Rule("u", "k", "unique", order_by=order_by)], staged="t" == order_by[0])
+    got = got.select("k", PASSED, value.eqNullSafe(F.min(value).over(Window.partitionBy("k"))).alias("least")).collect()
+    assert len(got) == len(rows) and sorted((r.k, r.least) for r in got if r[1]) == [(k, True) for k in (1, 2, 3, 4)]
