@@ -13,7 +13,7 @@ table.  Instead, per rule:
    before the shuffle, so a hot key is collapsed map-side.  Only keys of more
    than one row go on: of mostly unique keys next to nothing.  A tie-break that
    is wide (text, or many columns) is looked at for repeated keys only, which a
-   count of the keys alone has found;
+   count of the keys alone has found, and goes on as 128 bits;
 2. keys in which several rows have the smallest tie-break are found by counting
    these rows, from the key and tie-break columns alone.  There are none where
    the tie-break identifies a row, and then step 4 falls away at run time;
