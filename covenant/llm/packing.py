@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stage
+from .common import sliced, stage, tidied
 from .tokens import VOCABULARY, encoder
 
 CAPACITY, END = 1024, 2
@@ -48,7 +48,7 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, end: int = END, vocabulary
 
     def tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, last = encoder(vocabulary).encode, np.array([end], "<u4").tobytes()
-        for b in batches:
+        for b in sliced(batches):
             row, out = [], []
             for i, text in enumerate(b.column("text").to_pylist()):
                 ids = encode(text or "") + last
@@ -63,7 +63,7 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, end: int = END, vocabulary
 
     rows = docs.select("doc_id", "text")
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(tokenise, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long" + (", ids binary" if with_ids else ""))
+    return rows.mapInArrow(tidied(tokenise), f"doc_id {kind}, piece int, start long, length long, ids_crc32 long" + (", ids binary" if with_ids else ""))
 
 
 def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, int, int, int, int]]:

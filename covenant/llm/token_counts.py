@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from covenant.session import scratch_path
 
-from .common import stage
+from .common import sliced, stage, tidied
 from .tokens import VOCABULARY, encoder
 
 #: Bytes of an id, and the id that ends a document.
@@ -44,11 +44,11 @@ def write_token_files(docs: DataFrame, path: str, end: int = END, width: int = W
 
     def tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(vocabulary).ordinary
-        for b in batches:
+        for b in sliced(batches):
             ids = [np.frombuffer(encode(t or ""), "<u4").astype(f"<u{width}").tobytes() for t in b.column("text").to_pylist()]
             yield pa.record_batch([pa.array(ids, pa.binary())], names=["ids"])
 
-    ids = docs.select("text").mapInArrow(tokenise, "ids binary")
+    ids = docs.select("text").mapInArrow(tidied(tokenise), "ids binary")
     separator = end.to_bytes(width, "little").decode("latin-1")
     options = {"lineSep": separator, "encoding": "ISO-8859-1", "maxRecordsPerFile": per_file}
     ids.select(F.col("ids").cast("string").alias("value")).write.options(**options).text(path)

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import base64
 import re
+from functools import cached_property
 
 import numpy as np
 
@@ -26,16 +27,27 @@ class Encoder(dict):
 
     def __init__(self, json_path: str, ranks_path: str, pattern: str):
         import tiktoken
-        from tokenizers import Tokenizer
 
         super().__init__()
-        self.whole = Tokenizer.from_file(json_path)
-        self.literal = Tokenizer.from_file(json_path)
-        self.literal.encode_special_tokens = True
+        self.json_path = json_path
         with open(ranks_path, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.quick = tiktoken.Encoding(ranks_path, pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
+    @cached_property
+    def whole(self):
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.json_path)
+
+    @cached_property
+    def literal(self):
+        from tokenizers import Tokenizer
+
+        made = Tokenizer.from_file(self.json_path)
+        made.encode_special_tokens = True
+        return made
+
     def slow(self, text: str) -> bytes:
         return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
