@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordIds, broadcast_checked, grouped, mix, stage, text_key, texts_of, tidied
+from .common import WordIds, broadcast_checked, grouped, mix, sliced, stage, text_key, texts_of, tidied
 from .components import connected
 
 SHINGLE, PERCENT = 3, 90
@@ -169,9 +169,14 @@ def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of each chunk, the places whose n-gram is in the bucket more than once; rows sorted by bucket."""
     for t in grouped(batches, ["bucket"]):
         raw = t.column("names").to_pylist()
-        _, name, count = np.unique(np.frombuffer(b"".join(raw), np.uint32), return_inverse=True, return_counts=True)
-        twice, cuts, at = count[name] > 1, np.cumsum([0, *(len(x) // 4 for x in raw)]), t.column("at").to_pylist()
-        kept = [np.frombuffer(x, np.uint16)[twice[i:j]].tobytes() for x, i, j in zip(at, cuts[:-1], cuts[1:])]
+        name = np.sort(np.frombuffer(b"".join(raw), np.uint32))
+        twice = np.unique(name[1:][name[1:] == name[:-1]])
+        del name
+        kept = []
+        for x, at in zip(raw, t.column("at").to_pylist()):
+            own = np.frombuffer(x, np.uint32)
+            hit = twice[np.minimum(np.searchsorted(twice, own), len(twice) - 1)] == own if len(twice) else np.zeros(len(own), bool)
+            kept.append(np.frombuffer(at, np.uint16)[hit].tobytes())
         columns = [t.column(c).combine_chunks() for c in ("chunk", "docs", "sizes")]
         yield pa.record_batch([columns[0], pa.array(kept, pa.binary()), *columns[1:]], names=["chunk", "at", "docs", "sizes"])
 
@@ -206,7 +211,7 @@ def may_link(text: DataFrame, known: DataFrame, shingle: int, percent: int) -> D
 def _sets(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[pa.RecordBatch]:
     """(doc_id, n, fp) per row: the size of its set and a 128-bit name of it, null if empty."""
     ids = WordIds()
-    for b in batches:
+    for b in sliced(batches):
         sets = [shingles(ids.of(words_of(t)), shingle) for t in texts_of(b.column("text"))]
         fps = [blake2b(x.tobytes(), digest_size=16).digest() if len(x) else None for x in sets]
         yield pa.record_batch([b.column("doc_id"), pa.array([len(x) for x in sets], pa.int64()), pa.array(fps, pa.binary())], names=["doc_id", "n", "fp"])
@@ -270,7 +275,7 @@ def _agree(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _items(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[pa.RecordBatch]:
     ids = WordIds()
-    for b in batches:
+    for b in sliced(batches):
         items = [shingles(ids.of(words_of(t)), shingle).tobytes() for t in texts_of(b.column("text"))]
         yield pa.record_batch([*(b.column(c) for c in ("block", "doc_id", "m")), pa.array(items, pa.binary())], names=["block", "doc_id", "m", "items"])
 

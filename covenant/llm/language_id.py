@@ -23,8 +23,9 @@ other columns, whatever their names, are carried along and never looked at.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -32,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import broadcast_checked, tidied
+from .common import broadcast_checked, tidied, values_of
 
 PLACES, CLUSTERS, SAMPLE, FULL = 4096, 4, 500, 150
 #: A text is rejected below REJECT times this quantile of the cosines of its language's sample.
@@ -73,15 +74,15 @@ def gram_counts(texts: list[str], places: int = PLACES) -> np.ndarray:
     return out.reshape(len(low), places)
 
 
-def counted(texts: list[str]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def counted(texts: Iterable[str]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(first index, counts, has a letter) for runs of texts; a long text is counted by pieces, overlapping by a 3-gram."""
-    start, size = 0, 0
-    for i, t in enumerate([*texts, None]):
+    start, size, held = 0, 0, []
+    for i, t in enumerate(chain(texts, [None])):
         if t is None or len(t) > CHUNK_CHARS or size + len(t) > CHUNK_CHARS or i - start == CHUNK_TEXTS:
-            if i > start:
-                x = gram_counts(texts[start:i])
+            if held:
+                x = gram_counts(held)
                 yield start, x, x.any(1)
-            start, size = i, 0
+            start, size, held = i, 0, []
         if t is not None and len(t) > CHUNK_CHARS:
             x = np.zeros((1, PLACES), np.int64)
             for a in range(0, len(t), CHUNK_CHARS):
@@ -90,6 +91,7 @@ def counted(texts: list[str]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
             start = i + 1
         elif t is not None:
             size += len(t)
+            held.append(t)
 
 
 def weigh(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
@@ -121,10 +123,11 @@ class Model:
     langs: list[str]  # of each centre
     lowest: np.ndarray  # accepted cosine of each centre, for texts of FULL n-grams
 
-    def predict(self, texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+    def predict(self, texts: list[str] | pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
         lang, score, reject = ["und"] * len(texts), np.zeros(len(texts)), np.ones(len(texts), bool)
         if self.langs:
-            for start, x, some in counted(texts):
+            each = (t or "" for t in values_of(texts)) if isinstance(texts, pa.Array) else texts
+            for start, x, some in counted(each):
                 cos = np.clip(weigh(x, self.idf) @ self.centres.T, 0, 1)
                 best = np.argmax(cos, 1)
                 share = np.minimum(1, (x > 0).sum(1) / FULL)
@@ -155,7 +158,7 @@ def fit(training: DataFrame, sample: int = SAMPLE, clusters: int = CLUSTERS) ->
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, rows = np.zeros(PLACES, np.int64), 0
         for b in batches:
-            for _, x, _ in counted(b.column("text").to_pylist()):
+            for _, x, _ in counted(values_of(b.column("text"))):
                 total += (x > 0).sum(0)
                 rows += len(x)
         yield pa.record_batch([pa.array(np.arange(PLACES + 1)), pa.array(np.append(total, rows))], names=["place", "n"])
@@ -171,7 +174,7 @@ def fit(training: DataFrame, sample: int = SAMPLE, clusters: int = CLUSTERS) ->
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for start, x, some in counted(b.column("text").to_pylist()):
+            for start, x, some in counted(values_of(b.column("text"))):
                 rows = [v.tobytes() if ok else None for v, ok in zip(weigh(x, idf), some)]
                 part = b.slice(start, len(x))
                 yield pa.record_batch([part.column("lang"), part.column("doc_id"), pa.array(rows, pa.binary())], names=["lang", "doc_id", "v"])
@@ -200,7 +203,7 @@ def classify(docs: DataFrame, model: Model) -> DataFrame:
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            lang, score, reject = shared.value.predict([t or "" for t in b.column("doc").field("text").to_pylist()])
+            lang, score, reject = shared.value.predict(b.column("doc").field("text"))
             yield pa.record_batch([b.column("doc"), pa.array(lang, pa.string()), pa.array(score), pa.array(reject)], names=["doc", "lang_pred", "score", "rejected"])
 
     kind = own.schema["doc"].dataType.simpleString()

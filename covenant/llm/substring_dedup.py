@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordIds, mix, stage, text_key, texts_of, tidied, whole_groups
+from .common import WordIds, mix, sliced, stage, text_key, texts_of, tidied, whole_groups
 
 WINDOW, ROUNDS, LONGEST = 35, 4, 8
 #: Names with more occurrences are compared window by window in shuffles that split and pre-aggregate.
@@ -290,7 +290,7 @@ def repeats(docs: DataFrame, window: int = WINDOW, hot: int = HOT) -> DataFrame:
 
 
 def _keep(batches: Iterator[pa.RecordBatch], window: int, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
-    for b in batches:
+    for b in sliced(batches, lambda b: b.column("doc").field("text")):
         n_words, n_removed, kept = [], [], []
         copies, ranges = b.column("copies").to_pylist(), b.column("ranges")
         for i, text in enumerate(texts_of(b.column("doc").field("text"))):
