@@ -33,6 +33,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from covenant.session import small_batches
+
 from .common import WordIds, broadcast_checked, grouped, mix, sliced, stage, text_key, texts_of, tidied
 from .components import connected
 
@@ -387,6 +389,7 @@ def join_groups(
     docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, near: str = "parts", block_sets: int = BLOCK_SETS, block_items: int = BLOCK_ITEMS
 ) -> DataFrame:
     """(doc_id, n_shingles, component_id), one row for each row of (doc_id, text); ``near`` is "parts" or "rare"."""
+    small_batches(docs.sparkSession)
     text = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary"))
     sets = stage(text.mapInArrow(tidied(_sets, shingle), "doc_id long, n long, fp binary"), "sets")
     known = sets.where("doc_id IS NOT NULL AND n > 0")

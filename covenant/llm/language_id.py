@@ -33,6 +33,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from covenant.session import small_batches
+
 from .common import broadcast_checked, tidied, values_of
 
 PLACES, CLUSTERS, SAMPLE, FULL = 4096, 4, 500, 150
@@ -212,6 +214,7 @@ def classify(docs: DataFrame, model: Model) -> DataFrame:
 
 def op1(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    small_batches(spark)
     model = fit(training_rows(docs))
     out = classify(docs.select("doc_id", "text"), model)
     return out.select("doc.doc_id", held_out("doc.doc_id").alias("held_out"), "lang_pred", "score", "rejected")
@@ -219,4 +222,5 @@ def op1(spark, sf_dir: str) -> DataFrame:
 
 def stage_language(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: documents that the classifier rejects go."""
+    small_batches(spark)
     return classify(docs, fit(training_rows(docs))).where("NOT rejected").select("doc.*")

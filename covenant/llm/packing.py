@@ -29,8 +29,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from covenant.session import small_batches
+
 from .common import sliced, stage, tidied
-from .tokens import VOCABULARY, encoder
+from .tokens import VOCABULARY, encoding
 
 CAPACITY, END = 1024, 2
 #: Pieces numbered together.
@@ -47,19 +49,20 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, end: int = END, vocabulary
     """(doc_id, piece, start, length, ids_crc32[, ids]) of every document's ids and the end token."""
 
     def tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, last = encoder(vocabulary).encode, np.array([end], "<u4").tobytes()
-        for b in sliced(batches):
-            row, out = [], []
-            for i, text in enumerate(b.column("text").to_pylist()):
-                ids = encode(text or "") + last
-                for k, (s, n) in enumerate(cut(len(ids) // 4, capacity)):
-                    part = ids[4 * s : 4 * (s + n)]
-                    row.append(i)
-                    out.append((k, s, n, zlib.crc32(part), part if with_ids else None))
-            cols = list(zip(*out)) or [()] * 5
-            arrays = [b.column("doc_id").take(pa.array(row, pa.int64()))]
-            arrays += [pa.array(c, t) for c, t in zip(cols, (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()))][: 5 if with_ids else 4]
-            yield pa.record_batch(arrays, names=["doc_id", "piece", "start", "length", "ids_crc32", "ids"][: len(arrays)])
+        last = np.array([end], "<u4").tobytes()
+        with encoding(vocabulary) as made:
+            for b in sliced(batches):
+                row, out = [], []
+                for i, text in enumerate(b.column("text").to_pylist()):
+                    ids = made.encode(text or "") + last
+                    for k, (s, n) in enumerate(cut(len(ids) // 4, capacity)):
+                        part = ids[4 * s : 4 * (s + n)]
+                        row.append(i)
+                        out.append((k, s, n, zlib.crc32(part), part if with_ids else None))
+                cols = list(zip(*out)) or [()] * 5
+                arrays = [b.column("doc_id").take(pa.array(row, pa.int64()))]
+                arrays += [pa.array(c, t) for c, t in zip(cols, (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()))][: 5 if with_ids else 4]
+                yield pa.record_batch(arrays, names=["doc_id", "piece", "start", "length", "ids_crc32", "ids"][: len(arrays)])
 
     rows = docs.select("doc_id", "text")
     kind = rows.schema["doc_id"].dataType.simpleString()
@@ -129,9 +132,11 @@ def pack(parts: DataFrame, capacity: int = CAPACITY, bucket_rows: int = BUCKET_R
 
 
 def op2(spark, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return pack(pieces(spark.read.parquet(f"{sf_dir}/documents.parquet")))
 
 
 def stage_pack(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: the pieces of all documents with their places in the training sequences."""
+    small_batches(spark)
     return pack(pieces(docs))

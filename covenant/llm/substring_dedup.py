@@ -28,6 +28,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from covenant.session import small_batches
+
 from .common import WordIds, mix, sliced, stage, text_key, texts_of, tidied, whole_groups
 
 WINDOW, ROUNDS, LONGEST = 35, 4, 8
@@ -90,7 +92,7 @@ class Spans:
         n = len(words) + 1
         if len(Spans.POWER) < n:
             for name, x in (("POWER", self.BASE), ("INVERSE", pow(self.BASE, -1, 1 << 64))):
-                p = np.full(max(n, 1 << 20), x, np.uint64)
+                p = np.full(max(n, 1 << 18), x, np.uint64)
                 p[0] = 1
                 setattr(Spans, name, np.multiply.accumulate(p))
         self.sum = np.zeros(n, np.uint64)
@@ -311,6 +313,7 @@ def _keep(batches: Iterator[pa.RecordBatch], window: int, schema: pa.Schema) ->
 
 def dedup(docs: DataFrame, window: int = WINDOW, hot: int = HOT) -> DataFrame:
     """(doc, n_words, n_removed, kept): ``doc`` holds all columns of the row, ``kept`` the words left, joined by one space."""
+    small_batches(docs.sparkSession)
     own = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc")
     rows = docs.select(own, text_key(F.col("text")).alias("key")).join(repeats(docs, window, hot), "key", "left").select("doc", "copies", "ranges")
     kind = rows.schema["doc"].dataType.simpleString()

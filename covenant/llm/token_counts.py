@@ -23,10 +23,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from covenant.session import scratch_path
+from covenant.session import scratch_path, small_batches
 
 from .common import sliced, stage, tidied
-from .tokens import VOCABULARY, encoder
+from .tokens import VOCABULARY, encoding
 
 #: Bytes of an id, and the id that ends a document.
 WIDTH, END = 2, 50256
@@ -43,10 +43,10 @@ def write_token_files(docs: DataFrame, path: str, end: int = END, width: int = W
     per_file = max(1, min(FILE_DOCUMENTS, FILE_BYTES // (width * (longest + 1))))
 
     def tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(vocabulary).ordinary
-        for b in sliced(batches):
-            ids = [np.frombuffer(encode(t or ""), "<u4").astype(f"<u{width}").tobytes() for t in b.column("text").to_pylist()]
-            yield pa.record_batch([pa.array(ids, pa.binary())], names=["ids"])
+        with encoding(vocabulary) as made:
+            for b in sliced(batches):
+                ids = [np.frombuffer(made.ordinary(t or ""), "<u4").astype(f"<u{width}").tobytes() for t in b.column("text").to_pylist()]
+                yield pa.record_batch([pa.array(ids, pa.binary())], names=["ids"])
 
     ids = docs.select("text").mapInArrow(tidied(tokenise), "ids binary")
     separator = end.to_bytes(width, "little").decode("latin-1")
@@ -83,6 +83,7 @@ def scan(spark, path: str, end: int = END, width: int = WIDTH, block_tokens: int
 
 def op3(spark, sf_dir: str) -> DataFrame:
     """Documents to flat token files, then the scan: one row for each document by file, in file order."""
+    small_batches(spark)
     path = scratch_path(spark, "token-files")
     write_token_files(spark.read.parquet(f"{sf_dir}/documents.parquet"), path)
     part = lambda i: F.regexp_extract("path", r"part-(\d+)-.*-c(\d+)", i).cast("int")

@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import base64
 import re
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import cached_property
 
 import numpy as np
@@ -84,3 +86,12 @@ def encoder(vocabulary: str = VOCABULARY) -> Encoder:
 
         _MADE[vocabulary] = Encoder(files.path(f"{vocabulary}.json"), files.path(f"{vocabulary}.tiktoken"), files.PATTERN)
     return _MADE[vocabulary]
+
+
+@contextmanager
+def encoding(vocabulary: str = VOCABULARY) -> Iterator[Encoder]:
+    """The encoder for the time of one task; the worker process lives on without it."""
+    try:
+        yield encoder(vocabulary)
+    finally:
+        _MADE.pop(vocabulary, None)

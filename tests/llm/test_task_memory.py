@@ -6,8 +6,11 @@ from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
 
-from covenant.llm import common, packing, token_counts
+from covenant import session
+from covenant.llm import common, packing, token_counts, tokens
 from covenant.llm import jaccard_join as J
 from covenant.llm import language_id as G
 from covenant.llm import substring_dedup as S
@@ -102,3 +105,42 @@ def test_languages_of_an_arrow_column_are_those_of_a_list():
     model = G.Model(np.ones(G.PLACES, np.float32), centres, ["a", "b", "c"], np.full(3, 0.1))
     for one, other in zip(model.predict([t or "" for t in texts]), model.predict(pa.array(texts, pa.string()))):
         assert list(one) == list(other)
+
+
+def test_the_encoder_goes_with_its_task():
+    for write in (packing.pieces, lambda rows: token_counts.write_token_files(rows, "")):
+        given = {}
+
+        class Rows:
+            schema = {"doc_id": SimpleNamespace(dataType=SimpleNamespace(simpleString=lambda: "bigint"))}
+            select = lambda self, *a: self
+            agg = lambda self, *a: SimpleNamespace(first=lambda: [9])
+
+            def mapInArrow(self, f, _):
+                given["task"] = f
+                raise StopIteration
+
+        with pytest.MonkeyPatch.context() as m:
+            m.setattr(token_counts.F, "max", lambda c: c)
+            m.setattr(token_counts.F, "octet_length", lambda c: c)
+            with pytest.raises(StopIteration):
+                write(Rows())
+        out = given["task"](iter([batch(["one two", "three"])]))
+        assert next(out).num_rows and tokens._MADE
+        assert not list(out) and not tokens._MADE
+
+
+def test_arrow_batches_are_small_unless_the_caller_says_otherwise(spark):
+    key, value = session.ARROW_BATCH
+    size = lambda s: s.range(0, 4_000, 1, 1).selectExpr("repeat('abcdefgh', 400) t").mapInArrow(lambda bs: (pa.record_batch([pa.array([b.nbytes])], names=["n"]) for b in bs), "n long")
+    for step in (G.stage_language, J.stage_join, S.stage_substrings, packing.stage_pack):
+        own = spark.newSession()
+        docs = own.createDataFrame([(1, "alpha beta gamma", "en"), (2, "delta", "en")], "doc_id long, text string, lang string")
+        docs = docs.withColumn("n_chars", F.length("text"))
+        step(own, docs, "")
+        assert own.conf.get(key) == value
+    assert max(r.n for r in size(own).collect()) < int(value) + 10_000
+    own = spark.newSession()
+    own.conf.set(key, "1m")
+    session.small_batches(own)
+    assert own.conf.get(key) == "1m"
