@@ -1,19 +1,22 @@
 """Groups of documents whose sets of word n-grams have a Jaccard similarity of at least t percent.
 
-Sets that may link are brought together by signatures, in one of two ways.  By
-``parts``: hash ranges split a set into more parts than two linked sets of its
-size may differ in elements, so linked sets agree on a whole part; that suits
-high thresholds, whose parts are large.  By ``rare`` elements: in one order of
-all n-grams, by counts of hash slots over all documents and then by hash, linked
-sets have an element in common among the first few of each; that suits lower
-thresholds with longer n-grams, and takes only sets that may link at all: those
-of which the threshold's share of elements stands in other sets too, which is
-counted over all documents first.  Chains of signatures in common make candidate
-blocks.  In a block the sets, ordered by how common their elements are there, share a
-prefix tree.  A probe walks the tree once, keeping the overlap of every path, and
-leaves a subtree when even all remaining elements could not reach the threshold.
-Blocks too large for a task are dealt as pairs of sub-blocks.  Links found are
-joined to components; copies of a set are linked to its smallest doc_id.
+Sets that may link are brought together by signatures: hash ranges split a set
+into more parts than two linked sets of its size may differ in elements, so linked
+sets agree on whole parts, and on one of the heaviest few of each.  By ``parts``
+the heaviest are the largest; that suits high thresholds, whose parts are large.
+By ``rare`` elements they are those of the most and rarest n-grams, by counts of
+hash slots over all documents; that suits lower thresholds with longer n-grams, and
+takes only sets that may link at all: those of which the threshold's share of
+elements stands in other sets too, which is counted over all documents first.
+Chains of signatures in common make candidate blocks.  Blocks too large for a task
+are taken again by themselves: sets that may not link within their block leave it,
+and the others are signed with parts of another split, so that a block that hangs
+together by chance comes apart.  In a block the sets, ordered by how common their
+elements are there, share a prefix tree.  A probe walks the tree once, keeping the
+overlap of every path, and leaves a subtree when even all remaining elements could
+not reach the threshold.  Blocks that stay too large are dealt as pairs of
+sub-blocks.  Links found are joined to components; copies of a set are linked to
+its smallest doc_id and take part by it alone.
 
 Cases: a text without words, or null, has an empty set and links with nothing;
 fewer than n words make one n-gram of all words; rows that share a doc_id are one
@@ -30,12 +33,13 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from covenant.session import small_batches
 
-from .common import WordIds, broadcast_checked, grouped, mix, sliced, stage, text_key, texts_of, tidied
+from .common import WordIds, grouped, join_keys, mix, perhaps_among, sliced, stage, text_key, texts_of, tidied
 from .components import connected
 
 SHINGLE, PERCENT = 3, 90
@@ -47,6 +51,8 @@ SLOTS, SLOT_SHIFT, SLOT_PIECES = 1 << 22, np.uint64(42), 64
 BLOCK_SETS, BLOCK_ITEMS = 512, 1_000_000
 #: Signatures compared in one bucket; a bucket's task holds them as arrays.
 BUCKET_SIGS = 2_000_000
+#: Times that the sets of blocks too large for a task are signed anew.
+ROUNDS = 4
 #: Documents of a chunk whose repeated n-grams are counted together (places fit 16 bits).
 CHUNK_DOCS = 1024
 
@@ -83,13 +89,23 @@ def size_bands(percent: int = PERCENT, most: int = 1 << 40) -> tuple[np.ndarray,
     return np.array(top), np.array([(100 - percent) * 2 * t // (100 + percent) + 1 for t in top])
 
 
-def signatures(items: np.ndarray, band: int, parts: int) -> np.ndarray:
-    """A name for each part of a set: its elements (sorted hashes) split by ranges of their upper 32 bits."""
-    edges = (np.arange(1, parts, dtype=np.uint64) << np.uint64(32)) // np.uint64(parts) << np.uint64(32)
+def signatures(items: np.ndarray, band: int, parts: int, rarity: np.ndarray | None = None) -> np.ndarray:
+    """Names of the ``parts`` heaviest parts of a set: its elements (sorted hashes) split by ranges of their upper 32 bits.
+
+    Half as many parts more are made.  Sets that differ in fewer than ``parts``
+    elements agree on all but fewer than ``parts`` of them, so that the heaviest
+    one on which they agree is signed by both: parts go by weight and place, of
+    which each is that of the part's own elements.  The weight is the number of
+    elements, or the sum of what ``rarity`` gives each.
+    """
+    made = parts * 3 // 2
+    edges = (np.arange(1, made, dtype=np.uint64) << np.uint64(32)) // np.uint64(made) << np.uint64(32)
     cuts = np.concatenate([[0], np.searchsorted(items, edges), [len(items)]])
     total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(items + _B), dtype=np.uint64)])
-    part = np.arange(parts, dtype=np.uint64) + np.uint64(band) * np.uint64(1 << 40)
-    return mix(total[cuts[1:]] - total[cuts[:-1]] + mix(part + _A))
+    weight = cuts if rarity is None else np.concatenate([[0], np.cumsum(rarity[(items >> SLOT_SHIFT).astype(np.int64)], dtype=np.int64)])[cuts]
+    heavy = np.sort(np.argsort(weight[:-1] - weight[1:], kind="stable")[:parts])
+    part = heavy.astype(np.uint64) + np.uint64(band) * np.uint64(1 << 40)
+    return mix(total[cuts[heavy + 1]] - total[cuts[heavy]] + mix(part + _A))
 
 
 def slot_counts(text: DataFrame, shingle: int) -> np.ndarray:
@@ -132,16 +148,26 @@ def slot_counts(text: DataFrame, shingle: int) -> np.ndarray:
     return total.ravel()
 
 
-def rare_elements(items: np.ndarray, counts: np.ndarray, percent: int) -> np.ndarray:
-    """The first elements, rare ones first, that a set shares with any set it links with: |A| - ceil(percent * |A| / 100) + 1."""
-    n = len(items) + (-percent * len(items)) // 100 + 1
-    return items[np.lexsort((items, counts[(items >> SLOT_SHIFT).astype(np.int64)]))[:n]]
+def rarity(counts: np.ndarray) -> np.ndarray:
+    """Weight of the n-grams of each slot: 64 less four times the bits of its count, 1 at least."""
+    return np.maximum(64 - 4 * np.ceil(np.log2(counts + 1.0)), 1).astype(np.uint8)
+
+
+def _salted(names: np.ndarray, salt: int) -> np.ndarray:
+    """Other names for n-grams, sorted; equal ones for an equal salt."""
+    return np.sort(mix(names + np.full(1, salt, np.uint64) * _B)) if salt else names
+
+
+def _blocks(b: pa.RecordBatch) -> np.ndarray | list[None]:
+    """A name of each row's block, or None for each."""
+    return mix(b.column("block").to_numpy().view(np.uint64)) if "block" in b.schema.names else [None] * b.num_rows
 
 
 def _named(batches: Iterator[pa.RecordBatch], shingle: int, buckets: int) -> Iterator[pa.RecordBatch]:
     """The n-grams of a chunk of documents, dealt to buckets as (32 bits of the name, place of the document in the chunk).
 
-    One more row per chunk holds the ids and set sizes of its documents.
+    One more row per chunk holds the ids and set sizes of its documents.  Where
+    rows have a block, an n-gram has another name in each block.
     """
     ids, names = WordIds(), ["bucket", "chunk", "names", "at", "docs", "sizes"]
     types = [pa.int32(), pa.int64()] + [pa.binary()] * 4
@@ -149,11 +175,11 @@ def _named(batches: Iterator[pa.RecordBatch], shingle: int, buckets: int) -> Ite
         for x in range(0, whole.num_rows, CHUNK_DOCS):
             b = whole.slice(x, CHUNK_DOCS)
             docs, sets = [], []
-            for doc, text in zip(b.column("doc_id").to_pylist(), texts_of(b.column("text"))):
+            for doc, block, text in zip(b.column("doc_id").to_pylist(), _blocks(b), texts_of(b.column("text"))):
                 items = shingles(ids.of(words_of(text)), shingle)
                 if doc is not None and len(items):
                     docs.append(doc)
-                    sets.append(items)
+                    sets.append(items if block is None else mix(items + block))
             if not docs:
                 continue
             own, sizes, name = np.array(docs, np.int64), np.array(list(map(len, sets)), np.int64), np.concatenate(sets)
@@ -192,6 +218,14 @@ def _able(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Record
         yield pa.record_batch([pa.array(docs[100 * n >= percent * sizes])], names=["doc_id"])
 
 
+def without_copies(rows: DataFrame, known: DataFrame) -> DataFrame:
+    """``rows`` without the documents whose sets are all sets of smaller doc_ids."""
+    first = known.groupBy("fp").agg(F.min("doc_id").alias("first"))
+    own = known.join(first, "fp").groupBy("doc_id").agg(F.min(F.col("doc_id") > F.col("first")).alias("copy"))
+    copies = stage(own.where("copy").select("doc_id"), "copies")
+    return join_keys(rows, copies, copies.count(), "doc_id", "left_anti")
+
+
 def may_link(text: DataFrame, known: DataFrame, shingle: int, percent: int) -> DataFrame:
     """doc_id of the documents that may link with a different set.
 
@@ -200,12 +234,13 @@ def may_link(text: DataFrame, known: DataFrame, shingle: int, percent: int) -> D
     once (as that of their smallest doc_id).  Two elements are taken as one by 32
     bits of their name and their bucket, which only lets more documents through.
     """
-    first = known.groupBy("fp").agg(F.min("doc_id").alias("first"))
-    own = known.join(first, "fp").groupBy("doc_id").agg(F.min(F.col("doc_id") > F.col("first")).alias("copy"))
-    copies = stage(own.where("copy").select("doc_id"), "copies")
-    sets = text.join(broadcast_checked(copies, copies.count()), "doc_id", "left_anti").select("doc_id", "text")
-    buckets = max(1, int((known.agg(F.sum("n")).first()[0] or 0) / BUCKET_SIGS))
-    named = sets.mapInArrow(tidied(_named, shingle, buckets), "bucket int, chunk long, names binary, at binary, docs binary, sizes binary")
+    return repeated_share(without_copies(text, known).select("doc_id", "text"), known.agg(F.sum("n")).first()[0], shingle, percent)
+
+
+def repeated_share(text: DataFrame, items: int | None, shingle: int, percent: int) -> DataFrame:
+    """doc_id of the rows that have ``percent`` of their n-grams in other rows too (of their block, where they have one)."""
+    buckets = max(1, int((items or 0) / BUCKET_SIGS))
+    named = text.mapInArrow(tidied(_named, shingle, buckets), "bucket int, chunk long, names binary, at binary, docs binary, sizes binary")
     twice = named.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(tidied(_repeated), "chunk long, at binary, docs binary, sizes binary")
     return twice.repartition("chunk").sortWithinPartitions("chunk").mapInArrow(tidied(_able, percent), "doc_id long").distinct()
 
@@ -219,24 +254,21 @@ def _sets(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[pa.Record
         yield pa.record_batch([b.column("doc_id"), pa.array([len(x) for x in sets], pa.int64()), pa.array(fps, pa.binary())], names=["doc_id", "n", "fp"])
 
 
-def _signed(batches: Iterator[pa.RecordBatch], shingle: int, percent: int, counts: np.ndarray | None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(signatures, their doc_id) of the documents of a batch; equal sets of a task carry theirs once."""
+def _signed(batches: Iterator[pa.RecordBatch], shingle: int, percent: int, rare: np.ndarray | None, salt: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(signatures, their doc_id) of the documents of a batch, in their block if they have one; equal sets of a task carry theirs once."""
     ids, seen = WordIds(), set()
     tops, parts = size_bands(percent)
     for b in batches:
         sigs, docs = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
-        for doc, text in zip(b.column("doc_id").to_pylist(), texts_of(b.column("text"))):
+        for doc, block, text in zip(b.column("doc_id").to_pylist(), _blocks(b), texts_of(b.column("text"))):
             items = shingles(ids.of(words_of(text)), shingle)
             fp = blake2b(items.tobytes(), digest_size=16).digest()
-            if doc is None or not len(items) or fp in seen:
+            if doc is None or not len(items) or (fp, block) in seen:
                 continue
-            seen.add(fp)
-            if counts is None:
-                band = int(np.searchsorted(tops, len(items)))
-                own = [signatures(items, k, int(parts[k])) for k in (band, band + 1) if parts[k] > 1]
-            else:
-                own = [rare_elements(items, counts, percent)]
-            sigs.extend(own)
+            seen.add((fp, block))
+            band, items = int(np.searchsorted(tops, len(items))), _salted(items, salt)
+            own = [signatures(items, k, int(parts[k]), rare) for k in (band, band + 1) if parts[k] > 1]
+            sigs.extend(own if block is None else [mix(x + block) for x in own])
             docs.append(np.full(sum(map(len, own)), doc))
         yield np.concatenate(sigs).view(np.int64), np.concatenate(docs)
 
@@ -385,6 +417,15 @@ def _cells(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Recor
         yield pa.record_batch([pa.array([own[a] for a, _ in found], pa.int64()), pa.array([own[b] for _, b in found], pa.int64())], names=["a", "b"])
 
 
+def blocks_of(text: DataFrame, items: int | None, shingle: int, percent: int, rare: Broadcast, salt: int = 0) -> DataFrame:
+    """(doc_id, block) of the documents whose signatures chain them to others (of their block, where rows have one)."""
+    share = 4 * (100 - percent) / (100 + percent)  # signatures per element, about
+    buckets = max(1, int((items or 0) * share / BUCKET_SIGS))
+    parts = text.mapInArrow(tidied(lambda b: _parts(_signed(b, shingle, percent, rare.value, salt), buckets)), "bucket int, sigs binary, docs binary, a binary, b binary")
+    near = parts.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(tidied(_agree), "doc_id long, low long")
+    return stage(connected(near, "doc_id", "low").select(F.col("node").alias("doc_id"), F.col("label").alias("block")), "blocks")
+
+
 def join_groups(
     docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, near: str = "parts", block_sets: int = BLOCK_SETS, block_items: int = BLOCK_ITEMS
 ) -> DataFrame:
@@ -395,19 +436,32 @@ def join_groups(
     known = sets.where("doc_id IS NOT NULL AND n > 0")
     if near == "rare":
         able = stage(may_link(text, known, shingle, percent), "able")
-        text = text.join(broadcast_checked(able, able.count()), "doc_id", "left_semi").select("doc_id", "text")
-    counts = docs.sparkSession.sparkContext.broadcast({"parts": lambda: None, "rare": lambda: slot_counts(text, shingle)}[near]())  # SLOTS numbers
-
-    share = (100 - percent) / 100 if near == "rare" else 4 * (100 - percent) / (100 + percent)  # signatures per element, about
-    buckets = max(1, int((known.agg(F.sum("n")).first()[0] or 0) * share / BUCKET_SIGS))
-    parts = text.mapInArrow(tidied(lambda b: _parts(_signed(b, shingle, percent, counts.value), buckets)), "bucket int, sigs binary, docs binary, a binary, b binary")
-    near = parts.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(tidied(_agree), "doc_id long, low long")
-    block = stage(connected(near, "doc_id", "low").select(F.col("node").alias("doc_id"), F.col("label").alias("block")), "blocks")
+        text = join_keys(text, able, able.count(), "doc_id", "left_semi").select("doc_id", "text")
+    else:
+        text = without_copies(text, known).select("doc_id", "text")
+    rare = docs.sparkSession.sparkContext.broadcast({"parts": lambda: None, "rare": lambda: rarity(slot_counts(text, shingle))}[near]())  # SLOTS numbers
+
+    def measured(block: DataFrame) -> DataFrame:
+        per = known.select("doc_id", "n").join(block, "doc_id").groupBy("block").agg(F.count("*").alias("sets"), F.sum("n").alias("items"))
+        return per.select("block", "items", F.greatest(F.ceil(F.col("sets") / block_sets), F.ceil(F.col("items") / block_items)).cast("int").alias("m"))
+
+    block, before = blocks_of(text, known.agg(F.sum("n")).first()[0], shingle, percent, rare), None
+    for salt in range(1, ROUNDS + 1):
+        per = stage(measured(block).where("m > 1"), "per")
+        blocks, items, cells = per.agg(F.count("*"), F.sum("items"), F.sum(F.col("items") * F.col("m"))).first()
+        if not blocks or before is not None and cells > 0.9 * before:
+            break
+        before = cells
+        held = join_keys(block, per.select("block"), blocks, "block", "left_semi").select("doc_id", "block")
+        large = stage(held, "large")
+        own = text.where(perhaps_among(large, "doc_id", large.count())).join(large.hint("merge"), "doc_id").select("doc_id", "text", "block")
+        able = stage(repeated_share(own, items, shingle, percent), "able")
+        finer = blocks_of(own.join(able.hint("merge"), "doc_id", "left_semi"), items, shingle, percent, rare, salt)
+        block = stage(join_keys(block, per.select("block"), blocks, "block", "left_anti").select("doc_id", "block").union(finer), "blocks")
 
-    per = known.select("doc_id", "n").join(block, "doc_id").groupBy("block").agg(F.count("*").alias("sets"), F.sum("n").alias("items"))
-    per = per.select("block", F.greatest(F.ceil(F.col("sets") / block_sets), F.ceil(F.col("items") / block_items)).cast("int").alias("m"))
     # merge: the same plan at every size, whatever share of the documents has neighbours
-    items = text.join(block.join(per, "block").hint("merge"), "doc_id").select("block", "doc_id", "m", "text")
+    own = text.where(perhaps_among(block.select("doc_id"), "doc_id", block.count()))
+    items = own.join(block.join(measured(block), "block").hint("merge"), "doc_id").select("block", "doc_id", "m", "text")
     cells = items.mapInArrow(tidied(_items, shingle), "block long, doc_id long, m int, items binary")
     cells = cells.withColumn("own", F.pmod(F.xxhash64("doc_id"), F.col("m")).cast("int"))
     cells = cells.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("m") - 1))).where("m = 1 OR own <> other")
@@ -436,13 +490,13 @@ def stage_join(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     row = docs.select("*", text_key(F.col("text")).alias("_key"))
     shared = row.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n"), F.min("_key").alias("_first")).where("n > 1").drop("n")
     shared = stage(shared, "shared")
-    row = row.join(broadcast_checked(shared, shared.count()), "doc_id", "left")
+    row = join_keys(row, shared, shared.count(), "doc_id", "left")
     # of several texts under one id, one keeps the id and the others get names beyond all ids
     other = F.xxhash64("doc_id", "_key").bitwiseAND(F.lit((1 << 61) - 1)) + F.lit(1 << 62)
     row = row.withColumn("_id", F.when(F.col("_first").isNull() | (F.col("_first") == F.col("_key")), F.col("doc_id").cast("long")).otherwise(other))
     groups = join_groups(row.select(F.col("_id").alias("doc_id"), "text"), STAGE_SHINGLE, STAGE_PERCENT, "rare")
     gone = stage(groups.where("doc_id <> component_id").select(F.col("doc_id").alias("_id")).distinct(), "gone")
-    left = row.join(broadcast_checked(gone, gone.count()), "_id", "left_anti")
+    left = join_keys(row, gone, gone.count(), "_id", "left_anti")
     own = [F.col(f"`{c}`") for c in docs.columns]
     single = left.where("_first IS NULL").select(*own)
     same = left.where("_first IS NOT NULL").groupBy("_id").agg(F.min_by(F.struct(*own), F.xxhash64(*own)).alias("row")).select("row.*")
