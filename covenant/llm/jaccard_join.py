@@ -367,32 +367,49 @@ class PrefixTree:
 WALK_CELLS = 8_000_000
 
 
-def tree_links(items: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+def _linkable(code: np.ndarray, cuts: np.ndarray, percent: int, first: int) -> np.ndarray:
+    """Which sets (runs of ``code`` between ``cuts``) have ``percent`` of their elements in others: of the other side of ``first``, unless it is 0."""
+    size, width = np.diff(cuts), int(code.max()) + 1
+    stay, side = np.ones(len(size), bool), np.arange(len(size)) >= first
+    while True:
+        ones = [np.bincount(code[np.repeat(stay & (side == k), size)], minlength=width) for k in (False, True)]
+        # those of the other side; without sides all but the set itself
+        held = np.where(np.repeat(side, size), ones[0][code] > 0, ones[1][code] > 0) if first else ones[1][code] > 1
+        again = stay & (100 * np.add.reduceat(held, cuts[:-1], dtype=np.int64) >= percent * size)
+        if (again == stay).all():
+            return stay
+        stay = again
+
+
+def tree_links(items: list[np.ndarray], percent: int, first: int = 0) -> list[tuple[int, int]]:
     """Links that keep the linked sets of one block connected.
 
-    Every set probes all sets that have not probed before it, many together, so
-    each link is seen by the first of its two sets; of the links seen those stay
-    that join two parts.  Sets of the smallest parts probe first, and when all
-    sets left are of one part there is nothing more to join.  The tree is built
-    anew whenever half of its sets have probed.
+    Sets whose elements are not in enough others to link stay out.  Every other set
+    probes all sets that have not probed before it, many together, so each link
+    is seen by the first of its two sets; of the links seen those stay that join
+    two parts.  Sets of the smallest parts probe first, and when all sets left are
+    of one part there is nothing more to join.  The tree is built anew whenever
+    half of its sets have probed.  With ``first``, so many sets probe the others and
+    no set is compared with one of its own side.
     """
     values, code, count = np.unique(np.concatenate(items), return_inverse=True, return_counts=True)
     order = np.empty(len(values), np.int64)
     order[np.lexsort((values, -count))] = np.arange(len(values))  # one order for the block: common elements first
     cuts = np.cumsum([0, *map(len, items)])
     sets = [np.sort(order[code[a:b]]) for a, b in zip(cuts[:-1], cuts[1:])]
-    todo = sorted(range(len(sets)), key=lambda i: sets[i].astype(">u4").tobytes())
-    out, left, part, tree, held = [], dict.fromkeys(todo), list(range(len(sets))), None, []
+    todo = sorted(np.flatnonzero(_linkable(code, cuts, percent, first)).tolist(), key=lambda i: sets[i].astype(">u4").tobytes())
+    out, part, tree = [], list(range(len(sets))), None
+    left, held = dict.fromkeys(i for i in todo if not first or i < first), [i for i in todo if i >= first] if first else []
 
     def root(i: int) -> int:
         while part[i] != i:
             part[i] = i = part[part[i]]
         return i
 
-    while len(size := Counter(map(root, left))) > 1:
-        if tree is None or 2 * len(left) <= len(held):
-            held = list(left)
-            tree = PrefixTree([sets[i] for i in held], percent)
+    while left and len(size := Counter(map(root, [*left, *held] if first else left))) > 1:
+        if not first and (tree is None or 2 * len(left) <= len(held)):
+            held, tree = list(left), None
+        tree = tree or PrefixTree([sets[i] for i in held], percent)
         m = max(1, min(64, WALK_CELLS // max(len(values), len(tree.nodes))))
         probes = sorted(left, key=lambda i: size[root(i)])[:m]
         for p, j in tree.links([sets[i] for i in probes], len(values)):
@@ -406,14 +423,17 @@ def tree_links(items: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
 
 
 def _cells(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """Links of each cell: within a sub-block, or between two; rows sorted by block, i and j."""
     for t in grouped(batches, ["block", "i", "j"]):
-        ids, raw = t.column("doc_id").to_numpy(), t.column("items").to_pylist()
-        # equal sets of a block are one
-        first = {}
-        for d, x in zip(ids.tolist(), raw):
-            first[x] = min(d, first.get(x, d))
-        found = tree_links([np.frombuffer(x, np.uint64) for x in first], percent) if len(first) > 1 else []
-        own = list(first.values())
+        ids, raw = t.column("doc_id").to_pylist(), t.column("items").to_pylist()
+        other = t.column("own").to_numpy() != t.column("i").to_numpy()
+        # equal sets of a sub-block are one
+        low: list[dict[bytes, int]] = [{}, {}]
+        for d, x, k in zip(ids, raw, other.tolist()):
+            low[k][x] = min(d, low[k].get(x, d))
+        own, across = [*low[0].values(), *low[1].values()], t.column("i")[0].as_py() != t.column("j")[0].as_py()
+        some = all(low) if across else len(own) > 1
+        found = tree_links([np.frombuffer(x, np.uint64) for k in low for x in k], percent, len(low[0]) if across else 0) if some else []
         yield pa.record_batch([pa.array([own[a] for a, _ in found], pa.int64()), pa.array([own[b] for _, b in found], pa.int64())], names=["a", "b"])
 
 
@@ -464,8 +484,8 @@ def join_groups(
     items = own.join(block.join(measured(block), "block").hint("merge"), "doc_id").select("block", "doc_id", "m", "text")
     cells = items.mapInArrow(tidied(_items, shingle), "block long, doc_id long, m int, items binary")
     cells = cells.withColumn("own", F.pmod(F.xxhash64("doc_id"), F.col("m")).cast("int"))
-    cells = cells.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("m") - 1))).where("m = 1 OR own <> other")
-    cells = cells.select("block", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "doc_id", "items")
+    cells = cells.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("m") - 1)))
+    cells = cells.select("block", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "doc_id", "items")
     cells = cells.repartition("block", "i", "j").sortWithinPartitions("block", "i", "j")
     links = cells.mapInArrow(tidied(_cells, percent), "a long, b long")
 

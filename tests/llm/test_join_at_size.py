@@ -5,7 +5,7 @@ import random
 import numpy as np
 import pyarrow as pa
 import pytest
-from helpers import jaccard_components
+from helpers import components, jaccard_components
 from pyspark.sql import functions as F
 
 from covenant.llm import common
@@ -60,6 +60,21 @@ def test_an_empty_part_is_no_signature_and_linked_sets_share_one(weights):
             assert x & y and len(x) == p
 
 
+def test_two_sides_are_compared_with_each_other_only():
+    r = np.random.default_rng(6)
+    base = [r.choice(1 << 40, 100, replace=False).astype(np.uint64) for _ in range(12)]
+    noisy = lambda s, n: np.sort(np.concatenate([s[r.permutation(len(s))[n:]], r.choice(1 << 40, n).astype(np.uint64)]))
+    sets = [noisy(base[i % 12], int(r.integers(0, 9))) for i in range(150)]
+    as_sets = [set(s.tolist()) for s in sets]
+    links = {(a, b) for b in range(150) for a in range(b) if 100 * len(as_sets[a] & as_sets[b]) >= 90 * len(as_sets[a] | as_sets[b])}
+    for first in (1, 70, 149):
+        across = {(a, b) for a, b in links if a < first <= b}
+        found = J.tree_links(sets, 90, first)
+        assert set(found) <= across and components(range(150), found) == components(range(150), across)
+    none = J.tree_links([base[0], base[1], base[2]], 90, 1)
+    assert none == [] and J.tree_links([base[0], base[0][:50]], 90) == []
+
+
 def test_a_family_is_dealt_to_few_cells_each_pair_of_sets_once(spark, monkeypatch):
     """Members too noisy to link leave a large block, copies take part once, cells of two sub-blocks hold no other pairs."""
     r = random.Random(5)
