@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from covenant.session import small_batches
 
-from .common import WordIds, grouped, join_keys, mix, perhaps_among, sliced, stage, text_key, texts_of, tidied
+from .common import WordIds, broadcast_checked, grouped, join_keys, mix, perhaps_among, sliced, stage, text_key, texts_of, tidied
 from .components import connected
 
 SHINGLE, PERCENT = 3, 90
@@ -466,22 +466,23 @@ def join_groups(
         return per.select("block", "items", F.greatest(F.ceil(F.col("sets") / block_sets), F.ceil(F.col("items") / block_items)).cast("int").alias("m"))
 
     block, before = blocks_of(text, known.agg(F.sum("n")).first()[0], shingle, percent, rare), None
+    # the texts of all blocks are read once, by the same plan at every size, whatever share of the documents has neighbours
+    own = text.where(perhaps_among(block.select("doc_id"), "doc_id", block.count()))
+    text = stage(own.join(block.select("doc_id").hint("merge"), "doc_id", "left_semi").select("doc_id", "text"), "texts")
     for salt in range(1, ROUNDS + 1):
         per = stage(measured(block).where("m > 1"), "per")
         blocks, items, cells = per.agg(F.count("*"), F.sum("items"), F.sum(F.col("items") * F.col("m"))).first()
         if not blocks or before is not None and cells > 0.9 * before:
             break
         before = cells
-        held = join_keys(block, per.select("block"), blocks, "block", "left_semi").select("doc_id", "block")
-        large = stage(held, "large")
-        own = text.where(perhaps_among(large, "doc_id", large.count())).join(large.hint("merge"), "doc_id").select("doc_id", "text", "block")
+        large = stage(join_keys(block, per.select("block"), blocks, "block", "left_semi").select("doc_id", "block"), "large")
+        own = text.join(broadcast_checked(large, large.count()), "doc_id").select("doc_id", "text", "block")
         able = stage(repeated_share(own, items, shingle, percent), "able")
-        finer = blocks_of(own.join(able.hint("merge"), "doc_id", "left_semi"), items, shingle, percent, rare, salt)
+        own = own.join(broadcast_checked(able, able.count()), "doc_id", "left_semi").select("doc_id", "text", "block")
+        finer = blocks_of(own, items, shingle, percent, rare, salt)
         block = stage(join_keys(block, per.select("block"), blocks, "block", "left_anti").select("doc_id", "block").union(finer), "blocks")
 
-    # merge: the same plan at every size, whatever share of the documents has neighbours
-    own = text.where(perhaps_among(block.select("doc_id"), "doc_id", block.count()))
-    items = own.join(block.join(measured(block), "block").hint("merge"), "doc_id").select("block", "doc_id", "m", "text")
+    items = text.join(block.join(measured(block), "block").hint("merge"), "doc_id").select("block", "doc_id", "m", "text")
     cells = items.mapInArrow(tidied(_items, shingle), "block long, doc_id long, m int, items binary")
     cells = cells.withColumn("own", F.pmod(F.xxhash64("doc_id"), F.col("m")).cast("int"))
     cells = cells.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("m") - 1)))
